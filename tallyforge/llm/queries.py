@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, langid
-from .common import read
+from . import bpe, jaccard, langid, token_ids
+from .common import Tables, read
+
+
+def vocabulary(name: str) -> str:
+    """A vocabulary file of the public tokenizers that are installed beside Spark."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +28,18 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(read(spark, sf_dir, "documents").select("doc_id", "text"), size=4, num=85, den=100)
 
 
+def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = Tables(spark, "token_ids")
+    written = token_ids.write(read(spark, sf_dir, "documents"), f"{tables.root}/files", vocabulary("byte_bpe_50k.json"), end_id=2)
+    return token_ids.read_back(tables.put(written, "manifest"))
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.digests(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
