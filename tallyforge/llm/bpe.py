@@ -124,31 +124,30 @@ class BytePairs:
 
     def _bucket(self, words: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words of at most ``width`` bytes: rows of a matrix and their lengths."""
+        # a column of padding on either side, so that a merge always has neighbours
         size = np.fromiter(map(len, words), np.int64, len(words))
-        rows = np.full((len(words), width), -1, np.int32)
-        rows[np.arange(width) < size[:, None]] = self.single[np.frombuffer(b"".join(words), np.uint8)]
-        out, live, cols = np.full_like(rows, -1), np.arange(len(words)), np.arange(width)
-        slot = self.table.find(rows[:, :-1].ravel(), rows[:, 1:].ravel())
-        rank = self.table.rank[slot].reshape(len(words), width - 1)
+        cols = np.arange(width + 2)
+        rows = np.full((len(words), width + 2), -1, np.int32)
+        rows[(cols > 0) & (cols <= size[:, None])] = self.single[np.frombuffer(b"".join(words), np.uint8)]
+        out, live = np.full((len(words), width), -1, np.int32), np.arange(len(words))
+        rank = np.full_like(rows, _NONE)  # of each column and the next
+        rank[:, :-1] = self.table.rank[self.table.find(rows[:, :-1].ravel(), rows[:, 1:].ravel())].reshape(len(words), width + 1)
         while len(live):
             j = rank.argmin(axis=1)  # the leftmost of the lowest
             at = np.arange(len(live))
             more = rank[at, j] != _NONE
             if not more.all():
-                out[live[~more]] = rows[~more]
+                out[live[~more]] = rows[~more, 1:-1]
                 live, rows, rank, j = live[more], rows[more], rank[more], j[more]
                 at = at[: len(live)]
                 if not len(live):
                     break
             made = self.table.made[self.table.find(rows[at, j], rows[at, j + 1])]
-            rows = np.take_along_axis(np.pad(rows, ((0, 0), (0, 1)), constant_values=-1), cols + (cols > j[:, None]), axis=1)
-            rank = np.take_along_axis(np.pad(rank, ((0, 0), (0, 1)), constant_values=_NONE), cols[:-1] + (cols[:-1] > j[:, None]), axis=1)
+            shift = np.minimum(cols + (cols > j[:, None]), width + 1)
+            rows, rank = np.take_along_axis(rows, shift, axis=1), np.take_along_axis(rank, shift, axis=1)
             rows[at, j] = made
-            wide = np.pad(rows, ((0, 0), (1, 1)), constant_values=-1)  # so that a neighbour always exists
-            left, right = self.table.rank[self.table.find(wide[at, j], made)], self.table.rank[self.table.find(made, wide[at, j + 2])]
-            has_left, has_right = j > 0, j < width - 1
-            rank[at[has_left], j[has_left] - 1] = left[has_left]
-            rank[at[has_right], j[has_right]] = right[has_right]
+            new = self.table.rank[self.table.find(np.concatenate([rows[at, j - 1], made]), np.concatenate([made, rows[at, j + 1]]))]
+            rank[at, j - 1], rank[at, j] = new[: len(live)], new[len(live) :]
         return out, (out >= 0).sum(axis=1)
 
     def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

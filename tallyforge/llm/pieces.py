@@ -67,7 +67,7 @@ class PieceMemo:
             self._add(new)
         return np.fromiter(map(place.__getitem__, keys), np.int64, len(keys))
 
-    def texts(self, texts: list[str | None], limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    def texts(self, texts: list[str | None], limit: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """Runs i..j of texts of about ``limit`` characters: rows of all their pieces, pieces of each text."""
         i = 0
         while i < len(texts):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, langid, token_ids
+from . import bpe, fingerprint, jaccard, langid, quality, token_counts, token_ids
 from .common import Tables, read
 
 
@@ -40,6 +40,21 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_edited(read(spark, sf_dir, "documents"), fingerprint.Sketch(bins=256, bits=4, words=5))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.verdicts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), risk=0.005, delta=0.05)
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by")
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), public_tokenizers.PATTERN, limit=1024)
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 

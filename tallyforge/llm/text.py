@@ -138,3 +138,42 @@ def shingle_sets(buf: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray
     keep[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
     h, owner = h[keep], owner[keep]
     return h, np.searchsorted(owner, np.arange(n + 1))
+
+
+class HashIndex:
+    """An open-addressed table of non-negative 64-bit keys -> 32-bit values, searched side by side."""
+
+    def __init__(self, bits: int):
+        self.bits = bits
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.values = np.full(1 << self.bits, -1, np.int32)
+        self.n = 0
+
+    def _slots(self, key: np.ndarray) -> np.ndarray:
+        slot = ((key.view(U) * U(0x9E3779B97F4A7C15)) >> U(64 - self.bits)).astype(np.int64)
+        found = self.keys[slot]
+        todo = np.flatnonzero((found != key) & (found != -1))
+        while len(todo):
+            slot[todo] = (slot[todo] + 1) & ((1 << self.bits) - 1)
+            found = self.keys[slot[todo]]
+            todo = todo[(found != key[todo]) & (found != -1)]
+        return slot
+
+    def put(self, key: np.ndarray, value: np.ndarray) -> None:
+        """Adds distinct keys; the table is to stay at most half full."""
+        todo = np.arange(len(key))
+        while len(todo):
+            slot = self._slots(key[todo])
+            self.keys[slot] = key[todo]  # of several for a free slot the last one stays
+            own = self.keys[slot] == key[todo]
+            self.values[slot[own]] = value[todo[own]]
+            todo = todo[~own]
+        self.n += len(key)
+
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """Values, -1 where a key is missing."""
+        slot = self._slots(key)
+        return np.where(self.keys[slot] == key, self.values[slot], -1)
