@@ -5,13 +5,15 @@
    non-empty part, under the scheme of its own band and of the bands that smaller partners may lie in.
    Empty parts are not keys; a set with so many empty ones that its agreeing parts might all be empty
    also sends its prefix-filter keys, which suffices because a pair is unsafe only if both sets are.
-   Each batch sends one row per key and links its own holders of a key at once, so equal or nearly equal
-   sets, however many, never meet in one task.
-2. Candidate clusters are the components of "shares a key"; each set moves once, to its cluster. A
-   cluster over ``block`` sets is dealt to blocks, and pairs of blocks are compared in different tasks.
-3. In a block pair, signature trees (nodes with OR-ed token bitmaps and size ranges) are traversed in
-   pairs: a pair of nodes goes when its largest possible overlap misses the threshold, or when all its
-   sets are already connected. What is left is compared exactly, on sorted hash arrays.
+   Most keys have one holder; the others' holders get their signatures joined. A batch deals the
+   holders of a key that it has beyond two to 64 salts, as these are known to share it, so the rows of
+   a hot key spread.
+2. Signature trees (nodes with OR-ed token bitmaps and size ranges) over the holders of a key are
+   traversed in pairs: a pair of nodes goes when its largest possible overlap misses the threshold, or
+   when all its sets are connected already. Keys with over ``block`` holders are dealt to blocks, and
+   pairs of blocks are traversed in different tasks.
+3. Sets that surviving pairs connect form a candidate cluster. Each set moves to its cluster, and the
+   same traversal there, with bitmaps of whole sets, compares what is left exactly, on sorted arrays.
 
 Classes are the components of the links. Sets are compared by 64-bit shingle hashes.
 Rows: a null or wordless text has the empty set and no links; a text shorter than a shingle is one
@@ -21,7 +23,7 @@ gets a null component and links to nothing. Extra columns stay.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,7 @@ from .common import Tables, bitmap_of, components, in_bitmap, partitions
 from .text import U, chunks, flat, mix, shingle_sets
 
 _BAND = 1.4
+_SALTS = 64
 _LEAF, _FAN = 8, 8
 
 
@@ -69,7 +72,7 @@ def _fingerprints(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def block_keys(h: np.ndarray, at: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and the index of the set that sends each."""
+    """Keys, whose low six bits are the band of their scheme, and the index of the set that sends each."""
     size = np.diff(at)
     if not size.any():
         return np.zeros(0, U), np.zeros(0, np.int64)
@@ -92,67 +95,116 @@ def block_keys(h: np.ndarray, at: np.ndarray, num: int, den: int) -> tuple[np.nd
         new[1:] = (row[1:] != row[:-1]) | (part[1:] != part[:-1])
         begin = np.flatnonzero(new)
         content = np.add.reduceat(mix(own_h), begin)
-        keys.append(mix(content + mix(part[begin] * U(0x10001) + m[row[begin]])))
+        scheme = band.astype(U) & U(63)
         who.append(use[row[begin]])
+        keys.append(mix(content + mix(part[begin])) & ~U(63) | scheme[who[-1]])
         empty = m.astype(np.int64) - np.bincount(row[begin], minlength=len(use))
         risky = use[empty >= m.astype(np.int64) - bands.differ[band[use]]]
         if len(risky):  # prefix filter: of linked sets, the first size - overlap + 1 elements meet
             prefix = size[risky] - -(-size[risky] * num // den) + 1
             row = np.repeat(np.arange(len(risky)), prefix)
             take = np.repeat(at[:-1][risky] - (np.cumsum(prefix) - prefix), prefix) + np.arange(prefix.sum())
-            keys.append(mix(h[take] ^ U(0x7F4A7C15)))
             who.append(risky[row])
+            keys.append(mix(h[take] ^ U(0x7F4A7C15)) & ~U(63) | scheme[who[-1]])
     return np.concatenate(keys), np.concatenate(who)
 
 
-def _combined(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One row for each key, and for the other holders of a key here a key of the pair: two rows."""
-    order = np.lexsort((nodes, keys))
-    keys, nodes = keys[order], nodes[order]
-    first = np.ones(len(keys), bool)
-    first[1:] = keys[1:] != keys[:-1]
-    hub = nodes[np.flatnonzero(first)][np.cumsum(first) - 1]
-    link = hub != nodes
-    pairs = np.unique(np.column_stack([hub[link], nodes[link]]), axis=0)
-    joint = mix(mix(pairs[:, 0]) + pairs[:, 1])
-    return np.concatenate([keys[first], joint, joint]), np.concatenate([nodes[first], pairs[:, 0], pairs[:, 1]])
+def _level(low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For bands of sets of ``low`` elements or more: elements with so many zero bits at the end of their
+    hash are in the signature (all, a half or a quarter), and the signature's bits."""
+    level = (low >= 200).astype(np.int64) + (low >= 800)
+    return level, np.left_shift(1, np.clip(np.ceil(np.log2(2.0 * low)).astype(np.int64) - level, 8, 15))
+
+
+def _marks(h: np.ndarray, level: int, bits: int) -> tuple[int, bytes]:
+    """Number of the set's elements in its signature, and the signature."""
+    own = h[(h & U((1 << level) - 1)) == 0]
+    bit = (own >> U(8)) & U(bits - 1)
+    out = np.zeros(bits, np.uint8)
+    out[bit.astype(np.int64)] = 1
+    return len(own), np.packbits(out, bitorder="little").tobytes()
 
 
 def _key_rows(size: int, num: int, den: int) -> Callable:
+    """Rows (k, salt, f): the keys of a batch and their holders' fingerprints."""
+
     def run(batches):
         for b in batches:
-            keys, nodes = [], []
+            keys, nodes = [np.zeros(0, U)], [np.zeros(0, U)]
             buf, at = flat(b["text"])
             for _, _, own, own_at in chunks(buf, at):
                 h, offsets = shingle_sets(own, own_at, size)
                 k, who = block_keys(h, offsets, num, den)
                 keys.append(k)
                 nodes.append(_fingerprints(h, offsets)[0][who])
-            if keys:
-                k, f = _combined(np.concatenate(keys), np.concatenate(nodes))
-                for i in range(0, len(k), 1 << 17):
-                    yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 17)].view(np.int64)) for x in (k, f)], ["k", "f"])
+            k, f = np.concatenate(keys), np.concatenate(nodes)
+            order = np.lexsort((f, k))
+            k, f = k[order], f[order]
+            new = np.ones(len(k), bool)
+            new[1:] = (k[1:] != k[:-1]) | (f[1:] != f[:-1])
+            k, f = k[new], f[new]
+            first = np.ones(len(k), bool)
+            first[1:] = k[1:] != k[:-1]
+            rank = np.arange(len(k)) - np.flatnonzero(first)[np.cumsum(first) - 1]
+            salt = np.where(rank < 2, 0, 1 + (f & U(_SALTS - 1)).astype(np.int64)).astype(np.int32)
+            for i in range(0, len(k), 1 << 17):
+                own = slice(i, i + (1 << 17))
+                yield pa.RecordBatch.from_arrays([pa.array(k[own].view(np.int64)), pa.array(salt[own]), pa.array(f[own].view(np.int64))], ["k", "salt", "f"])
 
     return run
 
 
-def _links(batches):
-    """Rows sorted by k: links between the first holder of a key and the others."""
-    key, hub = None, None
+def _shared_keys(batches):
+    """Rows (k, salt, f) sorted by k and salt: the holders (k, f) of keys that have two; some come twice."""
+    last, hub, told = None, None, False
     for b in batches:
-        k, f = b["k"].to_numpy(), b["f"].to_numpy()
+        k, salt, f = (b[x].to_numpy() for x in ("k", "salt", "f"))
         if not len(k):
             continue
         first = np.ones(len(k), bool)
-        first[1:] = k[1:] != k[:-1]
-        hubs = f[np.flatnonzero(first)]
-        if key == k[0]:
-            hubs[0] = hub
-        hub_of = hubs[np.cumsum(first) - 1]
-        key, hub = k[-1], hub_of[-1]
-        link = hub_of != f
-        pairs = np.unique(np.column_stack([hub_of[link], f[link]]), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        first[1:] = (k[1:] != k[:-1]) | (salt[1:] != salt[:-1])
+        begin, run = np.flatnonzero(first), np.cumsum(first) - 1
+        hubs, known = f[begin], np.zeros(len(begin), bool)
+        if last == (k[0], salt[0]):
+            hubs[0], known[0] = hub, told
+        other = (f != hubs[run]) | (salt > 0)
+        shared = np.bincount(run[other], minlength=len(begin)) > 0
+        say = shared & ~known & (salt[begin] == 0)
+        out_k, out_f = np.concatenate([k[other], k[begin][say]]), np.concatenate([f[other], hubs[say]])
+        last, hub, told = (k[-1], salt[-1]), hubs[-1], bool(known[-1] or shared[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(out_k), pa.array(out_f)], ["k", "f"])
+
+
+def _signatures(size: int, num: int, den: int) -> Callable:
+    """Rows (f, band, n, c, marks): each set's size, and its signature in the bands that it has keys of."""
+
+    def run(batches):
+        for b in batches:
+            buf, at = flat(b["text"])
+            seen: set = set()
+            for _, _, own, own_at in chunks(buf, at):
+                h, offsets = shingle_sets(own, own_at, size)
+                n = np.diff(offsets)
+                if not n.any():
+                    continue
+                f, bands = _fingerprints(h, offsets)[0].view(np.int64).tolist(), Bands(num, den, int(n.max()))
+                top, least = bands.of(np.maximum(n, 1)).tolist(), bands.of(np.maximum(-(-n * num // den), 1)).tolist()
+                level, bits = _level(bands.low)
+                rows = []
+                for i in np.flatnonzero(n).tolist():
+                    if f[i] not in seen:
+                        seen.add(f[i])
+                        own_h, made = h[offsets[i] : offsets[i + 1]], {}
+                        for band in range(least[i], top[i] + 1):
+                            kind = int(level[band]), int(bits[band])
+                            if kind not in made:
+                                made[kind] = _marks(own_h, *kind)
+                            rows.append((f[i], band, len(own_h), *made[kind]))
+                if rows:
+                    cols = list(zip(*rows, strict=True))
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.binary())], ["f", "band", "n", "c", "marks"])
+
+    return run
 
 
 def _profiles(size: int, bitmap: np.ndarray) -> Callable:
@@ -190,111 +242,155 @@ class _Forest:
 
 
 class SignatureTree:
-    """Sets in size order; each node has the OR of its sets' token bitmaps, its range of sizes, and the
-    most tokens that share a bit with another token of their own set."""
-
-    def __init__(self, sets: list[np.ndarray], bits: int):
-        self.sizes = np.array([len(s) for s in sets])
-        self.order = np.argsort(self.sizes, kind="stable")
-        self.sizes = self.sizes[self.order]
-        self.sets = [sets[i] for i in self.order]
-        self.marks = np.zeros((len(sets), bits >> 6), U)
-        for row, s in zip(self.marks, self.sets, strict=True):
-            bit = s & U(bits - 1)
-            np.bitwise_or.at(row, (bit >> U(6)).astype(np.int64), U(1) << (bit & U(63)))
-        self.shared = self.sizes - np.bitwise_count(self.marks).sum(axis=1)
-        level = [(i, min(i + _LEAF, len(sets)), None) for i in range(0, len(sets), _LEAF)]
+    """Sets in size order. ``marks`` are bitmaps of ``sampled`` elements of each set; a node has the OR of
+    its sets' bitmaps, its range of sizes, the most elements in and beside a bitmap, and the most that
+    share a bit with another element of their set."""
+
+    def __init__(self, sizes: np.ndarray, sampled: np.ndarray, marks: np.ndarray):
+        self.order = np.argsort(sizes, kind="stable")
+        self.sizes, self.sampled, self.marks = sizes[self.order], sampled[self.order], marks[self.order]
+        self.beside = self.sizes - self.sampled
+        self.shared = self.sampled - np.bitwise_count(self.marks).sum(axis=1, dtype=np.int64)
+        level = [(i, min(i + _LEAF, len(sizes)), []) for i in range(0, len(sizes), _LEAF)]
         while len(level) > 1:
             level = [(g[0][0], g[-1][1], g) for g in (level[i : i + _FAN] for i in range(0, len(level), _FAN))]
-        self.nodes: list[tuple] = []
-        self.root = self._build(level[0]) if level else None
+        self.root = self._node(*level[0])
 
-    def _build(self, spec) -> int:
-        begin, end, below = spec
-        kids = [self._build(x) for x in below] if below else []
-        mark = np.bitwise_or.reduce(self.marks[begin:end], axis=0)
-        self.nodes.append((begin, end, kids, mark, int(self.sizes[begin]), int(self.sizes[end - 1]), int(self.shared[begin:end].max())))
-        return len(self.nodes) - 1
+    def _node(self, begin: int, end: int, below: list) -> dict:
+        own = slice(begin, end)
+        return {
+            "begin": begin, "end": end, "kids": [self._node(*x) for x in below], "marks": np.bitwise_or.reduce(self.marks[own], axis=0),
+            "low": int(self.sizes[begin]), "high": int(self.sizes[end - 1]), "sampled": int(self.sampled[own].max()),
+            "beside": int(self.beside[own].max()), "shared": int(self.shared[own].max()),
+        }
 
 
-def _may_link(a: tuple, b: tuple, num: int, den: int) -> bool:
+def _may_link(a: dict, b: dict, num: int, den: int) -> bool:
     """Whether the largest possible overlap of a set below a and one below b reaches the threshold."""
-    (_, _, _, mark_a, low_a, high_a, shared_a), (_, _, _, mark_b, low_b, high_b, shared_b) = a, b
-    if high_a * den < low_b * num or high_b * den < low_a * num:
+    if a["high"] * den < b["low"] * num or b["high"] * den < a["low"] * num:
         return False
-    most = min(high_a, high_b, int(np.bitwise_count(mark_a & mark_b).sum()) + min(shared_a, shared_b))
-    return most >= least_overlap(low_a, low_b, num, den)
+    common = int(np.bitwise_count(a["marks"] & b["marks"]).sum()) + min(a["shared"], b["shared"])
+    most = min(a["sampled"], b["sampled"], common) + min(a["beside"], b["beside"])
+    return min(most, a["high"], b["high"]) >= least_overlap(a["low"], b["low"], num, den)
 
 
-def tree_links(left: SignatureTree, right: SignatureTree | None, num: int, den: int) -> list[tuple[int, int]]:
-    """A spanning forest of all links between two trees (or inside one), as positions left, then right."""
-    other = right or left
-    base = len(left.sets) if right else 0
-    forest, out = _Forest(len(left.sets) + (len(other.sets) if right else 0)), []
+def tree_links(left: SignatureTree, right: SignatureTree | None, num: int, den: int, linked: Callable | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the links between two trees (or inside one), as positions left, then right.
+
+    ``linked(p, q)`` decides on what the bounds leave; without it they decide.
+    """
+    other, base = right or left, len(left.sizes) if right else 0
+    total = len(left.sizes) + (len(other.sizes) if right else 0)
+    forest, out = _Forest(total), []
+    names = np.concatenate([left.order, base + other.order]) if right else left.order
+
+    def compare(own: slice, tos: slice) -> None:
+        sa, sb = left.sizes[own, None], other.sizes[None, tos]
+        common = np.bitwise_count(left.marks[own, None] & other.marks[None, tos]).sum(axis=2, dtype=np.int64)
+        most = np.minimum(common + np.minimum(left.shared[own, None], other.shared[None, tos]), np.minimum(left.sampled[own, None], other.sampled[None, tos]))
+        most = np.minimum(most + np.minimum(left.beside[own, None], other.beside[None, tos]), np.minimum(sa, sb))
+        for x, y in np.argwhere(most >= least_overlap(sa, sb, num, den)).tolist():
+            p, q = own.start + x, base + tos.start + y
+            if p != q and forest.find(p) != forest.find(q) and (linked is None or linked(int(names[p]), int(names[q]))):
+                forest.join(p, q)
+                out.append((int(names[p]), int(names[q])))
+
+    # a few sets against all others first: in a family of near copies they connect nearly everything
+    for p in {0, len(left.sizes) // 2}:
+        compare(slice(p, p + 1), slice(0, len(other.sizes)))
     todo = [(left.root, other.root)]
     while todo:
-        i, j = todo.pop()
-        a, b = left.nodes[i], other.nodes[j]
+        a, b = todo.pop()
         if not _may_link(a, b, num, den):
             continue
-        roots = {forest.find(x) for x in range(a[0], a[1])}
-        if len(roots) == 1 and roots == {forest.find(base + x) for x in range(b[0], b[1])}:
+        root = forest.find(a["begin"])
+        if all(forest.find(x) == root for x in range(a["begin"], a["end"])) and all(forest.find(base + x) == root for x in range(b["begin"], b["end"])):
             continue
-        if a[2] or b[2]:
-            kids_a, kids_b = a[2] or [i], b[2] or [j]
-            todo += [(x, y) for x in kids_a for y in kids_b if right or left.nodes[x][0] <= left.nodes[y][0]][::-1]
-            continue
-        common = np.bitwise_count(left.marks[a[0] : a[1], None] & other.marks[None, b[0] : b[1]]).sum(axis=2)
-        sa, sb = left.sizes[a[0] : a[1], None], other.sizes[None, b[0] : b[1]]
-        bound = np.minimum(common + np.minimum(left.shared[a[0] : a[1], None], other.shared[None, b[0] : b[1]]), np.minimum(sa, sb))
-        for x, y in np.argwhere(bound >= least_overlap(sa, sb, num, den)):
-            p, q = a[0] + int(x), b[0] + int(y)
-            if (right is None and p >= q) or forest.find(p) == forest.find(base + q):
-                continue
-            s, t = left.sets[p], other.sets[q]
-            if len(s) > len(t):
-                s, t = t, s
-            spot = np.minimum(np.searchsorted(t, s), len(t) - 1)
-            overlap = int((t[spot] == s).sum())
-            if den * overlap >= num * (len(s) + len(t) - overlap) and forest.join(p, base + q):
-                out.append((int(left.order[p]), base + int(other.order[q])))
+        if a["kids"] or b["kids"]:
+            todo += [(x, y) for x in a["kids"] or [a] for y in b["kids"] or [b] if right or x["begin"] <= y["begin"]][::-1]
+        else:
+            compare(slice(a["begin"], a["end"]), slice(b["begin"], b["end"]))
     return out
 
 
-def _verify(num: int, den: int) -> Callable:
-    """Rows sorted by (cluster, i, j): the links of each unit."""
+def _candidates(num: int, den: int) -> Callable:
+    """Links that signatures allow, in a unit of rows (f, n, c, marks) by side."""
+
+    def solve(sides: list[list[tuple]]) -> list[tuple[int, int]]:
+        if len(sides) == 1 and len(sides[0]) == 2:  # two leaves: the bound of their pair
+            (f, n, c, a), (g, m, d, b) = sides[0]
+            a, b = int.from_bytes(a, "little"), int.from_bytes(b, "little")
+            common = (a & b).bit_count() + min(c - a.bit_count(), d - b.bit_count())
+            return [(f, g)] if min(min(c, d, common) + min(n - c, m - d), n, m) >= least_overlap(n, m, num, den) else []
+        trees = [SignatureTree(np.array([r[1] for r in x]), np.array([r[2] for r in x]), np.frombuffer(b"".join(r[3] for r in x), U).reshape(len(x), -1)) for x in sides]
+        names = [r[0] for x in sides for r in x]
+        return [(names[p], names[q]) for p, q in tree_links(trees[0], trees[1] if len(trees) > 1 else None, num, den)]
 
-    def solve(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        sides: dict[int, dict[int, np.ndarray]] = {}
-        for side, rep, s in rows:
-            sides.setdefault(side, {})[rep] = s
-        widest = max(len(s) for x in sides.values() for s in x.values())
-        bits = min(1 << 16, max(512, 1 << (4 * widest - 1).bit_length()))
-        names = [list(x) for x in sides.values()]
-        trees = [SignatureTree(list(x.values()), bits) for x in sides.values()]
-        flat_names = [n for x in names for n in x]
-        for p, q in tree_links(trees[0], trees[1] if len(trees) > 1 else None, num, den):
-            yield flat_names[p], flat_names[q]
+    return _by_unit(solve, ["f", "n", "c", "marks"])
+
+
+def _verified(num: int, den: int) -> Callable:
+    """Exact links in a unit of rows (rep, shingles) by side."""
+
+    def solve(sides: list[list[tuple]]) -> list[tuple[int, int]]:
+        sets = [r[1].values.to_numpy().view(U) for x in sides for r in x]
+        names = [r[0] for x in sides for r in x]
+        bits = min(1 << 16, max(512, 1 << (4 * max(map(len, sets)) - 1).bit_length()))
+        marks = np.frombuffer(b"".join(_marks(s, 0, bits)[1] for s in sets), U).reshape(len(sets), -1)
+        sizes, cut = np.array(list(map(len, sets))), len(sides[0])
+        trees = [SignatureTree(sizes[x], sizes[x], marks[x]) for x in (slice(0, cut), slice(cut, None)) if len(sizes[x])]
+
+        def linked(p: int, q: int) -> bool:
+            s, t = sorted((sets[p], sets[q]), key=len)
+            overlap = int((t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s).sum())
+            return den * overlap >= num * (len(s) + len(t) - overlap)
+
+        return [(names[p], names[q]) for p, q in tree_links(trees[0], trees[1] if len(trees) > 1 else None, num, den, linked)]
+
+    return _by_unit(solve, ["rep", "shingles"])
+
+
+def _by_unit(solve: Callable, columns: list[str]) -> Callable:
+    """Rows sorted by (unit, i, j, side): what ``solve`` makes of each unit's rows by side."""
 
     def run(batches):
-        unit, rows = None, []
+        unit, sides = None, {}
         for b in batches:
-            lists, found = b["shingles"], []
-            values, at = lists.values.to_numpy().view(U), lists.offsets.to_numpy()
-            for k, (c, i, j, side, rep) in enumerate(zip(*(b[x].to_pylist() for x in ("cluster", "i", "j", "side", "rep")), strict=True)):
-                if (c, i, j) != unit:
-                    if len(rows) > 1:
-                        found += solve(rows)
-                    unit, rows = (c, i, j), []
-                rows.append((side, rep, values[at[k] : at[k + 1]].copy()))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["a", "b"])
-        if len(rows) > 1:
-            found = list(solve(rows))
+            found = []
+            heads = zip(*(b[x].to_pylist() for x in ("unit", "i", "j", "side")), strict=True)
+            data = zip(*(b[x] if x == "shingles" else b[x].to_pylist() for x in columns), strict=True)
+            for (u, i, j, side), row in zip(heads, data, strict=True):
+                if (u, i, j) != unit:
+                    if sum(map(len, sides.values())) > 1:
+                        found += solve(list(sides.values()))
+                    unit, sides = (u, i, j), {}
+                sides.setdefault(side, []).append(row)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["a", "b"])
+        if sum(map(len, sides.values())) > 1:
+            found = solve(list(sides.values()))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["a", "b"])
 
     return run
 
 
+def _units(rows: DataFrame, unit: str, name: str, block: int) -> DataFrame:
+    """rows dealt by unit; units of over ``block`` rows go to pairs of blocks, units of one row go away."""
+    sizes = rows.groupBy(unit).agg(F.count("*").alias("members")).where("members > 1")
+    key = F.col(unit).bitwiseXOR(F.lit(0x5DEECE66D)).alias("unit")  # keyed anew, so that AQE can split a large unit's join
+    rows = rows.withColumn("unit", key).join(sizes.select(key, "members"), "unit")
+    rows = rows.withColumn("blocks", F.ceil(F.col("members") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64(name), F.col("blocks")).cast("int"))
+    return (
+        rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other"), "side": F.when(F.col("own") <= F.col("other"), 0).otherwise(1)})
+        .drop("members", "blocks", "own", "other")
+    )
+
+
+def _dealt(units: DataFrame, parts: int) -> DataFrame:
+    return units.repartition(parts, "unit", "i", "j").sortWithinPartitions("unit", "i", "j", "side")
+
+
 def classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, block: int = 256) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs(doc_id, text).
 
@@ -305,8 +401,12 @@ def classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, block
     tables, parts = Tables(spark, "jaccard"), partitions(spark)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text"))
     named = docs.where("doc_id is not null")
-    keys = named.select("text").mapInArrow(_key_rows(size, num, den), "k long, f long")
-    hints = tables.put(keys.repartition(parts, "k").sortWithinPartitions("k").mapInArrow(_links, "a long, b long").distinct(), "hints")
+    keys = named.select("text").mapInArrow(_key_rows(size, num, den), "k long, salt int, f long")
+    shared = keys.repartition(parts, "k", "salt").sortWithinPartitions("k", "salt").mapInArrow(_shared_keys, "k long, f long").distinct()
+    shared = tables.put(shared, "shared")
+    signatures = named.select("text").mapInArrow(_signatures(size, num, den), "f long, band long, n long, c long, marks binary").distinct()
+    holders = _units(shared, "k", "f", 4 * block).withColumn("band", F.col("k").bitwiseAND(F.lit(63))).drop("k").join(signatures, ["f", "band"])
+    hints = _dealt(holders, parts).mapInArrow(_candidates(num, den), "a long, b long").distinct()
     clusters = tables.put(components(tables, hints), "clusters")
     bitmap = bitmap_of(clusters.select(F.col("node").alias("id")))
     kinds = "doc_id long, n long, f long, g long, shingles array<long>, candidate boolean"
@@ -314,19 +414,10 @@ def classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, block
     equal = profile.where("doc_id is not null and n > 0").groupBy("f", "g", "n").agg(F.min("doc_id").alias("rep"))
     equal = tables.put(equal, "equal")
     # the sets of one document of each class of equal sets, with its cluster
-    held = (
-        equal.join(clusters, equal.f == clusters.node).select("rep", F.col("f").alias("ef"), F.col("g").alias("eg"), F.col("component").alias("cluster"))
-    )
-    held = tables.put(held, "held")
-    sizes = held.groupBy("cluster").agg(F.count("*").alias("members")).where("members > 1")
-    held = held.join(sizes, "cluster")
-    sets = profile.where("candidate").select("doc_id", "f", "g", "shingles").join(held, (F.col("doc_id") == F.col("rep")) & (F.col("f") == F.col("ef")) & (F.col("g") == F.col("eg")))
-    sets = sets.withColumn("blocks", F.ceil(F.col("members") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    units = (
-        sets.select("cluster", "rep", "shingles", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "rep", "shingles")
-    )
-    links = units.repartition(parts, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "side", "rep").mapInArrow(_verify(num, den), "a long, b long")
+    held = equal.join(clusters, equal.f == clusters.node).select("rep", F.col("f").alias("ef"), F.col("g").alias("eg"), F.col("component").alias("cluster"))
+    units = _units(tables.put(held, "held"), "cluster", "rep", block).drop("cluster")
+    sets = profile.where("candidate").select("doc_id", "f", "g", "shingles").join(units, (F.col("doc_id") == F.col("rep")) & (F.col("f") == F.col("ef")) & (F.col("g") == F.col("eg")))
+    links = _dealt(sets.select("unit", "i", "j", "side", "rep", "shingles"), parts).mapInArrow(_verified(num, den), "a long, b long")
     found = tables.put(components(tables, tables.put(links, "links")), "components")
     # equal sets share a representative; then a row's document takes the component of its representative
     own = profile.where("doc_id is not null and n > 0").join(equal.select("f", "g", "n", "rep"), ["f", "g", "n"]).select("doc_id", "rep")
