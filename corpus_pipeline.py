@@ -1,12 +1,62 @@
-"""Corpus pipeline: the operators of tallyforge.llm, one stage after another."""
+"""Corpus pipeline: five operators of tallyforge.llm, one stage after another.
+
+Each stage takes (spark, docs, sf_dir) and returns what it keeps; all but the last return the columns of
+documents. run() writes each stage as Parquet in the shared folder and reads it again for the next.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallyforge.llm import bpe, jaccard, langid, lines, mixing
 from tallyforge.llm.common import Tables, read
+from tallyforge.llm.queries import domains, vocabulary
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; the others' lang is the predicted one."""
+    found = langid.predict(docs, langid.fit(docs), prefix="id_").where("not id_rejected")
+    return found.select(*(F.col("id_lang_pred").alias("lang") if c == "lang" else F.col(c) for c in docs.columns))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Copies of lines go; so does a document whose every line with a word was a copy."""
+    found = lines.dedup(docs, tau=2, near_chars=40).where("not emptied")
+    return found.select(*(F.length("text").cast(docs.schema["n_chars"].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class stays: the one with the smallest doc_id.
+
+    Five words a shingle and a Jaccard similarity of 0.8. A document without words is in no class.
+    """
+    tables = Tables(spark, "near_duplicates")
+    found = jaccard.classes(docs, size=5, num=80, den=100).where("doc_id is not null and component_id <> doc_id")
+    gone = tables.put(found.select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Toxic documents have no part in the mix; a document stays if its rate rounds to 1 or more."""
+    found = mixing.rates(docs, domains(read(spark, sf_dir, "labels")), absent=("toxic",), mark="mix_", keep_text=True)
+    return found.where("mix_rate >= 0.5").select(*docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Digests of the ids of each document's text, and of what they decode to."""
+    import public_tokenizers
+
+    return bpe.digests(docs, vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
 
-STAGES: list = []
+STAGES = [
+    ("language_id", language),
+    ("line_dedup", line_dedup),
+    ("jaccard_join", near_duplicates),
+    ("mixing", mixed),
+    ("byte_bpe", encoded),
+]
 
 #: SQL can't express the models' stages; tests hold the pipeline against a brute-force version.
 ORACLE_SQL = None

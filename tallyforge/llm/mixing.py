@@ -1,9 +1,10 @@
 """Mixing sources to target weights: soft domain membership, and document rates by projected gradient.
 
 A classifier fitted on a table of labelled documents gives each document a posterior over the domains of
-that table. It is a naive Bayes model over hashed words that a test finds to tell a domain apart, and
-over a few measures of form cut into bins; its scores are scaled on labelled rows that it did not see.
-The sample is bounded; posteriors are of all documents, from whole texts.
+that table. It is a multinomial logistic regression on the ``most`` hashed words that a test finds to tell
+the domains apart best, and on a few measures of form cut into bins; its scores are scaled on labelled
+rows that it did not see. The sample and the number of features are bounded, so the driver fits the
+weights; posteriors are of all documents, from whole texts.
 
 Rates r >= 0 minimise, over all documents i with t tokens (words) and posteriors p,
 
@@ -112,10 +113,26 @@ def posterior(model: DomainModel, score: np.ndarray) -> np.ndarray:
     return z / z.sum(axis=1, keepdims=True)
 
 
-def fit(docs: DataFrame, labelled: DataFrame, sample: int = 20_000, buckets: int = 1 << 17, strength: float = 30.0) -> DomainModel | None:
+def _regression(x: np.ndarray, y: np.ndarray, prior: np.ndarray, ridge: float, rounds: int = 200) -> np.ndarray:
+    """Weights of a multinomial logistic regression beside the prior, by accelerated gradient descent."""
+    w = np.zeros((x.shape[1], len(prior)))
+    if not x.size:
+        return w
+    v, hot = w, np.eye(len(prior))[y]
+    step = 1.0 / (0.5 * float(np.linalg.norm(x, 2) ** 2) + ridge) if min(x.shape) else 1.0
+    for k in range(rounds):
+        z = x @ v + prior
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        new = v - step * (x.T @ (p - hot) + ridge * v)
+        v, w = new + k / (k + 3) * (new - w), new
+    return w
+
+
+def fit(docs: DataFrame, labelled: DataFrame, sample: int = 40_000, buckets: int = 1 << 17, strength: float = 30.0, most: int = 512, ridge: float = 2.0) -> DomainModel | None:
     """The model of labelled(doc_id, domain), of about ``sample`` rows chosen by a hash of doc_id.
 
-    A feature counts if its G statistic is over ``strength`` (a chance of under 1e-6 in a pair of domains).
+    A feature counts if it is among the ``most`` of the greatest G statistic, and that is over ``strength``.
     """
     known = labelled.where("doc_id is not null and domain is not null").select(F.col("doc_id").alias("labelled_id"), F.col("domain").cast("string").alias("name")).distinct()
     total = known.count()
@@ -140,12 +157,31 @@ def fit(docs: DataFrame, labelled: DataFrame, sample: int = 20_000, buckets: int
     share = n.sum(axis=1, keepdims=True) / sizes.sum()
     with np.errstate(divide="ignore", invalid="ignore"):
         g = 2 * np.nansum(np.where(n > 0, n * np.log(n / (sizes * share)), 0) + np.where(sizes - n > 0, (sizes - n) * np.log((sizes - n) / (sizes * (1 - share))), 0), axis=1)
-    rate = (n + share) / (sizes + 1)
-    weights = np.where((g > strength)[:, None], np.log(np.maximum(rate, 1e-9)), 0)
-    weights[g > strength] -= weights[g > strength].mean(axis=1, keepdims=True)
-    model = DomainModel(names, np.log((sizes + 1) / (sizes + 1).sum()), weights.astype(np.float32), 1.0)
+    best = np.argsort(-g, kind="stable")[:most]
+    best = np.sort(best[g[best] > strength])
+    spot = np.full(len(g), -1)
+    spot[best] = np.arange(len(best))
+
+    def present(batches):
+        for b in batches:
+            buf, at = flat(b["text"])
+            domain = b["domain"].to_numpy(zero_copy_only=False).astype(np.int64)
+            for i, j, own, own_at in chunks(buf, at):
+                doc, feature, _ = features(own, own_at, buckets)
+                use = spot[feature] >= 0
+                order = np.argsort(doc[use], kind="stable")
+                lists = np.split(spot[feature[use]][order], np.cumsum(np.bincount(doc[use], minlength=j - i))[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(domain[i:j]), pa.array(lists, pa.list_(pa.int32()))], ["domain", "on"])
+
+    taught = counted.select("text", "domain").mapInArrow(present, "domain long, on array<int>").toArrow()
+    x = np.zeros((taught.num_rows, len(best)), np.float32)
+    on = taught["on"].combine_chunks()
+    x[np.repeat(np.arange(len(on)), on.value_lengths().to_numpy()), on.flatten().to_numpy()] = 1
+    prior, weights = np.log((sizes + 1) / (sizes + 1).sum()), np.zeros((len(g), len(names)), np.float32)
+    weights[best] = _regression(x, taught["domain"].to_numpy(), prior, ridge)
+    model = DomainModel(names, prior, weights, 1.0)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    grid = np.array([0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 1.0, 1.5])
+    grid = np.array([0.1, 0.2, 0.3, 0.5, 0.7, 1.0, 1.5])
 
     def losses(batches):
         sums = np.zeros(len(grid))
@@ -160,13 +196,14 @@ def fit(docs: DataFrame, labelled: DataFrame, sample: int = 20_000, buckets: int
         yield pa.RecordBatch.from_arrays([pa.array(range(len(grid)), pa.int64()), pa.array(sums)], ["k", "loss"])
 
     held = rows.where(F.col("roll") >= cut).select("text", "domain").mapInArrow(losses, "k long, loss double").groupBy("k").agg(F.sum("loss").alias("loss")).collect()
-    best = min(held, key=lambda r: (r["loss"], r["k"]))["k"] if held else 6
-    return DomainModel(model.domains, model.prior, model.weights, float(grid[best]))
+    scale = grid[min(held, key=lambda r: (r["loss"], r["k"]))["k"]] if held else 1.0
+    return DomainModel(model.domains, model.prior, model.weights, float(scale))
 
 
-def memberships(docs: DataFrame, model: DomainModel) -> DataFrame:
-    """docs' columns but text, with n_tokens (words) and posterior array<double> in the model's order."""
-    beside = [f for f in docs.schema.fields if f.name != "text"]
+def memberships(docs: DataFrame, model: DomainModel, mark: str = "", keep_text: bool = False) -> DataFrame:
+    """docs' columns (text only if kept), with n_tokens (words) and posterior array<double> in the model's order."""
+    beside = [f for f in docs.schema.fields if keep_text or f.name != "text"]
+    names = [mark + "n_tokens", mark + "posterior"]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -177,28 +214,33 @@ def memberships(docs: DataFrame, model: DomainModel) -> DataFrame:
                 p = posterior(shared.value, score)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, p.size + 1, p.shape[1]), pa.int32()), pa.array(p.ravel()))
                 rest = b.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([*(rest[f.name] for f in beside), pa.array(n.astype(np.int64)), lists], [*(f.name for f in beside), "n_tokens", "posterior"])
+                yield pa.RecordBatch.from_arrays([*(rest[f.name] for f in beside), pa.array(n.astype(np.int64)), lists], [*(f.name for f in beside), *names])
 
-    return docs.select(*(f.name for f in beside), "text").mapInArrow(run, T.StructType([*beside, T.StructField("n_tokens", T.LongType()), T.StructField("posterior", T.ArrayType(T.DoubleType()))]))
+    kinds = T.StructType([*beside, T.StructField(names[0], T.LongType()), T.StructField(names[1], T.ArrayType(T.DoubleType()))])
+    return docs.mapInArrow(run, kinds)
 
 
-def _rate(p: np.ndarray, history: np.ndarray, step: float) -> np.ndarray:
-    """Rates of documents with posteriors p after a projected gradient step for each row of residuals.
+def _rate(p: np.ndarray, history: np.ndarray, pull: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rates of documents with posteriors p after an accelerated projected gradient step for each row of
+    residuals, and the points where the next residuals are to be taken.
 
     The gradient by r_i has the factor t_i / T in both parts; the steps are taken in that metric.
     """
-    r = np.ones(len(p))
+    bend = 1.0 + pull  # of the objective at most; at least it is 1
+    speed = (np.sqrt(bend) - 1) / (np.sqrt(bend) + 1)
+    r = ahead = np.ones(len(p))
     for residual in history:
-        r = np.maximum(0, r - step * (p @ residual + (r - 1)))
-    return r
+        new = np.maximum(0, ahead - (p @ residual + (ahead - 1)) / bend)
+        r, ahead = new, new + speed * (new - r)
+    return r, ahead
 
 
-def fit_rates(members: DataFrame, targets: np.ndarray, pull: float = 50.0, rounds: int = 40, tolerance: float = 1e-5) -> tuple[np.ndarray, float]:
-    """Residuals of all rounds, and the step; _rate() makes a document's rate of them.
+def fit_rates(members: DataFrame, targets: np.ndarray, pull: float = 200.0, rounds: int = 60, tolerance: float = 1e-5) -> np.ndarray:
+    """Residuals of all rounds; _rate() makes a document's rate of them.
 
     The weight of the targets is ``pull``. A round is one pass over members; its K + 1 sums reach the driver.
     """
-    step, history = 1.0 / (1.0 + pull), np.zeros((0, len(targets)))
+    history = np.zeros((0, len(targets)))
     for _ in range(rounds):
 
         def totals(batches, history=history):
@@ -207,7 +249,7 @@ def fit_rates(members: DataFrame, targets: np.ndarray, pull: float = 50.0, round
                 lists = b["posterior"]
                 p = lists.flatten().to_numpy().reshape(len(lists), -1)
                 t = b["n_tokens"].to_numpy()
-                sums[:-1] += (_rate(p, history, step) * t) @ p
+                sums[:-1] += (_rate(p, history, pull)[1] * t) @ p
                 sums[-1] += t.sum()
             yield pa.RecordBatch.from_arrays([pa.array(range(len(sums)), pa.int64()), pa.array(sums)], ["k", "v"])
 
@@ -221,36 +263,38 @@ def fit_rates(members: DataFrame, targets: np.ndarray, pull: float = 50.0, round
         if len(history) and np.abs(residual - history[-1]).max() < tolerance * pull:
             break
         history = np.vstack([history, residual])
-    return history, step
+    return history
 
 
-def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, absent: tuple[str, ...] = (), **settings) -> DataFrame:
-    """docs' columns but text, with n_tokens, posterior, domain (the likeliest) and rate >= 0.
+def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, absent: tuple[str, ...] = (), pull: float = 200.0, mark: str = "", keep_text: bool = False, **settings) -> DataFrame:
+    """docs' columns, with n_tokens, posterior, domain (the likeliest) and rate >= 0; names take ``mark``.
 
     ``targets`` are domains' token totals as shares of the corpus'. Without them each domain keeps its
-    expected share, but for those in ``absent``, whose target is 0.
+    expected share, but for those in ``absent``, whose target is 0. With keep_text the rows have their
+    text, and are scored a second time rather than joined to what was stored of them.
     """
-    spark = docs.sparkSession
-    added = ("n_tokens", "posterior", "domain", "rate")
+    added = [mark + x for x in ("n_tokens", "posterior", "domain", "rate")]
     if clash := {c.lower() for c in docs.columns} & set(added):
-        raise ValueError(f"docs has columns {sorted(clash)} already")
+        raise ValueError(f"docs has columns {sorted(clash)} already: give another mark")
     model = fit(docs, labelled, **settings)
     if model is None:
         model = DomainModel(("all",), np.zeros(1), np.zeros(((1 << 4) + 4 * _FORMS, 1), np.float32), 1.0)
         targets, absent = None, ()
-    members = Tables(spark, "mixing").put(memberships(docs, model), "members")
+    members = Tables(docs.sparkSession, "mixing").put(memberships(docs.select("text") if keep_text else docs, model, mark), "members")
+    stored = members.select(F.col(added[0]).alias("n_tokens"), F.col(added[1]).alias("posterior"))
     if targets is None:
-        held = members.select(F.posexplode("posterior").alias("k", "p"), "n_tokens").groupBy("k").agg((F.sum(F.col("p") * F.col("n_tokens")) / F.greatest(F.sum("n_tokens"), F.lit(1))).alias("share")).collect()
+        held = stored.select(F.posexplode("posterior").alias("k", "p"), "n_tokens").groupBy("k").agg((F.sum(F.col("p") * F.col("n_tokens")) / F.greatest(F.sum("n_tokens"), F.lit(1))).alias("share")).collect()
         own = {model.domains[r["k"]]: r["share"] for r in held}
         targets = {d: 0.0 if d in absent else s for d, s in own.items()}
     goal = np.array([targets.get(d, 0.0) for d in model.domains])
-    history, step = fit_rates(members, goal)
+    history = fit_rates(stored, goal, pull)
     names = np.array(model.domains, object)
 
     def run(batches):
         for b in batches:
-            lists = b["posterior"]
+            lists = b[added[1]]
             p = lists.flatten().to_numpy().reshape(len(lists), -1)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names[p.argmax(axis=1)], pa.string()), pa.array(_rate(p, history, step))], [*b.schema.names, "domain", "rate"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names[p.argmax(axis=1)], pa.string()), pa.array(_rate(p, history, pull)[0])], [*b.schema.names, *added[2:]])
 
-    return members.mapInArrow(run, T.StructType([*members.schema.fields, T.StructField("domain", T.StringType()), T.StructField("rate", T.DoubleType())]))
+    rows = memberships(docs, model, mark, keep_text=True) if keep_text else members
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(added[2], T.StringType()), T.StructField(added[3], T.DoubleType())]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, jaccard, langid, quality, token_counts, token_ids
+from . import bpe, fingerprint, jaccard, langid, lines, mixing, pii, quality, token_counts, token_ids
 from .common import Tables, read
 
 
@@ -24,6 +24,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"), tau=2, near_chars=40)
+    return kept.select("doc_id", "n_lines", "n_exact", "n_near", "emptied", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(read(spark, sf_dir, "documents").select("doc_id", "text"), size=4, num=85, den=100)
 
@@ -34,6 +39,21 @@ def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.read_back(tables.put(written, "manifest"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+
+    def joined(spans: str):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    counts = [F.aggregate("base", F.lit(0).cast("long"), _adder(kind)).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+def _adder(kind: str):
+    return lambda n, x: n + F.when(x["kind"] == kind, 1).otherwise(0)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -55,6 +75,16 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), public_tokenizers.PATTERN, limit=1024)
 
 
+def domains(labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of labels: toxic, else poor or good by quality."""
+    return labels.select("doc_id", F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "poor").when(F.col("quality") == 1, "good").alias("domain"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels")
+    return mixing.rates(docs, domains(labels), targets={"good": 0.8, "poor": 0.1, "toxic": 0.0})
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
