@@ -244,7 +244,7 @@ def reject(model: LanguageModel, entropy: np.ndarray, best: np.ndarray, chars: n
     return (chars == 0) | (excess > model.limit[best])
 
 
-def fit(docs: DataFrame, per_language: int = 2000, calibrate: int = 1000, order: int = 5, alpha: float = 0.001, slack: float = 1.5) -> LanguageModel | None:
+def fit(docs: DataFrame, per_language: int = 2000, calibrate: int = 1000, order: int = 5, alpha: float = 0.002, slack: float = 1.5) -> LanguageModel | None:
     """Models of all non-null ``lang`` values of the rows of is_training().
 
     The sample is bounded: about ``per_language`` whole documents of each language, chosen by a hash of
@@ -274,14 +274,15 @@ def fit(docs: DataFrame, per_language: int = 2000, calibrate: int = 1000, order:
             yield pa.RecordBatch.from_arrays([b["lang"], pa.array(own, pa.float64()), pa.array(found[:, -1])], ["lang", "entropy", "chars"])
 
     held = sample.where(F.col("at") >= part).select("lang", "text").mapInArrow(measure, "lang string, entropy double, chars double").where("chars > 0 and not isnan(entropy)").toPandas()
-    expect, limit = np.zeros(len(model.langs)), np.full(len(model.langs), np.inf)
+    expect = np.array([held.entropy[held.lang == x].median() for x in model.langs])
+    expect = np.where(np.isnan(expect), np.nanmedian(held.entropy) if len(held) else 0.0, expect)
+    excess = (held.entropy.to_numpy() - expect[held.lang.map({x: i for i, x in enumerate(model.langs)}).to_numpy(int)]) * np.sqrt(np.minimum(held.chars, _SURE))
+    limit = np.full(len(model.langs), np.inf)
     for i, x in enumerate(model.langs):
-        own = held[held.lang == x]
-        if len(own):
-            expect[i] = own.entropy.median()
-            excess = np.sort((own.entropy - expect[i]) * np.sqrt(np.minimum(own.chars, _SURE)))
-            rank = min(len(own), math.ceil((len(own) + 1) * (1 - alpha)))
-            limit[i] = slack * max(excess[rank - 1], 1.0) + 2.0
+        own = np.sort(excess[(held.lang == x).to_numpy()])
+        rank = math.ceil((len(own) + 1) * (1 - alpha))
+        if len(excess):  # too few texts of a language for its own quantile: the largest excess of any
+            limit[i] = slack * max(own[rank - 1] if 0 < rank <= len(own) else excess.max(), 1.0) + 2.0
     return LanguageModel(**{**model.__dict__, "expect": expect, "limit": limit})
 
 
