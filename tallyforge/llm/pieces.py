@@ -8,15 +8,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
+import regex
 
 _SPLIT = re.compile(r"(?<!\s) | (?!\s)")
 _ODD_SPACE = re.compile(r"[^\S \n]")
-#: Pieces and characters of pieces that a worker remembers.
-MEMO_PIECES, MEMO_CHARS = 300_000, 6_000_000
-
-
 def pieces(text: str) -> list[str]:
     """Pieces of a text: the first as it is, every other one without the space before it."""
     if "   " in text or ("\n " in text and " \n" in text) or _ODD_SPACE.search(text):
@@ -33,11 +31,14 @@ def gather(flat: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarr
     return flat[np.repeat(at[rows] - (np.cumsum(size) - size), size) + np.arange(total)], size
 
 
-class PieceMemo:
-    """Ragged integer values of pieces, from ``solve``: list of pieces with their spaces -> (flat, sizes)."""
+class Memo:
+    """Ragged integer values of strings, from ``solve``: list of distinct strings -> (flat, sizes).
+
+    It forgets all when it holds over ``most`` strings or ``chars`` characters of them.
+    """
 
-    def __init__(self, solve: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
-        self.solve = solve
+    def __init__(self, solve: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 500_000, chars: int = 10_000_000):
+        self.solve, self.most, self.most_chars = solve, most, chars
         self._clear()
 
     def _clear(self) -> None:
@@ -46,8 +47,7 @@ class PieceMemo:
         self.flat, self.at, self.used, self.n = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64), 0, 0
 
     def _add(self, keys: list[str]) -> None:
-        # a first piece is kept under its text with a NUL and a space before it, which no other piece can have
-        flat, size = self.solve([k[2:] if k.startswith("\0 ") else " " + k for k in keys])
+        flat, size = self.solve(keys)
         while self.used + len(flat) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while self.n + len(keys) + 1 > len(self.at):
@@ -60,12 +60,22 @@ class PieceMemo:
 
     def rows(self, keys: list[str]) -> np.ndarray:
         """Positions of the keys' values in flat and at, until the next call."""
-        if len(self.place) > MEMO_PIECES or self.chars > MEMO_CHARS:
+        if len(self.place) > self.most or self.chars > self.most_chars:
             self._clear()
-        place = self.place
-        if new := list({k for k in keys if k not in place}):
-            self._add(new)
-        return np.fromiter(map(place.__getitem__, keys), np.int64, len(keys))
+        rows = np.fromiter(map(self.place.get, keys, repeat(-1)), np.int64, len(keys))
+        if len(miss := np.flatnonzero(rows < 0)):
+            new = [keys[i] for i in miss.tolist()]
+            self._add(list(dict.fromkeys(new)))
+            rows[miss] = np.fromiter(map(self.place.__getitem__, new), np.int64, len(new))
+        return rows
+
+
+class PieceMemo(Memo):
+    """Values of pieces; ``solve`` gets them with their spaces."""
+
+    def __init__(self, solve: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], **limits):
+        # a first piece is kept under its text with a NUL and a space before it, which no other piece can have
+        super().__init__(lambda keys: solve([k[2:] if k.startswith("\0 ") else " " + k for k in keys]), **limits)
 
     def texts(self, texts: list[str | None], limit: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """Runs i..j of texts of about ``limit`` characters: rows of all their pieces, pieces of each text."""
@@ -92,3 +102,21 @@ class PieceMemo:
             ends = np.concatenate([[0], np.cumsum(size)])
             edge = np.concatenate([[0], np.cumsum(counts)])
             yield i, j, flat, np.diff(ends[edge])
+
+
+class WordMemo(Memo):
+    """Values of the words of a pattern; values() makes those of pieces from them."""
+
+    def __init__(self, solve: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], pattern: str, most: int = 1_000_000, chars: int = 20_000_000):
+        super().__init__(solve, most, chars)
+        self.words_of = regex.compile(pattern).findall
+
+    def values(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        words, counts = [], np.zeros(len(pieces), np.int64)
+        for i, p in enumerate(pieces):
+            own = self.words_of(p)
+            words += own
+            counts[i] = len(own)
+        rows = self.rows(words)
+        flat, size = gather(self.flat, self.at, rows)
+        return flat, np.diff(np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)])])

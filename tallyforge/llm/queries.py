@@ -34,8 +34,10 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
     tables = Tables(spark, "token_ids")
-    written = token_ids.write(read(spark, sf_dir, "documents"), f"{tables.root}/files", vocabulary("byte_bpe_50k.json"), end_id=2)
+    written = token_ids.write(read(spark, sf_dir, "documents"), f"{tables.root}/files", vocabulary("byte_bpe_50k.json"), public_tokenizers.PATTERN, end_id=2)
     return token_ids.read_back(tables.put(written, "manifest"))
 
 

@@ -17,6 +17,7 @@ import os
 import struct
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import partitions
-from .pieces import PieceMemo
+from .pieces import PieceMemo, WordMemo
 
 _MAGIC, _SAMPLE = b"TFEF0001", 256
 _HEAD = struct.Struct("<8sqqqqqqq")
@@ -156,23 +157,35 @@ class Reader:
 
 
 @lru_cache(maxsize=2)
-def _library(path: str) -> tuple[PieceMemo, int]:
-    """The tokenizers library behind a memory of pieces, and the bytes that an id takes."""
+def _library(path: str, pattern: str) -> tuple[PieceMemo, int]:
+    """The tokenizers library behind memories of pieces and words, and the bytes that an id takes.
+
+    ``pattern`` is the file's own byte-level split; a piece with the string of an added token goes to the
+    library as it is.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(path)
     own.no_truncation()
     own.no_padding()
+    added = [t.content for t in own.get_added_tokens_decoder().values()]
+
+    def library(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in own.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(ids), np.int32), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    words = WordMemo(library, pattern)
 
     def solve(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in own.encode_batch_fast(pieces, add_special_tokens=False)]
-        return np.array([x for e in ids for x in e], np.int32), np.array(list(map(len, ids)), np.int64)
+        if any(a in p for a in added for p in pieces):
+            return library(pieces)
+        return words.values(pieces)
 
     return PieceMemo(solve), 2 if own.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
 
 
-def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFrame:
+def write(docs: DataFrame, folder: str, tokenizer: str, pattern: str, end_id: int) -> DataFrame:
     """Writes docs(doc_id, text) as token files of ``folder``, a URI that all executors reach.
 
     Returns one row for each file: (part, file, documents, ids), in doc_id order of their contents.
@@ -181,7 +194,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFram
     files.create_dir(path, recursive=True)
 
     def run(batches):
-        memo, width = _library(tokenizer)
+        memo, width = _library(tokenizer, pattern)
         files, path = fs.FileSystem.from_uri(folder)
         part = TaskContext.get().partitionId()
         out = Writer(files, f"{path}/ids-{part:06d}.bin", max(width, 2 if end_id < 1 << 16 else 4))
