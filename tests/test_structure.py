@@ -1,0 +1,117 @@
+"""Window forms of the structure operators against sequential ones on random bars."""
+
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tallyforge.config import PivotConfig
+from tallyforge.functions import indicators
+from tallyforge.operators import kalman, structure
+
+
+def random_bars(seed, n, series="A"):
+    rng, price, out = random.Random(seed), 20.0, []
+    for i in range(n):
+        o = price
+        price = max(5.0, price + rng.randint(-6, 6) / 2)
+        hi, lo = max(o, price) + rng.randint(0, 3) / 2, min(o, price) - rng.randint(0, 3) / 2
+        out.append((series, i, o, hi, lo, price, rng.randint(0, 50)))
+    return out
+
+
+def frame(spark, rows):
+    df = spark.createDataFrame(rows, "symbol string, i int, open double, high double, low double, close double, volume long")
+    return df.withColumn("ts", F.timestamp_seconds(F.col("i") * 3600 + 1_700_000_000).cast("timestamp_ntz")).repartition(3)
+
+
+def sequential(rows, left, right, strict):
+    highs, lows, found = [r[3] for r in rows], [r[4] for r in rows], []
+    for i in range(left, len(rows) - right):
+        lh, rh, ll, rl = highs[i - left : i], highs[i + 1 : i + 1 + right], lows[i - left : i], lows[i + 1 : i + 1 + right]
+        if highs[i] > max(lh) and (highs[i] > max(rh) if strict else highs[i] >= max(rh)):
+            found.append([i, "high", highs[i]])
+        elif lows[i] < min(ll) and (lows[i] < min(rl) if strict else lows[i] <= min(rl)):
+            found.append([i, "low", lows[i]])
+    kept = []
+    for p in found:
+        if kept and kept[-1][1] == p[1]:
+            if (p[2] > kept[-1][2]) if p[1] == "high" else (p[2] < kept[-1][2]):
+                kept[-1] = p
+        else:
+            kept.append(p)
+    state, support, resistance, states, events = 0, None, None, [], []
+    for i, r in enumerate(rows):
+        for k, kind, price in kept:
+            if k + right == i:
+                support, resistance = (support, price) if kind == "high" else (price, resistance)
+        was = state
+        if resistance is not None and r[5] > resistance and state != 1:
+            state = 1
+        elif support is not None and r[5] < support and state != -1:
+            state = -1
+        if state != was:
+            events.append((i, state, resistance if state == 1 else support))
+        states.append((i, support, resistance, state))
+    return found, kept, states, events
+
+
+def test_pivots_to_trend(spark):
+    rows = [r for k in range(6) for r in random_bars(k, 160, f"S{k}")]
+    df = frame(spark, rows)
+    for config in (PivotConfig(5, 5, True), PivotConfig(3, 2, False)):
+        pivoted = structure.pivots(df, config)
+        kept = structure.zigzag(pivoted)
+        trended = structure.trend(structure.levels(structure.structure_labels(kept, config), config)).collect()
+        raw = pivoted.where("pivot_kind is not null").collect()
+        for k in range(6):
+            own = sorted((r for r in trended if r["symbol"] == f"S{k}"), key=lambda r: r["i"])
+            found, chosen, states, events = sequential([r for r in rows if r[0] == f"S{k}"], config.left, config.right, config.strict_right)
+            assert sorted([r["i"], r["pivot_kind"], r["pivot_price"]] for r in raw if r["symbol"] == f"S{k}") == found
+            assert [[r["i"], r["pivot_kind"], r["pivot_price"]] for r in own if r["pivot_kind"]] == chosen
+            assert [(r["i"], r["support"], r["resistance"], r["trend"]) for r in own] == states
+            assert [(r["i"], r["event"], r["event_level"]) for r in own if r["event"] is not None] == events
+
+
+def test_one_flag_a_row(spark):
+    flagged = structure.swing_flags(structure.zigzag(structure.pivots(frame(spark, random_bars(3, 300)))))
+    total = F.col("Higher_Low") + F.col("Higher_High") + F.col("Lower_Low") + F.col("Lower_High")
+    assert flagged.select(F.max(total), F.sum(total)).first()[0] == 1
+
+
+def test_recursions_in_pieces(spark):
+    rows = random_bars(5, 200)
+    df = frame(spark, rows)
+    got = {r["i"]: r["e"] for r in indicators.ema(df, "close", "e", 50).collect()}
+    state = None
+    for r in rows:
+        state = r[5] if state is None else state + 2 / 51 * (r[5] - state)
+        assert abs(got[r[1]] - state) < 1e-9
+
+
+def test_filter(spark):
+    rows = random_bars(1, 120, "A") + random_bars(2, 80, "B")
+    got = kalman.imm_kalman(frame(spark, rows)).collect()
+    assert len(got) == 200
+    for r in got:
+        assert abs(r["mu_mv"] + r["mu_ma"] - 1) < 1e-9 and 0 <= r["fingerprint_6bit"] <= 63 and 0 < r["observation_trust"] <= 1
+    for symbol in "AB":
+        tracker, own = kalman.Tracker(), sorted((r for r in got if r["symbol"] == symbol), key=lambda r: r["i"])
+        for r in own:
+            want = tracker.step(r["open"], r["high"], r["low"], r["close"], r["volume"])
+            assert np.allclose([r[c] for c in kalman.COLUMNS], want)
+        assert np.allclose(tracker.p, tracker.p.transpose(0, 2, 1)) and (np.linalg.eigvalsh(tracker.p[0]) > -1e-6).all()
+
+
+def test_stream_makes_the_same_bars(spark, sf, tmp_path):
+    from tallyforge.operators.bars import rollup
+    from tallyforge.sources.fixtures import ticks
+    from tallyforge.streaming.rollup import stream_rollup
+
+    source = str(tmp_path / "ticks")
+    ticks(spark, sf).repartition(1).write.parquet(source)
+    stream = spark.readStream.schema(ticks(spark, sf).schema).parquet(source)
+    query = stream_rollup(stream, "1 hour").writeStream.format("memory").queryName("hours").outputMode("complete").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    want = rollup(ticks(spark, sf), "1 hour").select("symbol", "ts", "open", "high", "low", "close", "volume")
+    assert spark.table("hours").exceptAll(want).isEmpty() and want.exceptAll(spark.table("hours")).isEmpty()
