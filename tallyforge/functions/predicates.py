@@ -86,7 +86,8 @@ def price_reason() -> Column:
 
 
 def envelope_ok(o: Column, h: Column, l: Column, c: Column) -> Column:  # noqa: E741
-    return F.coalesce((l <= F.least(o, c)) & (F.greatest(o, c) <= h), F.lit(False))
+    known = o.isNotNull() & c.isNotNull()  # least and greatest pass over nulls
+    return F.coalesce(known & (l <= F.least(o, c)) & (F.greatest(o, c) <= h), F.lit(False))
 
 
 def envelope_reason() -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -30,8 +32,8 @@ def valid_bars(df: DataFrame) -> DataFrame:
     """Rows whose prices are numbers in a sound envelope, with double prices; the others are passed over."""
     prices = {c: F.col(c).cast("string").try_cast("double") for c in _BAR[:4]}
     sound = (F.col("low") <= F.least("open", "close")) & (F.greatest("open", "close") <= F.col("high"))
-    finite = ~(F.isnan("open") | F.isnan("high") | F.isnan("low") | F.isnan("close"))
-    return df.withColumns(prices).where(F.coalesce(sound & finite, F.lit(False)))
+    finite = [F.col(c).isNotNull() & ~F.isnan(c) for c in _BAR[:4]]  # least and greatest pass over nulls
+    return df.withColumns(prices).where(F.coalesce(sound & reduce(lambda a, b: a & b, finite), F.lit(False)))
 
 
 def dedup_last(df: DataFrame, group: tuple[str, ...] = ("symbol",), ts: str = "ts", order: str = "src_row") -> DataFrame:
