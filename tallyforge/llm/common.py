@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +34,34 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows of texts that a Python worker receives at once; Spark's usual 10,000 can be hundreds of MB.
+BATCH_ROWS = 2000
+
+
+def lean(run: Callable) -> Callable:
+    """A batch function over texts that is careful with memory.
+
+    The session's Arrow batches are made small enough for texts, and a worker gives memory back when its
+    task ends, as the process lives on.
+    """
+    spark = SparkSession.getActiveSession()
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark is not None and not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):
+                pass  # not the GNU C library
+
+    return wrapped
+
+
 class Tables:
     """Intermediate tables in the shared folder; they cut lineage and outlive a lost executor."""
 

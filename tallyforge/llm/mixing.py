@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Tables
+from .common import Tables, lean
 from .text import U, chunks, flat, lower_ascii, prefix_hash, span_hash, words
 
 _FORMS = 8  # bins of each measure of form
@@ -115,17 +115,17 @@ def posterior(model: DomainModel, score: np.ndarray) -> np.ndarray:
 
 def _regression(x: np.ndarray, y: np.ndarray, prior: np.ndarray, ridge: float, rounds: int = 200) -> np.ndarray:
     """Weights of a multinomial logistic regression beside the prior, by accelerated gradient descent."""
-    w = np.zeros((x.shape[1], len(prior)))
+    w = np.zeros((x.shape[1], len(prior)), np.float32)
     if not x.size:
         return w
-    v, hot = w, np.eye(len(prior))[y]
-    step = 1.0 / (0.5 * float(np.linalg.norm(x, 2) ** 2) + ridge) if min(x.shape) else 1.0
+    v, hot, prior = w, np.eye(len(prior), dtype=np.float32)[y], prior.astype(np.float32)
+    step = np.float32(1.0 / (0.5 * float(np.linalg.eigvalsh((x.T @ x).astype(np.float64))[-1]) + ridge))
     for k in range(rounds):
         z = x @ v + prior
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
-        new = v - step * (x.T @ (p - hot) + ridge * v)
-        v, w = new + k / (k + 3) * (new - w), new
+        new = v - step * (x.T @ (p - hot) + np.float32(ridge) * v)
+        v, w = new + np.float32(k / (k + 3)) * (new - w), new
     return w
 
 
@@ -217,7 +217,7 @@ def memberships(docs: DataFrame, model: DomainModel, mark: str = "", keep_text:
                 yield pa.RecordBatch.from_arrays([*(rest[f.name] for f in beside), pa.array(n.astype(np.int64)), lists], [*(f.name for f in beside), *names])
 
     kinds = T.StructType([*beside, T.StructField(names[0], T.LongType()), T.StructField(names[1], T.ArrayType(T.DoubleType()))])
-    return docs.mapInArrow(run, kinds)
+    return docs.mapInArrow(lean(run), kinds)
 
 
 def _rate(p: np.ndarray, history: np.ndarray, pull: float) -> tuple[np.ndarray, np.ndarray]:
@@ -235,7 +235,7 @@ def _rate(p: np.ndarray, history: np.ndarray, pull: float) -> tuple[np.ndarray,
     return r, ahead
 
 
-def fit_rates(members: DataFrame, targets: np.ndarray, pull: float = 200.0, rounds: int = 60, tolerance: float = 1e-5) -> np.ndarray:
+def fit_rates(members: DataFrame, targets: np.ndarray, pull: float = 50.0, rounds: int = 60, tolerance: float = 1e-5) -> np.ndarray:
     """Residuals of all rounds; _rate() makes a document's rate of them.
 
     The weight of the targets is ``pull``. A round is one pass over members; its K + 1 sums reach the driver.
@@ -266,7 +266,7 @@ def fit_rates(members: DataFrame, targets: np.ndarray, pull: float = 200.0, roun
     return history
 
 
-def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, absent: tuple[str, ...] = (), pull: float = 200.0, mark: str = "", keep_text: bool = False, **settings) -> DataFrame:
+def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, absent: tuple[str, ...] = (), pull: float = 50.0, mark: str = "", keep_text: bool = False, **settings) -> DataFrame:
     """docs' columns, with n_tokens, posterior, domain (the likeliest) and rate >= 0; names take ``mark``.
 
     ``targets`` are domains' token totals as shares of the corpus'. Without them each domain keeps its
