@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Tables, bitmap_of, in_bitmap, partitions
+from .common import Tables, bitmap_of, in_bitmap, lean, partitions
 from .jaccard import _by_unit, _dealt, _units
 from .text import U, chunks, flat, mix, powers
 
@@ -57,14 +57,20 @@ class Lines:
         plain = np.concatenate([[0], np.cumsum(~((self.codes <= 32) & _SPACE[np.minimum(self.codes, 32)]))])
         self.worded = plain[self.end] > plain[self.start]
         self.size = self.end - self.start
-        up, self.down = powers(len(self.codes) + 1)
-        self.sums = [np.zeros(len(self.codes) + 1, U) for _ in range(2)]
-        wide = self.codes.astype(U)
-        for out, value in zip(self.sums, (wide + U(1), mix(wide + U(77))), strict=True):
-            np.cumsum(value * up[: len(wide)], out=out[1:])
+        self.up, self.down = powers(len(self.codes) + 1)
+        self.sums: dict[int, np.ndarray] = {}
 
     def hash(self, start: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
-        return mix((self.sums[which][end] - self.sums[which][start]) * self.down[start] + (end - start).astype(U))
+        """One of two independent hashes of the content from start to end."""
+        if which not in self.sums:
+            value = self.codes.astype(U) + U(1)
+            if which:
+                value = (value ^ (value >> U(7))) * U(0xD6E8FEB86659FD93) ^ U(0x2545F491)
+            value *= self.up[: len(value)]
+            self.sums[which] = np.zeros(len(value) + 1, U)
+            np.cumsum(value, out=self.sums[which][1:])
+        sums = self.sums[which]
+        return mix((sums[end] - sums[start]) * self.down[start] + (end - start).astype(U))
 
     def ids(self, use: np.ndarray) -> np.ndarray:
         """Of each line: character counts modulo 8 of the classes, 27 bits of its hash, a zero bit."""
@@ -73,7 +79,12 @@ class Lines:
         take = np.repeat(self.start[use] - (np.cumsum(size) - size), size) + np.arange(size.sum())
         count = np.bincount(row + self.codes[take] % _CLASSES, minlength=len(use) * _CLASSES).reshape(-1, _CLASSES).astype(U) & U(7)
         sketch = (count << (U(3) * np.arange(_CLASSES, dtype=U))).sum(axis=1, dtype=U)
-        return sketch << U(28) | (self.hash(self.start[use], self.end[use]) >> U(37)) << U(1)
+        return sketch << U(28) | short_hash(self.hash(self.start[use], self.end[use])) << U(1)
+
+
+def short_hash(h: np.ndarray) -> np.ndarray:
+    """The bits of a line's hash that are part of its id."""
+    return h >> U(37)
 
 
 def segments(length: np.ndarray, tau: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -122,25 +133,27 @@ def segment_keys(lines: Lines, use: np.ndarray, tau: int) -> tuple[np.ndarray, n
 def _key_rows(tau: int, near_chars: int) -> Callable:
     def run(batches):
         for b in batches:
-            keys, ids = [np.zeros(0, U)], [np.zeros(0, U)]
+            keys, ids, seen = [np.zeros(0, U)], [np.zeros(0, U)], np.zeros(0, U)
             buf, at = flat(b["text"])
             for _, _, own, own_at in chunks(buf, at):
                 lines = Lines(own, own_at)
                 use = np.flatnonzero(lines.worded & (lines.size >= max(near_chars, tau + 1)))
-                _, first = np.unique(lines.hash(lines.start[use], lines.end[use]), return_index=True)
+                h, first = np.unique(lines.hash(lines.start[use], lines.end[use]), return_index=True)
+                if len(seen):
+                    first = first[seen[np.minimum(np.searchsorted(seen, h), len(seen) - 1)] != h]
+                seen = np.union1d(seen, h)
                 k, f = segment_keys(lines, use[first], tau)
                 keys.append(k)
                 ids.append(f)
             k, f = np.concatenate(keys), np.concatenate(ids)
-            order = np.lexsort((f, f & U(1), k))  # index rows first, so that a key's unsalted rows have one
+            probe = (f & U(1)).astype(bool)
+            k, f = (np.concatenate([x[~probe], x[probe]]) for x in (k, f))  # index rows first, so that a key's unsalted rows have one
+            order = np.argsort(k, kind="stable")
             k, f = k[order], f[order]
-            new = np.ones(len(k), bool)
-            new[1:] = (k[1:] != k[:-1]) | (f[1:] != f[:-1])
-            k, f = k[new], f[new]
             first = np.ones(len(k), bool)
             first[1:] = k[1:] != k[:-1]
             rank = np.arange(len(k)) - np.flatnonzero(first)[np.cumsum(first) - 1]
-            salt = np.where(rank < 2, 0, 1 + (mix(f) & U(_SALTS - 1)).astype(np.int64)).astype(np.int32)
+            salt = np.where(rank < 2, 0, 1 + (f >> U(1) & U(_SALTS - 1)).astype(np.int64)).astype(np.int32)
             for i in range(0, len(k), 1 << 17):
                 own = slice(i, i + (1 << 17))
                 yield pa.RecordBatch.from_arrays([pa.array(k[own].view(np.int64)), pa.array(salt[own]), pa.array(f[own].view(np.int64))], ["k", "salt", "f"])
@@ -268,8 +281,11 @@ def _verified(tau: int) -> Callable:
     return run
 
 
-def _places(bitmap: np.ndarray | None, near_chars: int) -> Callable:
-    """Rows (h1, h2, doc_id, row, line) of all worded lines, or with id and text those of the bitmap's lines."""
+_PLACES = "h1 long, h2 long, doc_id long, row long, line int, id long, text string"
+
+
+def _places(bitmap: np.ndarray, near_chars: int) -> Callable:
+    """Rows _PLACES of all worded lines; those that the bitmap holds by short_hash() have id and text."""
 
     def run(batches):
         for b in batches:
@@ -278,30 +294,33 @@ def _places(bitmap: np.ndarray | None, near_chars: int) -> Callable:
             for i, _, own, own_at in chunks(buf, at):
                 lines = Lines(own, own_at)
                 use = np.flatnonzero(lines.worded)
-                if bitmap is not None:
-                    use = use[lines.size[use] >= near_chars]
-                    ids = lines.ids(use).view(np.int64)
-                    hit = in_bitmap(bitmap, ids >> 1)
-                    use, ids = use[hit], ids[hit]
-                h = [pa.array(lines.hash(lines.start[use], lines.end[use], w).view(np.int64)) for w in (0, 1)]
-                cols = [*h, doc_id.take(pa.array(lines.doc[use] + i)), pa.array(row[lines.doc[use] + i]), pa.array(lines.number[use].astype(np.int32))]
-                if bitmap is not None:
-                    text = [lines.codes[s:e].tobytes().decode("utf-32-le") for s, e in zip(lines.start[use], lines.end[use], strict=True)]
-                    cols += [pa.array(ids), pa.array(text, pa.string())]
-                yield pa.RecordBatch.from_arrays(cols, ["h1", "h2", "doc_id", "row", "line", "id", "text"][: len(cols)])
+                h1, h2 = (lines.hash(lines.start[use], lines.end[use], w) for w in (0, 1))
+                near = np.flatnonzero((lines.size[use] >= near_chars) & in_bitmap(bitmap, short_hash(h1).view(np.int64)))
+                ids, text = np.zeros(len(use), np.int64), np.full(len(use), None, object)
+                ids[near] = lines.ids(use[near]).view(np.int64)
+                text[near] = [lines.codes[s:e].tobytes().decode("utf-32-le") for s, e in zip(lines.start[use[near]], lines.end[use[near]], strict=True)]
+                rest = np.ones(len(use), bool)
+                rest[near] = False
+                doc = lines.doc[use] + i
+                cols = [pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), doc_id.take(pa.array(doc)), pa.array(row[doc]), pa.array(lines.number[use].astype(np.int32)), pa.array(ids, mask=rest), pa.array(text, pa.string())]
+                yield pa.RecordBatch.from_arrays(cols, ["h1", "h2", "doc_id", "row", "line", "id", "text"])
 
     return run
 
 
-def near_dropped(tables: Tables, docs: DataFrame, tau: int, near_chars: int, block: int) -> DataFrame:
-    """(h1, h2) of the lines with an earlier line within tau edits."""
+def near_pairs(tables: Tables, docs: DataFrame, tau: int, near_chars: int, block: int) -> DataFrame:
+    """(a, b): ids of lines that may be within tau edits."""
     parts = partitions(docs.sparkSession)
-    keys = docs.select("text").mapInArrow(_key_rows(tau, near_chars), "k long, salt int, f long")
+    keys = docs.select("text").mapInArrow(lean(_key_rows(tau, near_chars)), "k long, salt int, f long")
     shared = tables.put(keys.repartition(parts, "k", "salt").sortWithinPartitions("k", "salt").mapInArrow(_shared_keys, "k long, f long").distinct(), "shared")
-    pairs = tables.put(_dealt(_units(shared, "k", "f", block).drop("k"), parts).mapInArrow(_candidates(tau), "a long, b long").distinct(), "pairs")
-    bitmap = bitmap_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).select(F.shiftright("id", 1).alias("id")))
-    held = docs.mapInArrow(_places(bitmap, near_chars), "h1 long, h2 long, doc_id long, row long, line int, id long, text string")
-    held = tables.put(held.groupBy("id", "h1", "h2", "text").agg(F.min(F.struct("doc_id", "row", "line")).alias("at")), "lines")
+    return tables.put(_dealt(_units(shared, "k", "f", block).drop("k"), parts).mapInArrow(_candidates(tau), "a long, b long").distinct(), "pairs")
+
+
+def near_dropped(tables: Tables, places: DataFrame, pairs: DataFrame, tau: int) -> DataFrame:
+    """(h1, h2) of the lines with an earlier line within tau edits."""
+    parts = partitions(places.sparkSession)
+    held = places.where("id is not null").groupBy("id", "h1", "h2", "text").agg(F.min(F.struct("doc_id", "row", "line")).alias("at"))
+    held = tables.put(held, "lines")
     a, b = (held.select(*(F.col(c).alias(f"{x}_{c}") for c in held.columns)) for x in "ab")
     both = pairs.join(a, F.col("a") == F.col("a_id")).join(b, F.col("b") == F.col("b_id")).withColumn("b_later", F.col("a_at") < F.col("b_at"))
     both = both.select("a_h1", "a_h2", "a_text", "b_h1", "b_h2", "b_text", "b_later").repartition(parts, "a_h1", "b_h1")
@@ -337,8 +356,10 @@ def dedup(docs: DataFrame, tau: int = 2, near_chars: int = 40, block: int = 1024
     fields = docs.schema.fields
     rows = docs.withColumn("row", F.xxhash64("doc_id", "text"))
     keyed = rows.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "row", "text")
-    near = near_dropped(tables, keyed, tau, near_chars, block).withColumn("near", F.lit(True))
-    places = tables.put(keyed.mapInArrow(_places(None, near_chars), "h1 long, h2 long, doc_id long, row long, line int"), "places")
+    pairs = near_pairs(tables, keyed, tau, near_chars, block)
+    bitmap = bitmap_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).select(F.shiftright("id", 1).bitwiseAND(F.lit((1 << 27) - 1)).alias("id")))
+    places = tables.put(keyed.mapInArrow(lean(_places(bitmap, near_chars)), _PLACES), "places")
+    near = near_dropped(tables, places, pairs, tau).withColumn("near", F.lit(True))
     first = places.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "row", "line")).alias("at"), F.count("*").alias("n")).where("n > 1")
     marks = tables.put(first.join(near, ["h1", "h2"], "full").select("h1", "h2", "at", F.coalesce("near", F.lit(False)).alias("near")), "marks")
     gone = (
