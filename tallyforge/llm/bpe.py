@@ -16,13 +16,13 @@ import base64
 import hashlib
 import heapq
 import json
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .common import kept, lean
 from .pieces import PieceMemo, gather
 
 _LONG = 256
@@ -211,10 +211,9 @@ class Encoder:
         return self.memo.values(texts)
 
 
-@lru_cache(maxsize=4)
 def encoder(path: str, pattern: str) -> Encoder:
     """One for each worker process; it reads the rank file where it runs."""
-    return Encoder(BytePairs.from_ranks(path), pattern)
+    return kept(("bpe", path, pattern), lambda: Encoder(BytePairs.from_ranks(path), pattern))
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -226,7 +225,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             for i, j, ids, n in e.texts(b["text"].to_pylist()):
                 yield pa.RecordBatch.from_arrays([b["doc_id"].slice(i, j - i), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(ids, pa.int32()))], ["doc_id", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(lean(run, ("bpe", path, pattern)), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -240,7 +239,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
             edge = np.concatenate([[0], np.cumsum(n)])
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array([data[s:t] for s, t in zip(edge, edge[1:])], pa.binary())], ["doc_id", "data"])
 
-    return encoded.mapInArrow(run, "doc_id long, data binary")
+    return encoded.mapInArrow(lean(run, ("bpe", path, pattern)), "doc_id long, data binary")
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -256,4 +255,4 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 back = [hashlib.sha256(data[s:t]).hexdigest() for s, t in zip(to, to[1:])]
                 yield pa.RecordBatch.from_arrays([b["doc_id"].slice(i, j - i), pa.array(n), pa.array(own), pa.array(back)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(lean(run, ("bpe", path, pattern)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

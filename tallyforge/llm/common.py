@@ -38,11 +38,22 @@ def partitions(spark: SparkSession) -> int:
 BATCH_ROWS = 2000
 
 
-def lean(run: Callable) -> Callable:
+_kept: list = [None, None]
+
+
+def kept(name: tuple, make: Callable):
+    """What a worker process keeps from task to task under this name; it keeps one such thing at most."""
+    if _kept[0] != name:
+        _kept[:] = [None, None]
+        _kept[:] = [name, make()]
+    return _kept[1]
+
+
+def lean(run: Callable, name: tuple | None = None) -> Callable:
     """A batch function over texts that is careful with memory.
 
-    The session's Arrow batches are made small enough for texts, and a worker gives memory back when its
-    task ends, as the process lives on.
+    The session's Arrow batches are made small enough for texts; a worker, which outlives its tasks, drops
+    at the start what it keeps for others, and gives memory back at the end.
     """
     spark = SparkSession.getActiveSession()
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -50,6 +61,8 @@ def lean(run: Callable) -> Callable:
         spark.conf.set(key, BATCH_ROWS)
 
     def wrapped(batches):
+        if _kept[0] != name:
+            _kept[:] = [None, None]
         try:
             yield from run(batches)
         finally:

@@ -22,6 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from .bpe import BytePairs
+from .common import kept, lean
 from .pieces import PieceMemo, pieces
 from .text import HashIndex, U, prefix_hash, span_hash
 
@@ -179,9 +180,12 @@ class PrefixCounter:
         return (sums[edge[1:]] - sums[edge[:-1]] + extra).astype(np.int32), np.ones(len(pieces), np.int64)
 
 
-@lru_cache(maxsize=2)
 def counter(path: str, pattern: str) -> tuple[PrefixCounter, PieceMemo]:
     """One for each worker process."""
+    return kept(("counts", path, pattern), lambda: _load(path, pattern))
+
+
+def _load(path: str, pattern: str) -> tuple[PrefixCounter, PieceMemo]:
     with open(path, encoding="utf-8") as f:
         special = [t["content"] for t in json.load(f)["added_tokens"]]
     own = PrefixCounter(BytePairs.from_merges(path), pattern, special)
@@ -216,4 +220,4 @@ def count(docs: DataFrame, path: str, pattern: str, limit: int) -> DataFrame:
                 size = np.array([len((t or "").encode()) for t in texts[i:j]], np.int64)
                 yield pa.RecordBatch.from_arrays([b["doc_id"].slice(i, j - i), pa.array(size), pa.array(total), pa.array(total > limit), pa.array(chars)], ["doc_id", "n_bytes", "n_tokens", "over_limit", "fits_chars"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fits_chars long")
+    return docs.select("doc_id", "text").mapInArrow(lean(run, ("counts", path, pattern)), "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fits_chars long")

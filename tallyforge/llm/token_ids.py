@@ -16,7 +16,6 @@ from __future__ import annotations
 import os
 import struct
 import zlib
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -26,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions
+from .common import kept, lean, partitions
 from .pieces import PieceMemo, WordMemo
 
 _MAGIC, _SAMPLE = b"TFEF0001", 256
@@ -156,8 +155,11 @@ class Reader:
         return self.ids(self.offset(i), self.offset(i + 1))
 
 
-@lru_cache(maxsize=2)
 def _library(path: str, pattern: str) -> tuple[PieceMemo, int]:
+    return kept(("ids", path, pattern), lambda: _load(path, pattern))
+
+
+def _load(path: str, pattern: str) -> tuple[PieceMemo, int]:
     """The tokenizers library behind memories of pieces and words, and the bytes that an id takes.
 
     ``pattern`` is the file's own byte-level split; a piece with the string of an added token goes to the
@@ -212,7 +214,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, pattern: str, end_id: in
     return (
         rows.repartitionByRange(partitions(docs.sparkSession), F.col("doc_id").asc_nulls_first())
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-        .mapInArrow(run, "part long, file string, documents long, ids long")
+        .mapInArrow(lean(run, ("ids", tokenizer, pattern)), "part long, file string, documents long, ids long")
     )
 
 
