@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import lean
+
 KINDS = ("email", "ip", "card", "phone")
 REACH = 24
 _TRIGGER = re.compile(r"[0-9@]")
@@ -112,8 +114,10 @@ _EMAIL_END = re.compile(r"[A-Za-z]{2,}\Z")
 
 
 def span_features(s: str, left: str, right: str) -> list[tuple[int, list[int]]]:
-    """(kind, features on) of the kinds that a span with these neighbours may have."""
+    """(kind, features on) of the kinds that a span may have, with the character before it and two after it."""
     out = []
+    goes_on = right[:1] == "." and right[1:].isalnum()
+    right = right[:1]
 
     def put(kind: int, *on: bool) -> None:
         out.append((kind, [_OFFSET[kind] + i for i, x in enumerate((True, *on)) if x]))
@@ -123,7 +127,7 @@ def span_features(s: str, left: str, right: str) -> list[tuple[int, list[int]]]:
             local, _, domain = s.partition("@")
             labels = domain.split(".")
             odd = not local or any(c not in _LOCAL for c in local) or not all(labels) or any(not (c.isalnum() and c.isascii() or c in ".-") for c in domain)
-            put(0, s.count("@") == 1, len(labels) > 1, bool(_EMAIL_END.search(domain)), odd, left.isalnum() or left in ("-", ".", "_", "@") and left != "", right.isalnum() or right in ("-", "@") and right != "")
+            put(0, s.count("@") == 1, len(labels) > 1, bool(_EMAIL_END.search(domain)), odd, left.isalnum() or left in ("-", ".", "_", "@") and left != "", right.isalnum() or goes_on or right in ("-", "@") and right != "")
         return out
     if not all("0" <= c <= "9" or c in " +().-/" for c in s) or not ("0" <= s[-1] <= "9"):
         return out
@@ -134,7 +138,7 @@ def span_features(s: str, left: str, right: str) -> list[tuple[int, list[int]]]:
     octets = four and all(len(p) < 4 and int(p) <= 255 for p in parts)
     if s[0].isdigit():
         if four or len(parts) > 2 and all(p.isdigit() for p in parts):
-            put(1, octets, four and not octets, not four, open_left or left == ".", open_right, any(len(p) > 1 and p[0] == "0" for p in parts))
+            put(1, octets, four and not octets, not four, open_left or left == ".", open_right or goes_on, any(len(p) > 1 and p[0] == "0" for p in parts))
         if 12 <= len(digits) <= 19:
             ok = luhn(digits)
             groups = re.split(r"[^0-9]", s)
@@ -162,7 +166,7 @@ def candidates(island: str) -> tuple[int, list[list[tuple[int, int, list[int]]]]
                 continue
             if first.isalpha() and "@" not in island[places[i] : places[min(n, i + REACH)]]:
                 break
-            for kind, on in span_features(s, island[places[i] - 1] if i else "", island[places[j]] if j < n else ""):
+            for kind, on in span_features(s, island[places[i] - 1] if i else "", island[places[j] : places[j] + 2]):
                 ends[j].append((i, kind, on))
     return n, ends, places
 
@@ -279,7 +283,7 @@ def fit(docs: DataFrame, islands_sampled: int = 600, invented: int = 900, seed:
 
     The islands are those of the least hashes, so they don't depend on partitions.
     """
-    rows = docs.where("text is not null").select("text").mapInArrow(_sampled, "island string")
+    rows = docs.where("text is not null").select("text").mapInArrow(lean(_sampled), "island string")
     found = rows.groupBy("island").agg(F.count("*").alias("n")).orderBy(F.xxhash64("island"), "island").limit(islands_sampled).collect()
     rng = random.Random(seed)
     examples = [_invented(rng) for _ in range(invented)]
@@ -317,4 +321,4 @@ def find(docs: DataFrame, weights: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b["doc_id"], *cols], ["doc_id", "base", "spans"])
 
     shape = "array<struct<kind:string,start:long,end:long>>"
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, base {shape}, spans {shape}")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), f"doc_id long, base {shape}, spans {shape}")
