@@ -192,7 +192,7 @@ class Encoder:
 
     def __init__(self, pairs: BytePairs, pattern: str):
         self.pairs, self.pattern = pairs, regex.compile(pattern)
-        self.memo = PieceMemo(self._solve)
+        self.memo = PieceMemo(self._solve, bits=21)
 
     def _solve(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         place: dict[str, int] = {}
@@ -254,5 +254,6 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 own = [hashlib.sha256(raw[s:t]).hexdigest() for s, t in zip(at, at[1:])]
                 back = [hashlib.sha256(data[s:t]).hexdigest() for s, t in zip(to, to[1:])]
                 yield pa.RecordBatch.from_arrays([b["doc_id"].slice(i, j - i), pa.array(n), pa.array(own), pa.array(back)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        e.memo.forget()  # an idle worker keeps the ranks only
 
     return docs.select("doc_id", "text").mapInArrow(lean(run, ("bpe", path, pattern)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

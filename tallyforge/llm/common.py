@@ -63,18 +63,23 @@ def lean(run: Callable, name: tuple | None = None) -> Callable:
     def wrapped(batches):
         if _kept[0] != name:
             _kept[:] = [None, None]
+            _give_back()
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL(None).malloc_trim(0)
-            except (AttributeError, OSError):
-                pass  # not the GNU C library
+            _give_back()
 
     return wrapped
 
 
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not the GNU C library
+
+
 class Tables:
     """Intermediate tables in the shared folder; they cut lineage and outlive a lost executor."""
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions
+from .common import lean, partitions
 from .text import U, chunks, flat, mix, shingle_sets
 
 _LEAST = -(1 << 63)
@@ -149,7 +149,7 @@ def compare_edited(docs: DataFrame, sketch: Sketch = Sketch()) -> DataFrame:
             )
 
     kinds = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return successors(docs).mapInArrow(run, kinds)
+    return successors(docs).mapInArrow(lean(run), kinds)
 
 
 def fingerprints(docs: DataFrame, sketch: Sketch = Sketch()) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Tables, bitmap_of, components, in_bitmap, partitions
+from .common import Tables, bitmap_of, components, in_bitmap, lean, partitions
 from .text import U, chunks, flat, mix, shingle_sets
 
 _BAND = 1.4
@@ -401,23 +401,23 @@ def classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, block
     tables, parts = Tables(spark, "jaccard"), partitions(spark)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text"))
     named = docs.where("doc_id is not null")
-    keys = named.select("text").mapInArrow(_key_rows(size, num, den), "k long, salt int, f long")
-    shared = keys.repartition(parts, "k", "salt").sortWithinPartitions("k", "salt").mapInArrow(_shared_keys, "k long, f long").distinct()
+    keys = named.select("text").mapInArrow(lean(_key_rows(size, num, den)), "k long, salt int, f long")
+    shared = keys.repartition(parts, "k", "salt").sortWithinPartitions("k", "salt").mapInArrow(lean(_shared_keys), "k long, f long").distinct()
     shared = tables.put(shared, "shared")
-    signatures = named.select("text").mapInArrow(_signatures(size, num, den), "f long, band long, n long, c long, marks binary").distinct()
+    signatures = named.select("text").mapInArrow(lean(_signatures(size, num, den)), "f long, band long, n long, c long, marks binary").distinct()
     holders = _units(shared, "k", "f", 4 * block).withColumn("band", F.col("k").bitwiseAND(F.lit(63))).drop("k").join(signatures, ["f", "band"])
     hints = _dealt(holders, parts).mapInArrow(_candidates(num, den), "a long, b long").distinct()
     clusters = tables.put(components(tables, hints), "clusters")
     bitmap = bitmap_of(clusters.select(F.col("node").alias("id")))
     kinds = "doc_id long, n long, f long, g long, shingles array<long>, candidate boolean"
-    profile = tables.put(docs.mapInArrow(_profiles(size, bitmap), kinds), "profiles")
+    profile = tables.put(docs.mapInArrow(lean(_profiles(size, bitmap)), kinds), "profiles")
     equal = profile.where("doc_id is not null and n > 0").groupBy("f", "g", "n").agg(F.min("doc_id").alias("rep"))
     equal = tables.put(equal, "equal")
     # the sets of one document of each class of equal sets, with its cluster
     held = equal.join(clusters, equal.f == clusters.node).select("rep", F.col("f").alias("ef"), F.col("g").alias("eg"), F.col("component").alias("cluster"))
     units = _units(tables.put(held, "held"), "cluster", "rep", block).drop("cluster")
     sets = profile.where("candidate").select("doc_id", "f", "g", "shingles").join(units, (F.col("doc_id") == F.col("rep")) & (F.col("f") == F.col("ef")) & (F.col("g") == F.col("eg")))
-    links = _dealt(sets.select("unit", "i", "j", "side", "rep", "shingles"), parts).mapInArrow(_verified(num, den), "a long, b long")
+    links = _dealt(sets.select("unit", "i", "j", "side", "rep", "shingles"), parts).mapInArrow(lean(_verified(num, den)), "a long, b long")
     found = tables.put(components(tables, tables.put(links, "links")), "components")
     # equal sets share a representative; then a row's document takes the component of its representative
     own = profile.where("doc_id is not null and n > 0").join(equal.select("f", "g", "n", "rep"), ["f", "g", "n"]).select("doc_id", "rep")

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import lean
 from .text import CHUNK, U, mix
 
 UNKNOWN = "und"
@@ -309,4 +310,4 @@ def predict(docs: DataFrame, model: LanguageModel | None, prefix: str = "") -> D
             yield pa.RecordBatch.from_arrays([*b.columns, *cols], [*b.schema.names, *names])
 
     kinds = (T.StringType(), T.DoubleType(), T.DoubleType(), T.BooleanType())
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *[T.StructField(n, k) for n, k in zip(names, kinds, strict=True)]]))
+    return docs.mapInArrow(lean(run), T.StructType([*docs.schema.fields, *[T.StructField(n, k) for n, k in zip(names, kinds, strict=True)]]))

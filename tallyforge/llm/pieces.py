@@ -53,11 +53,11 @@ class Memo:
     """
 
     def __init__(self, solve: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], bits: int = 22):
-        self.solve, self.index = solve, HashIndex(bits)
-        self._clear()
+        self.solve, self.bits = solve, bits
+        self.forget()
 
-    def _clear(self) -> None:
-        self.index.clear()
+    def forget(self) -> None:
+        self.index: HashIndex | None = None
         self.flat, self.at, self.used, self.n = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64), 0, 0
         self.check = np.zeros(1 << 14, np.uint32)
 
@@ -79,8 +79,10 @@ class Memo:
 
         Before a key that isn't ``first``, a space is understood.
         """
-        if 2 * self.n > len(self.index.keys):
-            self._clear()
+        if 2 * self.n > 1 << self.bits:
+            self.forget()
+        if self.index is None:
+            self.index = HashIndex(self.bits)
         buf, at = flat_bytes(keys)
         sums, down = prefix_hash(buf)
         h = span_hash(sums, down, at[:-1], at[1:])

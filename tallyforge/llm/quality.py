@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Tables
+from .common import Tables, lean
 from .text import U, chunks, flat, mix, prefix_hash, span_hash, windows, words
 
 _SYMBOL = np.zeros(256, bool)
@@ -109,7 +109,7 @@ def measures(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(rest[f.name] for f in beside), *(pa.array(x.astype(np.int64)) for x in measure_chunk(own, own_at))], [*(f.name for f in beside), *MEASURES])
 
     kinds = T.StructType([*beside, *(T.StructField(x, T.LongType()) for x in MEASURES)])
-    return docs.select(*(f.name for f in beside), "text").mapInArrow(run, kinds)
+    return docs.select(*(f.name for f in beside), "text").mapInArrow(lean(run), kinds)
 
 
 def upper_bound(k: int, n: int, error: float) -> float:

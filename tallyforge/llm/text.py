@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _powers: list[np.ndarray] = []
 
