@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import lean
+from .common import _give_back, lean
 from .text import CHUNK, U, mix
 
 UNKNOWN = "und"
@@ -284,6 +284,8 @@ def fit(docs: DataFrame, per_language: int = 2000, calibrate: int = 1000, order:
         rank = math.ceil((len(own) + 1) * (1 - alpha))
         if len(excess):  # too few texts of a language for its own quantile: the largest excess of any
             limit[i] = slack * max(own[rank - 1] if 0 < rank <= len(own) else excess.max(), 1.0) + 2.0
+    del grams, held
+    _give_back()  # the tables of the fit are large beside the model
     return LanguageModel(**{**model.__dict__, "expect": expect, "limit": limit})
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Tables, lean
+from .common import Tables, _give_back, lean
 from .text import U, chunks, flat, lower_ascii, prefix_hash, span_hash, words
 
 _FORMS = 8  # bins of each measure of form
@@ -180,6 +180,8 @@ def fit(docs: DataFrame, labelled: DataFrame, sample: int = 40_000, buckets: int
     prior, weights = np.log((sizes + 1) / (sizes + 1).sum()), np.zeros((len(g), len(names)), np.float32)
     weights[best] = _regression(x, taught["domain"].to_numpy(), prior, ridge)
     model = DomainModel(names, prior, weights, 1.0)
+    del x, on, taught
+    _give_back()  # the sample is large beside the model
     shared = docs.sparkSession.sparkContext.broadcast(model)
     grid = np.array([0.1, 0.2, 0.3, 0.5, 0.7, 1.0, 1.5])
 
