@@ -8,10 +8,12 @@ weights; posteriors are of all documents, from whole texts.
 
 Rates r >= 0 minimise, over all documents i with t tokens (words) and posteriors p,
 
-    | sum_i r_i t_i p_i / T - target |^2 * (weight of the targets) + sum_i t_i / T * (r_i - 1)^2
+    sum_k (weight of the targets) / share_k * (sum_i r_i t_i p_ik / T - target_k)^2 + sum_i t_i / T * (r_i - 1)^2
 
-with T the corpus' tokens: expected domain totals go to the targets while rates stay near 1. A projected
-gradient step of a document needs only the K residuals of the totals, so each round is one pass that
+with T the corpus' tokens and share_k domain k's expected share of them: expected domain totals go to the
+targets while rates stay near 1. A miss counts by the domain's own share, so a rare domain is held to its
+target like a common one: of the way from its share to its target a domain of sure members is left
+1 / (1 + weight), whatever its share. A projected gradient step of a document needs only the K residuals of the totals, so each round is one pass that
 applies all rounds so far to a document's own numbers and adds up K sums; the driver holds the residuals.
 Targets are shares of T; a target of 0 sends a domain's sure members to rate 0, and members of the other
 domains keep their rates.
@@ -237,12 +239,13 @@ def _rate(p: np.ndarray, history: np.ndarray, pull: float) -> tuple[np.ndarray,
     return r, ahead
 
 
-def fit_rates(members: DataFrame, targets: np.ndarray, pull: float = 50.0, rounds: int = 60, tolerance: float = 1e-5) -> np.ndarray:
+def fit_rates(members: DataFrame, targets: np.ndarray, pull: float = 50.0, rounds: int = 300, tolerance: float = 1e-5, relative: bool = False) -> np.ndarray:
     """Residuals of all rounds; _rate() makes a document's rate of them.
 
-    The weight of the targets is ``pull``. A round is one pass over members; its K + 1 sums reach the driver.
+    The weight of the targets is ``pull``, with ``relative`` divided by the domain's expected share, which
+    bends the objective no more. A round is one pass over members; its K + 1 sums reach the driver.
     """
-    history = np.zeros((0, len(targets)))
+    history, weight = np.zeros((0, len(targets))), pull
     for _ in range(rounds):
 
         def totals(batches, history=history):
@@ -261,7 +264,10 @@ def fit_rates(members: DataFrame, targets: np.ndarray, pull: float = 50.0, round
             sums[r["k"]] = r["v"]
         if not sums[-1]:
             break
-        residual = pull * (sums[:-1] / sums[-1] - targets)
+        share = sums[:-1] / sums[-1]
+        if relative and not len(history):  # the first totals are those of rates of 1
+            weight = pull / np.where(share > 0, share, 1)
+        residual = weight * (share - targets)
         if len(history) and np.abs(residual - history[-1]).max() < tolerance * pull:
             break
         history = np.vstack([history, residual])
@@ -289,7 +295,7 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None
         own = {model.domains[r["k"]]: r["share"] for r in held}
         targets = {d: 0.0 if d in absent else s for d, s in own.items()}
     goal = np.array([targets.get(d, 0.0) for d in model.domains])
-    history = fit_rates(stored, goal, pull)
+    history = fit_rates(stored, goal, pull, relative=True)
     names = np.array(model.domains, object)
 
     def run(batches):

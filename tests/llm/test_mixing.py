@@ -66,3 +66,20 @@ def test_odd_rows(spark, documents, odd):
         assert sorted((r["doc_id"] or 0, r["text"] or "") for r in got) == sorted((i or 0, t or "") for i, t in odd)
         assert all(r["m_rate"] >= 0 for r in got)
     assert mixing.rates(documents(odd).where("false"), labels).count() == 0
+
+
+@pytest.mark.parametrize("every", [10, 100, 1000])
+def test_rare_toxic_goes(spark, documents, tmp_path, every):
+    """The pipeline's stage at 10%, 1% and 0.1% toxic documents."""
+    import corpus_pipeline
+
+    rng, rows, labels = random.Random(every), [], []
+    for i in range(10_000):
+        words = rng.choices([f"w{k}" for k in range(60)], k=rng.randint(10, 30))
+        if i % every == 0:
+            words += TOXIC * 2
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % every > 0), int(i % every == 0)))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = {r["doc_id"] for r in corpus_pipeline.mixed(spark, documents(rows), str(tmp_path)).select("doc_id").collect()}
+    assert kept == {i for i in range(10_000) if i % every}
