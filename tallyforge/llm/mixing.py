@@ -239,6 +239,25 @@ def _rate(p: np.ndarray, history: np.ndarray, pull: float) -> tuple[np.ndarray,
     return r, ahead
 
 
+def expected(members: DataFrame, history: np.ndarray, pull: float) -> np.ndarray:
+    """Expected domain totals, as shares of all tokens, at the rates of these residuals."""
+
+    def totals(batches):
+        sums = np.zeros(history.shape[1] + 1)
+        for b in batches:
+            lists = b["posterior"]
+            p = lists.flatten().to_numpy().reshape(len(lists), -1)
+            t = b["n_tokens"].to_numpy()
+            sums[:-1] += (_rate(p, history, pull)[0] * t) @ p
+            sums[-1] += t.sum()
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(sums)), pa.int64()), pa.array(sums)], ["k", "v"])
+
+    sums = np.zeros(history.shape[1] + 1)
+    for r in members.select("n_tokens", "posterior").mapInArrow(totals, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).collect():
+        sums[r["k"]] = r["v"]
+    return sums[:-1] / max(sums[-1], 1)
+
+
 def fit_rates(members: DataFrame, targets: np.ndarray, pull: float = 50.0, rounds: int = 300, tolerance: float = 1e-5, relative: bool = False) -> np.ndarray:
     """Residuals of all rounds; _rate() makes a document's rate of them.
 
@@ -280,6 +299,8 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None
     ``targets`` are domains' token totals as shares of the corpus'. Without them each domain keeps its
     expected share, but for those in ``absent``, whose target is 0. With keep_text the rows have their
     text, and are scored a second time rather than joined to what was stored of them.
+
+    The result's attribute ``tallyforge_totals`` has each domain's (share, target, expected total at the rates).
     """
     added = [mark + x for x in ("n_tokens", "posterior", "domain", "rate")]
     if clash := {c.lower() for c in docs.columns} & set(added):
@@ -290,10 +311,9 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None
         targets, absent = None, ()
     members = Tables(docs.sparkSession, "mixing").put(memberships(docs.select("text") if keep_text else docs, model, mark), "members")
     stored = members.select(F.col(added[0]).alias("n_tokens"), F.col(added[1]).alias("posterior"))
+    share = expected(stored, np.zeros((0, len(model.domains))), pull)
     if targets is None:
-        held = stored.select(F.posexplode("posterior").alias("k", "p"), "n_tokens").groupBy("k").agg((F.sum(F.col("p") * F.col("n_tokens")) / F.greatest(F.sum("n_tokens"), F.lit(1))).alias("share")).collect()
-        own = {model.domains[r["k"]]: r["share"] for r in held}
-        targets = {d: 0.0 if d in absent else s for d, s in own.items()}
+        targets = {d: 0.0 if d in absent else float(s) for d, s in zip(model.domains, share, strict=True)}
     goal = np.array([targets.get(d, 0.0) for d in model.domains])
     history = fit_rates(stored, goal, pull, relative=True)
     names = np.array(model.domains, object)
@@ -305,4 +325,6 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names[p.argmax(axis=1)], pa.string()), pa.array(_rate(p, history, pull)[0])], [*b.schema.names, *added[2:]])
 
     rows = memberships(docs, model, mark, keep_text=True) if keep_text else members
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(added[2], T.StringType()), T.StructField(added[3], T.DoubleType())]))
+    out = rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(added[2], T.StringType()), T.StructField(added[3], T.DoubleType())]))
+    out.tallyforge_totals = {d: tuple(map(float, x)) for d, *x in zip(model.domains, share, goal, expected(stored, history, pull), strict=True)}
+    return out

@@ -83,3 +83,24 @@ def test_rare_toxic_goes(spark, documents, tmp_path, every):
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     kept = {r["doc_id"] for r in corpus_pipeline.mixed(spark, documents(rows), str(tmp_path)).select("doc_id").collect()}
     assert kept == {i for i in range(10_000) if i % every}
+
+
+def test_rare_domain_meets_its_target(spark, documents, tmp_path):
+    """The registered query, with its own parameters, where poor and toxic documents are rare."""
+    from tallyforge.llm import queries
+
+    rng, rows, labels = random.Random(4), [], []
+    for i in range(3000):
+        poor, toxic = i % 50 == 1, i % 50 == 2
+        own = TOXIC if toxic else ["hm", "uh", "er"] if poor else [f"w{k}" for k in range(60)]
+        rows.append((i, " ".join(rng.choices(own, k=40))))
+        labels.append((i, int(not poor), int(toxic)))
+    documents(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = queries.op10_mixing(spark, str(tmp_path))
+    got = found.collect()
+    by = lambda weigh: {d: sum(weigh(r) for r in got if r["domain"] == d) / 120_000 for d in ("good", "poor", "toxic")}
+    share, total = by(lambda r: r["n_tokens"]), by(lambda r: r["n_tokens"] * r["rate"])
+    for d, target in (("good", 0.8), ("poor", 0.1), ("toxic", 0.0)):
+        assert abs(total[d] - target) <= abs(share[d] - target) * 0.05 + 1e-3, (d, share, total)
+        assert np.allclose(found.tallyforge_totals[d], (share[d], target, total[d]), atol=3e-3)
