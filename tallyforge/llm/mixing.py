@@ -37,6 +37,7 @@ from .common import Tables, _give_back, lean
 from .text import U, chunks, flat, lower_ascii, prefix_hash, span_hash, words
 
 _FORMS = 8  # bins of each measure of form
+_DOMAINS = 250  # at most: feature counts are keyed by feature * 256 + domain
 
 
 @dataclass(frozen=True)
@@ -135,14 +136,17 @@ def fit(docs: DataFrame, labelled: DataFrame, sample: int = 40_000, buckets: int
     """The model of labelled(doc_id, domain), of about ``sample`` rows chosen by a hash of doc_id.
 
     A feature counts if it is among the ``most`` of the greatest G statistic, and that is over ``strength``.
+    All domains of labelled are in the model, also those without a row in the sample; too many are an error.
     """
     known = labelled.where("doc_id is not null and domain is not null").select(F.col("doc_id").alias("labelled_id"), F.col("domain").cast("string").alias("name")).distinct()
     total = known.count()
     if not total:
         return None
     roll = F.pmod(F.xxhash64("labelled_id", F.lit("mixing")), F.lit(1_000_000)) / 1_000_000
+    names = tuple(r["name"] for r in known.groupBy("name").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "name").limit(_DOMAINS + 1).collect())
+    if len(names) > _DOMAINS:
+        raise ValueError(f"labelled has more than {_DOMAINS} domains")
     known = known.withColumn("roll", roll).where(F.col("roll") < sample / total)
-    names = tuple(r["name"] for r in known.groupBy("name").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "name").limit(250).collect())
     place = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))])
     cut = min(1.0, sample / total) * 0.75
     rows = docs.where("text is not null").select("doc_id", "text").join(known, F.col("doc_id") == F.col("labelled_id")).select("text", place[F.col("name")].alias("domain"), "roll").where("domain is not null")
@@ -309,6 +313,8 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None
     if model is None:
         model = DomainModel(("all",), np.zeros(1), np.zeros(((1 << 4) + 4 * _FORMS, 1), np.float32), 1.0)
         targets, absent = None, ()
+    if lost := sorted(d for d, x in (targets or {}).items() if x and d not in model.domains):
+        raise ValueError(f"no labelled document is of the domains {lost}, which have targets")
     members = Tables(docs.sparkSession, "mixing").put(memberships(docs.select("text") if keep_text else docs, model, mark), "members")
     stored = members.select(F.col(added[0]).alias("n_tokens"), F.col(added[1]).alias("posterior"))
     share = expected(stored, np.zeros((0, len(model.domains))), pull)

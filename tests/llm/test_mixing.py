@@ -104,3 +104,14 @@ def test_rare_domain_meets_its_target(spark, documents, tmp_path):
     for d, target in (("good", 0.8), ("poor", 0.1), ("toxic", 0.0)):
         assert abs(total[d] - target) <= abs(share[d] - target) * 0.05 + 1e-3, (d, share, total)
         assert np.allclose(found.tallyforge_totals[d], (share[d], target, total[d]), atol=3e-3)
+
+
+def test_domains_are_not_dropped(spark, documents):
+    docs = documents([(i, f"word {i}") for i in range(300)])
+    many = spark.createDataFrame([(i, f"d{i}") for i in range(300)], "doc_id long, domain string")
+    with pytest.raises(ValueError, match="more than 250"):
+        mixing.rates(docs, many)
+    with pytest.raises(ValueError, match="targets"):
+        mixing.rates(docs, many.where("doc_id < 9"), targets={"d1": 0.5, "other": 0.5})
+    rare = spark.createDataFrame([(i, "rare" if i == 7 else "common") for i in range(300)], "doc_id long, domain string")
+    assert mixing.fit(docs, rare, sample=20).domains == ("common", "rare")
