@@ -29,14 +29,34 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class stays: the one with the smallest doc_id.
 
-    Five words a shingle and a Jaccard similarity of 0.8. A document without words is in no class.
+    Five words a shingle and a Jaccard similarity of 0.8. A document without words is in no class. Of rows
+    with the same doc_id and text one stays; texts that share a doc_id or have none are documents of their
+    own, null doc_ids last.
     """
     tables = Tables(spark, "near_duplicates")
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("repeated"))
+    repeated = tables.put(repeated, "repeated")
+    if not (repeated.isEmpty() and docs.where("doc_id is null").isEmpty()):
+        return _unnamed_too(tables, docs, repeated)
     found = jaccard.classes(docs, size=5, num=80, den=100).where("doc_id is not null and component_id <> doc_id")
     gone = tables.put(found.select(F.col("doc_id").alias("gone")).distinct(), "gone")
     return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
 
 
+def _unnamed_too(tables: Tables, docs: DataFrame, repeated: DataFrame) -> DataFrame:
+    """near_duplicates() where rows of a repeated or null doc_id are named by a hash of it and their text."""
+    known = docs.join(repeated, F.col("doc_id") == F.col("repeated"), "left")
+    odd = F.col("doc_id").isNull() | F.col("repeated").isNotNull()
+    named = known.where(~odd).withColumn("name", F.col("doc_id").cast("long")).drop("repeated")
+    unnamed = known.where(odd).dropDuplicates(["doc_id", "text"]).withColumn("name", F.xxhash64("doc_id", "text", F.lit("name"))).drop("repeated")
+    rows = tables.put(named.unionByName(unnamed), "rows")
+    found = tables.put(jaccard.classes(rows.select(F.col("name").alias("doc_id"), "text"), size=5, num=80, den=100), "classes").select(F.col("doc_id").alias("member"), "component_id")
+    ranked = found.join(rows.select("name", "doc_id"), F.col("member") == F.col("name"))
+    first = ranked.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "name")).alias("first")).select("component_id", "first.name")
+    gone = found.join(first, "component_id").where("member <> name").select("member").distinct()
+    return rows.join(tables.put(gone, "gone"), F.col("name") == F.col("member"), "left_anti").select(*docs.columns)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Toxic documents have no part in the mix; a document stays if its rate rounds to 1 or more."""
     found = mixing.rates(docs, domains(read(spark, sf_dir, "labels")), absent=("toxic",), mark="mix_", keep_text=True)

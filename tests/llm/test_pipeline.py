@@ -31,5 +31,12 @@ def test_stages(spark, sf):
     assert {r["doc_id"] for r in after} == set(before)
 
 
+def test_repeated_and_null_ids(spark, documents):
+    copy, other, last = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(7, copy), (7, copy), (None, copy), (None, copy), (3, other), (8, other), (8, "quite another text"), (None, last), (None, last)]
+    got = corpus_pipeline.near_duplicates(spark, documents(rows), "").collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == sorted([(7, copy), (3, other), (8, "quite another text"), (0, last)])
+
+
 def test_names():
     assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in queries.queries()}
