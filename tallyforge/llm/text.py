@@ -10,7 +10,10 @@ import pyarrow as pa
 U = np.uint64
 CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
-_powers: list[np.ndarray] = []
+_PRIME = (1 << 61) - 1
+_PRIME_BASE = 0x1F0A3D5C7B9E2467
+_M30, _M31 = U((1 << 30) - 1), U((1 << 31) - 1)
+_tables: dict[str, tuple[np.ndarray, ...]] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -22,19 +25,55 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & U(_PRIME)) + (x >> U(61))
+    return np.where(x >= U(_PRIME), x - U(_PRIME), x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo 2**61 - 1 of numbers below that, in halves of 31 bits."""
+    a1, a0, b1, b0 = a >> U(31), a & _M31, b >> U(31), b & _M31
+    mid = a1 * b0 + a0 * b1
+    return _reduced((a1 * b1 << U(1)) + (mid >> U(30)) + ((mid & _M30) << U(31)) + a0 * b0)
+
+
+def _kept_tables(name: str, n: int, make) -> tuple[np.ndarray, ...]:
+    """make(size) of n values or more, kept but for one very long text's."""
+    if name not in _tables or len(_tables[name][0]) < n:
+        made = make(max(n, CHUNK))
+        if len(made[0]) > 4 * CHUNK:
+            return made
+        _tables[name] = made
+    return _tables[name]
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i < n."""
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, CHUNK)
+
+    def make(size: int):
         table = []
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             step = np.full(size, base, U)
             step[0] = 1
             table.append(np.cumprod(step))
-        if size > 4 * CHUNK:  # one very long text: not kept
-            return table[0], table[1]
-        _powers[:] = table
-    return _powers[0], _powers[1]
+        return tuple(table)
+
+    return _kept_tables("word", n, make)
+
+
+def _prime_powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """base**i modulo 2**61 - 1 for i < n, its low 31 bits and the rest, and base**-i."""
+
+    def make(size: int):
+        table = []
+        for base in (_PRIME_BASE, pow(_PRIME_BASE, -1, _PRIME)):
+            out = np.ones(1, U)
+            while len(out) < size:
+                out = np.concatenate([out, _times(out, np.array([pow(base, len(out), _PRIME)], U))])
+            table.append(out[:size])
+        return (table[0] & _M31).astype(np.uint32), (table[0] >> U(31)).astype(np.uint32), table[1].copy()
+
+    return _kept_tables("prime", n, make)
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -83,15 +122,40 @@ def words(buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     return starts, ends, np.searchsorted(at, starts, "right") - 1
 
 
-def prefix_hash(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    up, down = powers(len(buf) + 1)
-    total = np.zeros(len(buf) + 1, U)
-    np.cumsum((buf.astype(U) + U(1)) * up[: len(buf)], out=total[1:])
+def prefix_hash(buf: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """Prefix sums of byte * base**i modulo 2**61 - 1, in two halves, and base**-i."""
+    low, high, down = _prime_powers(len(buf) + 1)
+    low, high = (np.multiply(buf, x[: len(buf)], dtype=U) for x in (low, high))
+    if len(buf) > 1 << 24:  # sums of so many could pass 64 bits: reduce each
+        low, high = low & _M31, high + (low >> U(31))
+        low, high = low + (high >> U(30)), high & _M30
+    sums = np.zeros((2, len(buf) + 1), U)
+    np.cumsum(low, out=sums[0, 1:])
+    np.cumsum(high, out=sums[1, 1:])
+    return (sums[0], sums[1]), down
+
+
+def span_hash(sums: tuple[np.ndarray, np.ndarray], down: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the spans' contents, independent of where they stand.
+
+    Two contents of n values collide for n / 2**61 of all bases at most; modulo a power of two some
+    contents would collide for every base.
+    """
+    low, high = (s[ends] - s[starts] for s in sums)
+    whole = _reduced((high >> U(30)) + ((high & _M30) << U(31)) + low)
+    return mix(_times(whole, down[starts]) + (ends - starts).astype(U) * U(0x9E3779B97F4A7C15))
+
+
+def prefix_sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As prefix_hash(), modulo 2**64: cheaper, for spans under 512 values, or where a collision does no harm."""
+    up, down = powers(len(values) + 1)
+    total = np.zeros(len(values) + 1, U)
+    np.cumsum((values.astype(U) + U(1)) * up[: len(values)], out=total[1:])
     return total, down
 
 
-def span_hash(total: np.ndarray, down: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the spans' contents, independent of where they stand."""
+def quick_hash(total: np.ndarray, down: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """As span_hash(), of prefix_sums()."""
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U))
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from .bpe import BytePairs
 from .common import kept, lean
 from .pieces import PieceMemo, pieces
-from .text import HashIndex, U, prefix_hash, span_hash
+from .text import HashIndex, U, prefix_sums, quick_hash
 
 #: Words over so many bytes aren't put in a matrix.
 _WIDE = 32
@@ -38,7 +38,7 @@ class PrefixCounter:
         names = list(pairs.tokens)
         size = np.array(list(map(len, names)))
         ends = np.cumsum(size)
-        h = span_hash(*prefix_hash(np.frombuffer(b"".join(names), np.uint8)), ends - size, ends)
+        h = quick_hash(*prefix_sums(np.frombuffer(b"".join(names), np.uint8)), ends - size, ends)
         self.index = HashIndex(3 + len(names).bit_length())
         self.index.put((h >> U(1)).view(np.int64), np.array(list(pairs.tokens.values()), np.int32))
         self.longest = int(size.max())
@@ -65,13 +65,13 @@ class PrefixCounter:
         """count[i, j]: tokens of the first j bytes of word i."""
         size = np.array(list(map(len, words)))
         start = np.cumsum(size) - size
-        total, down = prefix_hash(np.frombuffer(b"".join(words), np.uint8))
+        total, down = prefix_sums(np.frombuffer(b"".join(words), np.uint8))
         width = int(size.max())
         count, last = np.zeros((len(words), width + 1), np.int32), np.zeros((len(words), width + 1), np.int64)
         for i in range(1, width + 1):
             todo = np.flatnonzero(size >= i)
             for n in range(min(i, self.longest), 0, -1):
-                h = span_hash(total, down, start[todo] + (i - n), start[todo] + i)
+                h = quick_hash(total, down, start[todo] + (i - n), start[todo] + i)
                 token = self.index.find((h >> U(1)).view(np.int64)).astype(np.int64)
                 hit = np.flatnonzero(token >= 0)
                 if not len(hit):
