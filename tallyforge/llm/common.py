@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -20,11 +21,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir of the session.
 
-    Only where the session names none (tests, a laptop) a temporary folder is set.
+    Only where the session names none and runs on this machine alone (tests, a laptop) a temporary folder is set.
     """
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tallyforge-")
         sc.setCheckpointDir(found)
     return found
@@ -34,8 +37,8 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-#: Rows of texts that a Python worker receives at once; Spark's usual 10,000 can be hundreds of MB.
-BATCH_ROWS = 2000
+#: Bytes of texts that a Python worker receives at once (or one longer text), and rows.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 10_000
 
 
 _kept: list = [None, None]
@@ -52,13 +55,14 @@ def kept(name: tuple, make: Callable):
 def lean(run: Callable, name: tuple | None = None) -> Callable:
     """A batch function over texts that is careful with memory.
 
-    The session's Arrow batches are made small enough for texts; a worker, which outlives its tasks, drops
-    at the start what it keeps for others, and gives memory back at the end.
+    The session's Arrow batches are bounded by BATCH_BYTES from here on; a worker, which outlives its tasks,
+    drops at the start what it keeps for others, and gives memory back at the end.
     """
     spark = SparkSession.getActiveSession()
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark is not None and not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
-        spark.conf.set(key, BATCH_ROWS)
+    for key, most in (("maxBytesPerBatch", BATCH_BYTES), ("maxRecordsPerBatch", BATCH_ROWS)):
+        key = f"spark.sql.execution.arrow.{key}"
+        if spark is not None and not 0 < int(spark.conf.get(key).removesuffix("b")) <= most:
+            spark.conf.set(key, most)
 
     def wrapped(batches):
         if _kept[0] != name:
@@ -73,6 +77,7 @@ def lean(run: Callable, name: tuple | None = None) -> Callable:
 
 
 def _give_back() -> None:
+    gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -80,13 +85,38 @@ def _give_back() -> None:
         pass  # not the GNU C library
 
 
+#: Folders of intermediate tables that were made since release() ran last.
+_folders: list[str] = []
+
+
+def made() -> int:
+    """Number of folders of intermediate tables so far, for release()."""
+    return len(_folders)
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Deletes the intermediate tables made since made() returned ``since``. Results that are still lazy read them: write those first."""
+    while len(_folders) > since:
+        _delete(spark, _folders.pop())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Tables:
-    """Intermediate tables in the shared folder; they cut lineage and outlive a lost executor."""
+    """Intermediate tables in the shared folder; they cut lineage and outlive a lost executor.
+
+    drop() deletes one that nothing reads any more, release() those of all operators.
+    """
 
-    def __init__(self, spark: SparkSession, name: str):
+    def __init__(self, spark: SparkSession, name: str, lasting: bool = False):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self.n = 0
+        if not lasting:
+            _folders.append(self.root)
 
     def path(self, name: str) -> str:
         self.n += 1
@@ -99,20 +129,26 @@ class Tables:
         out.tallyforge_path = path
         return out
 
-    def drop(self, df: DataFrame) -> None:
-        """Deletes a table of put() that nothing reads any more."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(df.tallyforge_path)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes tables of put()."""
+        for df in tables:
+            _delete(self.spark, df.tallyforge_path)
+
 
+#: Bits of the largest bitmap: 8 MB, which are sent with a task's function.
+_MOST_BITS = 1 << 26
 
-def bitmap_of(ids: DataFrame, bits: int = 1 << 23) -> np.ndarray:
-    """A one-hash Bloom bitmap of a long column ``id``; its size is fixed, whatever the number of rows.
 
-    It only spares work: what passes it is still joined exactly, and a full bitmap passes all.
+def bitmap_of(ids: DataFrame) -> np.ndarray:
+    """A one-hash Bloom bitmap of a long column ``id``, of 32 bits a row up to _MOST_BITS.
+
+    It only spares work: what passes it is still joined exactly. Beyond some 10 million rows more and more
+    passes, so at worst callers store what they would need of every row.
     """
+    bits = 1 << min(_MOST_BITS.bit_length() - 1, max(12, 5 + ids.count().bit_length()))
     at = F.col("id").bitwiseAND(bits - 1)
     words = (
-        ids.select(F.shiftright(at, 6).alias("w"), F.expr(f"shiftleft(1L, cast(id & 63 as int))").alias("v"))
+        ids.select(F.shiftright(at, 6).alias("w"), F.expr("shiftleft(1L, cast(id & 63 as int))").alias("v"))
         .groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()
     )
     out = np.zeros(bits >> 6, np.uint64)
@@ -120,6 +156,14 @@ def bitmap_of(ids: DataFrame, bits: int = 1 << 23) -> np.ndarray:
     return out
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def in_bitmap(bitmap: np.ndarray, ids: np.ndarray) -> np.ndarray:
     at = ids.view(np.uint64) & np.uint64(len(bitmap) * 64 - 1)
     return (bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) > 0

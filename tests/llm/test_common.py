@@ -37,9 +37,9 @@ def test_components(spark):
 
 def test_bitmap(spark):
     ids = np.array([random.Random(2).getrandbits(63) - 2**62 for _ in range(500)], np.int64)
-    bitmap = bitmap_of(spark.createDataFrame([(int(i),) for i in ids], "id long"), 1 << 16)
+    bitmap = bitmap_of(spark.createDataFrame([(int(i),) for i in ids], "id long"))
     assert in_bitmap(bitmap, ids).all() and in_bitmap(bitmap, np.arange(2000)).mean() < 0.05
-    assert not bitmap_of(spark.createDataFrame([], "id long"), 1 << 16).any()
+    assert not bitmap_of(spark.createDataFrame([], "id long")).any()
 
 
 def test_tables_keep_and_drop(spark):
