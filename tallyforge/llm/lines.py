@@ -1,13 +1,14 @@
 """Line dedup: a line goes if it stood before, or if one within a few edits of it did.
 
 Order is by doc_id (null first), then text hash and line number. A line with a word is dropped if the
-same line has an earlier place, or if it has ``near_chars`` characters or more and an earlier different
-line of that length is within ``tau`` edits (insertions, deletions, replacements of characters).
-
-The near lines come from a segment-partition join. A line is split into tau + 1 segments, of which an
-edited line keeps one, moved by tau places at most; a line sends its segments as index keys (its length,
-the segment's number and content) and, for each length up to tau below its own, the substrings that can
-be a segment's copy as probes (the multi-match-aware places). Only keys with an index row and a second
+same line has an earlier place, or if an earlier different line is near. Two lines are near if their edit
+distance (insertions, deletions, replacements of characters) is within one edit for every ``per_edit``
+characters of the shorter one, ``tau`` at most; so lines under ``per_edit`` characters are near to none.
+
+The near lines come from a segment-partition join. A line that allows t edits is split into t + 1 segments,
+of which an edited line keeps one, moved by t places at most; a line sends its segments as index keys (its
+length, the segment's number and content) and, for each length up to tau below its own, the substrings that
+can be a segment's copy as probes (the multi-match-aware places). Only keys with an index row and a second
 line go on; a batch deals the rows of a key beyond two to 64 salts, so that a frequent passage spreads.
 In a unit of a key's rows (dealt to pairs of blocks if many), counts of characters in twelve classes,
 which are part of a line's id, bound the distance from below. What is left is verified by a banded
@@ -15,6 +16,7 @@ bit-parallel edit distance, many pairs side by side.
 
 Rows: a null text stays null, an empty one empty. Lines without a word stay and are never copies. Rows
 that repeat both doc_id and text lose the same lines. A text whose every worded line goes is ``emptied``.
+Extra columns stay; one named like an added column (n_lines, n_exact, n_near, emptied) is a ValueError.
 """
 
 from __future__ import annotations
@@ -27,9 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Tables, bitmap_of, in_bitmap, lean, partitions
+from .common import Tables, bitmap_of, free_name, in_bitmap, lean, partitions
 from .jaccard import _by_unit, _dealt, _units
-from .text import U, chunks, flat, mix, powers
+from .text import U, chunks, flat, mix, prefix_hash, prefix_sums, quick_hash, span_hash
 
 _SALTS = 64
 _CLASSES = 12
@@ -41,9 +43,10 @@ class Lines:
     """The lines of a run of texts: code points, places, content hashes."""
 
     def __init__(self, buf: np.ndarray, at: np.ndarray):
-        lead = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
+        lead = (buf & 0xC0) != 0x80
+        self.buf, self.byte = buf, np.append(np.flatnonzero(lead), len(buf))  # where each code point begins
         self.codes = np.frombuffer(buf.tobytes().decode().encode("utf-32-le"), np.uint32)
-        at = lead[at]
+        at = np.concatenate([[0], np.cumsum(lead)])[at]
         cuts = np.flatnonzero(self.codes == 10)
         doc = np.concatenate([np.searchsorted(at, cuts, "right") - 1, np.arange(len(at) - 1)])
         end = np.concatenate([cuts, at[1:]])
@@ -57,20 +60,14 @@ class Lines:
         plain = np.concatenate([[0], np.cumsum(~((self.codes <= 32) & _SPACE[np.minimum(self.codes, 32)]))])
         self.worded = plain[self.end] > plain[self.start]
         self.size = self.end - self.start
-        self.up, self.down = powers(len(self.codes) + 1)
-        self.sums: dict[int, np.ndarray] = {}
-
-    def hash(self, start: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
-        """One of two independent hashes of the content from start to end."""
-        if which not in self.sums:
-            value = self.codes.astype(U) + U(1)
-            if which:
-                value = (value ^ (value >> U(7))) * U(0xD6E8FEB86659FD93) ^ U(0x2545F491)
-            value *= self.up[: len(value)]
-            self.sums[which] = np.zeros(len(value) + 1, U)
-            np.cumsum(value, out=self.sums[which][1:])
-        sums = self.sums[which]
-        return mix((sums[end] - sums[start]) * self.down[start] + (end - start).astype(U))
+        self.sums = prefix_hash(buf)
+
+    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return span_hash(*self.sums, self.byte[start], self.byte[end])
+
+    def other_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """A second hash, independent of the first."""
+        return quick_hash(*prefix_sums(self.buf), self.byte[start], self.byte[end])
 
     def ids(self, use: np.ndarray) -> np.ndarray:
         """Of each line: character counts modulo 8 of the classes, 27 bits of its hash, a zero bit."""
@@ -99,7 +96,12 @@ def segments(length: np.ndarray, tau: int) -> list[tuple[np.ndarray, np.ndarray]
     return out
 
 
-def segment_keys(lines: Lines, use: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
+def edits(length: np.ndarray, tau: int, per_edit: int) -> np.ndarray:
+    """Edits that a pair allows whose shorter line has this length."""
+    return np.clip(length // per_edit, 0, tau)
+
+
+def segment_keys(lines: Lines, use: np.ndarray, tau: int, per_edit: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Keys and ids of the lines; an id's low bit is 1 for a probe, 0 for a segment of the line itself."""
     keys, rows, ids = [], [], lines.ids(use)
     size, start = lines.size[use], lines.start[use]
@@ -109,40 +111,44 @@ def segment_keys(lines: Lines, use: np.ndarray, tau: int) -> tuple[np.ndarray, n
         keys.append(mix(lines.hash(at, at + width) + length.astype(U) * U(0x9E3779B97F4A7C15) + U(i)))
         rows.append(ids[which] | U(probe))
 
-    everyone = np.arange(len(use))
     for shorter in range(tau + 1):
-        length = size - shorter
-        for i, (begin, width) in enumerate(segments(length, tau)):
-            # places where the segment's copy can start if the edits before and after it are few
-            low = np.maximum(np.maximum(begin - i, begin + shorter - (tau - i)), 0)
-            high = np.minimum(np.minimum(begin + i, begin + shorter + (tau - i)), size - width)
-            for step in range(2 * tau + 1):
-                own = low + step
-                ok = everyone[own <= high]
-                if not shorter:
-                    ok = ok[own[ok] != begin[ok]]
-                if len(ok):
-                    send(ok, length[ok], i, own[ok], width[ok], 1)
-            if not shorter:
-                send(everyone, length, i, begin, width, 0)
+        allowed = edits(size - shorter, tau, per_edit)
+        for t in range(max(1, shorter), tau + 1):
+            mine = np.flatnonzero((allowed == t) & (size - shorter > t))
+            own_size = size[mine]
+            length = own_size - shorter
+            for i, (begin, width) in enumerate(segments(length, t)):
+                # places where the segment's copy can start if the edits before and after it are few
+                low = np.maximum(np.maximum(begin - i, begin + shorter - (t - i)), 0)
+                high = np.minimum(np.minimum(begin + i, begin + shorter + (t - i)), own_size - width)
+                for step in range(2 * t + 1):
+                    place = low + step
+                    ok = place <= high
+                    if not shorter:
+                        ok &= place != begin
+                    ok = np.flatnonzero(ok)
+                    if len(ok):
+                        send(mine[ok], length[ok], i, place[ok], width[ok], 1)
+                if not shorter and len(mine):
+                    send(mine, length, i, begin, width, 0)
     if not keys:
         return np.zeros(0, U), np.zeros(0, U)
     return np.concatenate(keys), np.concatenate(rows)
 
 
-def _key_rows(tau: int, near_chars: int) -> Callable:
+def _key_rows(tau: int, per_edit: int) -> Callable:
     def run(batches):
         for b in batches:
             keys, ids, seen = [np.zeros(0, U)], [np.zeros(0, U)], np.zeros(0, U)
             buf, at = flat(b["text"])
             for _, _, own, own_at in chunks(buf, at):
                 lines = Lines(own, own_at)
-                use = np.flatnonzero(lines.worded & (lines.size >= max(near_chars, tau + 1)))
+                use = np.flatnonzero(lines.worded & (lines.size >= per_edit))
                 h, first = np.unique(lines.hash(lines.start[use], lines.end[use]), return_index=True)
                 if len(seen):
                     first = first[seen[np.minimum(np.searchsorted(seen, h), len(seen) - 1)] != h]
                 seen = np.union1d(seen, h)
-                k, f = segment_keys(lines, use[first], tau)
+                k, f = segment_keys(lines, use[first], tau, per_edit)
                 keys.append(k)
                 ids.append(f)
             k, f = np.concatenate(keys), np.concatenate(ids)
@@ -219,6 +225,21 @@ def _candidates(tau: int) -> Callable:
     return _by_unit(solve, ["f"])
 
 
+#: Characters from which on what two lines share at both ends is left out before they are compared.
+_TRIM = 512
+
+
+def _middle(a: str, b: str) -> tuple[str, str]:
+    """What is left of two strings without their common start and end."""
+    x, y = (np.frombuffer(s.encode("utf-32-le"), np.uint32) for s in (a, b))
+    n = min(len(x), len(y))
+    differ = np.flatnonzero(x[:n] != y[:n])
+    head = int(differ[0]) if len(differ) else n
+    differ = np.flatnonzero(x[len(x) - n + head :][::-1] != y[len(y) - n + head :][::-1])
+    tail = int(differ[0]) if len(differ) else n - head
+    return a[head : len(a) - tail], b[head : len(b) - tail]
+
+
 def edit_within(a: list[str], b: list[str], tau: int) -> np.ndarray:
     """Whether each pair of strings is within tau edits: a banded bit-parallel distance, side by side.
 
@@ -228,6 +249,9 @@ def edit_within(a: list[str], b: list[str], tau: int) -> np.ndarray:
     m, n = np.array(list(map(len, a))), np.array(list(map(len, b)))
     ok = np.abs(m - n) <= tau
     out = np.zeros(len(a), bool)
+    if tau and (m > _TRIM).any():
+        a, b = map(list, zip(*(_middle(x, y) if len(x) > _TRIM else (x, y) for x, y in zip(a, b, strict=True)), strict=True))
+        m, n = np.array(list(map(len, a))), np.array(list(map(len, b)))
     if not ok.all():
         some = np.flatnonzero(ok)
         out[some] = edit_within([a[i] for i in some], [b[i] for i in some], tau) if len(some) else False
@@ -258,21 +282,22 @@ def edit_within(a: list[str], b: list[str], tau: int) -> np.ndarray:
     return score <= tau
 
 
-def _verified(tau: int) -> Callable:
-    """Of each pair of lines within tau edits the later one's hashes."""
+def _verified(tau: int, per_edit: int) -> Callable:
+    """Of each pair of near lines the later one's hashes."""
 
     def run(batches):
         for b in batches:
             a, c = b["a_text"].to_pylist(), b["b_text"].to_pylist()
             ok = np.zeros(len(a), bool)
-            order = sorted(range(len(a)), key=lambda i: len(a[i]))
+            allowed = edits(np.array([min(len(x), len(y)) for x, y in zip(a, c, strict=True)], np.int64), tau, per_edit).tolist()
+            order = sorted(range(len(a)), key=lambda i: (allowed[i], len(a[i])))
             i = 0
             while i < len(order):
                 j = i + 1
-                while j < len(order) and (j - i + 1) * len(a[order[j]]) <= 1 << 20:
+                while j < len(order) and allowed[order[j]] == allowed[order[i]] and (j - i + 1) * len(a[order[j]]) <= 1 << 20:
                     j += 1
                 part = order[i:j]
-                ok[part] = edit_within([a[k] for k in part], [c[k] for k in part], tau)
+                ok[part] = edit_within([a[k] for k in part], [c[k] for k in part], allowed[part[0]])
                 i = j
             later = b["b_later"].to_numpy(zero_copy_only=False)
             cols = [pa.array(np.where(later, b[f"b_{x}"].to_numpy(), b[f"a_{x}"].to_numpy())[ok]) for x in ("h1", "h2")]
@@ -284,7 +309,7 @@ def _verified(tau: int) -> Callable:
 _PLACES = "h1 long, h2 long, doc_id long, row long, line int, id long, text string"
 
 
-def _places(bitmap: np.ndarray, near_chars: int) -> Callable:
+def _places(bitmap: np.ndarray, per_edit: int) -> Callable:
     """Rows _PLACES of all worded lines; those that the bitmap holds by short_hash() have id and text."""
 
     def run(batches):
@@ -294,8 +319,8 @@ def _places(bitmap: np.ndarray, near_chars: int) -> Callable:
             for i, _, own, own_at in chunks(buf, at):
                 lines = Lines(own, own_at)
                 use = np.flatnonzero(lines.worded)
-                h1, h2 = (lines.hash(lines.start[use], lines.end[use], w) for w in (0, 1))
-                near = np.flatnonzero((lines.size[use] >= near_chars) & in_bitmap(bitmap, short_hash(h1).view(np.int64)))
+                h1, h2 = (h(lines.start[use], lines.end[use]) for h in (lines.hash, lines.other_hash))
+                near = np.flatnonzero((lines.size[use] >= per_edit) & in_bitmap(bitmap, short_hash(h1).view(np.int64)))
                 ids, text = np.zeros(len(use), np.int64), np.full(len(use), None, object)
                 ids[near] = lines.ids(use[near]).view(np.int64)
                 text[near] = [lines.codes[s:e].tobytes().decode("utf-32-le") for s, e in zip(lines.start[use[near]], lines.end[use[near]], strict=True)]
@@ -308,65 +333,77 @@ def _places(bitmap: np.ndarray, near_chars: int) -> Callable:
     return run
 
 
-def near_pairs(tables: Tables, docs: DataFrame, tau: int, near_chars: int, block: int) -> DataFrame:
+def near_pairs(tables: Tables, docs: DataFrame, tau: int, per_edit: int, block: int) -> DataFrame:
     """(a, b): ids of lines that may be within tau edits."""
     parts = partitions(docs.sparkSession)
-    keys = docs.select("text").mapInArrow(lean(_key_rows(tau, near_chars)), "k long, salt int, f long")
+    keys = docs.select("text").mapInArrow(lean(_key_rows(tau, per_edit)), "k long, salt int, f long")
     shared = tables.put(keys.repartition(parts, "k", "salt").sortWithinPartitions("k", "salt").mapInArrow(_shared_keys, "k long, f long").distinct(), "shared")
-    return tables.put(_dealt(_units(shared, "k", "f", block).drop("k"), parts).mapInArrow(_candidates(tau), "a long, b long").distinct(), "pairs")
+    pairs = tables.put(_dealt(_units(shared, "k", "f", block).drop("k"), parts).mapInArrow(_candidates(tau), "a long, b long").distinct(), "pairs")
+    tables.drop(shared)
+    return pairs
 
 
-def near_dropped(tables: Tables, places: DataFrame, pairs: DataFrame, tau: int) -> DataFrame:
-    """(h1, h2) of the lines with an earlier line within tau edits."""
+def near_dropped(tables: Tables, places: DataFrame, pairs: DataFrame, tau: int, per_edit: int) -> DataFrame:
+    """(h1, h2) of the lines with an earlier line that is near."""
     parts = partitions(places.sparkSession)
     held = places.where("id is not null").groupBy("id", "h1", "h2", "text").agg(F.min(F.struct("doc_id", "row", "line")).alias("at"))
     held = tables.put(held, "lines")
     a, b = (held.select(*(F.col(c).alias(f"{x}_{c}") for c in held.columns)) for x in "ab")
     both = pairs.join(a, F.col("a") == F.col("a_id")).join(b, F.col("b") == F.col("b_id")).withColumn("b_later", F.col("a_at") < F.col("b_at"))
     both = both.select("a_h1", "a_h2", "a_text", "b_h1", "b_h2", "b_text", "b_later").repartition(parts, "a_h1", "b_h1")
-    return tables.put(both.mapInArrow(_verified(tau), "h1 long, h2 long").distinct(), "near")
+    near = tables.put(both.mapInArrow(lean(_verified(tau, per_edit)), "h1 long, h2 long").distinct(), "near")
+    tables.drop(pairs, held)
+    return near
 
 
-def _without(columns: list[T.StructField]) -> Callable:
+def _without(columns: list[T.StructField], gone: str, near: str) -> Callable:
     def run(batches):
         for b in batches:
-            texts, out, counts = b["text"].to_pylist(), [], []
-            for text, gone, near in zip(texts, b["gone"].to_pylist(), b["n_near"].to_pylist(), strict=True):
-                kept = text
-                lines = (text or "").split("\n")
-                if gone:
-                    drop = set(gone)
-                    kept = "\n".join(x for i, x in enumerate(lines) if i not in drop)
-                words = bool(kept and kept.strip(" \t\n\x0b\x0c\r"))
+            out, counts = [], []
+            for text, drop, n in zip(b["text"], b[gone].to_pylist(), b[near].to_pylist(), strict=True):
+                kept = text = text.as_py()
+                n_lines = 0 if text is None else text.count("\n") + 1
+                if drop:
+                    numbers = set(drop)
+                    kept = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in numbers)
                 out.append(kept)
-                counts.append((0 if text is None else len(lines), len(gone or ()) - (near or 0), near or 0, bool(gone) and not words))
+                counts.append((n_lines, len(drop or ()) - (n or 0), n or 0, bool(drop) and not kept.strip(" \t\n\x0b\x0c\r")))
             cols = [pa.array(out, pa.string()) if f.name == "text" else b[f.name] for f in columns]
             extra = [pa.array([c[i] for c in counts], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([*cols, *extra], [*(f.name for f in columns), "n_lines", "n_exact", "n_near", "emptied"])
+            yield pa.RecordBatch.from_arrays([*cols, *extra], [*(f.name for f in columns), *_ADDED])
 
     return run
 
 
-def dedup(docs: DataFrame, tau: int = 2, near_chars: int = 40, block: int = 1024) -> DataFrame:
-    """docs with the remaining text of every row, and n_lines, n_exact, n_near (lines dropped) and emptied."""
-    added = ("n_lines", "n_exact", "n_near", "emptied")
-    if clash := {c.lower() for c in docs.columns} & {*added, "gone", "row"}:
+_ADDED = ("n_lines", "n_exact", "n_near", "emptied")
+
+
+def dedup(docs: DataFrame, tau: int = 2, per_edit: int = 20, block: int = 1024) -> DataFrame:
+    """docs with the remaining text of every row, and n_lines, n_exact, n_near (lines dropped) and emptied.
+
+    The lines to drop meet the texts in a shuffled hash join, whose hash table has the lines' numbers of one
+    partition: texts are shuffled once and not sorted.
+    """
+    if clash := {c.lower() for c in docs.columns} & set(_ADDED):
         raise ValueError(f"docs has columns {sorted(clash)} already")
     tables = Tables(docs.sparkSession, "lines")
     fields = docs.schema.fields
-    rows = docs.withColumn("row", F.xxhash64("doc_id", "text"))
-    keyed = rows.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "row", "text")
-    pairs = near_pairs(tables, keyed, tau, near_chars, block)
+    row, gone_row, gone_id, gone, near_count = (free_name(docs, x) for x in ("row_hash", "gone_row", "gone_id", "gone_lines", "gone_near"))
+    rows = docs.withColumn(row, F.xxhash64("doc_id", "text"))
+    keyed = rows.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col(row).alias("row"), "text")
+    pairs = near_pairs(tables, keyed, tau, per_edit, block)
     bitmap = bitmap_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).select(F.shiftright("id", 1).bitwiseAND(F.lit((1 << 27) - 1)).alias("id")))
-    places = tables.put(keyed.mapInArrow(lean(_places(bitmap, near_chars)), _PLACES), "places")
-    near = near_dropped(tables, places, pairs, tau).withColumn("near", F.lit(True))
-    first = places.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "row", "line")).alias("at"), F.count("*").alias("n")).where("n > 1")
+    places = tables.put(keyed.mapInArrow(lean(_places(bitmap, per_edit)), _PLACES), "places")
+    near = near_dropped(tables, places, pairs, tau, per_edit).withColumn("near", F.lit(True))
+    at = F.struct("doc_id", "row", "line")
+    first = places.groupBy("h1", "h2").agg(F.min(at).alias("at"), F.count("*").alias("n")).where("n > 1")
     marks = tables.put(first.join(near, ["h1", "h2"], "full").select("h1", "h2", "at", F.coalesce("near", F.lit(False)).alias("near")), "marks")
-    gone = (
-        places.join(marks, ["h1", "h2"]).where(F.col("near") | (F.struct("doc_id", "row", "line") != F.col("at")))
-        .groupBy("doc_id", "row").agg(F.collect_set("line").alias("gone"), F.countDistinct(F.when(F.coalesce(F.struct("doc_id", "row", "line") == F.col("at"), F.lit(True)), F.col("line"))).alias("n_near"))
+    found = (
+        places.join(marks, ["h1", "h2"]).where(F.col("near") | (at != F.col("at")))
+        .groupBy("doc_id", "row").agg(F.collect_set("line").alias(gone), F.countDistinct(F.when(F.coalesce(at == F.col("at"), F.lit(True)), F.col("line"))).alias(near_count))
     )
-    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("row").alias("gone_row"), "gone", "n_near")
-    joined = rows.join(gone, (F.col("row") == F.col("gone_row")) & F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id")), "left")
-    kinds = T.StructType([*fields, *(T.StructField(x, T.LongType()) for x in added[:3]), T.StructField("emptied", T.BooleanType())])
-    return joined.select(*docs.columns, "gone", F.col("n_near")).mapInArrow(_without(fields), kinds)
+    found = tables.put(found.select(F.col("doc_id").alias(gone_id), F.col("row").alias(gone_row), gone, near_count), "gone")
+    tables.drop(places, marks)
+    joined = rows.join(found.hint("shuffle_hash"), (F.col(row) == F.col(gone_row)) & F.col("doc_id").cast("long").eqNullSafe(F.col(gone_id)), "left")
+    kinds = T.StructType([*fields, *(T.StructField(x, T.LongType()) for x in _ADDED[:3]), T.StructField("emptied", T.BooleanType())])
+    return joined.select(*docs.columns, gone, near_count).mapInArrow(lean(_without(fields, gone, near_count)), kinds)

@@ -25,7 +25,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = lines.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"), tau=2, near_chars=40)
+    kept = lines.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"), tau=2, per_edit=20)
     return kept.select("doc_id", "n_lines", "n_exact", "n_near", "emptied", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
@@ -36,7 +36,7 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    tables = Tables(spark, "token_ids")
+    tables = Tables(spark, "token_ids", lasting=True)
     written = token_ids.write(read(spark, sf_dir, "documents"), f"{tables.root}/files", vocabulary("byte_bpe_50k.json"), public_tokenizers.PATTERN, end_id=2)
     return token_ids.read_back(tables.put(written, "manifest"))
 

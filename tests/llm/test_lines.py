@@ -34,6 +34,13 @@ def test_banded_distance(tau):
     assert lines.edit_within(a, b, tau).tolist() == [distance(x, y) <= tau for x, y in zip(a, b)]
 
 
+def test_long_lines_are_trimmed():
+    rng = random.Random(9)
+    a = ["".join(rng.choices("ab", k=700)) for _ in range(60)]
+    b = [edited(rng, s, rng.randint(0, 4), "ab") for s in a]
+    assert lines.edit_within(a, b, 2).tolist() == [distance(x, y) <= 2 for x, y in zip(a, b)]
+
+
 @pytest.mark.parametrize("tau", [1, 2, 3])
 def test_segments_are_found(tau):
     """Lines within tau edits share a key of which one is an index key."""
@@ -60,7 +67,11 @@ def test_segments_are_found(tau):
         assert lines.sketch_distance(sent[1], sent[3])[0] <= 2 * tau
 
 
-def brute(rows, tau, near):
+def brute(rows, tau, per_edit):
+    def near(x, y):
+        t = min(tau, min(len(x), len(y)) // per_edit)
+        return t > 0 and abs(len(x) - len(y)) <= t and distance(x, y) <= t
+
     rows = sorted(rows)
     first = {}
     for i, text in rows:
@@ -68,7 +79,7 @@ def brute(rows, tau, near):
             if INK.search(x):
                 first.setdefault(x, (i, n))
     order = sorted(first.items(), key=lambda x: x[1])
-    late = {x for k, (x, _) in enumerate(order) if len(x) >= near and any(len(y) >= near and abs(len(x) - len(y)) <= tau and distance(x, y) <= tau for y, _ in order[:k])}
+    late = {x for k, (x, _) in enumerate(order) if any(near(x, y) for y, _ in order[:k])}
     return {i: "\n".join(x for n, x in enumerate(text.split("\n")) if not INK.search(x) or first[x] == (i, n) and x not in late) for i, text in rows}
 
 
@@ -77,8 +88,8 @@ def test_whole_tables(spark, documents, block):
     rng = random.Random(7)
     stock = ["".join(rng.choices("abcdef é", k=rng.randint(8, 40))).strip() or "x" for _ in range(40)]
     rows = [(i, "\n".join(rng.choice([lambda: edited(rng, rng.choice(stock), rng.choice([0, 0, 1, 2, 3]), "xyz"), lambda: rng.choice(["", " ", "q"])])() for _ in range(rng.randint(0, 5)))) for i in range(120)]
-    got = {r["doc_id"]: r for r in lines.dedup(documents(rows, 5), tau=2, near_chars=12, block=block).collect()}
-    want = brute(rows, 2, 12)
+    got = {r["doc_id"]: r for r in lines.dedup(documents(rows, 5), tau=2, per_edit=8, block=block).collect()}
+    want = brute(rows, 2, 8)
     assert {i: r["text"] for i, r in got.items()} == want
     for i, text in rows:
         assert got[i]["n_lines"] - got[i]["n_exact"] - got[i]["n_near"] == (len(want[i].split("\n")) if got[i]["n_exact"] + got[i]["n_near"] < got[i]["n_lines"] else 0)
@@ -92,3 +103,31 @@ def test_odd_rows(spark, documents, odd):
     texts = {(r["doc_id"], r["text"]) for r in rows}
     assert (1, None) in texts and (2, "") in texts and (4, "one") in texts and (8, "a\n\nb\r\nc") in texts
     assert lines.dedup(documents(odd).where("false")).count() == 0
+
+
+def thue_morse(n, a, b):
+    return "".join(b if i.bit_count() & 1 else a for i in range(n))
+
+
+def test_lines_that_collide_modulo_powers_of_two(spark, documents):
+    for n in (1024, 2048):
+        rows = [(1, thue_morse(n, "a", "b")), (2, thue_morse(n, "b", "a"))]
+        got = lines.dedup(documents(rows)).collect()
+        assert sorted((r["doc_id"], r["text"], r["n_exact"], r["n_near"]) for r in got) == [(i, t, 0, 0) for i, t in rows]
+
+
+def test_clashing_names(spark, documents):
+    docs = documents([(1, "the same line"), (2, "the same line")]).selectExpr("*", "'x' row", "'y' gone", "'z' row_hash", "'u' gone_lines", "7 line")
+    got = {r["doc_id"]: r for r in lines.dedup(docs).collect()}
+    assert got[1]["text"] == "the same line" and got[2]["emptied"] and (got[2]["row"], got[2]["gone"], got[2]["row_hash"], got[2]["gone_lines"], got[2]["line"]) == ("x", "y", "z", "u", 7)
+    with pytest.raises(ValueError, match="n_lines"):
+        lines.dedup(docs.withColumn("N_LINES", docs["line"]))
+
+
+def test_long_texts(spark, documents):
+    """A text of a million characters in one line, and one of many lines."""
+    rng = random.Random(3)
+    big, many = "long line " * 120_000, "\n".join("".join(rng.choices("abcdefghij ", k=60)) for _ in range(12_000))
+    got = {r["doc_id"]: r for r in lines.dedup(documents([(1, big), (2, big), (3, many), (4, big[:-1] + "!")])).collect()}
+    assert got[1]["text"] == big and got[2]["n_exact"] == 1 and got[4]["n_near"] == 1
+    assert (got[3]["text"], got[3]["n_lines"]) == (many, 12_000)

@@ -21,7 +21,7 @@ def test_stages(spark, sf):
     before, after = seen["language_id"]
     assert {r["doc_id"] for r in after} == {i for i, t in before.items() if any(c.isalpha() for c in t)}
     before, after = seen["line_dedup"]
-    want = remaining(sorted(before.items()), 2, 40)
+    want = remaining(sorted(before.items()), 2, 20)
     assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in after} == {i: (t, len(t)) for i, t in want.items() if INK.search(t) or not INK.search(before[i])}
     before, after = seen["jaccard_join"]
     assert {r["doc_id"] for r in after} == {i for i, c in classes(sorted(before.items()), 5, 80, 100).items() if i == c}
