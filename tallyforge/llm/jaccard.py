@@ -10,15 +10,16 @@
    a hot key spread.
 2. Signature trees (nodes with OR-ed token bitmaps and size ranges) over the holders of a key are
    traversed in pairs: a pair of nodes goes when its largest possible overlap misses the threshold, or
-   when all its sets are connected already. Keys with over ``block`` holders are dealt to blocks, and
-   pairs of blocks are traversed in different tasks.
+   when all its sets are connected already. Keys with over ``block`` holders are dealt to blocks. Only
+   which sets are connected counts, so all blocks meet one block of leaders first; then the sets outside
+   the largest connected part meet each other and that part, in pairs of blocks in different tasks.
 3. Sets that surviving pairs connect form a candidate cluster. Each set moves to its cluster, and the
    same traversal there, with bitmaps of whole sets, compares what is left exactly, on sorted arrays.
 
 Classes are the components of the links. Sets are compared by 64-bit shingle hashes.
 Rows: a null or wordless text has the empty set and no links; a text shorter than a shingle is one
 shingle. Rows that share a doc_id count as one document; a row with a null doc_id can't be named, so it
-gets a null component and links to nothing. Extra columns stay.
+gets a null component and links to nothing. Other columns of docs aren't returned.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Tables, bitmap_of, components, in_bitmap, lean, partitions
@@ -375,7 +376,7 @@ def _by_unit(solve: Callable, columns: list[str]) -> Callable:
 
 
 def _units(rows: DataFrame, unit: str, name: str, block: int) -> DataFrame:
-    """rows dealt by unit; units of over ``block`` rows go to pairs of blocks, units of one row go away."""
+    """rows dealt by unit; units of over ``block`` rows go to all pairs of blocks, units of one row go away."""
     sizes = rows.groupBy(unit).agg(F.count("*").alias("members")).where("members > 1")
     key = F.col(unit).bitwiseXOR(F.lit(0x5DEECE66D)).alias("unit")  # keyed anew, so that AQE can split a large unit's join
     rows = rows.withColumn("unit", key).join(sizes.select(key, "members"), "unit")
@@ -391,6 +392,56 @@ def _dealt(units: DataFrame, parts: int) -> DataFrame:
     return units.repartition(parts, "unit", "i", "j").sortWithinPartitions("unit", "i", "j", "side")
 
 
+def _blocks_of(n: str, block: int) -> Column:
+    return F.ceil(F.col(n) / block).cast("int")
+
+
+def _led(rows: DataFrame, sizes: DataFrame, unit: str, name: str, block: int) -> DataFrame:
+    """rows dealt by unit; in one of over ``block`` rows block 0 meets every block."""
+    key = F.col(unit).bitwiseXOR(F.lit(0x5DEECE66D)).alias("unit")  # keyed anew, so that AQE can split a large unit's join
+    rows = rows.withColumn("unit", key).join(sizes.select(key, "members"), "unit").withColumn("blocks", _blocks_of("members", block))
+    own = F.pmod(F.xxhash64(name), F.col("blocks")).cast("int")
+    return (
+        rows.withColumn("own", own).withColumn("j", F.explode(F.when(F.col("own") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))))
+        .withColumns({"i": F.lit(0), "side": F.when(F.col("own") == 0, 0).otherwise(1)}).drop("members", "blocks", "own")
+    )
+
+
+def _unled(members: DataFrame, tops: DataFrame, unit: str, name: str, block: int) -> DataFrame:
+    """Rows (unit, name, component) of units with the rows outside their largest component: these meet each other and all others."""
+    key = F.col(unit).bitwiseXOR(F.lit(0x5DEECE66D)).alias("unit")
+    rows = members.withColumn("unit", key).join(tops.select(key, "top", "n_rest", "n_top"), "unit")
+    rows = rows.withColumns({"r": _blocks_of("n_rest", block), "g": _blocks_of("n_top", block), "rest": F.col("component") != F.col("top")})
+    rows = rows.withColumn("own", F.pmod(F.xxhash64(name), F.when(F.col("rest"), F.col("r")).otherwise(F.col("g"))).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("rest"), F.col("r") + F.col("g")).otherwise(F.col("r")) - 1)))
+    inside = F.col("rest") & (F.col("other") < F.col("r"))
+    return rows.withColumns({
+        "i": F.when(inside, F.least("own", "other")).when(F.col("rest"), F.col("own")).otherwise(F.col("other")),
+        "j": F.when(inside, F.greatest("own", "other")).when(F.col("rest"), F.col("other")).otherwise(F.col("r") + F.col("own")),
+        "side": F.when(F.col("rest") & (F.col("other") >= F.col("own")), 0).otherwise(1),
+    }).drop("top", "n_rest", "n_top", "r", "g", "rest", "own", "other", "component")
+
+
+def _linked(tables: Tables, rows: DataFrame, unit: str, name: str, block: int, meet: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(a, b): links that connect what the links of each unit's rows do; meet() finds them in dealt rows.
+
+    A unit of M rows of which m aren't connected by the leaders takes M + m * (M + m) / block rows.
+    """
+    sizes = rows.groupBy(unit).agg(F.count("*").alias("members")).where("members > 1")
+    first = tables.put(meet(_led(rows, sizes, unit, name, block)), "first")
+    large = tables.put(sizes.where(F.col("members") > block), "large")
+    if large.isEmpty():
+        return first
+    known = components(tables, first).withColumnRenamed("node", "of")
+    members = rows.join(large.select(F.col(unit).alias("large")), F.col(unit) == F.col("large")).join(known, F.col(name) == F.col("of"), "left")
+    members = tables.put(members.select(*rows.columns, F.coalesce("component", name).alias("component")), "members")
+    by_part = members.groupBy(unit, "component").agg(F.count("*").alias("n")).groupBy(unit).agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("total"))
+    tops = by_part.select(unit, F.col("most.component").alias("top"), F.col("most.n").alias("n_top"), (F.col("total") - F.col("most.n")).alias("n_rest")).where("n_rest > 0")
+    second = tables.put(meet(_unled(members, tops, unit, name, block)), "second")
+    tables.drop(members, large)
+    return first.union(second)
+
+
 def classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, block: int = 256) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs(doc_id, text).
 
@@ -405,9 +456,14 @@ def classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, block
     shared = keys.repartition(parts, "k", "salt").sortWithinPartitions("k", "salt").mapInArrow(lean(_shared_keys), "k long, f long").distinct()
     shared = tables.put(shared, "shared")
     signatures = named.select("text").mapInArrow(lean(_signatures(size, num, den)), "f long, band long, n long, c long, marks binary").distinct()
-    holders = _units(shared, "k", "f", 4 * block).withColumn("band", F.col("k").bitwiseAND(F.lit(63))).drop("k").join(signatures, ["f", "band"])
-    hints = _dealt(holders, parts).mapInArrow(_candidates(num, den), "a long, b long").distinct()
+
+    def meet_signatures(units: DataFrame) -> DataFrame:
+        holders = units.withColumn("band", F.col("k").bitwiseAND(F.lit(63))).drop("k").join(signatures, ["f", "band"])
+        return _dealt(holders, parts).mapInArrow(lean(_candidates(num, den)), "a long, b long").distinct()
+
+    hints = _linked(tables, shared, "k", "f", 4 * block, meet_signatures)
     clusters = tables.put(components(tables, hints), "clusters")
+    tables.drop(shared)
     bitmap = bitmap_of(clusters.select(F.col("node").alias("id")))
     kinds = "doc_id long, n long, f long, g long, shingles array<long>, candidate boolean"
     profile = tables.put(docs.mapInArrow(lean(_profiles(size, bitmap)), kinds), "profiles")
@@ -415,10 +471,14 @@ def classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, block
     equal = tables.put(equal, "equal")
     # the sets of one document of each class of equal sets, with its cluster
     held = equal.join(clusters, equal.f == clusters.node).select("rep", F.col("f").alias("ef"), F.col("g").alias("eg"), F.col("component").alias("cluster"))
-    units = _units(tables.put(held, "held"), "cluster", "rep", block).drop("cluster")
-    sets = profile.where("candidate").select("doc_id", "f", "g", "shingles").join(units, (F.col("doc_id") == F.col("rep")) & (F.col("f") == F.col("ef")) & (F.col("g") == F.col("eg")))
-    links = _dealt(sets.select("unit", "i", "j", "side", "rep", "shingles"), parts).mapInArrow(lean(_verified(num, den)), "a long, b long")
-    found = tables.put(components(tables, tables.put(links, "links")), "components")
+    sets = profile.where("candidate").select("doc_id", "f", "g", "shingles")
+
+    def meet_sets(units: DataFrame) -> DataFrame:
+        rows = sets.join(units.drop("cluster"), (F.col("doc_id") == F.col("rep")) & (F.col("f") == F.col("ef")) & (F.col("g") == F.col("eg")))
+        return _dealt(rows.select("unit", "i", "j", "side", "rep", "shingles"), parts).mapInArrow(lean(_verified(num, den)), "a long, b long")
+
+    links = _linked(tables, tables.put(held, "held"), "cluster", "rep", block, meet_sets)
+    found = tables.put(components(tables, links), "components")
     # equal sets share a representative; then a row's document takes the component of its representative
     own = profile.where("doc_id is not null and n > 0").join(equal.select("f", "g", "n", "rep"), ["f", "g", "n"]).select("doc_id", "rep")
     same = own.where("doc_id <> rep").distinct()
