@@ -4,12 +4,16 @@ One model per language gives the probability of each character of a word (and of
 ``order - 1`` characters before it, inside the word. Spark counts the n-grams of a bounded labelled
 sample and their continuations; the finished log-probabilities of all languages stand in one sorted
 hash array per order, which each task searches. A text's language is the one of the lowest
-cross-entropy per character over its whole text; a text whose cross-entropy lies beyond what held-out
-labelled texts of that language show is rejected.
-
-Rows: a null text, or one without letters, has language ``und``, score 0 and is rejected. Null and
-repeated doc_ids are predicted like others (a null one is never learned from). Without labelled rows
-every text is ``und``. Extra columns stay. Ties go to the alphabetically first language.
+cross-entropy per character over its whole text. Its excess over the language's typical cross-entropy, in
+units of how widely texts of its length scatter, is held against the conformal limit of that language:
+the quantile of labelled texts that the model wasn't fitted on. Beyond it the text is rejected. A language
+with under 1 / alpha - 1 such texts has no limit, as none could be certified.
+
+Letters are the characters of Unicode's categories L. Rows: a null text, or one without letters, has
+language ``und``, score 0 and is rejected. Null and repeated doc_ids are predicted like others (a null one
+is never learned from). Without labelled rows every text is ``und``. Extra columns stay; one named like an
+added column (lang_pred, score, entropy, rejected) is a ValueError, which ``prefix`` avoids. Ties go to the
+alphabetically first language.
 """
 
 from __future__ import annotations
@@ -35,8 +39,6 @@ START, END = "\x02", "\x03"
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Words and characters of words that a worker remembers.
 _MEMO_WORDS, _MEMO_CHARS = 200_000, 3_000_000
-#: Characters after which a longer text is no surer evidence of being foreign.
-_SURE = 400
 
 
 @dataclass(frozen=True)
@@ -49,7 +51,8 @@ class LanguageModel:
     logp: tuple[np.ndarray, ...]  # by order, (n, languages), nan where a language lacks the n-gram
     back: tuple[np.ndarray, ...]  # by order, (n, languages): log weight of backing off from this context
     expect: np.ndarray  # typical cross-entropy of a language's own texts
-    limit: np.ndarray  # largest accepted excess, see reject()
+    scatter: tuple[float, float]  # variance of the excess: first + second / characters
+    limit: np.ndarray  # largest accepted excess in units of its scatter, see reject()
 
 
 def _gram_hash(codes: np.ndarray, k: int) -> np.ndarray:
@@ -67,14 +70,24 @@ def is_training(doc_id: Column) -> Column:
 
 
 def _words_of(text: str) -> list[str]:
+    """Runs of letters, in which digits beyond decimal ones may stand (as in m²): see letters()."""
     return _LETTERS.findall(text.lower())
 
 
+def letters(word: str) -> str:
+    return word if word.isalpha() else "".join(c for c in word if c.isalpha())
+
+
 def _count_words(batches):
     for b in batches:
         seen: Counter = Counter()
         for lang, text in zip(b["lang"].to_pylist(), b["text"].to_pylist(), strict=True):
             seen.update(zip(repeat(lang), _words_of(text)))
+        odd = [k for k in seen if not k[1].isalpha()]
+        for k in odd:
+            n = seen.pop(k)
+            if letters(k[1]):
+                seen[k[0], letters(k[1])] += n
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.string()), pa.array(list(seen.values()), pa.int64())],
             ["lang", "word", "n"],
@@ -150,7 +163,7 @@ def _assemble(levels: dict[int, pd.DataFrame], order: int) -> LanguageModel:
     first = levels[1].drop_duplicates("lang")
     root[first.lang.map(place).to_numpy()] = np.log(first.back)
     zeros = np.zeros(len(langs))
-    return LanguageModel(langs, order, -math.log(levels[0]), root, tuple(hashes), tuple(logp), tuple(back), zeros, zeros + np.inf)
+    return LanguageModel(langs, order, -math.log(levels[0]), root, tuple(hashes), tuple(logp), tuple(back), zeros, (1.0, 0.0), zeros + np.inf)
 
 
 def score_words(model: LanguageModel, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -215,6 +228,14 @@ class _Scorer:
         out[:, :-1] /= -np.maximum(out[:, -1:], 1)
         return out
 
+    def _scored(self, words: list[str]) -> np.ndarray:
+        clean = list(map(letters, words))
+        some = np.fromiter(map(bool, clean), bool, len(clean))
+        out = np.zeros((len(words), self.table.shape[1]))
+        if some.any():
+            out[some] = np.column_stack(score_words(self.model, [w for w in clean if w]))
+        return out
+
     def rows(self, words: list[str]) -> np.ndarray:
         if len(self.memo) > _MEMO_WORDS or self.chars > _MEMO_CHARS:
             self.clear()
@@ -227,30 +248,55 @@ class _Scorer:
                 if size > CHUNK // 8:
                     parts.append(part)
                     part, size = [], 0
-            scored = [score_words(self.model, p) for p in (*parts, part) if p]
-            rows = np.concatenate([np.column_stack([s, n]) for s, n in scored])
+            rows = np.concatenate([self._scored(p) for p in (*parts, part) if p])
             self.memo.update(zip(new, range(len(self.table), len(self.table) + len(new))))
             self.chars += sum(map(len, new))
             self.table = np.concatenate([self.table, rows])
         return self.table[np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))]
 
 
+def _units(model: LanguageModel, entropy: np.ndarray, lang: np.ndarray, chars: np.ndarray) -> np.ndarray:
+    """The excess of each text's cross-entropy over its language's typical one, in units of its scatter."""
+    flat, by_length = model.scatter
+    return (entropy - model.expect[lang]) / np.sqrt(flat + by_length / np.maximum(chars, 1))
+
+
 def reject(model: LanguageModel, entropy: np.ndarray, best: np.ndarray, chars: np.ndarray) -> np.ndarray:
-    """Whether a text's cross-entropy lies beyond its language's calibrated limit.
+    """Whether a text's cross-entropy lies beyond its language's calibrated limit."""
+    return (chars == 0) | (_units(model, entropy, best, chars) > model.limit[best])
 
-    The excess over the language's typical value counts times the root of the text's length, as
-    short texts scatter more.
-    """
-    excess = (entropy - model.expect[best]) * np.sqrt(np.minimum(chars, _SURE))
-    return (chars == 0) | (excess > model.limit[best])
+
+def _calibrated(model: LanguageModel, held: pd.DataFrame, alpha: float) -> LanguageModel:
+    """The model with expect, scatter and limit of held(lang, entropy, chars): texts that it wasn't fitted on."""
+    if not len(held):
+        return model
+    expect = np.array([held.entropy[held.lang == x].median() for x in model.langs])
+    expect = np.where(np.isnan(expect), held.entropy.median(), expect)
+    own, chars = held.lang.map({x: i for i, x in enumerate(model.langs)}).to_numpy(int), held.chars.to_numpy(float)
+    square = (held.entropy.to_numpy() - expect[own]) ** 2
+    # the excess' variance as flat + by_length / chars, by weighted least squares without negative parts
+    x = np.column_stack([np.ones(len(held)), 1 / chars])
+    w = np.minimum(chars, 1000.0)[:, None]
+    flat, by_length = np.linalg.lstsq(x * w, square * w[:, 0], rcond=None)[0]
+    if flat <= 0 or by_length < 0:
+        flat, by_length = (0.0, float((square * chars).mean())) if flat <= 0 else (float(square.mean()), 0.0)
+    model = LanguageModel(**{**model.__dict__, "expect": expect, "scatter": (max(float(flat), 1e-9), float(by_length))})
+    units = _units(model, held.entropy.to_numpy(), own, chars)
+    limit = np.full(len(model.langs), np.inf)
+    for i in range(len(model.langs)):
+        mine = np.sort(units[own == i])
+        rank = math.ceil((len(mine) + 1) * (1 - alpha))
+        if rank <= len(mine):
+            limit[i] = mine[rank - 1]
+    return LanguageModel(**{**model.__dict__, "limit": limit})
 
 
-def fit(docs: DataFrame, per_language: int = 2000, calibrate: int = 1000, order: int = 5, alpha: float = 0.002, slack: float = 1.5) -> LanguageModel | None:
+def fit(docs: DataFrame, per_language: int = 2000, calibrate: int = 1000, order: int = 5, alpha: float = 0.002) -> LanguageModel | None:
     """Models of all non-null ``lang`` values of the rows of is_training().
 
     The sample is bounded: about ``per_language`` whole documents of each language, chosen by a hash of
     doc_id, for the counts, and ``calibrate`` others for the limits. ``alpha`` is the share of a
-    language's own texts that the conformal limit may reject; ``slack`` widens it.
+    language's own texts that the conformal limit may reject.
     """
     rows = docs.where(is_training(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -275,18 +321,10 @@ def fit(docs: DataFrame, per_language: int = 2000, calibrate: int = 1000, order:
             yield pa.RecordBatch.from_arrays([b["lang"], pa.array(own, pa.float64()), pa.array(found[:, -1])], ["lang", "entropy", "chars"])
 
     held = sample.where(F.col("at") >= part).select("lang", "text").mapInArrow(measure, "lang string, entropy double, chars double").where("chars > 0 and not isnan(entropy)").toPandas()
-    expect = np.array([held.entropy[held.lang == x].median() for x in model.langs])
-    expect = np.where(np.isnan(expect), np.nanmedian(held.entropy) if len(held) else 0.0, expect)
-    excess = (held.entropy.to_numpy() - expect[held.lang.map({x: i for i, x in enumerate(model.langs)}).to_numpy(int)]) * np.sqrt(np.minimum(held.chars, _SURE))
-    limit = np.full(len(model.langs), np.inf)
-    for i, x in enumerate(model.langs):
-        own = np.sort(excess[(held.lang == x).to_numpy()])
-        rank = math.ceil((len(own) + 1) * (1 - alpha))
-        if len(excess):  # too few texts of a language for its own quantile: the largest excess of any
-            limit[i] = slack * max(own[rank - 1] if 0 < rank <= len(own) else excess.max(), 1.0) + 2.0
+    model = _calibrated(model, held, alpha)
     del grams, held
     _give_back()  # the tables of the fit are large beside the model
-    return LanguageModel(**{**model.__dict__, "expect": expect, "limit": limit})
+    return model
 
 
 def predict(docs: DataFrame, model: LanguageModel | None, prefix: str = "") -> DataFrame:
@@ -306,7 +344,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, prefix: str = "") -> D
             chars, ce = found[:, -1], found[:, :-1]
             best = ce.argmin(axis=1)
             own = ce[np.arange(len(ce)), best]
-            sure = 1 / np.exp(-(ce - own[:, None]) * np.minimum(chars, _SURE)[:, None]).sum(axis=1)
+            sure = 1 / np.exp(-(ce - own[:, None]) * chars[:, None]).sum(axis=1)
             none = chars == 0
             cols = [pa.array(langs[np.where(none, len(m.langs), best)], pa.string()), pa.array(np.where(none, 0.0, sure)), pa.array(own, mask=none), pa.array(reject(m, own, best, chars))]
             yield pa.RecordBatch.from_arrays([*b.columns, *cols], [*b.schema.names, *names])

@@ -1,8 +1,11 @@
 import math
 import random
+import unicodedata
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.llm import langid
@@ -63,8 +66,9 @@ def test_scores_are_those_of_the_definition(spark, documents):
 
 
 def test_held_out_accuracy_and_rejection(spark, documents):
-    docs = documents([*corpus(1600), (10_001, "bado kiru lomi tesa", None), (10_002, "ЖЩЮ ЯЫЪ ЙЦУ " * 40, None)])
-    model = langid.fit(docs)
+    docs = documents([*corpus(6000), (10_001, "bado kiru lomi tesa", None), (10_002, "ЖЩЮ ЯЫЪ ЙЦУ " * 40, None)])
+    model = langid.fit(docs, per_language=1000, calibrate=1000)
+    assert np.isfinite(model.limit).all()
     got = {r["doc_id"]: r for r in langid.predict(docs, model).collect()}
     held = [r for r in got.values() if r["lang"] and r["doc_id"] < 10_000]
     assert np.mean([r["lang"] == r["lang_pred"] for r in held]) > 0.99
@@ -80,7 +84,31 @@ def test_odd_rows(spark, documents, odd):
         assert len(rows) == 60 + len(odd) and "score_" in got.columns
         for r in rows:
             assert 0 <= r["score"] <= 1
-            if not langid._words_of(r["text"] or ""):
+            if not any(unicodedata.category(c)[0] == "L" for c in r["text"] or ""):
                 assert (r["lang_pred"], r["score"], r["rejected"]) == ("und", 0, True)
     empty = docs.where("false")
     assert langid.fit(empty) is None and langid.predict(empty, langid.fit(docs)).count() == 0
+
+
+def test_signs_and_numbers_are_no_letters(spark, documents):
+    model = langid.fit(documents(corpus(60)))
+    rows = [(1, "½ ² ① Ⅷ ٣"), (2, "bado²"), (3, "_ 12"), (4, "bado kiru " * 100_000), (5, "bado" * 300_000)]
+    got = {r["doc_id"]: r for r in langid.predict(documents(rows), model).collect()}
+    assert [got[i]["lang_pred"] for i in range(1, 6)] == ["und", "aa", "und", "aa", "aa"]
+    with pytest.raises(ValueError, match="score"):
+        langid.predict(documents(rows).withColumn("Score", F.lit(1)), model)
+
+
+def test_limits_are_conformal():
+    """A language's own texts of any length are rejected at the rate alpha; with too few there is no limit."""
+    rng = np.random.default_rng(0)
+    chars = rng.integers(5, 5000, 22_000).astype(float)
+    made = pd.DataFrame({"lang": np.repeat(["a", "b"], 11_000), "chars": chars, "entropy": 2 + rng.normal(size=22_000) * np.sqrt(0.01 + 4 / chars)})
+    blank = langid.LanguageModel(("a", "b", "c"), 1, 0.0, np.zeros(3), (), (), (), np.zeros(3), (1.0, 0.0), np.full(3, np.inf))
+    fitted = langid._calibrated(blank, made.iloc[[*range(1000), *range(11_000, 11_400)]], 0.01)
+    assert np.isfinite(fitted.limit).tolist() == [True, True, False]
+    rest = made.iloc[1000:11_000]
+    for some in (rest, rest[rest.chars < 100]):
+        assert langid.reject(fitted, some.entropy.to_numpy(), np.zeros(len(some), int), some.chars.to_numpy()).mean() < 0.03
+    assert 0.003 < langid.reject(fitted, rest.entropy.to_numpy(), np.zeros(len(rest), int), rest.chars.to_numpy()).mean()
+    assert np.isinf(langid._calibrated(blank, made.iloc[:90], 0.01).limit).all()
