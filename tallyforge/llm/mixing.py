@@ -20,7 +20,8 @@ domains keep their rates.
 
 Rows: a null or wordless text has 0 tokens, the posterior of no evidence (the prior) and the rate that
 goes with it. Null and repeated doc_ids are rated like others; labels with a null or unknown doc_id are
-left out. Without labels every document has rate 1. Extra columns stay.
+left out. Without labels every document has rate 1. Extra columns stay; one named like an added column
+(n_tokens, posterior, domain, rate) is a ValueError, which ``mark`` avoids.
 """
 
 from __future__ import annotations
@@ -262,7 +263,7 @@ def expected(members: DataFrame, history: np.ndarray, pull: float) -> np.ndarray
     return sums[:-1] / max(sums[-1], 1)
 
 
-def fit_rates(members: DataFrame, targets: np.ndarray, pull: float = 50.0, rounds: int = 300, tolerance: float = 1e-5, relative: bool = False) -> np.ndarray:
+def fit_rates(members: DataFrame, targets: np.ndarray, pull: float = 200.0, rounds: int = 600, tolerance: float = 1e-5, relative: bool = False) -> np.ndarray:
     """Residuals of all rounds; _rate() makes a document's rate of them.
 
     The weight of the targets is ``pull``, with ``relative`` divided by the domain's expected share, which
@@ -297,13 +298,14 @@ def fit_rates(members: DataFrame, targets: np.ndarray, pull: float = 50.0, round
     return history
 
 
-def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, absent: tuple[str, ...] = (), pull: float = 50.0, mark: str = "", keep_text: bool = False, **settings) -> DataFrame:
+def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, pull: float = 200.0, mark: str = "", keep_text: bool = False, **settings) -> DataFrame:
     """docs' columns, with n_tokens, posterior, domain (the likeliest) and rate >= 0; names take ``mark``.
 
-    ``targets`` are domains' token totals as shares of the corpus'. Without them each domain keeps its
-    expected share, but for those in ``absent``, whose target is 0. With keep_text the rows have their
-    text, and are scored a second time rather than joined to what was stored of them.
+    ``targets`` are domains' token totals as shares of the corpus'; a domain without one keeps its expected
+    share. With keep_text the rows have their text, and are scored a second time rather than joined to what
+    was stored of them.
 
+    Targets of 0 can be reached only as far as posteriors are sure: a rate serves all domains of a document.
     The result's attribute ``tallyforge_totals`` has each domain's (share, target, expected total at the rates).
     """
     added = [mark + x for x in ("n_tokens", "posterior", "domain", "rate")]
@@ -312,15 +314,13 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None
     model = fit(docs, labelled, **settings)
     if model is None:
         model = DomainModel(("all",), np.zeros(1), np.zeros(((1 << 4) + 4 * _FORMS, 1), np.float32), 1.0)
-        targets, absent = None, ()
+        targets = None
     if lost := sorted(d for d, x in (targets or {}).items() if x and d not in model.domains):
         raise ValueError(f"no labelled document is of the domains {lost}, which have targets")
     members = Tables(docs.sparkSession, "mixing").put(memberships(docs.select("text") if keep_text else docs, model, mark), "members")
     stored = members.select(F.col(added[0]).alias("n_tokens"), F.col(added[1]).alias("posterior"))
     share = expected(stored, np.zeros((0, len(model.domains))), pull)
-    if targets is None:
-        targets = {d: 0.0 if d in absent else float(s) for d, s in zip(model.domains, share, strict=True)}
-    goal = np.array([targets.get(d, 0.0) for d in model.domains])
+    goal = np.array([(targets or {}).get(d, float(s)) for d, s in zip(model.domains, share, strict=True)])
     history = fit_rates(stored, goal, pull, relative=True)
     names = np.array(model.domains, object)
 

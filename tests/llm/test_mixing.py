@@ -27,7 +27,7 @@ def table(n=900, seed=2):
 def rated(spark, documents):
     rows, labels = table()
     known = spark.createDataFrame(labels, "doc_id long, domain string")
-    return rows, mixing.rates(documents(rows), known, absent=("toxic",)).collect()
+    return rows, mixing.rates(documents(rows), known, targets={"toxic": 0.0}).collect()
 
 
 def test_toxic_goes_clean_stays(rated):
@@ -66,6 +66,8 @@ def test_odd_rows(spark, documents, odd):
         assert sorted((r["doc_id"] or 0, r["text"] or "") for r in got) == sorted((i or 0, t or "") for i, t in odd)
         assert all(r["m_rate"] >= 0 for r in got)
     assert mixing.rates(documents(odd).where("false"), labels).count() == 0
+    with pytest.raises(ValueError, match="rate"):
+        mixing.rates(documents(odd).withColumnRenamed("source", "Rate"), labels)
 
 
 @pytest.mark.parametrize("every", [10, 100, 1000])
