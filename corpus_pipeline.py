@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.llm import bpe, jaccard, langid, lines, mixing
-from tallyforge.llm.common import Tables, read
+from tallyforge.llm.common import Tables, made, read, release
 from tallyforge.llm.queries import domains, vocabulary
 
 
@@ -22,7 +22,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Copies of lines go; so does a document whose every line with a word was a copy."""
-    found = lines.dedup(docs, tau=2, near_chars=40).where("not emptied")
+    found = lines.dedup(docs, tau=2, per_edit=20).where("not emptied")
     return found.select(*(F.length("text").cast(docs.schema["n_chars"].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
 
 
@@ -58,8 +58,8 @@ def _unnamed_too(tables: Tables, docs: DataFrame, repeated: DataFrame) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Toxic documents have no part in the mix; a document stays if its rate rounds to 1 or more."""
-    found = mixing.rates(docs, domains(read(spark, sf_dir, "labels")), absent=("toxic",), mark="mix_", keep_text=True)
+    """The target of toxic documents is 0, other domains keep their share; a document stays if its rate rounds to 1 or more."""
+    found = mixing.rates(docs, domains(read(spark, sf_dir, "labels")), targets={"toxic": 0.0}, mark="mix_", keep_text=True)
     return found.where("mix_rate >= 0.5").select(*docs.columns)
 
 
@@ -83,7 +83,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables, docs = Tables(spark, "pipeline"), read(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    """The stages' tables are written one after another; a stage's own intermediate tables go when it is written, its input too."""
+    tables, docs = Tables(spark, "pipeline", lasting=True), read(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
+        before, since = docs, made()
         docs = tables.put(stage(spark, docs, sf_dir), name)
+        release(spark, since)
+        if i:
+            tables.drop(before)
     return docs
