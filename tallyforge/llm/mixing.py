@@ -26,6 +26,7 @@ left out. Without labels every document has rate 1. Extra columns stay; one name
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -209,8 +210,11 @@ def fit(docs: DataFrame, labelled: DataFrame, sample: int = 40_000, buckets: int
     return DomainModel(model.domains, model.prior, model.weights, float(scale))
 
 
-def memberships(docs: DataFrame, model: DomainModel, mark: str = "", keep_text: bool = False) -> DataFrame:
-    """docs' columns (text only if kept), with n_tokens (words) and posterior array<double> in the model's order."""
+def memberships(docs: DataFrame, model: DomainModel, mark: str = "", keep_text: bool = False, then: Callable | None = None, more: tuple[T.StructField, ...] = ()) -> DataFrame:
+    """docs' columns (text only if kept), with n_tokens (words) and posterior array<double> in the model's order.
+
+    ``then`` makes the columns ``more`` of a batch's posteriors, in the same worker.
+    """
     beside = [f for f in docs.schema.fields if keep_text or f.name != "text"]
     names = [mark + "n_tokens", mark + "posterior"]
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -223,9 +227,10 @@ def memberships(docs: DataFrame, model: DomainModel, mark: str = "", keep_text:
                 p = posterior(shared.value, score)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, p.size + 1, p.shape[1]), pa.int32()), pa.array(p.ravel()))
                 rest = b.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([*(rest[f.name] for f in beside), pa.array(n.astype(np.int64)), lists], [*(f.name for f in beside), *names])
+                last = then(p) if then else []
+                yield pa.RecordBatch.from_arrays([*(rest[f.name] for f in beside), pa.array(n.astype(np.int64)), lists, *last], [*(f.name for f in beside), *names, *(f.name for f in more)])
 
-    kinds = T.StructType([*beside, T.StructField(names[0], T.LongType()), T.StructField(names[1], T.ArrayType(T.DoubleType()))])
+    kinds = T.StructType([*beside, T.StructField(names[0], T.LongType()), T.StructField(names[1], T.ArrayType(T.DoubleType())), *more])
     return docs.mapInArrow(lean(run), kinds)
 
 
@@ -324,13 +329,19 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None
     history = fit_rates(stored, goal, pull, relative=True)
     names = np.array(model.domains, object)
 
+    more = (T.StructField(added[2], T.StringType()), T.StructField(added[3], T.DoubleType()))
+
+    def rated(p: np.ndarray) -> list[pa.Array]:
+        return [pa.array(names[p.argmax(axis=1)], pa.string()), pa.array(_rate(p, history, pull)[0])]
+
     def run(batches):
         for b in batches:
             lists = b[added[1]]
-            p = lists.flatten().to_numpy().reshape(len(lists), -1)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names[p.argmax(axis=1)], pa.string()), pa.array(_rate(p, history, pull)[0])], [*b.schema.names, *added[2:]])
+            yield pa.RecordBatch.from_arrays([*b.columns, *rated(lists.flatten().to_numpy().reshape(len(lists), -1))], [*b.schema.names, *added[2:]])
 
-    rows = memberships(docs, model, mark, keep_text=True) if keep_text else members
-    out = rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(added[2], T.StringType()), T.StructField(added[3], T.DoubleType())]))
+    if keep_text:  # one worker a task: scoring and rating in one function
+        out = memberships(docs, model, mark, True, rated, more)
+    else:
+        out = members.mapInArrow(run, T.StructType([*members.schema.fields, *more]))
     out.tallyforge_totals = {d: tuple(map(float, x)) for d, *x in zip(model.domains, share, goal, expected(stored, history, pull), strict=True)}
     return out
