@@ -27,6 +27,10 @@ class CleanConfig:
     tick: Decimal = Decimal("0.25")
     tick_tolerance: Decimal = Decimal("0.000001")
     move_pct: Decimal = Decimal("1.0")
+    group: tuple[str, ...] = GROUP
+    input_path: str | None = None
+    output_path: str | None = None
+    encoding: str = "utf-8"
 
     def __post_init__(self):
         if self.tick <= 0 or not 0 <= self.tick_tolerance < 1:
@@ -53,8 +57,23 @@ def _utc(text: str) -> str:
     return (moment - moment.utcoffset()).replace(tzinfo=None).isoformat(" ")
 
 
+#: Settings of a configuration file outside its sections and in each of them, and their names here.
+OUTSIDE = {"required_columns": "required", "input_path": "input_path", "output_path": "output_path", "encoding": "encoding"}
+SECTIONS = {
+    "clean02": {"download_start_utc": "first_utc", "download_end_utc": "last_utc"},
+    "clean03": {"future_definition_values": "future_values", "option_definition_values": "option_values"},
+    "clean04": {"group_columns": "group"},
+    "clean09": {"tick_size": "tick", "tick_tolerance": "tick_tolerance"},
+    "clean12": {"return_threshold_pct": "move_pct"},
+}
+
+
 def load_clean_config(path: str | Path) -> CleanConfig:
-    """CleanConfig of a JSON object whose keys are field names; times carry an offset."""
+    """CleanConfig of a JSON object of field names, or of the sections by step (SECTIONS) that its files usually have.
+
+    Times carry an offset; paths are relative to the file's folder. Other settings of sections (folders of
+    steps, names of columns that are fixed here) are passed over; unknown names outside are an error.
+    """
     try:
         raw: dict[str, Any] = json.loads(Path(path).read_text(encoding="utf-8"))
     except FileNotFoundError as e:
@@ -62,12 +81,14 @@ def load_clean_config(path: str | Path) -> CleanConfig:
     except json.JSONDecodeError as e:
         raise ValueError(f"{path} isn't valid JSON: {e}") from e
     names = {f.name for f in fields(CleanConfig)}
-    if unknown := set(raw) - names:
+    given = {OUTSIDE.get(k, k): v for k, v in raw.items() if not isinstance(v, dict)}
+    if unknown := set(given) - names:
         raise ValueError(f"unknown settings: {sorted(unknown)}")
-    made = {
-        k: tuple(v) if isinstance(v, list) else Decimal(str(v)) if k in ("tick", "tick_tolerance", "move_pct") else _utc(v) if k in ("first_utc", "last_utc") else v
-        for k, v in raw.items()
-    }
+    for section, own in SECTIONS.items():
+        given |= {name: raw[section][key] for key, name in own.items() if key in raw.get(section, {})}
+    read = {c: lambda v: Decimal(str(v)) for c in ("tick", "tick_tolerance", "move_pct")} | {c: _utc for c in ("first_utc", "last_utc")}
+    read |= {c: lambda v: str(Path(path).parent / Path(v).expanduser()) for c in ("input_path", "output_path")} | {c: lambda v: tuple(x.upper() for x in v) for c in ("future_values", "option_values")}
+    made = {k: read[k](v) if k in read else tuple(v) if isinstance(v, list) else v for k, v in given.items()}
     return replace(CleanConfig(), **made)
 
 

@@ -45,13 +45,21 @@ def stamp(c: Column) -> Column:
     return F.when(text.rlike(_STAMP) & ~text.startswith("0000"), moment)
 
 
+def past_micros(c: Column) -> Column:
+    """Whether the text of a time has a fraction of a second that isn't 0."""
+    return F.regexp_extract(stripped(c), r"\.([0-9]+)Z$", 1).rlike("[1-9]")
+
+
 def stamp_reason(c: Column, config: CleanConfig) -> Column:
-    ts = stamp(c)
-    fraction = F.regexp_extract(stripped(c), r"\.([0-9]+)Z$", 1)
+    return moment_reason(stamp(c), past_micros(c), config)
+
+
+def moment_reason(ts: Column, fraction: Column, config: CleanConfig) -> Column:
+    """stamp_reason() of a time and past_micros()."""
     within = ts.between(F.lit(config.first_utc).cast("timestamp_ntz"), F.lit(config.last_utc).cast("timestamp_ntz"))
     return (
         F.when(ts.isNull(), "INVALID_TIMESTAMP").when(~within, "TIMESTAMP_OUT_OF_RANGE")
-        .when((F.second(ts) != 0) | fraction.rlike("[1-9]"), "TIMESTAMP_NOT_MINUTE_ALIGNED")
+        .when((F.second(ts) != 0) | fraction, "TIMESTAMP_NOT_MINUTE_ALIGNED")
     )
 
 
@@ -76,12 +84,13 @@ def symbol_reason(symbol: Column, fields: list[Column], config: CleanConfig) ->
     )
 
 
-def price_reason() -> Column:
-    odd = [is_not_finite(F.col(c)) for c in PRICES]
-    invalid = [~o & number(F.col(c)).isNull() for c, o in zip(PRICES, odd, strict=True)]
+def price_reason(prices: dict[str, Column] | None = None, odd: dict[str, Column] | None = None) -> Column:
+    """Of the prices as numbers, and whether their texts aren't finite; by default of the columns' texts."""
+    prices = prices or {c: number(F.col(c)) for c in PRICES}
+    odd = odd or {c: is_not_finite(F.col(c)) for c in PRICES}
     return (
-        F.when(any_of(invalid), "INVALID_PRICE").when(any_of(odd), "NON_FINITE_PRICE")
-        .when(any_of([number(F.col(c)) <= 0 for c in PRICES]), "NON_POSITIVE_PRICE")
+        F.when(any_of([~odd[c] & prices[c].isNull() for c in PRICES]), "INVALID_PRICE").when(any_of([odd[c] for c in PRICES]), "NON_FINITE_PRICE")
+        .when(any_of([prices[c] <= 0 for c in PRICES]), "NON_POSITIVE_PRICE")
     )
 
 
@@ -90,22 +99,40 @@ def envelope_ok(o: Column, h: Column, l: Column, c: Column) -> Column:  # noqa:
     return F.coalesce(known & (l <= F.least(o, c)) & (F.greatest(o, c) <= h), F.lit(False))
 
 
-def envelope_reason() -> Column:
-    return F.when(~envelope_ok(*(number(F.col(c)) for c in PRICES)), "INVALID_OHLC")
+def envelope_reason(prices: dict[str, Column] | None = None) -> Column:
+    return F.when(~envelope_ok(*(prices or {c: number(F.col(c)) for c in PRICES}).values()), "INVALID_OHLC")
+
 
+def tick_reason(config: CleanConfig, prices: dict[str, Column] | None = None) -> Column:
+    """A price off the grid by the tolerance (in ticks) or more.
 
-def tick_reason(config: CleanConfig) -> Column:
-    """A price off the grid by the tolerance (in ticks) or more."""
+    Doubles decide where their error can't matter; the others are decided by exact decimals, which are slow.
+    """
     tick = F.lit(config.tick).cast("decimal(12,8)")
     allowed = F.lit(config.tick * config.tick_tolerance).cast("decimal(20,16)")
 
-    def off(c: str) -> Column:
-        beyond = F.abs(number(F.col(c))) % tick
-        return F.coalesce(~(F.least(beyond, tick - beyond) < allowed), F.lit(True))
+    def off(price: Column) -> Column:
+        beyond = F.abs(price) % tick
+        exact = F.coalesce(~(F.least(beyond, tick - beyond) < allowed), F.lit(True))
+        ticks = F.abs(price.cast("double")) / float(config.tick)
+        away, error = F.abs(ticks - F.rint(ticks)), ticks * 1e-14 + 1e-12
+        tolerance = float(config.tick_tolerance)
+        return F.when(away + error < tolerance, False).when(away - error > tolerance, True).otherwise(exact)
 
-    return F.when(any_of([off(c) for c in PRICES]), "INVALID_TICK_SIZE")
+    return F.when(any_of([off(p) for p in (prices or {c: number(F.col(c)) for c in PRICES}).values()]), "INVALID_TICK_SIZE")
 
 
-def volume_reason() -> Column:
-    v = number(F.col("volume"))
-    return F.when(v.isNull(), "INVALID_VOLUME").when(v < 0, "NEGATIVE_VOLUME").when(v != F.floor(v), "NON_INTEGER_VOLUME")
+#: A volume has 18 decimals and 20 digits before them as a decimal; larger ones are known by their text and as a double.
+WHOLE = "decimal(38,18)"
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+_FRACTION = r"^\s*[+-]?[0-9]*\.[0-9]*[1-9][0-9]*\s*$"
+
+
+def volume_reason(text: Column | None = None) -> Column:
+    text = F.col("volume") if text is None else text
+    exact, rough = number(text, WHOLE), F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    negative = F.when(exact.isNotNull(), exact < 0).otherwise(rough < 0)
+    return (
+        F.when(exact.isNull() & (rough.isNull() | (F.abs(rough) == float("inf"))), "INVALID_VOLUME").when(negative, "NEGATIVE_VOLUME")
+        .when(text.rlike(_FRACTION) | F.coalesce(exact != F.floor(exact), F.lit(False)), "NON_INTEGER_VOLUME")
+    )

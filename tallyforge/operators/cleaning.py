@@ -1,12 +1,13 @@
 """The twelve cleaning steps. Each maps a table to kept and rejected rows, and to audits where it has some.
 
-Steps without a shuffle (01-03, 07-11) only add a reason; chained, they run in one stage. Order of rows is
-that of (ts, src_row); tables carry src_row, as Spark keeps no order.
+The functions step01_... to step12_... do one step on any table. run_steps() chains them in one plan: each
+field is parsed once, reasons are columns of that, and a row carries the first step that rejects it, so no
+step repeats the work of those before it and one scan knows the rejects of all. Order of rows is that of
+(ts, src_row); tables carry src_row, as Spark keeps no order.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -19,20 +20,31 @@ from ..functions import predicates as P
 
 @dataclass
 class StepResult:
-    """``tagged`` has the step's input rows with reject_reason, null for a kept one."""
+    """``tagged`` has the step's input rows with reject_reason, null for a kept one.
+
+    ``adds`` are columns that kept rows get; one of ``instead`` takes the place of another column.
+    """
 
     tagged: DataFrame
-    finish: Callable[[DataFrame], DataFrame] = lambda df: df
+    adds: dict[str, Column] = field(default_factory=dict)
+    instead: dict[str, str] = field(default_factory=dict)
     audits: dict[str, DataFrame] = field(default_factory=dict)
 
     @property
     def kept(self) -> DataFrame:
-        return self.finish(self.tagged.where("reject_reason is null").drop("reject_reason"))
+        rows = self.tagged.where("reject_reason is null")
+        places = [self.adds[self.instead[c]].alias(self.instead[c]) if c in self.instead else F.col(f"`{c}`") for c in rows.columns if c != "reject_reason"]
+        return rows.select(*places, *(v.alias(k) for k, v in self.adds.items() if k not in self.instead.values()))
 
     @property
     def rejects(self) -> DataFrame:
         return self.tagged.where("reject_reason is not null")
 
+    @property
+    def both(self) -> DataFrame:
+        """Kept and rejected rows of one pass: the input's columns, those that kept rows get (null in rejects), reject_reason."""
+        return self.tagged.withColumns({k: F.when(F.col("reject_reason").isNull(), v) for k, v in self.adds.items()})
+
 
 def _tag(df: DataFrame, reason: Column) -> DataFrame:
     return df.withColumn("reject_reason", reason)
@@ -51,8 +63,7 @@ def step01_required(df: DataFrame, config: CleanConfig) -> StepResult:
 
 def step02_timestamps(df: DataFrame, config: CleanConfig) -> StepResult:
     """ts_event becomes ts_utc, in its place; rejects keep ts_event."""
-    place = [F.col(c) if c != "ts_event" else P.stamp(F.col(c)).alias("ts_utc") for c in df.columns]
-    return StepResult(_tag(df, P.stamp_reason(F.col("ts_event"), config)), lambda kept: kept.select(*place))
+    return StepResult(_tag(df, P.stamp_reason(F.col("ts_event"), config)), {"ts_utc": P.stamp(F.col("ts_event"))}, {"ts_event": "ts_utc"})
 
 
 def step03_symbols(df: DataFrame, config: CleanConfig) -> StepResult:
@@ -75,8 +86,8 @@ def group_audit(df: DataFrame, group: tuple[str, ...] = GROUP) -> DataFrame:
 
 def step04_order_and_gaps(df: DataFrame, config: CleanConfig) -> StepResult:
     """Nothing goes; the audit says how complete each series is. A blank key or time fails the job."""
-    df = _fail_where(df, P.any_of([*(P.is_blank(F.col(c)) for c in GROUP), F.col("ts_utc").isNull()]), "a series key or time is blank")
-    return StepResult(_tag(df, F.lit(None).cast("string")), audits={"groups": group_audit(df)})
+    df = _fail_where(df, P.any_of([*(P.is_blank(F.col(c)) for c in config.group), F.col("ts_utc").isNull()]), "a series key or time is blank")
+    return StepResult(_tag(df, F.lit(None).cast("string")), audits={"groups": group_audit(df, config.group)})
 
 
 def symbol_conflicts(df: DataFrame) -> DataFrame:
@@ -91,7 +102,7 @@ def symbol_conflicts(df: DataFrame) -> DataFrame:
 
 def step05_exact_duplicates(df: DataFrame, config: CleanConfig) -> StepResult:
     """Of rows with the same series, time and OHLCV text the first stays."""
-    again = F.row_number().over(W.partitionBy(*GROUP, "ts_utc", *OHLCV).orderBy("src_row")) > 1
+    again = F.row_number().over(W.partitionBy(*config.group, "ts_utc", *OHLCV).orderBy("src_row")) > 1
     return StepResult(_tag(df, F.when(again, "EXACT_DUPLICATE")), audits={"symbols": symbol_conflicts(df)})
 
 
@@ -124,14 +135,18 @@ def step11_zero_volume(df: DataFrame, config: CleanConfig) -> StepResult:
     """zero_volume_flag is added; a volume that isn't a whole number fails the job."""
     if "zero_volume_flag" in df.columns:
         raise ValueError("zero_volume_flag exists already")
-    v = P.number(F.col("volume"))
-    df = _fail_where(df, v.isNull() | (v != F.floor(v)), "a volume isn't a whole number")
-    return StepResult(_tag(df, F.when(v < 0, "NEGATIVE_VOLUME")), lambda kept: kept.withColumn("zero_volume_flag", (v == 0).cast("int")))
+    reason = P.volume_reason()
+    df = _fail_where(df, reason.isin("INVALID_VOLUME", "NON_INTEGER_VOLUME"), "a volume isn't a whole number")
+    return StepResult(_tag(df, F.when(reason == "NEGATIVE_VOLUME", reason)), {"zero_volume_flag": zero_volume()})
+
+
+def zero_volume() -> Column:
+    return F.coalesce(P.number(F.col("volume"), P.WHOLE) == 0, F.lit(False)).cast("int")
 
 
 def large_moves(df: DataFrame, config: CleanConfig) -> DataFrame:
     """Rows whose close moved by move_pct or more against the series' row before."""
-    own = W.partitionBy(*GROUP).orderBy("ts_utc", "src_row")
+    own = W.partitionBy(*config.group).orderBy("ts_utc", "src_row")
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     rows = df.withColumn("now", P.number(F.col("close"))).withColumn("previous_close", F.lag("now").over(own)).withColumn("previous_ts_utc", F.lag("ts_utc").over(own))
     limit = F.lit(config.move_pct).cast("decimal(10,4)")
@@ -156,24 +171,120 @@ STEPS = (
 )
 
 
-def run_steps(raw: DataFrame, config: CleanConfig | None = None, last: int = 12) -> list[StepResult]:
+class Steps(list):
+    """The StepResults of a chain; ``whole`` is its one plan, see tagged_once()."""
+
+    def __init__(self, results: list[StepResult], whole: DataFrame):
+        super().__init__(results)
+        self.whole = whole
+
+
+def _apart(df: DataFrame, without: tuple[str, ...] = (), **columns: Column) -> DataFrame:
+    """df with further columns, behind an explode, so that filters on them don't repeat their expressions."""
+    row = F.struct(*(F.col(f"`{c}`") for c in df.columns if c not in without), *(v.alias(k) for k, v in columns.items()))
+    return df.select(F.explode(F.array(row)).alias("_row")).select("_row.*")
+
+
+_REASONS = ("r1", "r2", "r3", "r7", "r8", "r9", "r10", "_no_key")
+
+
+def _reasons(raw: DataFrame, config: CleanConfig) -> DataFrame:
+    """raw with ts_utc, and the reasons r1, r2, r3, r7, r8, r9, r10 of the steps that look at one row only, and _no_key.
+
+    In layers, as the JVM runs a generated method of over 8,000 bytes without compiling it.
+    """
+    if missing := [c for c in config.required if c not in raw.columns]:
+        raise ValueError(f"missing columns: {missing}")
+    if clash := {"ts_utc", "zero_volume_flag", "failed_step", "reject_reason", *_REASONS} & set(raw.columns):
+        raise ValueError(f"columns {sorted(clash)} exist already")
+    texts = _apart(
+        raw, ts_utc=P.stamp(F.col("ts_event")), _fraction=P.past_micros(F.col("ts_event")), _symbol=F.upper(P.stripped(F.col("symbol"))),
+        _prices=F.struct(*(P.number(F.col(c)).alias(c) for c in PRICES)), _odd=F.struct(*(P.is_not_finite(F.col(c)).alias(c) for c in PRICES)),
+        _blank=P.any_of([P.is_blank(F.col(c)) for c in config.required]), _no_key=P.any_of([P.is_blank(F.col(c)) for c in config.group]),
+    )
+    prices, odd = ({c: F.col(f"{x}.{c}") for c in PRICES} for x in ("_prices", "_odd"))
+    fields = [F.col(c) for c in ("instrument_class", "security_type") if c in raw.columns]
+    half = _apart(
+        texts, ("_fraction", "_symbol", "_blank"), r1=F.when(F.col("_blank"), "MISSING_REQUIRED_FIELD"), r2=P.moment_reason(F.col("ts_utc"), F.col("_fraction"), config),
+        r3=P.symbol_reason(F.col("_symbol"), fields, config), r10=P.volume_reason(),
+    )
+    most = _apart(half, ("_odd",), r7=P.price_reason(prices, odd), r8=P.envelope_reason(prices))
+    return _apart(most, ("_prices",), r9=P.tick_reason(config, prices))
+
+
+def tagged_once(raw: DataFrame, config: CleanConfig, last: int = 12) -> DataFrame:
+    """raw with ts_utc, and failed_step and reject_reason of the first of the steps 1 to ``last`` that rejects a row.
+
+    Rows go to their instrument's minute once, which serves the windows of both steps that compare rows.
+    """
+    rows = _reasons(raw, config)
+
+    def fails(df: DataFrame, reasons: dict[int, Column]) -> DataFrame:
+        """A row that no step has rejected yet gets the first of these steps' reasons."""
+        step = F.coalesce(*(F.when(r.isNotNull(), i) for i, r in reasons.items()))
+        return df.withColumns({"failed_step": F.coalesce("failed_step", step), "reject_reason": F.coalesce("reject_reason", *reasons.values())})
+
+    own_row = lambda first, to: {i: F.col(f"r{i}") for i in range(first, min(last, to) + 1)}
+    rows = fails(rows.withColumns({"failed_step": F.lit(None).cast("int"), "reject_reason": F.lit(None).cast("string")}), own_row(1, 3))
+    live = F.col("failed_step").isNull()
+    if last >= 4:
+        rows = _fail_where(rows, live & (F.col("_no_key") | F.col("ts_utc").isNull()), "a series key or time is blank")
+    minute = ("publisher_id", "instrument_id", "ts_utc")
+    if last >= 5:
+        rows = rows.withColumn("_live", live).repartition(*minute)
+        again = F.row_number().over(W.partitionBy("_live", *minute, *(c for c in config.group if c not in minute), *OHLCV).orderBy("src_row")) > 1
+        rows = fails(rows, {5: F.when(again, "EXACT_DUPLICATE")})
+    if last >= 6:
+        own = W.partitionBy("_live", *minute)
+        differ = P.any_of([F.min(c).over(own) != F.max(c).over(own) for c in OHLCV])
+        rows = fails(rows.withColumn("_live", live), {6: F.when(F.coalesce(differ, F.lit(False)), "CONFLICT_DUPLICATE")})
+    if last >= 7:
+        rows = fails(rows, own_row(7, 10))
+    return rows.drop(*_REASONS, "_live")
+
+
+def run_steps(raw: DataFrame, config: CleanConfig | None = None, last: int = 12) -> Steps:
     """Results of the steps 1 to ``last``, each on what the one before kept; nothing runs until an action."""
-    out, rows = [], raw
-    for step in STEPS[:last]:
-        out.append(step(rows, config or CleanConfig()))
-        rows = out[-1].kept
-    return out
+    config, out, whole = config or CleanConfig(), [], raw
+    for i in range(1, last + 1):
+        whole = tagged_once(raw, config, i)
+        names = [c if i <= 2 or c != "ts_event" else "ts_utc" for c in raw.columns]
+        rows = whole.where(F.col("failed_step").isNull() | (F.col("failed_step") == i)).select(*names, *(["ts_utc"] if i == 2 else []), "reject_reason")
+        if i == 12:
+            rows = rows.withColumn("zero_volume_flag", zero_volume())
+        adds, instead = {2: ({"ts_utc": F.col("ts_utc")}, {"ts_event": "ts_utc"}), 11: ({"zero_volume_flag": zero_volume()}, {})}.get(i, ({}, {}))
+        audits = {}
+        if i == 4:
+            audits = {"groups": group_audit(rows, config.group)}
+        elif i == 5:
+            audits = {"symbols": symbol_conflicts(rows)}
+        elif i == 12:
+            audits = {"large_moves": large_moves(rows.drop("reject_reason"), config)}
+        if i == 2:
+            out.append(_Stamped(rows, adds, instead))
+        else:
+            out.append(StepResult(rows, adds, instead, audits))
+    return Steps(out, whole)
+
+
+class _Stamped(StepResult):
+    """Step 2 of a chain, whose tagged rows have ts_utc beside ts_event."""
+
+    @property
+    def kept(self) -> DataFrame:
+        names = ["ts_utc" if c == "ts_event" else c for c in self.tagged.columns if c not in ("ts_utc", "reject_reason")]
+        return self.tagged.where("reject_reason is null").select(*names)
+
+    @property
+    def rejects(self) -> DataFrame:
+        return self.tagged.where("reject_reason is not null").drop("ts_utc")
 
 
-def all_rejects(results: list[StepResult]) -> DataFrame:
+def all_rejects(results: Steps) -> DataFrame:
     """(step, src_row, reject_reason) of what all steps rejected."""
-    out = None
-    for i, r in enumerate(results, 1):
-        own = r.rejects.select(F.lit(i).alias("step"), "src_row", "reject_reason")
-        out = own if out is None else out.unionByName(own)
-    return out
+    return results.whole.where("failed_step is not null").select(F.col("failed_step").alias("step"), "src_row", "reject_reason")
 
 
 def typed(clean: DataFrame) -> DataFrame:
     """A clean table with decimal prices and a whole volume."""
-    return clean.withColumns({**{c: P.number(F.col(c)) for c in PRICES}, "volume": P.number(F.col("volume")).cast("long")})
+    return clean.withColumns({**{c: P.number(F.col(c)) for c in PRICES}, "volume": P.number(F.col("volume"), P.WHOLE).cast("long")})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,8 +16,17 @@ def row_counts(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def multiset_compare(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row: total_left, total_right, common, left_only, right_only; order counts for nothing, copies do."""
+    return _totals(row_counts(left, right))
+
+
+def compare_marked(df: DataFrame, columns: tuple[str, ...], left: Column, right: Column) -> DataFrame:
+    """multiset_compare() of two parts of one table, which may overlap: its rows of ``left`` and those of ``right``."""
+    return _totals(df.groupBy(*columns).agg(F.count_if(left).alias("n_left"), F.count_if(right).alias("n_right")))
+
+
+def _totals(counts: DataFrame) -> DataFrame:
     zero = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
-    return row_counts(left, right).agg(
+    return counts.agg(
         zero("n_left").alias("total_left"), zero("n_right").alias("total_right"), zero(F.least("n_left", "n_right")).alias("common"),
         zero(F.greatest(F.col("n_left") - F.col("n_right"), F.lit(0))).alias("left_only"), zero(F.greatest(F.col("n_right") - F.col("n_left"), F.lit(0))).alias("right_only"),
     )

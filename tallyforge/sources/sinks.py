@@ -9,15 +9,40 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.cleaning import StepResult, Steps
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """A folder of CSV files; the committer makes them visible when the job has ended well."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
+def write_csv(df: DataFrame, path: str, order: str | None = None) -> None:
+    """A folder of CSV files; the committer makes them visible when the job has ended well.
 
-def write_split(tagged: DataFrame, path: str) -> None:
-    """Kept and rejected rows of a tagged table in one pass: folders rejected=false and rejected=true."""
-    tagged.withColumn("rejected", F.col("reject_reason").isNotNull()).write.mode("overwrite").partitionBy("rejected").parquet(path)
+    With ``order`` (src_row) the files, taken by name, have their rows in the order of that column.
+    """
+    rows = df.orderBy(order) if order else df
+    rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
+def write_split(result: StepResult, path: str) -> None:
+    """Kept and rejected rows of a step in one pass: folders rejected=false and rejected=true.
+
+    Kept rows have the columns that the step adds; in rejected ones these are null.
+    """
+    result.both.withColumn("rejected", F.col("reject_reason").isNotNull()).write.mode("overwrite").partitionBy("rejected").parquet(path)
+
+
+def write_steps(results: Steps, folder: str, order: str = "src_row") -> dict[str, str]:
+    """What the last step kept, all rejects and all audits as folders of CSV files; their names and paths.
+
+    The rejects of all steps are one pass, in folders failed_step=N with the rows as they came.
+    """
+    paths = {name: f"{folder}/{name}" for name in ("kept", "rejects")}
+    write_csv(results[-1].kept, paths["kept"], order)
+    rejects = results.whole.where("failed_step is not null").drop("ts_utc")
+    rejects.repartition("failed_step").sortWithinPartitions("failed_step", order).write.mode("overwrite").option("header", True).option("escape", '"').partitionBy("failed_step").csv(paths["rejects"])
+    for i, r in enumerate(results, 1):
+        for name, audit in r.audits.items():
+            paths[name] = f"{folder}/step{i:02d}_{name}"
+            write_csv(audit, paths[name])
+    return paths
 
 
 def reason_counts(tagged: DataFrame) -> DataFrame:
@@ -34,9 +59,9 @@ def tail(df: DataFrame, n: int | None, *order: str) -> DataFrame:
 
 
 def numbered_file(folder: str | Path, prefix: str, day: str, time: str, suffix: str = ".svg") -> Path:
-    """The next free name prefix_day_time_number."""
-    taken = [int(m[1]) for p in Path(folder).glob(f"{prefix}_*{suffix}") if (m := re.search(r"_(\d+)\Z", p.stem))]
-    return Path(folder) / f"{prefix}_{day}_{time}_{max(taken, default=0) + 1}{suffix}"
+    """The next free name prefix_day_time_number; numbers have four digits and start anew each day."""
+    taken = [int(m[1]) for p in Path(folder).glob(f"{prefix}_{day}_*{suffix}") if (m := re.search(r"_(\d+)\Z", p.stem))]
+    return Path(folder) / f"{prefix}_{day}_{time}_{max(taken, default=0) + 1:04d}{suffix}"
 
 
 def safe_stem(name: str) -> str:

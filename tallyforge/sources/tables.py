@@ -44,12 +44,14 @@ def require(columns: list[str], wanted: tuple[str, ...], reserved: tuple[str, ..
         raise ValueError(f"reserved columns: {sorted(clash)}")
 
 
-def read_csv(spark: SparkSession, path: str, ragged: str = "tolerate", encoding: str = "utf-8", required: tuple[str, ...] = (), numbered: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, ragged: str = "tolerate", encoding: str = "utf-8", required: tuple[str, ...] = (), numbered: bool = True, multi_line: bool = True) -> DataFrame:
     """All columns as text, as the header names them; src_row is the record's place in its file (header 1).
 
     ragged: "tolerate" drops fields too many and pads missing ones with null, "long" fails on records
     with too many fields, "any" on each whose number of fields differs. Records may hold line feeds, so a
-    file is one task: convert large ones to Parquet once.
+    file is one task; ``multi_line=False`` says that none does, so that large files are split. src_row then
+    ascends in a file's order with gaps. Several numbered files at once are refused with multi_line, as rows
+    of two files would share numbers.
     """
     if ragged not in ("tolerate", "long", "any"):
         raise ValueError(f"unknown rule for ragged rows: {ragged}")
@@ -57,11 +59,15 @@ def read_csv(spark: SparkSession, path: str, ragged: str = "tolerate", encoding:
     require(names, required, ("src_row", _BAD))
     schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, _BAD)])
     df = (
-        spark.read.schema(schema).option("header", True).option("encoding", encoding).option("escape", '"').option("multiLine", True)
+        spark.read.schema(schema).option("header", True).option("encoding", encoding).option("escape", '"').option("multiLine", multi_line)
         .option("enforceSchema", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD).csv(path)
     )
-    if numbered:
+    if numbered and multi_line:
+        if len(df.inputFiles()) > 1:
+            raise ValueError(f"{path} has several files: read them one by one, with multi_line=False or numbered=False")
         df = df.withColumn("src_row", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 2)
+    elif numbered:
+        df = df.withColumn("src_row", F.monotonically_increasing_id() + 2)
     if ragged != "tolerate":
         width = F.size(F.split(F.regexp_replace(F.col(_BAD), r"[\r\n]+$", ""), _COMMA, -1))
         wrong = width > len(names) if ragged == "long" else width != len(names)

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -36,6 +38,36 @@ def test_prices_volume_and_grid(spark):
     assert reasons(spark, rows, names, P.envelope_reason())[4:6] == [None, None]
 
 
+def test_volumes_of_any_size(spark):
+    values = ["1.000000001", "1000000000000", "1.0000000000000000001", "5.000", "1e25", "100000000000000000000.5", "-1e25", "1e-3", "12d", "1e999", ".5", "7.", None]
+    f, n, i = "NON_INTEGER_VOLUME", "NEGATIVE_VOLUME", "INVALID_VOLUME"
+    assert reasons(spark, [(v,) for v in values], ["volume"], P.volume_reason()) == [f, None, f, None, None, f, n, f, i, i, f, None, i]
+
+
+def test_one_plan_and_single_steps_agree(spark):
+    """Random dirty rows with definition columns and several publishers: the chain against its steps one by one."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(400):
+        p = rng.choice([100.0, 100.25, 101.5])
+        text = lambda v: rng.choice([f"{v:.2f}"] * 12 + [f"{v:.9f}1", "abc", "NaN", "-1", " ", f"{v + 0.1:.2f}"])  # noqa: B023, E731
+        rows.append((i, rng.choice(["2024-01-01T%02d:%02d:00Z" % divmod(rng.randrange(900), 60)] * 9 + ["2024-01-01T00:00:30Z", "1999-01-01T00:00:00Z", "x"]), "33", rng.choice("12"), rng.choice("78"),
+                     rng.choice(["NQH6"] * 9 + ["ESH6", " ", "NQH6-NQM6"]), text(p), text(p + 1), text(p - 1), text(p), rng.choice(["1", "2", "0", "1.5", "-3", "1.000000001", "1000000000000"]), rng.choice([None, "FUT", "OPT", "Stock"] + [None] * 5)))
+    names = "src_row long, ts_event string, rtype string, publisher_id string, instrument_id string, symbol string, open string, high string, low string, close string, volume string, instrument_class string"
+    rows += [(i + 1000, *r[1:]) for i, r in enumerate(rows[::9])]
+    df = spark.createDataFrame(rows, names).repartition(3)
+    whole = cleaning.run_steps(df)
+    got = sorted(map(tuple, cleaning.all_rejects(whole).collect()))
+    want, rest = [], df
+    for n, step in enumerate(cleaning.STEPS, 1):
+        own = step(rest, CONFIG)
+        want += [(n, r["src_row"], r["reject_reason"]) for r in own.rejects.collect()]
+        rest = own.kept
+        assert whole[n - 1].kept.columns == rest.columns and sorted(map(tuple, whole[n - 1].kept.collect()), key=repr) == sorted(map(tuple, rest.collect()), key=repr)
+        rest = spark.createDataFrame(rest.collect(), rest.schema)
+    assert got == sorted(want) and {s for s, _, _ in got} > {1, 2, 3, 5, 7, 9, 10}
+
+
 def test_nothing_is_lost(spark, sf):
     from tallyforge.sources.fixtures import raw_rows
 
@@ -84,6 +116,11 @@ def test_config(tmp_path):
     path.write_text('{"tick": "0.5", "last_utc": "2024-01-01 01:00:00+01:00", "root": "ES"}')
     got = load_clean_config(path)
     assert (str(got.tick), got.last_utc, got.root) == ("0.5", "2024-01-01 00:00:00", "ES")
+    path.write_text('''{"input_path": "raw.csv", "required_columns": ["ts_event"], "encoding": "latin-1", "clean02": {"default_output_dir": "x", "download_start_utc": "2011-01-01 01:00:00+01:00"},
+        "clean03": {"option_definition_values": ["opt"]}, "clean04": {"group_columns": ["symbol"]}, "clean09": {"tick_size": "0.5"}, "clean12": {"return_threshold_pct": "2.5"}}''')
+    got = load_clean_config(path)
+    assert (got.input_path, got.required, got.encoding, got.first_utc) == (str(tmp_path / "raw.csv"), ("ts_event",), "latin-1", "2011-01-01 00:00:00")
+    assert (got.option_values, got.group, str(got.tick), str(got.move_pct)) == (("OPT",), ("symbol",), "0.5", "2.5")
     for bad in ('{"tick": "0"}', '{"first_utc": "2024-01-01 00:00:00"}', '{"what": 1}', "{"):
         path.write_text(bad)
         with pytest.raises(ValueError):

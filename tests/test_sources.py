@@ -1,7 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tallyforge.config import derived_path
-from tallyforge.operators import bars
+from tallyforge.operators import bars, cleaning
+from tallyforge.operators.cleaning import StepResult
 from tallyforge.sources import sinks, tables
 
 
@@ -42,8 +44,8 @@ def test_aliases(spark):
 
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, None), (2, "X")], "a int, reject_reason string")
-    sinks.write_split(df, str(tmp_path / "split"))
-    assert spark.read.parquet(str(tmp_path / "split")).where("rejected = 'true'").count() == 1
+    sinks.write_split(StepResult(df, {"twice": F.col("a") * 2}), str(tmp_path / "split"))
+    assert {(r["a"], r["twice"], r["rejected"]) for r in spark.read.parquet(str(tmp_path / "split")).collect()} == {(1, 2, False), (2, None, True)}
     assert {r["reason"]: r["n_rows"] for r in sinks.reason_counts(df).collect()} == {"KEPT": 1, "X": 1}
     sinks.write_csv(df, str(tmp_path / "csv"))
     assert tables.read_csv(spark, str(tmp_path / "csv" / "*.csv"), numbered=False).count() == 2
@@ -51,10 +53,32 @@ def test_sinks(spark, tmp_path):
     with pytest.raises(ValueError):
         sinks.tail(df, 1, "a")
     assert (sinks.price_text(1234.5), sinks.price_text(7.0), sinks.safe_stem("a b/ü")) == ("1,234.5", "7", "a_b_ü")
-    assert sinks.numbered_file(tmp_path, "m", "d", "t").name == "m_d_t_1.svg"
+    assert sinks.numbered_file(tmp_path, "m", "d", "t").name == "m_d_t_0001.svg"
     assert derived_path("x/raw.csv", 3).name == "raw_clean03.csv"
 
 
+def test_steps_to_files(spark, sf, tmp_path):
+    from tallyforge.sources.fixtures import raw_rows
+
+    results = cleaning.run_steps(raw_rows(spark, sf))
+    paths = sinks.write_steps(results, str(tmp_path / "out"))
+    assert sorted(paths) == ["groups", "kept", "large_moves", "rejects", "symbols"]
+    files = sorted((tmp_path / "out" / "kept").glob("*.csv"))
+    rows = [line.split(",")[0] for f in files for line in f.read_text().splitlines() if line[0].isdigit()]
+    assert len(rows) == 807 and rows == sorted(rows, key=int)
+    rejects = spark.read.option("header", True).csv(paths["rejects"])
+    assert rejects.count() == 1032 - 807 and {"failed_step", "ts_event", "reject_reason"} <= set(rejects.columns) and "ts_utc" not in rejects.columns
+
+
+def test_row_numbers(spark, tmp_path):
+    for i in range(2):
+        (tmp_path / f"{i}.csv").write_text("a\n1\n2\n")
+    with pytest.raises(ValueError, match="several files"):
+        tables.read_csv(spark, str(tmp_path))
+    rows = [r["src_row"] for r in tables.read_csv(spark, str(tmp_path), multi_line=False).collect()]
+    assert len(rows) == len(set(rows)) == 4
+
+
 def test_chart(spark, sf, tmp_path):
     from tallyforge.plans.queries import hourly
 
