@@ -1,23 +1,28 @@
 """Quality rules whose cutoffs are chosen so that few good documents are rejected, with a guarantee.
 
-A rule rejects a document whose measure exceeds a cutoff. The cutoff of each rule in each stratum (a
-document's language) comes from labelled rows, which nothing else is fitted on: down a fixed list of
-cutoffs, from lenient to strict, a cutoff is certified while the exact binomial (Clopper-Pearson) upper
-bound of its false rejection rate stays at or under ``risk``. Testing in that fixed order needs no
-correction; the rules and strata share the error ``delta`` by Holm-free Bonferroni. Of the certified
-cutoffs the most lenient one is taken that still rejects ``worth`` of the poor documents that the
-strictest rejects, and a rule that rejects no poor one there, or too few labelled rows to certify
-anything, stays off. With probability 1 - delta, then, no rule rejects over ``risk`` of the good
-documents of any stratum.
-
-Rows: a null text has no words. Labels whose doc_id or quality is null are left out; repeated ones count
-each. A null language is a stratum of its own. Without labels only the base rule holds. Extra columns
-aren't returned.
+A rule rejects a document whose measure exceeds a cutoff. The cutoffs of a stratum (a document's language)
+come from labelled rows, which nothing else is fitted on. A level of strictness is the vector of the five
+cutoffs beyond which a given share of the good ones of a fixed half of the labelled rows lies, and its
+verdict is that of all rules together. On the other half, down the fixed list of levels from lenient to
+strict, a level is certified while the exact binomial (Clopper-Pearson) upper bound of the joint verdict's
+false rejection rate stays at or under ``risk``. Testing in that fixed order needs no correction over
+levels; the strata share the error ``delta`` by Bonferroni. With probability 1 - delta, then, no certified
+level of any stratum rejects over ``risk`` of its good documents. Of these the most lenient one holds that
+rejects as many labelled poor documents as the strictest does; if that is none, the rules stay off there.
+
+A stratum needs log(delta / strata) / log(1 - risk) distinct good documents in the second half; those that
+can't certify even the lenient end are pooled into one stratum, and tested as one if together they can.
+Equal texts of a stratum count once, as the bound is one of independent trials.
+
+Rows: a null text has no words. Labels whose doc_id or quality is null are left out; of contradicting ones
+of a document both count. A null language is a stratum of its own, apart from the empty string. Without
+labels only the base rule holds. Extra columns aren't returned.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,19 +40,19 @@ _WINDOW = 5
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
 
-def rules() -> dict[str, tuple[Column, list[float]]]:
-    """Measure and cutoffs, lenient first, of each rule."""
+def rules() -> dict[str, Column]:
+    """Each rule's measure; the more, the worse."""
     per_word = 1.0 / F.greatest(F.col("n_words"), F.lit(1))
-    shares = [i / 100 for i in range(99, 0, -1)]
     return {
-        "symbols": (F.col("n_symbols") * per_word, [2.0**i for i in np.arange(4, -7, -0.25)]),
-        "dup_lines": (F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)), shares),
-        "repeats": (F.col("n_repeat_words") * per_word, shares),
-        "long_words": (F.col("word_chars") * per_word, [float(i) for i in np.arange(40, 3, -0.5)]),
-        "short_words": (F.col("n_words") / F.greatest(F.col("word_chars"), F.lit(1)), shares),
+        "symbols": F.col("n_symbols") * per_word, "dup_lines": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
+        "repeats": F.col("n_repeat_words") * per_word, "long_words": F.col("word_chars") * per_word, "short_words": F.col("n_words") / F.greatest(F.col("word_chars"), F.lit(1)),
     }
 
 
+#: Shares of good documents beyond a rule's cutoff, lenient first.
+LEVELS = (0.0, 0.001, 0.002, 0.003, 0.005, 0.0075, 0.01, 0.015, 0.02)
+
+
 def _by_doc(values: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(doc[values], minlength=n)
 
@@ -131,48 +136,53 @@ def upper_bound(k: int, n: int, error: float) -> float:
     return high
 
 
-def choose(good: list[int], poor: list[int], n_good: int, risk: float, error: float, worth: float) -> int | None:
-    """Index of the cutoff, given the labelled rows beyond each, lenient first; None if the rule stays off."""
+def needed(risk: float, error: float) -> int:
+    """Good rows from which on a level that rejects none of them is certified."""
+    return math.ceil(math.log(error) / math.log1p(-risk))
+
+
+def choose(good: list[int], poor: list[int], n_good: int, risk: float, error: float) -> int | None:
+    """Index of the level to hold, given the good and poor rows that each rejects, lenient first; None if the rules stay off."""
     certified = -1
     for i, k in enumerate(good):
-        if k > risk * n_good or upper_bound(k, n_good, error) > risk:
+        if not n_good or k > risk * n_good or upper_bound(k, n_good, error) > risk:
             break
         certified = i
     if certified < 0 or not poor[certified]:
         return None
-    return next(i for i in range(certified + 1) if poor[i] >= worth * poor[certified])
+    return next(i for i in range(certified + 1) if poor[i] >= poor[certified])
 
 
-def cutoffs(labelled: DataFrame, risk: float = 0.005, delta: float = 0.05, worth: float = 0.98) -> dict[tuple[str, str], float]:
-    """Certified cutoffs by (stratum, rule), of rows with MEASURES, stratum and quality (1 good, 0 poor).
+def cutoffs(labelled: DataFrame, risk: float = 0.02, delta: float = 0.05) -> dict[str | None, dict[str, float]]:
+    """Certified cutoffs by stratum and rule, of rows with MEASURES, stratum, quality (1 good, 0 poor) and text_hash.
 
-    The driver receives counts by stratum, rule, cutoff and label only.
+    The driver receives quantiles and counts by stratum and level only. Quantiles are Spark's approximate
+    ones: a level may be any fixed vector, as the other half certifies it.
     """
-    all_rules = rules()
-
-    def passed(value: Column, cuts: list[float]) -> Column:
-        return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: value > c))
-
-    steps = F.array(*[F.struct(F.lit(name).alias("rule"), passed(*rule).alias("passed")) for name, rule in all_rules.items()])
-    counts = (
-        labelled.where("quality in (0, 1)").select("stratum", "quality", F.explode(steps).alias("x"))
-        .groupBy("stratum", "quality", "x.rule", "x.passed").agg(F.count("*").alias("n")).collect()
-    )
-    strata = sorted({r["stratum"] for r in counts})
-    out = {}
-    for stratum in strata:
-        for name, (_, cuts) in all_rules.items():
-            beyond = {}
-            for q in (0, 1):
-                # cutoffs descend: a row beyond one is beyond all after it
-                own = np.zeros(len(cuts) + 1, np.int64)
-                for r in counts:
-                    if (r["stratum"], r["rule"], r["quality"]) == (stratum, name, q):
-                        own[r["passed"]] += r["n"]
-                beyond[q] = [int(own[len(cuts) - i :].sum()) for i in range(len(cuts))], int(own.sum())
-            at = choose(beyond[1][0], beyond[0][0], beyond[1][1], risk, delta / (len(strata) * len(all_rules)), worth) if beyond[1][1] else None
-            if at is not None:
-                out[stratum, name] = cuts[at]
+    names = list(rules())
+    rows = labelled.where("quality in (0, 1)").select("stratum", "text_hash", "quality", *(v.alias(k) for k, v in rules().items())).dropDuplicates(["stratum", "text_hash", "quality"])
+    rows = rows.withColumn("half", F.pmod(F.xxhash64("text_hash", F.lit("half")), F.lit(2)))
+    sizes = {r["stratum"]: r["n"] for r in rows.where("quality = 1 and half = 1").groupBy("stratum").agg(F.count("*").alias("n")).collect()}
+    large = {s for s, n in sizes.items() if n >= needed(risk, delta / (len(sizes) + 1))}
+    pooled = set(sizes) - large
+    if not sizes:
+        return {}
+    # pooled strata have the name null here; a null language among the large ones is told apart by "apart"
+    apart = reduce(lambda a, b: a | b, (F.col("stratum").eqNullSafe(F.lit(s)) for s in large), F.lit(False))
+    rows = rows.withColumns({"apart": apart, "stratum": F.when(apart, F.col("stratum"))})
+    shares = [1 - x for x in LEVELS]
+    marks = rows.where("quality = 1 and half = 0").groupBy("apart", "stratum").agg(*(F.percentile_approx(F.col(x), shares, 10_000).alias(x) for x in names)).collect()
+    levels = {(r["apart"], r["stratum"]): [{x: r[x][i] for x in names} for i in range(len(LEVELS))] for r in marks}
+    out: dict[str | None, dict[str, float]] = {}
+    for (own, stratum), vectors in levels.items():
+        beyond = [reduce(lambda a, b: a | b, (F.col(x) > v[x] for x in names)) for v in vectors]
+        tested, poor = (F.col("quality") == 1) & (F.col("half") == 1), F.col("quality") == 0
+        mine = rows.where((F.col("apart") == own) & F.col("stratum").eqNullSafe(F.lit(stratum)))
+        n, *counts = mine.agg(F.count_if(tested), *(F.count_if(tested & x) for x in beyond), *(F.count_if(poor & x) for x in beyond)).first()
+        at = choose(counts[: len(LEVELS)], counts[len(LEVELS) :], n, risk, delta / (len(large) + bool(pooled)))
+        if at is not None:
+            for s in ([stratum] if own else pooled):
+                out[s] = vectors[at]
     return out
 
 
@@ -182,15 +192,17 @@ def verdicts(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     labels(doc_id, quality) are the labelled rows.
     """
     tables = Tables(docs.sparkSession, "quality")
-    strata = docs.select(F.col("doc_id").cast("long"), F.coalesce("lang", F.lit("")).alias("stratum"), "text")
+    strata = docs.select(F.col("doc_id").cast("long"), F.col("lang").alias("stratum"), F.xxhash64("text").alias("text_hash"), "text")
     found = tables.put(measures(strata), "measures")
-    known = labels.where("doc_id is not null and quality is not null").select(F.col("doc_id").alias("labelled"), "quality")
+    known = labels.where("doc_id is not null and quality is not null").select(F.col("doc_id").alias("labelled"), "quality").distinct()
     cut = cutoffs(found.join(known, F.col("doc_id") == F.col("labelled")), **settings)
     rejected = F.lit(None).cast("string")
-    for name, (value, _) in reversed(rules().items()):
-        own = [x for (s, r), v in cut.items() if r == name for x in (F.lit(s), F.lit(v))]
-        if own:
-            rejected = F.when(value > F.create_map(*own)[F.col("stratum")], F.lit(name)).otherwise(rejected)
+    for name, value in reversed(rules().items()):
+        # one condition a rule: the map has the strata's cutoffs, a null language apart
+        named = [x for s, v in cut.items() if s is not None for x in (F.lit(s), F.lit(float(v[name])))]
+        limit = F.create_map(*named)[F.col("stratum")] if named else F.lit(None).cast("double")
+        limit = F.when(F.col("stratum").isNull(), F.lit(float(cut[None][name])) if None in cut else F.lit(None).cast("double")).otherwise(limit)
+        rejected = F.when(value > limit, F.lit(name)).otherwise(rejected)
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    out = found.withColumn("base_failed", base).withColumn("rejected_by", rejected)
+    out = found.withColumn("base_failed", base).withColumn("rejected_by", rejected).drop("text_hash")
     return out.withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull())

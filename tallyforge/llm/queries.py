@@ -67,7 +67,7 @@ def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = quality.verdicts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), risk=0.005, delta=0.05)
+    found = quality.verdicts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), risk=0.02, delta=0.05)
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by")
 
 

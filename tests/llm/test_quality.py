@@ -42,36 +42,50 @@ def test_upper_bound_is_exact():
 
 
 def test_choice():
-    assert quality.choose([0, 0, 3, 40], [0, 9, 10, 90], 2000, 0.01, 0.01, 0.95) == 2
-    assert quality.choose([0, 0, 3, 40], [0, 10, 10, 90], 2000, 0.01, 0.01, 0.95) == 1
-    assert quality.choose([0], [5], 20, 0.01, 0.01, 0.95) is None  # too few good rows to certify
-    assert quality.choose([0, 0], [0, 0], 2000, 0.01, 0.01, 0.95) is None
+    assert quality.choose([0, 0, 3, 40], [0, 9, 10, 90], 2000, 0.01, 0.01) == 2
+    assert quality.choose([0, 0, 3, 40], [0, 10, 10, 90], 2000, 0.01, 0.01) == 1
+    assert quality.choose([0], [5], 20, 0.01, 0.01) is None  # too few good rows to certify
+    assert quality.choose([0, 0], [0, 0], 2000, 0.01, 0.01) is None
+    for risk, error in ((0.02, 0.05), (0.005, 0.01)):
+        n = quality.needed(risk, error)
+        assert quality.upper_bound(0, n, error) <= risk < quality.upper_bound(0, n - 1, error)
 
 
-def test_false_rejections_stay_under_the_risk():
-    """Over many labelled tables the chosen cutoff's true rate exceeds the risk in at most a share delta."""
-    rng, bad = random.Random(3), 0
-    cuts = [i / 20 for i in range(19, 0, -1)]
+def test_joint_false_rejections_stay_under_the_risk():
+    """Over many labelled tables the true joint rate of the chosen level exceeds the risk in at most a share delta."""
+    import numpy as np
+
+    rng, bad = np.random.default_rng(3), 0
+    everyone = rng.random((200_000, 5))
     for _ in range(200):
-        good, poor = [rng.random() ** 6 for _ in range(1500)], [rng.random() for _ in range(300)]
-        at = quality.choose([sum(x > c for x in good) for c in cuts], [sum(x > c for x in poor) for c in cuts], len(good), 0.02, 0.05, 0.98)
-        bad += at is not None and 1 - cuts[at] ** (1 / 6) > 0.02
+        good, poor = rng.random((1600, 5)), rng.random((300, 5)) * 0.5 + 0.5
+        levels = [np.quantile(good[:800], 1 - x, axis=0) for x in quality.LEVELS]
+        counts = [[int((rows > v).any(axis=1).sum()) for v in levels] for rows in (good[800:], poor)]
+        at = quality.choose(*counts, 800, 0.02, 0.05)
+        bad += at is not None and (everyone > levels[at]).any(axis=1).mean() > 0.02
     assert bad / 200 <= 0.08
 
 
 def test_verdicts(spark, documents):
+    """A large stratum, two small ones that are pooled, and one of null; repeated texts and labels count once."""
     rng = random.Random(5)
     rows, labels = [], []
     for i in range(3000):
         poor = i % 4 == 0
-        rows.append((i, " ".join(f"w{rng.randrange(10**6)}" + ("###" if poor else "") for _ in range(20))))
+        lang = "en" if i < 1600 else ("de", "fr", None, "")[i // 4 % 4]
+        rows.append((i, " ".join(f"w{rng.randrange(10**6)}" + ("###" if poor else "") for _ in range(20)), lang))
         if i % 3:
-            labels.append((i, 0 if poor else 1))
+            labels += [(i, 0 if poor else 1)] * (1 + i % 2)
     known = spark.createDataFrame([*labels, (None, 1), (1, None)], "doc_id long, quality int")
-    got = quality.verdicts(documents(rows), known, risk=0.01).collect()
-    assert all(r["kept"] == (r["doc_id"] % 4 != 0) for r in got)
-    off = quality.verdicts(documents(rows), known.where("false")).collect()
-    assert all(r["kept"] and r["rejected_by"] is None for r in off)
+    found = quality.verdicts(documents(rows), known, risk=0.03)
+    got = found.collect()
+    assert all(not r["kept"] for r in got if r["doc_id"] % 4 == 0)
+    assert sum(not r["kept"] for r in got if r["doc_id"] % 4) <= 0.03 * 2250
+    assert "text_hash" not in found.columns
+    few = spark.createDataFrame(labels[:40], "doc_id long, quality int")
+    for table in (known.where("false"), few):
+        off = quality.verdicts(documents(rows), table).collect()
+        assert all(r["kept"] and r["rejected_by"] is None for r in off)
 
 
 @pytest.mark.parametrize("labels", [[], [(4, 1), (4, 0), (None, 0)]])
@@ -80,3 +94,4 @@ def test_odd_rows(spark, documents, odd, labels):
     for r in got:
         assert r["base_failed"] == (r["n_words"] < 10 or 100 * r["n_repeat_words"] > 20 * r["n_words"]) and (not r["base_failed"] or not r["kept"])
     assert len(got) == len(odd)
+    assert quality.verdicts(documents(odd).where("false"), spark.createDataFrame(labels, "doc_id long, quality int")).count() == 0
