@@ -5,7 +5,8 @@ kind that pass its test. They are found in linear time, whatever the text.
 
 The field looks at islands: runs of tokens with a digit or an at-sign, one space apart. An island is split
 into atoms (letters, digits, other characters). Its segmentations consist of single atoms outside and of
-entities: a candidate runs from atom to atom, has ``REACH`` atoms at most, and a kind. Features are of
+entities: a candidate runs from atom to atom, has ``REACH`` atoms at most (the bound on entities, which base
+spans don't have), and a kind. Features are of
 whole spans (checksum, groups of digits, parts of an address, neighbours); as a candidate needs a digit or
 an at-sign, what lies outside islands can't change the best segmentation. Dynamic programming over atoms
 chooses boundaries and kinds jointly. Weights maximise the conditional likelihood of islands of a bounded
@@ -272,18 +273,19 @@ def train(examples: list[tuple[str, list[Span]]], rounds: int = 60, ridge: float
     return w
 
 
-def _sampled(batches):
-    for b in batches:
-        found = [text[s:e] for text in b["text"].to_pylist() for s, e in islands(text)]
-        yield pa.RecordBatch.from_arrays([pa.array([f for f in found if len(f) <= 200], pa.string())], ["island"])
-
-
-def fit(docs: DataFrame, islands_sampled: int = 600, invented: int = 900, seed: int = 7) -> np.ndarray:
+def fit(docs: DataFrame, islands_sampled: int = 600, invented: int = 900, seed: int = 7, longest: int = 200) -> np.ndarray:
     """Weights, of ``invented`` examples and at most ``islands_sampled`` different islands of docs.
 
-    The islands are those of the least hashes, so they don't depend on partitions.
+    The islands are those of the least hashes among those of up to ``longest`` characters, which bounds the
+    driver's work; they don't depend on partitions.
     """
-    rows = docs.where("text is not null").select("text").mapInArrow(lean(_sampled), "island string")
+
+    def sampled(batches):
+        for b in batches:
+            found = [text[s:e] for text in b["text"].to_pylist() for s, e in islands(text)]
+            yield pa.RecordBatch.from_arrays([pa.array([f for f in found if len(f) <= longest], pa.string())], ["island"])
+
+    rows = docs.where("text is not null").select("text").mapInArrow(lean(sampled), "island string")
     found = rows.groupBy("island").agg(F.count("*").alias("n")).orderBy(F.xxhash64("island"), "island").limit(islands_sampled).collect()
     rng = random.Random(seed)
     examples = [_invented(rng) for _ in range(invented)]

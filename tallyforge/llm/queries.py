@@ -49,7 +49,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
     counts = [F.aggregate("base", F.lit(0).cast("long"), _adder(kind)).alias(f"n_{kind}") for kind in pii.KINDS]
-    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def _adder(kind: str):

@@ -168,7 +168,7 @@ class PrefixCounter:
         rows, counts, extra = [], np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
         for i, p in enumerate(pieces):
             parts = [p]
-            if self.special and "<" in p:
+            if self.special and self.special.search(p):
                 parts = self.special.split(p)
                 extra[i] = len(parts) - 1
             own = [w.encode() for x in parts for w in self.pattern.findall(x)]
