@@ -2,16 +2,16 @@
 
 A rule rejects a document whose measure exceeds a cutoff. The cutoffs of a stratum (a document's language)
 come from labelled rows, which nothing else is fitted on. A level of strictness is the vector of the five
-cutoffs beyond which a given share of the good ones of a fixed half of the labelled rows lies, and its
-verdict is that of all rules together. On the other half, down the fixed list of levels from lenient to
+cutoffs beyond which a given share of the good ones of a fixed half of the labelled rows lies (or multiples
+of their largest measures), and its verdict is that of all rules together. On the other half, down the fixed list of levels from lenient to
 strict, a level is certified while the exact binomial (Clopper-Pearson) upper bound of the joint verdict's
 false rejection rate stays at or under ``risk``. Testing in that fixed order needs no correction over
 levels; the strata share the error ``delta`` by Bonferroni. With probability 1 - delta, then, no certified
 level of any stratum rejects over ``risk`` of its good documents. Of these the most lenient one holds that
 rejects as many labelled poor documents as the strictest does; if that is none, the rules stay off there.
 
-A stratum needs log(delta / strata) / log(1 - risk) distinct good documents in the second half; those that
-can't certify even the lenient end are pooled into one stratum, and tested as one if together they can.
+To certify anything a stratum needs log(delta / strata) / log(1 - risk) distinct good documents in the second
+half. Those with under four times as many, which could hardly afford a rejected one, are pooled into one.
 Equal texts of a stratum count once, as the bound is one of independent trials.
 
 Rows: a null text has no words. Labels whose doc_id or quality is null are left out; of contradicting ones
@@ -50,6 +50,8 @@ def rules() -> dict[str, Column]:
 
 
 #: Shares of good documents beyond a rule's cutoff, lenient first.
+#: Before these come the largest measures among the good ones, times FACTORS.
+FACTORS = (3.0, 2.0, 1.5, 1.2)
 LEVELS = (0.0, 0.001, 0.002, 0.003, 0.005, 0.0075, 0.01, 0.015, 0.02)
 
 
@@ -163,7 +165,7 @@ def cutoffs(labelled: DataFrame, risk: float = 0.02, delta: float = 0.05) -> dic
     rows = labelled.where("quality in (0, 1)").select("stratum", "text_hash", "quality", *(v.alias(k) for k, v in rules().items())).dropDuplicates(["stratum", "text_hash", "quality"])
     rows = rows.withColumn("half", F.pmod(F.xxhash64("text_hash", F.lit("half")), F.lit(2)))
     sizes = {r["stratum"]: r["n"] for r in rows.where("quality = 1 and half = 1").groupBy("stratum").agg(F.count("*").alias("n")).collect()}
-    large = {s for s, n in sizes.items() if n >= needed(risk, delta / (len(sizes) + 1))}
+    large = {s for s, n in sizes.items() if n >= 4 * needed(risk, delta / (len(sizes) + 1))}
     pooled = set(sizes) - large
     if not sizes:
         return {}
@@ -172,14 +174,14 @@ def cutoffs(labelled: DataFrame, risk: float = 0.02, delta: float = 0.05) -> dic
     rows = rows.withColumns({"apart": apart, "stratum": F.when(apart, F.col("stratum"))})
     shares = [1 - x for x in LEVELS]
     marks = rows.where("quality = 1 and half = 0").groupBy("apart", "stratum").agg(*(F.percentile_approx(F.col(x), shares, 10_000).alias(x) for x in names)).collect()
-    levels = {(r["apart"], r["stratum"]): [{x: r[x][i] for x in names} for i in range(len(LEVELS))] for r in marks}
+    levels = {(r["apart"], r["stratum"]): [*({x: r[x][0] * f for x in names} for f in FACTORS), *({x: r[x][i] for x in names} for i in range(len(LEVELS)))] for r in marks}
     out: dict[str | None, dict[str, float]] = {}
     for (own, stratum), vectors in levels.items():
         beyond = [reduce(lambda a, b: a | b, (F.col(x) > v[x] for x in names)) for v in vectors]
         tested, poor = (F.col("quality") == 1) & (F.col("half") == 1), F.col("quality") == 0
         mine = rows.where((F.col("apart") == own) & F.col("stratum").eqNullSafe(F.lit(stratum)))
         n, *counts = mine.agg(F.count_if(tested), *(F.count_if(tested & x) for x in beyond), *(F.count_if(poor & x) for x in beyond)).first()
-        at = choose(counts[: len(LEVELS)], counts[len(LEVELS) :], n, risk, delta / (len(large) + bool(pooled)))
+        at = choose(counts[: len(vectors)], counts[len(vectors) :], n, risk, delta / (len(large) + bool(pooled)))
         if at is not None:
             for s in ([stratum] if own else pooled):
                 out[s] = vectors[at]
