@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +27,8 @@ from .text import HashIndex, U, prefix_sums, quick_hash
 
 #: Words over so many bytes aren't put in a matrix.
 _WIDE = 32
+#: Ends of prefixes of a long word in one block.
+_ENDS = 4096
 _CONTRACTIONS = ("'re", "'ve", "'ll")
 
 
@@ -88,19 +89,47 @@ class PrefixCounter:
                     break
         return count
 
-    def _one(self, word: bytes) -> np.ndarray:
-        count, last = np.zeros(len(word) + 1, np.int32), [0] * (len(word) + 1)
-        for i in range(1, len(word) + 1):
-            for n in range(min(i, self.longest), 0, -1):
-                token = self.pairs.tokens.get(word[i - n : i])
-                if token is not None and (n == i or self._pair(last[i - n], token)):
-                    last[i], count[i] = token, count[i - n] + 1
-                    break
-        return count
+    def _ending(self, total: np.ndarray, down: np.ndarray, low: int, stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """End, length and id of every token that ends at low, ..., stop - 1; by end, the longest first."""
+        found = []
+        for n in range(min(self.longest, stop - 1), 0, -1):
+            end = np.arange(max(low, n), stop)
+            token = self.index.find((quick_hash(total, down, end - n, end) >> U(1)).view(np.int64))
+            hit = token >= 0
+            found.append((end[hit], np.full(int(hit.sum()), n), token[hit].astype(np.int64)))
+        end, size, token = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(end, kind="stable")
+        return end[order], size[order], token[order]
 
-    @lru_cache(maxsize=200_000)  # noqa: B019  one counter for each worker process
-    def _pair(self, a: int, b: int) -> bool:
-        return self.pairs.encode_words([self.by_id[a] + self.by_id[b]])[0].tolist() == [a, b]
+    def _one(self, word: bytes) -> np.ndarray:
+        """Tokens of the first 0, 1, ... bytes of one long word, a block of ends at a time.
+
+        The last token of a prefix is one of the few that end there, so whether they stay apart is asked for all
+        pairs of a block at once; only the choice goes from end to end. Every byte is a token.
+        """
+        total, down = prefix_sums(np.frombuffer(word, np.uint8))
+        count, used = [0] * (len(word) + 1), [0] * (len(word) + 1)
+        for a in range(1, len(word) + 1, _ENDS):
+            low, stop = max(1, a - self.longest), min(a + _ENDS, len(word) + 1)
+            end, size, token = self._ending(total, down, low, stop)
+            edge = np.searchsorted(end, np.arange(low, stop + 1))
+            before = end - size
+            many = np.where((end >= a) & (before > 0), edge[np.maximum(before - low, 0) + 1] - edge[np.maximum(before - low, 0)], 0)
+            right = np.repeat(np.arange(len(end)), many)
+            place = np.cumsum(many) - many
+            left = np.arange(len(right)) - place[right] + edge[before[right] - low]
+            ok = self._apart(token[left], token[right]).tolist()
+            edge, size, place = edge.tolist(), size.tolist(), place.tolist()
+            nth = [size.index(used[i], edge[i - low]) - edge[i - low] for i in range(low, a)]  # of the tokens at an end, the chosen one
+            for i in range(a, stop):
+                first = edge[i - low]
+                for c in range(first, edge[i - low + 1]):
+                    j = i - size[c]
+                    if j == 0 or ok[place[c] + nth[j - low]]:
+                        nth.append(c - first)
+                        used[i], count[i] = size[c], count[j] + 1
+                        break
+        return np.array(count, np.int32)
 
     def word_prefixes(self, words: list[bytes]) -> list[np.ndarray]:
         """Token counts of the first 0, 1, ... bytes of each word."""

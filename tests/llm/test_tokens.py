@@ -62,6 +62,17 @@ def test_counts_of_every_prefix(tokenizer):
         assert table.prefixes(t[:60]).tolist() == [size(t[:i]) for i in range(len(t[:60]) + 1)]
 
 
+@pytest.mark.parametrize("letters", ["a", "ab", "theandinger", "éüß日本", "".join(chr(0x4E00 + i) for i in range(500))])
+def test_long_words(tokenizer, letters):
+    table, _ = token_counts.counter(JSON, P.PATTERN)
+    for n in (33, 127, 129, 4095, 4097, 9000):
+        word = "".join(rng.choices(letters, k=n))
+        counts = table._one(word.encode())
+        assert counts[-1] == len(tokenizer.encode(word, add_special_tokens=False).ids)
+        if n < 200:
+            assert (counts == table._matrix([word.encode()])[0]).all()
+
+
 def test_counts_and_budgets(spark, documents, odd, tokenizer):
     rows = [*odd, *((100 + i, t) for i, t in enumerate(FUZZ))]
     size = lambda t: len(tokenizer.encode(t, add_special_tokens=False).ids)
