@@ -8,7 +8,8 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-CHUNK = 1 << 20
+#: Bytes of texts that a worker works on at once (or one longer text): its arrays take some hundred bytes for each.
+CHUNK = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _PRIME = (1 << 61) - 1
 _PRIME_BASE = 0x1F0A3D5C7B9E2467
@@ -41,7 +42,7 @@ def _kept_tables(name: str, n: int, make) -> tuple[np.ndarray, ...]:
     """make(size) of n values or more, kept but for one very long text's."""
     if name not in _tables or len(_tables[name][0]) < n:
         made = make(max(n, CHUNK))
-        if len(made[0]) > 4 * CHUNK:
+        if len(made[0]) > 16 * CHUNK:
             return made
         _tables[name] = made
     return _tables[name]
