@@ -27,8 +27,8 @@ from .text import HashIndex, U, prefix_sums, quick_hash
 
 #: Words over so many bytes aren't put in a matrix.
 _WIDE = 32
-#: Ends of prefixes of a long word in one block.
-_ENDS = 4096
+#: Ends of prefixes of long words in one block, and bytes of long words that are joined.
+_ENDS, _RUN = 4096, 1 << 16
 _CONTRACTIONS = ("'re", "'ve", "'ll")
 
 
@@ -89,11 +89,11 @@ class PrefixCounter:
                     break
         return count
 
-    def _ending(self, total: np.ndarray, down: np.ndarray, low: int, stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """End, length and id of every token that ends at low, ..., stop - 1; by end, the longest first."""
-        found = []
-        for n in range(min(self.longest, stop - 1), 0, -1):
-            end = np.arange(max(low, n), stop)
+    def _ending(self, total: np.ndarray, down: np.ndarray, low: int, base: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """End, length and id of every token that ends at low, low + 1, ... in a word that begins at base; by end, the longest first."""
+        found, ends = [], np.arange(low, low + len(base))
+        for n in range(min(self.longest, int((ends - base).max())), 0, -1):
+            end = ends[ends - base >= n]
             token = self.index.find((quick_hash(total, down, end - n, end) >> U(1)).view(np.int64))
             hit = token >= 0
             found.append((end[hit], np.full(int(hit.sum()), n), token[hit].astype(np.int64)))
@@ -101,35 +101,53 @@ class PrefixCounter:
         order = np.argsort(end, kind="stable")
         return end[order], size[order], token[order]
 
-    def _one(self, word: bytes) -> np.ndarray:
-        """Tokens of the first 0, 1, ... bytes of one long word, a block of ends at a time.
+    def _joint(self, words: list[bytes]) -> list[np.ndarray]:
+        """Tokens of the first 0, 1, ... bytes of each of some long words, joined, a block of ends at a time.
 
         The last token of a prefix is one of the few that end there, so whether they stay apart is asked for all
         pairs of a block at once; only the choice goes from end to end. Every byte is a token.
         """
-        total, down = prefix_sums(np.frombuffer(word, np.uint8))
-        count, used = [0] * (len(word) + 1), [0] * (len(word) + 1)
-        for a in range(1, len(word) + 1, _ENDS):
-            low, stop = max(1, a - self.longest), min(a + _ENDS, len(word) + 1)
-            end, size, token = self._ending(total, down, low, stop)
+        sizes = list(map(len, words))
+        begin = np.cumsum([0, *sizes])
+        base = np.repeat([0, *begin[:-1]], [1, *sizes])  # by end, where its word begins; no word ends at 0
+        total, down = prefix_sums(np.frombuffer(b"".join(words), np.uint8))
+        count, used = [0] * len(base), [0] * len(base)
+        for a in range(1, len(base), _ENDS):
+            low, stop = max(1, a - self.longest), min(a + _ENDS, len(base))
+            end, size, token = self._ending(total, down, low, base[low:stop])
             edge = np.searchsorted(end, np.arange(low, stop + 1))
             before = end - size
-            many = np.where((end >= a) & (before > 0), edge[np.maximum(before - low, 0) + 1] - edge[np.maximum(before - low, 0)], 0)
+            inner = before > base[end]
+            at = np.where(inner, np.maximum(before - low, 0), 0)
+            many = np.where((end >= a) & inner, edge[at + 1] - edge[at], 0)
             right = np.repeat(np.arange(len(end)), many)
             place = np.cumsum(many) - many
-            left = np.arange(len(right)) - place[right] + edge[before[right] - low]
+            left = np.arange(len(right)) - place[right] + edge[at[right]]
             ok = self._apart(token[left], token[right]).tolist()
-            edge, size, place = edge.tolist(), size.tolist(), place.tolist()
+            edge, size, place, inner = edge.tolist(), size.tolist(), place.tolist(), inner.tolist()
             nth = [size.index(used[i], edge[i - low]) - edge[i - low] for i in range(low, a)]  # of the tokens at an end, the chosen one
             for i in range(a, stop):
                 first = edge[i - low]
                 for c in range(first, edge[i - low + 1]):
                     j = i - size[c]
-                    if j == 0 or ok[place[c] + nth[j - low]]:
+                    if not inner[c] or ok[place[c] + nth[j - low]]:
                         nth.append(c - first)
-                        used[i], count[i] = size[c], count[j] + 1
+                        used[i], count[i] = size[c], (count[j] if inner[c] else 0) + 1
                         break
-        return np.array(count, np.int32)
+        return [np.array([0, *count[b + 1 : b + n + 1]], np.int32) for b, n in zip(begin.tolist(), sizes)]
+
+    def _long(self, words: list[bytes]) -> list[np.ndarray]:
+        """_joint() of runs of words of at most _RUN bytes together, or of one longer word."""
+        out: list[np.ndarray] = []
+        run: list[bytes] = []
+        n = 0
+        for w in words:
+            if run and n + len(w) > _RUN:
+                out += self._joint(run)
+                run, n = [], 0
+            run.append(w)
+            n += len(w)
+        return out + self._joint(run) if run else out
 
     def word_prefixes(self, words: list[bytes]) -> list[np.ndarray]:
         """Token counts of the first 0, 1, ... bytes of each word."""
@@ -140,7 +158,10 @@ class PrefixCounter:
             if own and (some := [i for i in own if words[i]]):
                 for i, row in zip(some, self._matrix([words[i] for i in some]), strict=True):
                     out[i] = row[: len(words[i]) + 1]
-        return [self._one(w) if x is None else x for w, x in zip(words, out, strict=True)]
+        long = [i for i, w in enumerate(words) if len(w) > _WIDE]
+        for i, x in zip(long, self._long([words[i] for i in long]), strict=True):
+            out[i] = x
+        return [np.zeros(1, np.int32) if x is None else x for x in out]
 
     def totals(self, words: list[bytes]) -> np.ndarray:
         """Tokens of each word: the last entries of its prefix table."""
@@ -151,8 +172,9 @@ class PrefixCounter:
             for k in range(0, len(own), 50_000):
                 part = own[k : k + 50_000]
                 out[part] = self._matrix([words[i] for i in part])[np.arange(len(part)), size[part]]
-        for i in np.flatnonzero(size > _WIDE):
-            out[i] = self._one(words[i])[-1]
+        long = np.flatnonzero(size > _WIDE)
+        for i, x in zip(long, self._long([words[i] for i in long]), strict=True):
+            out[i] = x[-1]
         return out
 
     def _ordinary(self, text: str) -> np.ndarray:

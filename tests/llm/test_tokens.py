@@ -67,7 +67,8 @@ def test_long_words(tokenizer, letters):
     table, _ = token_counts.counter(JSON, P.PATTERN)
     for n in (33, 127, 129, 4095, 4097, 9000):
         word = "".join(rng.choices(letters, k=n))
-        counts = table._one(word.encode())
+        counts, again, short = table._joint([word.encode(), word.encode(), word[:40].encode()])
+        assert (counts == again).all() and (short == counts[: len(short)]).all()
         assert counts[-1] == len(tokenizer.encode(word, add_special_tokens=False).ids)
         if n < 200:
             assert (counts == table._matrix([word.encode()])[0]).all()
