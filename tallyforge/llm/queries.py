@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, jaccard, langid, lines, mixing, pii, quality, token_counts, token_ids
+from . import bpe, exact, fingerprint, jaccard, langid, lines, mixing, pii, quality, repeats, token_counts, token_ids
 from .common import Tables, read
 
 
@@ -87,12 +87,46 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.rates(docs, domains(labels), targets={"good": 0.8, "poor": 0.1, "toxic": 0.0})
 
 
+def looped(text: Column, doc_id: Column) -> Column:
+    """The text; where h % 10 = 0 its words, joined by spaces, loop from word a on with period p."""
+    words = F.regexp_extract_all(text, F.lit("([^\\x20\\x09-\\x0D]+)"), F.lit(1))
+    h = F.crc32(doc_id.cast("string"))
+    g, n = F.floor(h / 10), F.size(words)
+    a = (g % F.when(n > 0, n)).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    times = F.ceil((n - a) / p).cast("int")
+    loop = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), times)), F.lit(1), n - a)
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(F.concat(F.slice(words, F.lit(1), a), loop), " ")).otherwise(text)
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", looped(F.col("text"), F.col("doc_id")).alias("text"))
+    found = repeats.find(docs, exponent=4, shortest=6).withColumn("best", repeats.best("runs"))
+    each = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(each, lambda r: F.concat(r, F.lit("\n"))), ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words",
+    )
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return exact.groups(docs.withColumn("text_sha256", F.sha2(exact.normalised(F.col("text")), 256))).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
 
 #: Queries that DuckDB can express over whole tables.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op13_exact_dedup": r"""
+        WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[ \t\n\x0B\f\r]+', ' ', 'g') AS norm FROM documents),
+        h AS (SELECT doc_id, sha256(norm) AS text_sha256 FROM t),
+        g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM h GROUP BY 1)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM h JOIN g USING (text_sha256)
+    """,
+}
 
 
 def oracle_sql() -> dict[str, str]:
