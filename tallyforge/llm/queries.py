@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, fingerprint, jaccard, langid, lines, mixing, pii, quality, repeats, token_counts, token_ids
+from . import bpe, exact, fingerprint, jaccard, langid, lines, mixing, negatives, pii, quality, repeats, token_counts, token_ids
 from .common import Tables, read
 
 
@@ -87,6 +87,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.rates(docs, domains(labels), targets={"good": 0.8, "poor": 0.1, "toxic": 0.0})
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0, positives=5, negatives=5, share=(80, 100), scale=256)
+
+
 def looped(text: Column, doc_id: Column) -> Column:
     """The text; where h % 10 = 0 its words, joined by spaces, loop from word a on with period p."""
     words = F.regexp_extract_all(text, F.lit("([^\\x20\\x09-\\x0D]+)"), F.lit(1))
@@ -120,6 +126,16 @@ def queries() -> dict:
 
 #: Queries that DuckDB can express over whole tables.
 ORACLE_SQL: dict[str, str] = {
+    "op11_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+                   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.e, b.e)::BIGINT AS score
+              FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
+    """,
     "op13_exact_dedup": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[ \t\n\x0B\f\r]+', ' ', 'g') AS norm FROM documents),
         h AS (SELECT doc_id, sha256(norm) AS text_sha256 FROM t),
