@@ -8,6 +8,7 @@ step repeats the work of those before it and one scan knows the rejects of all.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -171,12 +172,44 @@ STEPS = (
 )
 
 
-class Steps(list):
-    """The StepResults of a chain; ``whole`` is its one plan, see tagged_once()."""
+class Steps(Sequence):
+    """The StepResults of a chain, all of the one plan ``whole`` (see tagged_once()); each is built when it is asked for.
 
-    def __init__(self, results: list[StepResult], whole: DataFrame):
-        super().__init__(results)
-        self.whole = whole
+    A row that failed_step names is in the input of the steps up to that one, any other in that of all steps.
+    """
+
+    def __init__(self, whole: DataFrame, names: list[str], config: CleanConfig, last: int):
+        self.whole, self.names, self.config, self.last = whole, names, config, last
+        self._made: dict[int, StepResult] = {}
+
+    def __len__(self) -> int:
+        return self.last
+
+    def __getitem__(self, at):
+        if isinstance(at, slice):
+            return [self[i] for i in range(*at.indices(self.last))]
+        step = range(1, self.last + 1)[at]
+        if step not in self._made:
+            self._made[step] = self._result(step)
+        return self._made[step]
+
+    def _result(self, step: int) -> StepResult:
+        failed = F.col("failed_step")
+        names = [c if step <= 2 or c != "ts_event" else "ts_utc" for c in self.names]
+        reason = F.when(failed == step, F.col("reject_reason")).alias("reject_reason")
+        rows = self.whole.where(failed.isNull() | (failed >= step)).select(*(F.col(f"`{c}`") for c in names), *(["ts_utc"] if step == 2 else []), reason)
+        if step == 2:
+            return _Stamped(rows, {"ts_utc": F.col("ts_utc")}, {"ts_event": "ts_utc"})
+        if step == 11:
+            return StepResult(rows, {"zero_volume_flag": zero_volume()})
+        if step == 12:
+            rows = rows.withColumn("zero_volume_flag", zero_volume())
+        group = self.config.group
+        audit = {4: ("groups", group_audit, group), 5: ("symbols", symbol_conflicts), 12: ("large_moves", large_moves, self.config)}.get(step)
+        if audit is None:
+            return StepResult(rows)
+        name, make, *more = audit
+        return StepResult(rows, audits={name: make(rows.drop("reject_reason"), *more)})
 
 
 def _apart(df: DataFrame, without: tuple[str, ...] = (), **columns: Column) -> DataFrame:
@@ -195,7 +228,7 @@ def _reasons(raw: DataFrame, config: CleanConfig) -> DataFrame:
     """
     if missing := [c for c in config.required if c not in raw.columns]:
         raise ValueError(f"missing columns: {missing}")
-    if clash := {"ts_utc", "zero_volume_flag", "failed_step", "reject_reason", *_REASONS} & set(raw.columns):
+    if clash := {"ts_utc", "zero_volume_flag", "failed_step", "reject_reason", "_live", "_deal", *_REASONS} & set(raw.columns):
         raise ValueError(f"columns {sorted(clash)} exist already")
     texts = _apart(
         raw, ts_utc=P.stamp(F.col("ts_event")), _fraction=P.past_micros(F.col("ts_event")), _symbol=F.upper(P.stripped(F.col("symbol"))),
@@ -215,7 +248,8 @@ def _reasons(raw: DataFrame, config: CleanConfig) -> DataFrame:
 def tagged_once(raw: DataFrame, config: CleanConfig, last: int = 12) -> DataFrame:
     """raw with ts_utc, and failed_step and reject_reason of the first of the steps 1 to ``last`` that rejects a row.
 
-    Rows go to their instrument's minute once, which serves the windows of both steps that compare rows.
+    Rows go to their instrument's minute once, which serves the windows of both steps that compare rows. Those
+    that are rejected already, whose keys may all be alike (no time), are dealt evenly beside them.
     """
     rows = _reasons(raw, config)
 
@@ -231,40 +265,23 @@ def tagged_once(raw: DataFrame, config: CleanConfig, last: int = 12) -> DataFram
         rows = _fail_where(rows, live & (F.col("_no_key") | F.col("ts_utc").isNull()), "a series key or time is blank")
     minute = ("publisher_id", "instrument_id", "ts_utc")
     if last >= 5:
-        rows = rows.withColumn("_live", live).repartition(*minute)
-        again = F.row_number().over(W.partitionBy("_live", *minute, *(c for c in config.group if c not in minute), *OHLCV).orderBy("src_row")) > 1
+        deal = F.when(live, F.lit(0).cast("long")).otherwise(F.xxhash64("src_row"))
+        rows = rows.withColumns({"_live": live, "_deal": deal}).repartition("_deal", *minute)
+        again = F.row_number().over(W.partitionBy("_deal", "_live", *minute, *(c for c in config.group if c not in minute), *OHLCV).orderBy("src_row")) > 1
         rows = fails(rows, {5: F.when(again, "EXACT_DUPLICATE")})
     if last >= 6:
-        own = W.partitionBy("_live", *minute)
+        own = W.partitionBy("_deal", "_live", *minute)
         differ = P.any_of([F.min(c).over(own) != F.max(c).over(own) for c in OHLCV])
         rows = fails(rows.withColumn("_live", live), {6: F.when(F.coalesce(differ, F.lit(False)), "CONFLICT_DUPLICATE")})
     if last >= 7:
         rows = fails(rows, own_row(7, 10))
-    return rows.drop(*_REASONS, "_live")
+    return rows.drop(*_REASONS, "_live", "_deal")
 
 
 def run_steps(raw: DataFrame, config: CleanConfig | None = None, last: int = 12) -> Steps:
     """Results of the steps 1 to ``last``, each on what the one before kept; nothing runs until an action."""
-    config, out, whole = config or CleanConfig(), [], raw
-    for i in range(1, last + 1):
-        whole = tagged_once(raw, config, i)
-        names = [c if i <= 2 or c != "ts_event" else "ts_utc" for c in raw.columns]
-        rows = whole.where(F.col("failed_step").isNull() | (F.col("failed_step") == i)).select(*names, *(["ts_utc"] if i == 2 else []), "reject_reason")
-        if i == 12:
-            rows = rows.withColumn("zero_volume_flag", zero_volume())
-        adds, instead = {2: ({"ts_utc": F.col("ts_utc")}, {"ts_event": "ts_utc"}), 11: ({"zero_volume_flag": zero_volume()}, {})}.get(i, ({}, {}))
-        audits = {}
-        if i == 4:
-            audits = {"groups": group_audit(rows, config.group)}
-        elif i == 5:
-            audits = {"symbols": symbol_conflicts(rows)}
-        elif i == 12:
-            audits = {"large_moves": large_moves(rows.drop("reject_reason"), config)}
-        if i == 2:
-            out.append(_Stamped(rows, adds, instead))
-        else:
-            out.append(StepResult(rows, adds, instead, audits))
-    return Steps(out, whole)
+    config = config or CleanConfig()
+    return Steps(tagged_once(raw, config, last), raw.columns, config, last)
 
 
 class _Stamped(StepResult):

@@ -22,11 +22,11 @@ def write_csv(df: DataFrame, path: str, order: str | None = None) -> None:
 
 
 def write_split(result: StepResult, path: str) -> None:
-    """Kept and rejected rows of a step in one pass: folders rejected=false and rejected=true.
+    """Kept and rejected rows of a step in one pass: folders rejected=0 and rejected=1 (Spark reads a partition column's 0 and 1 as int).
 
     Kept rows have the columns that the step adds; in rejected ones these are null.
     """
-    result.both.withColumn("rejected", F.col("reject_reason").isNotNull()).write.mode("overwrite").partitionBy("rejected").parquet(path)
+    result.both.withColumn("rejected", F.col("reject_reason").isNotNull().cast("int")).write.mode("overwrite").partitionBy("rejected").parquet(path)
 
 
 def write_steps(results: Steps, folder: str, order: str = "src_row") -> dict[str, str]:

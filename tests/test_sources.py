@@ -45,7 +45,7 @@ def test_aliases(spark):
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, None), (2, "X")], "a int, reject_reason string")
     sinks.write_split(StepResult(df, {"twice": F.col("a") * 2}), str(tmp_path / "split"))
-    assert {(r["a"], r["twice"], r["rejected"]) for r in spark.read.parquet(str(tmp_path / "split")).collect()} == {(1, 2, False), (2, None, True)}
+    assert {(r["a"], r["twice"], r["rejected"]) for r in spark.read.parquet(str(tmp_path / "split")).collect()} == {(1, 2, 0), (2, None, 1)}
     assert {r["reason"]: r["n_rows"] for r in sinks.reason_counts(df).collect()} == {"KEPT": 1, "X": 1}
     sinks.write_csv(df, str(tmp_path / "csv"))
     assert tables.read_csv(spark, str(tmp_path / "csv" / "*.csv"), numbered=False).count() == 2
