@@ -44,6 +44,7 @@ TREE_CELLS = 1 << 18
 _TOGETHER = 256
 
 _TREE = "label long, dim int, ids binary, kind string, vectors binary, centres binary, radii binary, spans binary"
+_TREE_COLUMNS = ("tree", *(c.split()[0] for c in _TREE.split(", ")))
 _ANCHOR = ("anchor_row", "anchor_id", "label", "vector", "lows", "highs")
 _FOUND = pa.schema([("anchor_row", pa.int64()), ("window", pa.int32()), ("score", pa.int64()), ("vec_id", pa.int64())])
 
@@ -281,15 +282,18 @@ def _search(tables: Tables, anchors: DataFrame, forest: DataFrame, k: int, same:
 
     Blocks of anchors and groups of trees are numbered within a label if only trees of the own label count.
     """
-    space = F.col("label") if same else F.lit(0).cast("long")
-    anchors, forest = anchors.withColumn("space", space), forest.withColumn("space", space)
-    sizes = anchors.groupBy("space").agg(F.count("*").alias("n_anchors")).join(forest.groupBy("space").agg(F.count("*").alias("n_trees")), "space")
-    sizes = tables.put(sizes.select("space", F.ceil(F.col("n_anchors") / BLOCK).alias("blocks"), F.ceil(F.col("n_trees") / GROUP).alias("groups")), "sizes")
+    blocks, groups = (lambda n: F.ceil(n / BLOCK)), (lambda n: F.ceil(n / GROUP))
+    if same:
+        sizes = anchors.groupBy("label").agg(blocks(F.count("*")).alias("blocks")).join(forest.groupBy("label").agg(groups(F.count("*")).alias("groups")), "label")
+        sizes = tables.put(sizes, "sizes")
+        anchors, forest, keys = anchors.join(sizes, "label"), forest.join(sizes, "label"), ("label", "block", "group")
+    else:
+        sizes = {"blocks": blocks(F.lit(anchors.count())), "groups": groups(F.lit(forest.count()))}
+        anchors, forest, keys = anchors.withColumns(sizes), forest.withColumns(sizes), ("block", "group")
     some = lambda key, n: F.pmod(F.xxhash64(key), F.col(n))
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    left = anchors.join(sizes, "space").select(*_ANCHOR, "space", some("anchor_row", "blocks").alias("block"), every("groups").alias("group"))
-    right = forest.join(sizes, "space").select(*forest.columns, some("tree", "groups").alias("group"), every("blocks").alias("block"))
-    keys = ("space", "block", "group")
+    every = lambda n: F.explode(F.when(F.col(n) > 0, F.sequence(F.lit(0).cast("long"), F.col(n) - 1)))
+    left = anchors.select(*_ANCHOR, some("anchor_row", "blocks").alias("block"), every("groups").alias("group"))
+    right = forest.select(*_TREE_COLUMNS, some("tree", "groups").alias("group"), every("blocks").alias("block"))
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(lambda a, t: _searched(a, t, k, same), "anchor_row long, window int, score long, vec_id long")
     ranked = found.withColumn("rank", F.row_number().over(W.partitionBy("anchor_row", "window").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k)
@@ -308,7 +312,8 @@ def mine(rows: DataFrame, anchors: Column, positives: int = 5, negatives: int =
     first = own.where(anchors).select(F.monotonically_increasing_id().alias("anchor_row"), F.col("vec_id").alias("anchor_id"), "label", "vector")
     first = tables.put(first, "anchors")
     all_scores = first.withColumns({"lows": wide(-(2**63)), "highs": wide(2**63 - 1)})
-    good = tables.put(_search(tables, all_scores, forest, positives, True).select("anchor_row", (F.col("rank") - 1).alias("window"), F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score")), "positives")
+    good = _search(tables, all_scores, forest, positives, True)
+    good = tables.put(good.select("anchor_row", (F.col("rank") - 1).alias("window"), F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score")), "positives")
 
     num, den = share
     scaled = F.col("positive_score").cast("decimal(28,0)") * num
@@ -318,6 +323,7 @@ def mine(rows: DataFrame, anchors: Column, positives: int = 5, negatives: int =
     # missing positives have a window without scores
     filled = lambda c, x: F.slice(F.concat(F.col(f"w.{c}"), F.array_repeat(F.lit(x).cast("long"), positives)), 1, positives)
     second = first.join(windows.select("anchor_row", filled("low", 1).alias("lows"), filled("positive_score", 0).alias("highs")), "anchor_row")
+    second = tables.put(second, "windows")
     bad = _search(tables, second, forest, negatives, False)
     named = bad.join(good, ["anchor_row", "window"]).join(first.select("anchor_row", "anchor_id"), "anchor_row")
     return named.select("anchor_id", "positive_id", "rank", F.col("vec_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))
