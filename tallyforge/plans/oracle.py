@@ -182,6 +182,8 @@ recent AS (SELECT symbol, pivot_label FROM lab QUALIFY row_number() OVER (PARTIT
 guess AS (SELECT symbol, bool_or(pivot_label IN ('HH', 'HL')) AS up, bool_or(pivot_label IN ('LH', 'LL')) AS down FROM recent GROUP BY symbol),
 n AS (SELECT symbol, count(*) AS n_pivots FROM lab GROUP BY symbol)
 SELECT b.symbol, CAST(CASE WHEN trend <> 0 THEN trend WHEN coalesce(n_pivots, 0) < 2 THEN 0 WHEN guess.up THEN 1 WHEN guess.down THEN -1 ELSE 0 END AS INTEGER) AS trend, support, resistance, coalesce(n_pivots, 0) AS n_pivots FROM last_bar b LEFT JOIN guess USING (symbol) LEFT JOIN n USING (symbol)"""
+    same = {"pieces_flags": "hhll_flags", "pieces_labels": "structure_labels", "pieces_levels": "structure_levels", "pieces_events": "break_events", "pieces_trend_now": "trend_now"}
+    out |= {name: out[other] for name, other in same.items()}
     out["multiset_compare"] = f"""{_steps(6)},
 a AS (SELECT {_MULTISET}, count(*) AS n FROM s04 GROUP BY ALL), b AS (SELECT {_MULTISET}, count(*) AS n FROM s06 GROUP BY ALL),
 j AS (SELECT coalesce(a.n, 0) AS x, coalesce(b.n, 0) AS y FROM a FULL JOIN b USING ({_MULTISET}))

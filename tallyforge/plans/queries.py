@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import CleanConfig, PivotConfig
 from ..functions import indicators
-from ..operators import bars, cleaning, compare, kalman, structure
+from ..operators import bars, cleaning, compare, kalman, pieces, structure
 from ..sources import fixtures, sinks
 
 STRICT, HALF_STRICT = PivotConfig(5, 5, True), PivotConfig(5, 5, False)
@@ -155,6 +155,31 @@ def trend_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structure.trend_now(_trended(spark, sf_dir))
 
 
+def _in_pieces(config: PivotConfig, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole structure in pieces of 100 hours, so that every series has several here."""
+    return pieces.structure(hourly(spark, sf_dir), config, rows=100, span="week")
+
+
+def pieces_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _in_pieces(STRICT, spark, sf_dir).select("symbol", "ts", "Higher_Low", "Higher_High", "Lower_Low", "Lower_High")
+
+
+def pieces_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _only_pivots(_in_pieces(HALF_STRICT, spark, sf_dir), "pivot_label", F.col("confirmed_at").cast("long").alias("confirmed_at"))
+
+
+def pieces_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _in_pieces(HALF_STRICT, spark, sf_dir).select("symbol", "ts", "support", "resistance", "trend")
+
+
+def pieces_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _in_pieces(HALF_STRICT, spark, sf_dir).where("event is not null").select("symbol", "ts", "event", "event_level")
+
+
+def pieces_trend_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.trend_now(_in_pieces(HALF_STRICT, spark, sf_dir))
+
+
 def multiset_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows before exact copies go against the rows that stay after the conflicts' step."""
     whole = cleaning.tagged_once(fixtures.raw_rows(spark, sf_dir), CleanConfig(), last=6)
@@ -194,6 +219,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     plain = (
         clean04_group_audit, clean05_symbol_conflicts, clean11_zero_volume, clean12_large_moves, reject_summary, pipeline_clean_all, rollup_clean, latest_contract,
         last_n_bars, dedup_last, range_filter, pivots_strict, pivots_half_strict, zigzag, hhll_flags, hhll_counts, structure_labels, structure_levels, break_events,
-        trend_now, multiset_compare, bar_features, ema_200, atr_14, imm_kalman, imm_css_summary,
+        trend_now, pieces_flags, pieces_labels, pieces_levels, pieces_events, pieces_trend_now, multiset_compare, bar_features, ema_200, atr_14, imm_kalman, imm_css_summary,
     )
     return named | {f.__name__: f for f in plain}
