@@ -1,9 +1,9 @@
-"""Bar indicators: window expressions, and linear recursions in two passes over pieces of a series."""
+"""Bar indicators: window expressions, and linear recursions as scans of affine maps over pieces of a series."""
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -27,37 +27,79 @@ def features(bars: DataFrame, group: tuple[str, ...] = ("symbol",), order: str =
     return rows.withColumns({"v_blend": 0.5 * (F.col("v_midpoint") + F.col("v_clv")), "volume_mass": F.greatest(mass, F.lit(0.1))})
 
 
+def affine_scan(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """y with y[i] = a[i] * y[i - 1] + b[i] and y[0] = b[0], in log2(n) vectorised steps.
+
+    The maps y -> a y + b compose to such maps; each step composes every map with the one 1, 2, 4, ... before.
+    An a of 0 starts anew, whatever came before.
+    """
+    a, b, step = a.copy(), b.copy(), 1
+    while step < len(a):
+        live = np.flatnonzero(a[step:]) + step
+        if not len(live):
+            break
+        more, slope = a[live] * b[live - step], a[live] * a[live - step]
+        b[live] += more
+        a[live] = slope
+        step *= 2
+    return b
+
+
+def _scanned(keys: tuple[str, ...], a: str, b: str, start: str, out: str):
+    """A function over sorted Arrow batches: ``out`` is a * (out of the row before) + b; before a key's first row stands ``start``."""
+
+    def run(batches):
+        last, state = None, 0.0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            slope, shift, before = (np.array(batch.column(c).to_numpy(zero_copy_only=False), float) for c in (a, b, start))
+            new = np.zeros(batch.num_rows, bool)
+            for key in keys:
+                codes = batch.column(key).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+                new[1:] |= codes[1:] != codes[:-1]
+            ends = [[batch.column(k)[i].as_py() for k in keys] for i in (0, batch.num_rows - 1)]
+            new[0] = True
+            if ends[0] == last:
+                before[0] = state
+            shift[new] += slope[new] * before[new]
+            slope[new] = 0.0
+            y = affine_scan(slope, shift)
+            last, state = ends[1], float(y[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(y)], [*batch.schema.names, out])
+
+    return run
+
+
 def smoothed(bars: DataFrame, value: str, out: str, weight: float, group: tuple[str, ...] = ("symbol",), order: str = "ts", piece: str = "day") -> DataFrame:
-    """bars with out[i] = out[i-1] + weight * (value[i] - out[i-1]), which starts with the first value.
+    """bars with out[i] = out[i-1] + weight * (value[i] - out[i-1]), which starts with the first value; a null value is NaN.
 
-    The recursion is linear, so a piece of a series (a day, a month) is worked out from zero; where it
-    ends, given where it starts, is one multiplication and one sum. A pass over one row a piece finds all
-    starts, a second adds what each start leaves to its piece. No task holds more than a piece.
+    What a piece of a series (a day, a month) does to the state is a multiplication and a sum, both of which are
+    aggregates of its rows. A scan over one row a piece finds the state that each piece starts with; one over
+    the bars, piece by piece, is the result. A task holds a batch of its pieces' bars.
     """
-    rows = bars.withColumn("_piece", F.date_trunc(piece, order).cast("timestamp_ntz")).withColumn("_value", F.col(value).cast("double"))
-    local = T.StructType([*rows.schema.fields, T.StructField("_own", T.DoubleType()), T.StructField("_left", T.DoubleType())])
-    names = list(rows.columns)
-
-    def solve(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(order, kind="stable").reset_index(drop=True)
-        state, own = 0.0, np.empty(len(part))
-        for i, x in enumerate(part["_value"].to_numpy()):
-            state = own[i] = state + weight * (x - state)
-        part["_own"] = own
-        part["_left"] = (1.0 - weight) ** np.arange(1, len(part) + 1)
-        return part[[*names, "_own", "_left"]]
-
-    solved = rows.groupBy(*group, "_piece").applyInPandas(solve, local)
-    # what stands before a piece: the first value, carried through the pieces before
-    ends = solved.groupBy(*group, "_piece").agg(F.max_by("_own", order).alias("own"), F.min("_left").alias("left"), F.min_by("_value", order).alias("first"))
-    pieces = ends.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("_piece", "own", "left", "first"))).alias("all"))
-    carry = F.aggregate(
-        "all", F.struct(F.element_at("all", 1)["first"].alias("now"), F.array().cast("array<double>").alias("starts")),
-        lambda acc, x: F.struct((x["own"] + acc["now"] * x["left"]).alias("now"), F.concat(acc["starts"], F.array(acc["now"])).alias("starts")), lambda acc: acc["starts"],
+    left, taken = 1.0 - weight, {c.lower() for c in bars.columns} & {"_piece", "_x", "_a", "_b", "_start", out.lower()}
+    if taken:
+        raise ValueError(f"columns exist already: {sorted(taken)}")
+    series = F.struct(*group)
+    x = F.coalesce(F.col(value).cast("double"), F.lit(float("nan")))
+    rows = bars.withColumns({"_piece": F.date_trunc(piece, order).cast("timestamp_ntz"), "_x": x})
+
+    own = W.partitionBy("_piece", *group)
+    placed = rows.select(*group, "_piece", "_x", F.row_number().over(own.orderBy(order)).alias("at"), F.count("*").over(own).alias("n"))
+    sums = placed.groupBy("_piece", *group).agg(
+        F.pow(F.lit(left), F.max("n")).alias("_a"), F.sum(F.col("_x") * weight * F.pow(F.lit(left), F.col("n") - F.col("at"))).alias("_b"), F.max(F.when(F.col("at") == 1, F.col("_x"))).alias("_start"),
     )
-    starts = pieces.select(*group, F.explode(F.arrays_zip(F.col("all._piece").alias("_piece"), carry.alias("_start"))).alias("x")).select(*group, "x._piece", "x._start")
-    joined = solved.join(starts, [*group, "_piece"])
-    return joined.withColumn(out, F.col("_own") + F.col("_start") * F.col("_left")).select(*bars.columns, out)
+    # only the first piece's start, its first value, is taken; the others start where the one before ends
+    sums = sums.repartition(*group).sortWithinPartitions(*group, "_piece")
+    ends = sums.mapInArrow(_scanned(group, "_a", "_b", "_start", "_end"), T.StructType([*sums.schema.fields, T.StructField("_end", T.DoubleType())]))
+    before = F.lag("_end").over(W.partitionBy(*group).orderBy("_piece"))
+    starts = ends.select(series.alias("_of"), F.col("_piece").alias("_from"), F.coalesce(before, F.col("_start")).alias("_start"))
+
+    rows = rows.join(starts, (series == F.col("_of")) & (F.col("_piece") == F.col("_from"))).drop("_of", "_from")
+    rows = rows.withColumns({"_a": F.lit(left), "_b": F.col("_x") * weight}).repartition("_piece", *group).sortWithinPartitions("_piece", *group, order)
+    done = rows.mapInArrow(_scanned((*group, "_piece"), "_a", "_b", "_start", out), T.StructType([*rows.schema.fields, T.StructField(out, T.DoubleType())]))
+    return done.select(*(F.col(f"`{c}`") for c in bars.columns), out)
 
 
 def ema(bars: DataFrame, value: str, out: str, period: int, **where) -> DataFrame:

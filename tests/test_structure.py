@@ -204,3 +204,43 @@ def test_stream_makes_the_same_bars(spark, sf, tmp_path):
     query.awaitTermination(120)
     want = rollup(ticks(spark, sf), "1 hour").select("symbol", "ts", "open", "high", "low", "close", "volume")
     assert spark.table("hours").exceptAll(want).isEmpty() and want.exceptAll(spark.table("hours")).isEmpty()
+
+
+def test_affine_scan_is_the_recursion():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 7, 1000, 4097):
+        a, b = rng.uniform(0, 1, n), rng.normal(0, 5, n)
+        a[rng.random(n) < 0.02] = 0.0
+        want, state = [], 0.0
+        for i in range(n):
+            state = b[i] if i == 0 else a[i] * state + b[i]
+            want.append(state)
+        assert np.allclose(indicators.affine_scan(a, b), want, rtol=1e-12, atol=1e-12)
+    # what comes before a start doesn't matter, even if it isn't finite
+    assert indicators.affine_scan(np.array([0.5, 0.5, 0.0, 0.5]), np.array([np.nan, 1.0, 3.0, 1.0])).tolist()[2:] == [3.0, 2.5]
+
+
+@pytest.mark.parametrize("piece", ["hour", "day", "month"])
+def test_recursions_over_several_series(spark, piece):
+    """Pieces of one bar and of all, batches that end within a piece, a null key, a null value, series of one bar."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        rows = [r for k, n in enumerate((90, 1, 50)) for r in random_bars(k, n, ("A", None, "C")[k])]
+        rows = [(*r[:5], None if r[:2] == ("C", 30) else r[5], r[6]) for r in rows]
+        got = indicators.smoothed(frame(spark, rows), "close", "e", 0.2, piece=piece).collect()
+        for name in ("A", None, "C"):
+            own = sorted((r for r in got if r["symbol"] == name), key=lambda r: r["i"])
+            want = running(np.array([np.nan if r[5] is None else r[5] for r in rows if r[0] == name], float), 0.2)
+            assert np.allclose([r["e"] for r in own], want, rtol=1e-12, equal_nan=True)
+        assert np.isnan([r["e"] for r in got if r["symbol"] == "C" and r["i"] >= 30]).all()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_extreme_weights(spark):
+    df = frame(spark, random_bars(5, 60))
+    assert all(r["e"] == r["close"] for r in indicators.smoothed(df, "close", "e", 1.0).collect())
+    first = df.where("i = 0").first()["close"]
+    assert all(abs(r["e"] - first) < 1e-12 for r in indicators.smoothed(df, "close", "e", 0.0).collect())
+    with pytest.raises(ValueError, match="exist"):
+        indicators.smoothed(df, "close", "Volume", 0.5)
