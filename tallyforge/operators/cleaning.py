@@ -72,16 +72,32 @@ def step03_symbols(df: DataFrame, config: CleanConfig) -> StepResult:
     return StepResult(_tag(df, P.symbol_reason(F.col("symbol"), fields, config)))
 
 
-def group_audit(df: DataFrame, group: tuple[str, ...] = GROUP) -> DataFrame:
-    """Rows, first and last time, repeated times, gaps and missing minutes of each series."""
-    before = F.lag("ts_utc").over(W.partitionBy(*group).orderBy("ts_utc", "src_row"))
-    wait = F.unix_micros(F.col("ts_utc").cast("timestamp")) - F.unix_micros(before.cast("timestamp"))
-    return (
-        df.select(*group, "ts_utc", wait.alias("wait")).groupBy(*group).agg(
-            F.count("*").alias("row_count"), F.min("ts_utc").alias("first_ts_utc"), F.max("ts_utc").alias("last_ts_utc"),
-            F.count_if(F.col("wait") == 0).alias("duplicate_timestamp_rows"), F.count_if(F.col("wait") > 60_000_000).alias("gap_count"),
-            F.coalesce(F.sum(F.when(F.col("wait") > 60_000_000, F.floor(F.col("wait") / 60_000_000) - 1)), F.lit(0)).alias("missing_minutes"),
-        )
+def _span(span: str) -> Column:
+    return F.date_trunc(span, "ts_utc").cast("timestamp_ntz")
+
+
+def group_audit(df: DataFrame, group: tuple[str, ...] = GROUP, span: str = "day") -> DataFrame:
+    """Rows, first and last time, repeated times, gaps and missing minutes of each series.
+
+    Each span of a series (a day) is summed up by itself, as a first and a last time and counts; two such sums
+    in a row are one again, with the gap between them. So a task has one span's rows, or a row a span.
+    """
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    gap = lambda wait: (wait > 60_000_000).cast("long")
+    missing = lambda wait: F.when(wait > 60_000_000, F.floor(wait / 60_000_000) - 1).otherwise(0)
+    rows = df.select(*group, "ts_utc", "src_row", _span(span).alias("_span"))
+    before = F.lag("ts_utc").over(W.partitionBy("_span", *group).orderBy("ts_utc", "src_row"))
+    rows = rows.withColumn("wait", micros(F.col("ts_utc")) - micros(before))
+    wait = F.col("wait")
+    sums = rows.groupBy("_span", *group).agg(
+        F.count("*").alias("n"), F.min("ts_utc").alias("first"), F.max("ts_utc").alias("last"), F.count_if(wait == 0).alias("same"),
+        F.coalesce(F.sum(gap(wait)), F.lit(0)).alias("gaps"), F.coalesce(F.sum(missing(wait)), F.lit(0)).alias("missing"),
+    )
+    between = micros(F.col("first")) - micros(F.lag("last").over(W.partitionBy(*group).orderBy("_span")))
+    sums = sums.withColumn("wait", between)
+    return sums.groupBy(*group).agg(
+        F.sum("n").alias("row_count"), F.min("first").alias("first_ts_utc"), F.max("last").alias("last_ts_utc"), F.sum("same").alias("duplicate_timestamp_rows"),
+        F.sum(F.col("gaps") + F.coalesce(gap(wait), F.lit(0))).alias("gap_count"), F.sum(F.col("missing") + F.coalesce(missing(wait), F.lit(0))).alias("missing_minutes"),
     )
 
 
@@ -145,11 +161,24 @@ def zero_volume() -> Column:
     return F.coalesce(P.number(F.col("volume"), P.WHOLE) == 0, F.lit(False)).cast("int")
 
 
+def after_previous(df: DataFrame, values: dict[str, str], group: tuple[str, ...], span: str = "day") -> DataFrame:
+    """df with columns of the row before in its series, by (ts_utc, src_row): ``values`` are their names and what they are of.
+
+    Rows meet in spans of a series (a day). The first row of a span finds its predecessor among the first and
+    last rows of all spans, which are a small table.
+    """
+    own, along = W.partitionBy("_span", *group).orderBy("ts_utc", "src_row"), W.partitionBy(*group).orderBy("ts_utc", "src_row")
+    lags = lambda order: {name: F.lag(c).over(order) for name, c in values.items()}
+    rows = df.withColumn("_span", _span(span))
+    rows = rows.withColumns({"_first": F.row_number().over(own) == 1, "_last": F.lead(F.lit(True)).over(own).isNull(), **lags(own)})
+    edges = rows.where("_first or _last").withColumns(lags(along)).where("_first")
+    return rows.where("not _first").unionByName(edges).drop("_span", "_first", "_last")
+
+
 def large_moves(df: DataFrame, config: CleanConfig) -> DataFrame:
     """Rows whose close moved by move_pct or more against the series' row before."""
-    own = W.partitionBy(*config.group).orderBy("ts_utc", "src_row")
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    rows = df.withColumn("now", P.number(F.col("close"))).withColumn("previous_close", F.lag("now").over(own)).withColumn("previous_ts_utc", F.lag("ts_utc").over(own))
+    rows = after_previous(df.withColumn("now", P.number(F.col("close"))), {"previous_close": "now", "previous_ts_utc": "ts_utc"}, config.group)
     limit = F.lit(config.move_pct).cast("decimal(10,4)")
     change = (F.col("now").cast("double") - F.col("previous_close").cast("double")) / F.col("previous_close").cast("double") * 100
     return (

@@ -25,6 +25,7 @@ from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
 from ..config import PivotConfig
+from ..functions import indicators
 from ..sources.stored import stored
 
 #: Bars of a piece.
@@ -55,6 +56,25 @@ def numbered(df: DataFrame, group: tuple[str, ...] = ("symbol",), order: str = "
     return rows.join(counts.select("_series", "_span", "before"), ["_series", "_span"]).withColumn("bar", F.col("before") + F.col("bar") - 1).drop("before", "_span")
 
 
+def overlapping(rows: DataFrame, size: int, left: int = 0, right: int = 0) -> DataFrame:
+    """numbered() rows with _piece: a bar is in its own piece, and in that of the bar ``left`` after or ``right`` before it."""
+    piece, bar = (lambda at: F.floor(at / size)), F.col("bar")
+    return rows.withColumn("_piece", F.explode(F.array_distinct(F.array(piece(bar), piece(bar + left), F.greatest(piece(bar - right), F.lit(0))))))
+
+
+def owned(rows: DataFrame, size: int) -> DataFrame:
+    """overlapping() rows without those that are in a piece as a neighbour only."""
+    return rows.where(F.col("_piece") == F.floor(F.col("bar") / size))
+
+
+def features(bars: DataFrame, group: tuple[str, ...] = ("symbol",), order: str = "ts", rows: int = ROWS, span: str = "month") -> DataFrame:
+    """indicators.features() piece by piece: a bar needs the 19 before it at most."""
+    if rows < 20:
+        raise ValueError("a piece has 20 bars or more")
+    near = overlapping(numbered(bars, group, order, span), rows, left=20)
+    return owned(indicators.features(near, ("_piece", "_series"), "bar"), rows).drop("_piece", "_series", "bar")
+
+
 class Pieces:
     """The passes over one table of bars; result() has them all."""
 
@@ -74,17 +94,15 @@ class Pieces:
 
         A bar also goes to the pieces that need it as a neighbour, and is dropped there once it has served.
         """
-        c, bar = self.config, F.col("bar")
-        piece = lambda at: F.floor(at / self.rows)
-        wanted = F.array_distinct(F.array(piece(bar), piece(bar + c.left), F.greatest(piece(bar - c.right), F.lit(0))))
-        rows = self.bars.withColumn("_piece", F.explode(wanted))
+        c = self.config
+        rows = overlapping(self.bars, self.rows, c.left, c.right)
         own = W.partitionBy("_piece", "_series").orderBy("bar")
         left, right = own.rowsBetween(-c.left, -1), own.rowsBetween(1, c.right)
         whole = (F.count("*").over(left) == c.left) & (F.count("*").over(right) == c.right)
         top, bottom = F.max("high").over(right), F.min("low").over(right)
         high = (F.col("high") > F.max("high").over(left)) & (F.col("high") > top if c.strict_right else F.col("high") >= top)
         low = (F.col("low") < F.min("low").over(left)) & (F.col("low") < bottom if c.strict_right else F.col("low") <= bottom)
-        rows = rows.withColumn("pivot_kind", F.when(whole & high, "high").when(whole & low, "low")).where(F.col("_piece") == piece(bar))
+        rows = owned(rows.withColumn("pivot_kind", F.when(whole & high, "high").when(whole & low, "low")), self.rows)
         return rows.withColumn("pivot_price", F.when(F.col("pivot_kind") == "high", F.col("high")).when(F.col("pivot_kind") == "low", F.col("low")))
 
     @staticmethod

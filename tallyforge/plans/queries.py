@@ -194,6 +194,11 @@ def bar_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("symbol", "ts", *(F.round(c, 6).alias(c) for c in names))
 
 
+def pieces_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("midpoint", "ohlc4", "v_midpoint", "v_ohlc4", "v_clv", "v_blend", "true_range", "volume_mean", "volume_mass")
+    return pieces.features(hourly(spark, sf_dir), rows=100, span="week").select("symbol", "ts", *(F.round(c, 6).alias(c) for c in names))
+
+
 def ema_200(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indicators.ema(hourly(spark, sf_dir), "close", "ema_200", 200).select("symbol", "ts", F.round("ema_200", 6).alias("ema_200"))
 
@@ -219,6 +224,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     plain = (
         clean04_group_audit, clean05_symbol_conflicts, clean11_zero_volume, clean12_large_moves, reject_summary, pipeline_clean_all, rollup_clean, latest_contract,
         last_n_bars, dedup_last, range_filter, pivots_strict, pivots_half_strict, zigzag, hhll_flags, hhll_counts, structure_labels, structure_levels, break_events,
-        trend_now, pieces_flags, pieces_labels, pieces_levels, pieces_events, pieces_trend_now, multiset_compare, bar_features, ema_200, atr_14, imm_kalman, imm_css_summary,
+        trend_now, pieces_flags, pieces_labels, pieces_levels, pieces_events, pieces_trend_now, multiset_compare, bar_features, pieces_features, ema_200, atr_14, imm_kalman, imm_css_summary,
     )
     return named | {f.__name__: f for f in plain}

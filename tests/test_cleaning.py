@@ -1,4 +1,5 @@
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,3 +126,36 @@ def test_config(tmp_path):
         path.write_text(bad)
         with pytest.raises(ValueError):
             load_clean_config(path)
+
+
+def sequential_audit(rows):
+    """(key, rows, first, last, repeated, gaps, missing) by a walk over the rows."""
+    out = {}
+    for _, _, inst, sym, ts, *_ in sorted(rows, key=lambda r: (r[4], r[0])):
+        at = datetime.fromisoformat(ts)
+        n, first, last, same, gaps, missing = out.get((inst, sym), (0, at, None, 0, 0, 0))
+        wait = None if last is None else (at - last).total_seconds()
+        gap = wait is not None and wait > 60
+        out[inst, sym] = (n + 1, first, at, same + (wait == 0), gaps + gap, missing + (int(wait // 60) - 1 if gap else 0))
+    return out
+
+
+def test_audits_over_days(spark):
+    """Series of many days with one row or several a day, repeated times at both ends of a day, a null symbol."""
+    rng, rows = random.Random(6), []
+    for i in range(500):
+        day, minute = rng.choice([(1, 0), (1, 1439), (2, 0), (2, 1439), (rng.randint(1, 28), rng.randrange(1440))])
+        rows.append((i, "1", rng.choice("789"), rng.choice(["NQU6", None]), f"2024-01-{day:02d} {minute // 60:02d}:{minute % 60:02d}:00", "1", "1", "1", str(rng.randint(90, 110)), "1"))
+    rows += [(900 + d, "1", "one a day", "NQU6", f"2024-02-{d:02d} 00:00:00", "1", "1", "1", str(100 + d % 3), "1") for d in (1, 2, 3, 7, 8)]
+    df = bars(spark, rows).repartition(5)
+    names = ("row_count", "first_ts_utc", "last_ts_utc", "duplicate_timestamp_rows", "gap_count", "missing_minutes")
+    for span in ("hour", "day", "year"):
+        assert {(r["instrument_id"], r["symbol"]): tuple(r[c] for c in names) for r in cleaning.group_audit(df, span=span).collect()} == sequential_audit(rows)
+    want, last = [], {}
+    for r in sorted(rows, key=lambda r: (r[4], r[0])):
+        if (before := last.get(r[2:4])) and abs(int(r[8]) - int(before[8])) * 100 >= int(before[8]):
+            want.append((r[0], before[4], float(before[8]), "LARGE_UP" if int(r[8]) > int(before[8]) else "LARGE_DOWN"))
+        last[r[2:4]] = r
+    got = cleaning.large_moves(df, CONFIG).collect()
+    assert sorted((r["src_row"], str(r["previous_ts_utc"]), float(r["previous_close"]), r["anomaly_direction"]) for r in got) == sorted(want)
+    assert cleaning.group_audit(df.where("false")).collect() == [] and cleaning.large_moves(df.where("false"), CONFIG).collect() == []

@@ -105,3 +105,13 @@ def test_stored_tables_go(spark):
     assert path.exists() and df.count() == 3
     stored.release(spark)
     assert not path.exists()
+
+
+def test_features_over_pieces(spark, rows):
+    from tallyforge.functions import indicators
+
+    df = frame(spark, rows)
+    found, usual = pieces.features(df, rows=20, span="day"), indicators.features(df)
+    assert found.columns == usual.columns
+    plain = lambda t: sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in t.collect()), key=repr)
+    assert plain(found) == plain(usual)
