@@ -250,10 +250,10 @@ def _apart(df: DataFrame, without: tuple[str, ...] = (), **columns: Column) -> D
 _REASONS = ("r1", "r2", "r3", "r7", "r8", "r9", "r10", "_no_key")
 
 
-def _reasons(raw: DataFrame, config: CleanConfig) -> DataFrame:
-    """raw with ts_utc, and the reasons r1, r2, r3, r7, r8, r9, r10 of the steps that look at one row only, and _no_key.
+def _early_reasons(raw: DataFrame, config: CleanConfig) -> DataFrame:
+    """raw with ts_utc, and the reasons r1, r2, r3 of the steps before rows are compared, and _no_key.
 
-    In layers, as the JVM runs a generated method of over 8,000 bytes without compiling it.
+    In layers (as are the late ones), as the JVM runs a generated method of over 8,000 bytes without compiling it.
     """
     if missing := [c for c in config.required if c not in raw.columns]:
         raise ValueError(f"missing columns: {missing}")
@@ -261,17 +261,21 @@ def _reasons(raw: DataFrame, config: CleanConfig) -> DataFrame:
         raise ValueError(f"columns {sorted(clash)} exist already")
     texts = _apart(
         raw, ts_utc=P.stamp(F.col("ts_event")), _fraction=P.past_micros(F.col("ts_event")), _symbol=F.upper(P.stripped(F.col("symbol"))),
-        _prices=F.struct(*(P.number(F.col(c)).alias(c) for c in PRICES)), _odd=F.struct(*(P.is_not_finite(F.col(c)).alias(c) for c in PRICES)),
         _blank=P.any_of([P.is_blank(F.col(c)) for c in config.required]), _no_key=P.any_of([P.is_blank(F.col(c)) for c in config.group]),
     )
-    prices, odd = ({c: F.col(f"{x}.{c}") for c in PRICES} for x in ("_prices", "_odd"))
     fields = [F.col(c) for c in ("instrument_class", "security_type") if c in raw.columns]
-    half = _apart(
+    return _apart(
         texts, ("_fraction", "_symbol", "_blank"), r1=F.when(F.col("_blank"), "MISSING_REQUIRED_FIELD"), r2=P.moment_reason(F.col("ts_utc"), F.col("_fraction"), config),
-        r3=P.symbol_reason(F.col("_symbol"), fields, config), r10=P.volume_reason(),
+        r3=P.symbol_reason(F.col("_symbol"), fields, config),
     )
-    most = _apart(half, ("_odd",), r7=P.price_reason(prices, odd), r8=P.envelope_reason(prices))
-    return _apart(most, ("_prices",), r9=P.tick_reason(config, prices))
+
+
+def _late_reasons(rows: DataFrame, config: CleanConfig) -> DataFrame:
+    """rows with the reasons r7, r8, r9 and r10 of the steps after rows were compared."""
+    parsed = _apart(rows, _prices=F.struct(*(P.number(F.col(c)).alias(c) for c in PRICES)), _odd=F.struct(*(P.is_not_finite(F.col(c)).alias(c) for c in PRICES)))
+    prices, odd = ({c: F.col(f"{x}.{c}") for c in PRICES} for x in ("_prices", "_odd"))
+    most = _apart(parsed, ("_odd",), r7=P.price_reason(prices, odd), r8=P.envelope_reason(prices))
+    return _apart(_apart(most, ("_prices",), r9=P.tick_reason(config, prices)), r10=P.volume_reason())
 
 
 def tagged_once(raw: DataFrame, config: CleanConfig, last: int = 12) -> DataFrame:
@@ -280,7 +284,7 @@ def tagged_once(raw: DataFrame, config: CleanConfig, last: int = 12) -> DataFram
     Rows go to their instrument's minute once, which serves the windows of both steps that compare rows. Those
     that are rejected already, whose keys may all be alike (no time), are dealt evenly beside them.
     """
-    rows = _reasons(raw, config)
+    rows = _early_reasons(raw, config)
 
     def fails(df: DataFrame, reasons: dict[int, Column]) -> DataFrame:
         """A row that no step has rejected yet gets the first of these steps' reasons."""
@@ -303,7 +307,7 @@ def tagged_once(raw: DataFrame, config: CleanConfig, last: int = 12) -> DataFram
         differ = P.any_of([F.min(c).over(own) != F.max(c).over(own) for c in OHLCV])
         rows = fails(rows.withColumn("_live", live), {6: F.when(F.coalesce(differ, F.lit(False)), "CONFLICT_DUPLICATE")})
     if last >= 7:
-        rows = fails(rows, own_row(7, 10))
+        rows = fails(_late_reasons(rows, config), own_row(7, 10))
     return rows.drop(*_REASONS, "_live", "_deal")
 
 

@@ -79,6 +79,28 @@ class Tracker:
         self.prior = np.zeros(_SIZE)
         self.side = self.count = self.ups = self.downs = 0
 
+    _PLAIN = ("n", "close", "mid", "ohlc4", "speed", "energy", "side", "count", "ups", "downs")
+    _MEANS = ("atr", "atr_level", "speed_level", "speed_mean", "speed_out")
+
+    def numbers(self) -> list[float]:
+        """The state as numbers, from which of() makes it again."""
+        means = [float("nan") if (m := getattr(self, name).now) is None else m for name in self._MEANS]
+        return [*(float(getattr(self, name)) for name in self._PLAIN), *map(float, means), *self.weights.tolist(), *map(float, self.prior), *self.x.ravel().tolist(), *self.p.ravel().tolist(), *map(float, self.volumes)]
+
+    @classmethod
+    def of(cls, numbers: list[float], options: Options = Options()) -> Tracker:
+        """The tracker whose numbers() these are."""
+        made, left = cls(options), iter(numbers)
+        take = lambda n: [next(left) for _ in range(n)]
+        for name, value in zip(cls._PLAIN, take(len(cls._PLAIN)), strict=True):
+            setattr(made, name, type(getattr(made, name))(value))
+        for name, value in zip(cls._MEANS, take(len(cls._MEANS)), strict=True):
+            getattr(made, name).now = None if value != value else value
+        made.weights, made.prior = np.array(take(2)), np.array(take(_SIZE))
+        made.x, made.p = np.array(take(2 * _SIZE)).reshape(2, _SIZE), np.array(take(2 * _SIZE * _SIZE)).reshape(2, _SIZE, _SIZE)
+        made.volumes.extend(left)
+        return made
+
     def _observe(self, o: float, h: float, l: float, c: float, v: float | None) -> tuple:  # noqa: E741
         wide = h - l if not self.n else max(h - l, abs(h - self.close), abs(l - self.close))
         reach = max(self.atr(wide), 1e-4)
