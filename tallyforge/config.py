@@ -30,6 +30,7 @@ class CleanConfig:
     group: tuple[str, ...] = GROUP
     input_path: str | None = None
     output_path: str | None = None
+    large_moves_path: str | None = None
     encoding: str = "utf-8"
 
     def __post_init__(self):
@@ -64,15 +65,19 @@ SECTIONS = {
     "clean03": {"future_definition_values": "future_values", "option_definition_values": "option_values"},
     "clean04": {"group_columns": "group"},
     "clean09": {"tick_size": "tick", "tick_tolerance": "tick_tolerance"},
-    "clean12": {"return_threshold_pct": "move_pct"},
+    "clean12": {"return_threshold_pct": "move_pct", "large_up_down_output_path": "large_moves_path"},
 }
+#: Settings that every section may have and that mean nothing here, and those of one section.
+PASSED_OVER = ("default_input_path", "default_output_dir")
+PASSED_OVER_IN = {"clean05": ("timestamp_column",), "clean06": ("timestamp_column",)}
+ALL_SECTIONS = tuple(f"clean{n:02d}" for n in range(2, 13))
 
 
 def load_clean_config(path: str | Path) -> CleanConfig:
     """CleanConfig of a JSON object of field names, or of the sections by step (SECTIONS) that its files usually have.
 
-    Times carry an offset; paths are relative to the file's folder. Other settings of sections (folders of
-    steps, names of columns that are fixed here) are passed over; unknown names outside are an error.
+    Times carry an offset; paths are relative to the file's folder. Folders of steps and names of columns
+    that are fixed here are passed over (PASSED_OVER); any other name, of a setting or a section, is an error.
     """
     try:
         raw: dict[str, Any] = json.loads(Path(path).read_text(encoding="utf-8"))
@@ -84,10 +89,17 @@ def load_clean_config(path: str | Path) -> CleanConfig:
     given = {OUTSIDE.get(k, k): v for k, v in raw.items() if not isinstance(v, dict)}
     if unknown := set(given) - names:
         raise ValueError(f"unknown settings: {sorted(unknown)}")
+    for section, values in raw.items():
+        if not isinstance(values, dict):
+            continue
+        if section not in ALL_SECTIONS:
+            raise ValueError(f"unknown section: {section}")
+        if unknown := set(values) - {*SECTIONS.get(section, {}), *PASSED_OVER, *PASSED_OVER_IN.get(section, ())}:
+            raise ValueError(f"unknown settings in {section}: {sorted(unknown)}")
     for section, own in SECTIONS.items():
         given |= {name: raw[section][key] for key, name in own.items() if key in raw.get(section, {})}
     read = {c: lambda v: Decimal(str(v)) for c in ("tick", "tick_tolerance", "move_pct")} | {c: _utc for c in ("first_utc", "last_utc")}
-    read |= {c: lambda v: str(Path(path).parent / Path(v).expanduser()) for c in ("input_path", "output_path")} | {c: lambda v: tuple(x.upper() for x in v) for c in ("future_values", "option_values")}
+    read |= {c: lambda v: str(Path(path).parent / Path(v).expanduser()) for c in ("input_path", "output_path", "large_moves_path")} | {c: lambda v: tuple(x.upper() for x in v) for c in ("future_values", "option_values")}
     made = {k: read[k](v) if k in read else tuple(v) if isinstance(v, list) else v for k, v in given.items()}
     return replace(CleanConfig(), **made)
 

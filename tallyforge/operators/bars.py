@@ -62,3 +62,23 @@ def between(df: DataFrame, first: str | None = None, last: str | None = None, ts
     if first is not None:
         df = df.where(F.col(ts) >= F.lit(first).cast("timestamp_ntz"))
     return df if last is None else df.where(F.col(ts) <= F.lit(last).cast("timestamp_ntz"))
+
+
+def read_series(df: DataFrame, group: tuple[str, ...] = ("symbol",), ts: str = "ts", order: str = "src_row", symbol: str | None = None, first: str | None = None, last: str | None = None, tail: int | None = None) -> DataFrame:
+    """What the filter is to be given of a table of bars (see sources.tables.resolve() for its names): one series, sound and in range.
+
+    The series with the latest time, or with that symbol; of it the rows with a time whose prices are numbers in a
+    sound envelope; of equal times the last; from ``first`` to ``last``; of these the last ``tail``. A missing or
+    null volume is 1, a negative one 0. A table without such a series has no rows.
+    """
+    if tail is not None and tail < 2:
+        raise ValueError("a tail has 2 rows or more")
+    if symbol is not None and "symbol" not in df.columns:
+        raise ValueError("there is no column symbol to choose by")
+    timed = df.where(F.col(ts).isNotNull())
+    own = valid_bars(of_series(timed, latest_series(timed, group, ts, order, symbol), group)) if group else valid_bars(timed)
+    volume = F.col("volume").cast("string").try_cast("double") if "volume" in df.columns else F.lit(None).cast("double")
+    volume = F.when(~F.isnan(volume), volume)
+    own = own.withColumn("volume", F.greatest(F.coalesce(volume, F.lit(1.0)), F.lit(0.0)))
+    ranged = between(dedup_last(own, group, ts, order), first, last, ts)
+    return ranged if tail is None else ranged.orderBy(F.desc(ts)).limit(tail)

@@ -201,6 +201,15 @@ STEPS = (
 )
 
 
+#: Every reason to reject a row, with the step that gives it.
+REASONS = (
+    (1, "MISSING_REQUIRED_FIELD"), (2, "INVALID_TIMESTAMP"), (2, "TIMESTAMP_OUT_OF_RANGE"), (2, "TIMESTAMP_NOT_MINUTE_ALIGNED"),
+    (3, "INVALID_SYMBOL"), (3, "OPTION_INSTRUMENT"), (3, "FUTURES_SPREAD"), (3, "INVALID_PRODUCT"), (5, "EXACT_DUPLICATE"), (6, "CONFLICT_DUPLICATE"),
+    (7, "INVALID_PRICE"), (7, "NON_FINITE_PRICE"), (7, "NON_POSITIVE_PRICE"), (8, "INVALID_OHLC"), (9, "INVALID_TICK_SIZE"),
+    (10, "INVALID_VOLUME"), (10, "NEGATIVE_VOLUME"), (10, "NON_INTEGER_VOLUME"),
+)
+
+
 class Steps(Sequence):
     """The StepResults of a chain, all of the one plan ``whole`` (see tagged_once()); each is built when it is asked for.
 

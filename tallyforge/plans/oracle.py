@@ -140,6 +140,10 @@ _MULTISET = "publisher_id, instrument_id, symbol, ts_utc, open, high, low, close
 _D = lambda c: f"CAST({_NUM[c]} AS DOUBLE)"
 
 
+#: The series with the latest minute, of equal ones that of the first event in it.
+_MINUTE_CONTRACT = "SELECT event_type FROM events x ORDER BY date_trunc('minute', x.ts) DESC, event_id LIMIT 1"
+
+
 def oracle_sql() -> dict[str, str]:
     out = {f"bars_{k}": f"WITH {_bars('b', unit)} SELECT * FROM b" for k, unit in (("1m", "1 minute"), ("5m", "5 minutes"), ("1h", "1 hour"))}
     names = {1: "required", 2: "timestamps", 3: "symbols", 5: "duplicates", 6: "conflicts", 7: "prices", 8: "envelope", 9: "ticks", 10: "volume"}
@@ -193,6 +197,10 @@ m AS (SELECT *, (high + low) * 0.5::DOUBLE AS midpoint, (open + high + low + clo
 v AS (SELECT *, midpoint - coalesce(lag(midpoint) OVER o, midpoint) AS v_midpoint, ohlc4 - coalesce(lag(ohlc4) OVER o, ohlc4) AS v_ohlc4, 2.0::DOUBLE * (close - midpoint) AS v_clv FROM m WINDOW o AS (PARTITION BY symbol ORDER BY ts))
 SELECT symbol, ts, round(midpoint, 6) AS midpoint, round(ohlc4, 6) AS ohlc4, round(v_midpoint, 6) AS v_midpoint, round(v_ohlc4, 6) AS v_ohlc4, round(v_clv, 6) AS v_clv, round(0.5::DOUBLE * (v_midpoint + v_clv), 6) AS v_blend,
   round(true_range, 6) AS true_range, round(volume_mean, 6) AS volume_mean, round(greatest(ln(1 + volume / greatest(volume_mean, 1.0::DOUBLE)) / ln(2.0::DOUBLE), 0.1::DOUBLE), 6) AS volume_mass FROM v"""
+    out["read_series"] = f"""WITH m AS (
+  SELECT event_type AS symbol, date_trunc('minute', ts) AS ts, max(event_id) AS src_row, CAST(arg_max(CAST(value AS DECIMAL(18,2)), event_id) AS DOUBLE) AS close, 1.0::DOUBLE AS volume
+  FROM events e WHERE event_type = ({_MINUTE_CONTRACT}) GROUP BY ALL)
+SELECT * FROM m WHERE ts BETWEEN TIMESTAMP '2024-01-03 00:00:00' AND TIMESTAMP '2024-01-28 12:00:00' ORDER BY ts DESC LIMIT 1000"""
     out["pieces_features"] = out["bar_features"]
     out["ema_200"] = _recursive("close", "2.0 / 201", "ema_200").replace("CAST(2.0 / 201 AS DOUBLE)", "(2.0::DOUBLE / 201)")
     out["atr_14"] = _recursive(_RANGE, "1.0 / 14", "atr_14").replace("CAST(1.0 / 14 AS DOUBLE)", "(1.0::DOUBLE / 14)")

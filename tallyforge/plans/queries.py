@@ -211,6 +211,21 @@ def imm_kalman(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kalman.imm_kalman(hourly(spark, sf_dir))
 
 
+def _series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fixtures.ticks(spark, sf_dir).withColumn("ts", F.date_trunc("minute", "ts").cast("timestamp_ntz"))
+    return bars.read_series(rows, first="2024-01-03 00:00:00", last="2024-01-28 12:00:00", tail=1000)
+
+
+def read_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last 1000 minutes in range of the series with the latest tick, one row a minute."""
+    return _series(spark, sf_dir).select("symbol", "ts", "src_row", "close", "volume")
+
+
+def imm_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filter over read_series."""
+    return kalman.imm_kalman(_series(spark, sf_dir))
+
+
 def imm_css_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = imm_kalman(spark, sf_dir)
     flips: list[Column] = [F.sum(c).alias(c + "s") for c in ("bull_flip", "bear_flip")]
@@ -224,6 +239,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     plain = (
         clean04_group_audit, clean05_symbol_conflicts, clean11_zero_volume, clean12_large_moves, reject_summary, pipeline_clean_all, rollup_clean, latest_contract,
         last_n_bars, dedup_last, range_filter, pivots_strict, pivots_half_strict, zigzag, hhll_flags, hhll_counts, structure_labels, structure_levels, break_events,
-        trend_now, pieces_flags, pieces_labels, pieces_levels, pieces_events, pieces_trend_now, multiset_compare, bar_features, pieces_features, ema_200, atr_14, imm_kalman, imm_css_summary,
+        trend_now, pieces_flags, pieces_labels, pieces_levels, pieces_events, pieces_trend_now, multiset_compare, bar_features, pieces_features, ema_200, atr_14, imm_kalman, imm_css_summary, read_series, imm_series,
     )
     return named | {f.__name__: f for f in plain}

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 from html import escape
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..operators.cleaning import StepResult, Steps
+from ..operators.cleaning import REASONS, StepResult, Steps
+
+#: Fixed value: the name of the table of large moves, in every folder.
+LARGE_MOVES = "Large_up_down"
 
 
 def write_csv(df: DataFrame, path: str, order: str | None = None) -> None:
@@ -29,20 +33,44 @@ def write_split(result: StepResult, path: str) -> None:
     result.both.withColumn("rejected", F.col("reject_reason").isNotNull().cast("int")).write.mode("overwrite").partitionBy("rejected").parquet(path)
 
 
-def write_steps(results: Steps, folder: str, order: str = "src_row") -> dict[str, str]:
-    """What the last step kept, all rejects and all audits as folders of CSV files; their names and paths.
+@dataclass
+class Written:
+    """Where a chain's tables stand, and how many rows came, stayed and were rejected by step and reason."""
+
+    paths: dict[str, str]
+    rows: int
+    kept: int
+    rejected: dict[tuple[int, str], int]
+
 
-    The rejects of all steps are one pass, in folders failed_step=N with the rows as they came.
+def write_steps(results: Steps, folder: str, order: str = "src_row", large_moves: str | None = None) -> Written:
+    """A chain's tables as folders of CSV files: what the last step kept, all rejects, all audits.
+
+    The source is read once: the chain's rows go to ``tagged`` (Parquet, with failed_step and reject_reason) and are
+    counted on the way; everything else is read from there. Rejects stand as they came, in folders
+    failed_step=N, written by the tasks that read them, so a step with many is not one task's. Large moves have a
+    name of their own (LARGE_MOVES) unless ``large_moves`` is a path for them.
     """
-    paths = {name: f"{folder}/{name}" for name in ("kept", "rejects")}
-    write_csv(results[-1].kept, paths["kept"], order)
-    rejects = results.whole.where("failed_step is not null").drop("ts_utc")
-    rejects.repartition("failed_step").sortWithinPartitions("failed_step", order).write.mode("overwrite").option("header", True).option("escape", '"').partitionBy("failed_step").csv(paths["rejects"])
-    for i, r in enumerate(results, 1):
-        for name, audit in r.audits.items():
-            paths[name] = f"{folder}/step{i:02d}_{name}"
+    tagged = f"{folder}/tagged"
+    seen = Observation()
+    failed, reason = F.col("failed_step"), F.col("reject_reason")
+    counts = {"rows": F.count(F.lit(1)), "kept": F.count_if(failed.isNull())} | {f"{n}:{r}": F.count_if((failed == n) & (reason == r)) for n, r in REASONS if n <= len(results)}
+    results.whole.observe(seen, *(v.alias(k) for k, v in counts.items())).write.mode("overwrite").parquet(tagged)
+    found = seen.get
+    spark = results.whole.sparkSession
+    steps = Steps(spark.read.schema(results.whole.schema).parquet(tagged), results.names, results.config, len(results))
+
+    paths = {"tagged": tagged} | {name: f"{folder}/{name}" for name in ("kept", "rejects")}
+    write_csv(steps[-1].kept, paths["kept"], order)
+    rejects = steps.whole.where("failed_step is not null").drop("ts_utc")
+    rejects.sortWithinPartitions("failed_step", order).write.mode("overwrite").option("header", True).option("escape", '"').partitionBy("failed_step").csv(paths["rejects"])
+    for i in (4, 5, 12):
+        for name, audit in steps[i - 1].audits.items() if i <= len(steps) else ():
+            own = large_moves or f"{folder}/{LARGE_MOVES}"
+            paths[name] = own if name == "large_moves" else f"{folder}/step{i:02d}_{name}"
             write_csv(audit, paths[name])
-    return paths
+    rejected = {(int(n), r): found[f"{n}:{r}"] for n, r in REASONS if found.get(f"{n}:{r}")}
+    return Written(paths, found["rows"], found["kept"], rejected)
 
 
 def reason_counts(tagged: DataFrame) -> DataFrame:
@@ -75,32 +103,51 @@ def price_text(price: float) -> str:
 
 
 def candle_svg(bars: DataFrame, path: str | Path, title: str = "", last: int = 240) -> None:
-    """A candlestick chart of the last bars (ts, open, high, low, close; support, resistance, event, pivot_kind if present).
+    """A candlestick chart of the last bars, with axes of price and time.
 
-    The driver draws; it receives ``last`` rows.
+    bars: ts, open, high, low, close, and what of the structure is to be shown: support, resistance, pivot_kind and
+    pivot_label, event and event_level, trend. The driver draws; it receives ``last`` rows.
     """
     if last < 30:
         raise ValueError("a chart shows 30 bars or more")
-    rows = sorted(tail(bars, last, "ts").collect(), key=lambda r: r["ts"])
+    rows = sorted((r.asDict() for r in tail(bars, last, "ts").collect()), key=lambda r: r["ts"])
     if not rows:
         raise ValueError("no bars to draw")
-    top, low = max(r["high"] for r in rows), min(r["low"] for r in rows)
-    wide, tall, step = 1200, 600, 1160 / len(rows)
-    y = lambda v: 40 + (float(top) - float(v)) / max(float(top) - float(low), 1e-9) * (tall - 80)
+    wide, tall, edge, floor = 1200, 640, 80, 590
+    levels = {k: float(v) for k in ("support", "resistance") if (v := rows[-1].get(k)) is not None}
+    top = max([float(r["high"]) for r in rows] + [*levels.values()])
+    low = min([float(r["low"]) for r in rows] + [*levels.values()])
+    step, span = (wide - 2 * edge) / len(rows), max(top - low, 1e-9)
+    y = lambda v: 60 + (top - float(v)) / span * (floor - 70)
+    text = lambda x, at, what, more="": out.append(f'<text x="{x:.1f}" y="{at:.1f}" font-size="12" text-anchor="middle" {more}>{escape(what)}</text>')
+    line = lambda x1, y1, x2, y2, more: out.append(f'<line x1="{x1:.1f}" y1="{y1:.1f}" x2="{x2:.1f}" y2="{y2:.1f}" {more}/>')
     out = [f'<svg xmlns="http://www.w3.org/2000/svg" width="{wide}" height="{tall}"><title>{escape(title)}</title><rect width="100%" height="100%" fill="white"/>']
+    trend = rows[-1].get("trend")
+    text(wide / 2, 28, " · ".join(x for x in (title, {1: "trend up", -1: "trend down", 0: "no trend"}.get(trend, "")) if x), 'class="heading"')
+    for k in range(6):
+        price = low + span * k / 5
+        line(edge, y(price), wide - edge, y(price), 'stroke="#ddd" class="grid"')
+        text(edge / 2, y(price) + 4, price_text(price), 'class="price"')
+    for i in sorted({round(k * (len(rows) - 1) / 7) for k in range(8)}):
+        text(edge + (i + 0.5) * step, floor + 24, f"{rows[i]['ts']:%m-%d %H:%M}" if hasattr(rows[i]["ts"], "strftime") else str(rows[i]["ts"]), 'class="time"')
     for i, r in enumerate(rows):
-        x, up = 20 + (i + 0.5) * step, r["close"] >= r["open"]
-        colour = "#2a7" if up else "#c33"
-        out.append(f'<line x1="{x:.1f}" x2="{x:.1f}" y1="{y(r["high"]):.1f}" y2="{y(r["low"]):.1f}" stroke="{colour}"/>')
+        x, colour = edge + (i + 0.5) * step, "#2a7" if r["close"] >= r["open"] else "#c33"
+        line(x, y(r["high"]), x, y(r["low"]), f'stroke="{colour}"')
         a, b = sorted((y(r["open"]), y(r["close"])))
         out.append(f'<rect x="{x - step * 0.35:.1f}" width="{step * 0.7:.1f}" y="{a:.1f}" height="{max(b - a, 1):.1f}" fill="{colour}"/>')
-        have = r.asDict()
-        if have.get("pivot_kind"):
-            out.append(f'<circle cx="{x:.1f}" cy="{y(r["high"] if have["pivot_kind"] == "high" else r["low"]):.1f}" r="3" fill="#36c"/>')
-        if have.get("event"):
-            out.append(f'<text x="{x:.1f}" y="{y(r["close"]):.1f}" font-size="12">{"▲" if have["event"] > 0 else "▼"}</text>')
-    for name, colour in (("support", "#2a7"), ("resistance", "#c33")):
-        level = rows[-1].asDict().get(name)
-        if level is not None:
-            out.append(f'<line x1="20" x2="1180" y1="{y(level):.1f}" y2="{y(level):.1f}" stroke="{colour}" stroke-dasharray="4"/><text x="1110" y="{y(level) - 4:.1f}" font-size="12">{price_text(float(level))}</text>')
+    for i, r in enumerate(rows):
+        x = edge + (i + 0.5) * step
+        if kind := r.get("pivot_kind"):
+            at, label = y(r[kind]), r.get("pivot_label") or ""
+            out.append(f'<circle cx="{x:.1f}" cy="{at:.1f}" r="3" fill="{"#c33" if label in ("LH", "LL") else "#2a7" if label else "#36c"}"/>')
+            if label:
+                text(x, at - 8 if kind == "high" else at + 16, label, 'class="pivot"')
+        if event := r.get("event"):
+            level = r.get("event_level")
+            at = y(r["close"] if level is None else level)
+            text(x, at + 4, "▲" if event > 0 else "▼", f'class="event" fill="{"#36c" if event > 0 else "#e70"}"')
+    for name, level in levels.items():
+        colour = "#2a7" if name == "support" else "#c33"
+        line(edge, y(level), wide - edge, y(level), f'stroke="{colour}" stroke-dasharray="4"')
+        text(wide - edge / 2, y(level) + 4, price_text(level), f'class="{name}" fill="{colour}"')
     Path(path).write_text("\n".join([*out, "</svg>"]), encoding="utf-8")

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _BAD = "_ragged_record"
-#: Fields of a record: commas outside quotes end one.
-_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+#: Blocks of files, of some 200 bytes, up to which all executors get the table of their numbers; more are joined in a shuffle.
+BROADCAST_ROWS = 200_000
+#: A quoted field, or one whose quotes don't end, once doubled quotes are gone.
+_QUOTED = r'(^|,)"[^"]*("|$)'
 
 #: Names that a column may have, the preferred one first.
 ALIASES = {
@@ -44,14 +47,45 @@ def require(columns: list[str], wanted: tuple[str, ...], reserved: tuple[str, ..
         raise ValueError(f"reserved columns: {sorted(clash)}")
 
 
+def field_count(record: Column) -> Column:
+    """Number of fields of a CSV record: its commas outside quoted fields and one. Quotes count at a field's start only.
+
+    Each step is one pass over the record, so a long one is no worse than its length.
+    """
+    text = F.replace(F.regexp_replace(record, r"[\r\n]+$", ""), F.lit('""'), F.lit(""))
+    bare = F.regexp_replace(text, _QUOTED, "$1")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+
+def _dense(df: DataFrame) -> DataFrame:
+    """df, read from files, with src_row: its records numbered from 2 without gaps, over all files by path.
+
+    A file's blocks may be read by different tasks. A first pass counts each block's records; sums of the
+    counts before it, and the place of a record in its block, are its number.
+    """
+    placed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"))
+    blocks = placed.groupBy("_file", "_block").agg(F.count("*").alias("n"), F.min("_id").alias("_first"))
+    files = blocks.groupBy("_file").agg(F.sum("n").alias("n"))
+    before = F.coalesce(F.sum("n").over(W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    files = files.select("_file", before.alias("_files"))
+    in_file = F.coalesce(F.sum("n").over(W.partitionBy("_file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    blocks = blocks.withColumn("_before", in_file).join(files, "_file").select("_file", "_block", "_first", (F.col("_before") + F.col("_files")).alias("_before"))
+    # a block has openCostInBytes or more, unless it is a file's last
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = df.sparkSession._jsparkSession.sessionState().conf().filesOpenCostInBytes()
+    if len(df.inputFiles()) + size // max(least, 1) <= BROADCAST_ROWS:
+        blocks = F.broadcast(blocks)
+    rows = placed.join(blocks, ["_file", "_block"]).withColumn("src_row", F.col("_before") + F.col("_id") - F.col("_first") + 2)
+    return rows.select(*(F.col(f"`{c}`") for c in df.columns), "src_row")
+
+
 def read_csv(spark: SparkSession, path: str, ragged: str = "tolerate", encoding: str = "utf-8", required: tuple[str, ...] = (), numbered: bool = True, multi_line: bool = True) -> DataFrame:
     """All columns as text, as the header names them; src_row is the record's place in its file (header 1).
 
     ragged: "tolerate" drops fields too many and pads missing ones with null, "long" fails on records
     with too many fields, "any" on each whose number of fields differs. Records may hold line feeds, so a
-    file is one task; ``multi_line=False`` says that none does, so that large files are split. src_row then
-    ascends in a file's order with gaps. Several numbered files at once are refused with multi_line, as rows
-    of two files would share numbers.
+    file is one task; ``multi_line=False`` says that none does, so that large files are split. Several files
+    are numbered on from one to the next, by path. Numbers cost a split or second file a pass that counts.
     """
     if ragged not in ("tolerate", "long", "any"):
         raise ValueError(f"unknown rule for ragged rows: {ragged}")
@@ -62,16 +96,15 @@ def read_csv(spark: SparkSession, path: str, ragged: str = "tolerate", encoding:
         spark.read.schema(schema).option("header", True).option("encoding", encoding).option("escape", '"').option("multiLine", multi_line)
         .option("enforceSchema", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD).csv(path)
     )
-    if numbered and multi_line:
-        if len(df.inputFiles()) > 1:
-            raise ValueError(f"{path} has several files: read them one by one, with multi_line=False or numbered=False")
+    if numbered and multi_line and len(df.inputFiles()) == 1:
         df = df.withColumn("src_row", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 2)
     elif numbered:
-        df = df.withColumn("src_row", F.monotonically_increasing_id() + 2)
+        df = _dense(df)
     if ragged != "tolerate":
-        width = F.size(F.split(F.regexp_replace(F.col(_BAD), r"[\r\n]+$", ""), _COMMA, -1))
+        width = field_count(F.col(_BAD))
         wrong = width > len(names) if ragged == "long" else width != len(names)
-        fail = F.raise_error(F.concat(F.lit("a record has another number of fields than the header: "), F.col(_BAD))).cast("boolean")
+        # Spark refuses to read the raw record alone, so the message also names a column
+        fail = F.raise_error(F.concat_ws("", F.lit("a record has another number of fields than the header: "), F.col(_BAD), F.substring(F.col(f"`{names[0]}`"), 1, 0))).cast("boolean")
         df = df.where(F.when(F.col(_BAD).isNotNull() & wrong, fail).otherwise(F.lit(True)))
     return df.drop(_BAD)
 

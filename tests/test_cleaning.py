@@ -118,11 +118,12 @@ def test_config(tmp_path):
     got = load_clean_config(path)
     assert (str(got.tick), got.last_utc, got.root) == ("0.5", "2024-01-01 00:00:00", "ES")
     path.write_text('''{"input_path": "raw.csv", "required_columns": ["ts_event"], "encoding": "latin-1", "clean02": {"default_output_dir": "x", "download_start_utc": "2011-01-01 01:00:00+01:00"},
-        "clean03": {"option_definition_values": ["opt"]}, "clean04": {"group_columns": ["symbol"]}, "clean09": {"tick_size": "0.5"}, "clean12": {"return_threshold_pct": "2.5"}}''')
+        "clean03": {"option_definition_values": ["opt"]}, "clean04": {"group_columns": ["symbol"]}, "clean09": {"tick_size": "0.5"}, "clean12": {"return_threshold_pct": "2.5", "large_up_down_output_path": "moves"}, "clean05": {"timestamp_column": "ts_utc"}}''')
     got = load_clean_config(path)
     assert (got.input_path, got.required, got.encoding, got.first_utc) == (str(tmp_path / "raw.csv"), ("ts_event",), "latin-1", "2011-01-01 00:00:00")
     assert (got.option_values, got.group, str(got.tick), str(got.move_pct)) == (("OPT",), ("symbol",), "0.5", "2.5")
-    for bad in ('{"tick": "0"}', '{"first_utc": "2024-01-01 00:00:00"}', '{"what": 1}', "{"):
+    assert got.large_moves_path == str(tmp_path / "moves")
+    for bad in ('{"clean09": {"tick_sise": "0.5"}}', '{"clean13": {}}', '{"clean04": {"timestamp_column": "x"}}', '{"tick": "0"}', '{"first_utc": "2024-01-01 00:00:00"}', '{"what": 1}', "{"):
         path.write_text(bad)
         with pytest.raises(ValueError):
             load_clean_config(path)
