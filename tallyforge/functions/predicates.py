@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import PRICES, CleanConfig
 
-# Prices have 12 digits before the point and 8 after it: products of two stay exact in 38 digits.
+# Typed prices have 12 digits before the point and 8 after it: products of two stay exact in 38 digits.
 PRICE = "decimal(20,8)"
 _STAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?Z$"
 _NOT_FINITE = r"(?i)^\s*[+-]?(s?nan[0-9]*|inf(inity)?)\s*$"
@@ -84,13 +84,42 @@ def symbol_reason(symbol: Column, fields: list[Column], config: CleanConfig) ->
     )
 
 
-def price_reason(prices: dict[str, Column] | None = None, odd: dict[str, Column] | None = None) -> Column:
-    """Of the prices as numbers, and whether their texts aren't finite; by default of the columns' texts."""
-    prices = prices or {c: number(F.col(c)) for c in PRICES}
+#: A price that a PRICE holds as it is, and any number: digits, point, exponent of up to 18 digits.
+_SIMPLE = r"^\s*[+-]?[0-9]{1,12}(\.[0-9]{0,8})?\s*$"
+_ANY_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,18})?\s*$"
+_POSITIVE = r"^\s*\+?[0-9.]*[1-9]"
+
+
+def simple() -> Column:
+    """Whether decimals hold all four prices as they are; what is decided by them is decided by texts otherwise."""
+    return F.coalesce(reduce(lambda a, b: a & b, [F.col(c).rlike(_SIMPLE) for c in PRICES]), F.lit(False))
+
+
+def scientific(text: Column) -> Column:
+    """A positive number as (point, digits): 0.digits times ten to the point, where digits starts and ends with none of 0.
+
+    So two numbers compare as their structs do, however long they are.
+    """
+    part = lambda i: F.regexp_extract(text, r"^\s*\+?([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?\s*$", i)
+    whole, exponent = part(1), F.coalesce(part(3).try_cast("long"), F.lit(0))
+    digits = F.concat(whole, part(2))
+    bare = F.ltrim(digits, F.lit("0"))
+    return F.struct((F.length(whole) + exponent - F.length(digits) + F.length(bare)).alias("point"), F.rtrim(bare, F.lit("0")).alias("digits"))
+
+
+def long_prices() -> Column:
+    """scientific() of the four prices; null where they are simple() or not all positive numbers."""
+    texts = F.array(*(F.col(c) for c in PRICES))
+    return F.when(~simple() & F.forall(texts, lambda t: F.coalesce(t.rlike(_ANY_NUMBER) & t.rlike(_POSITIVE), F.lit(False))), F.transform(texts, scientific))
+
+
+def price_reason(odd: dict[str, Column] | None = None) -> Column:
+    """Of the prices' texts, of any length. odd: whether they aren't finite, if that is known."""
     odd = odd or {c: is_not_finite(F.col(c)) for c in PRICES}
+    number_text = {c: F.coalesce(F.col(c).rlike(_ANY_NUMBER), F.lit(False)) for c in PRICES}
     return (
-        F.when(any_of([~odd[c] & prices[c].isNull() for c in PRICES]), "INVALID_PRICE").when(any_of([odd[c] for c in PRICES]), "NON_FINITE_PRICE")
-        .when(any_of([prices[c] <= 0 for c in PRICES]), "NON_POSITIVE_PRICE")
+        F.when(any_of([~odd[c] & ~number_text[c] for c in PRICES]), "INVALID_PRICE").when(any_of([odd[c] for c in PRICES]), "NON_FINITE_PRICE")
+        .when(any_of([~F.col(c).rlike(_POSITIVE) for c in PRICES]), "NON_POSITIVE_PRICE")
     )
 
 
@@ -99,27 +128,64 @@ def envelope_ok(o: Column, h: Column, l: Column, c: Column) -> Column:  # noqa:
     return F.coalesce(known & (l <= F.least(o, c)) & (F.greatest(o, c) <= h), F.lit(False))
 
 
-def envelope_reason(prices: dict[str, Column] | None = None) -> Column:
-    return F.when(~envelope_ok(*(prices or {c: number(F.col(c)) for c in PRICES}).values()), "INVALID_OHLC")
+def envelope_reason(prices: dict[str, Column] | None = None, exact: Column | None = None) -> Column:
+    """Of the prices as decimals where they are simple(), of long_prices() where they aren't."""
+    prices, exact = prices or {c: number(F.col(c)) for c in PRICES}, long_prices() if exact is None else exact
+    ok = F.when(exact.isNotNull(), envelope_ok(*(exact[i] for i in range(4)))).otherwise(envelope_ok(*prices.values()))
+    return F.when(~ok, "INVALID_OHLC")
+
 
+def _remainder(digits: Column, zeros: Column, by: int) -> Column:
+    """The whole number of ``digits`` and then that many zeros, modulo ``by`` (under 10^12): six digits at a time, zeros by squares."""
+    kind = "decimal(38,0)"
+    padded = F.lpad(digits, (F.ceil(F.length(digits) / 6) * 6).cast("int"), "0")
+    limbs = F.transform(F.sequence(F.lit(0), F.length(padded), F.lit(6)), lambda i: F.substring(padded, i + 1, F.lit(6)).try_cast("long"))
+    head = F.aggregate(limbs, F.lit(0).cast("long"), lambda r, x: F.when(x.isNull(), r).otherwise((r * 1_000_000 + x) % by))
+    times = lambda a, b: (a * b % F.lit(by).cast(kind)).cast(kind)
+    one = F.struct(F.lit(1).cast(kind).alias("power"), F.lit(10 % by).cast(kind).alias("base"), zeros.alias("left"))
+    step = lambda s: F.struct(F.when(s["left"] % 2 == 1, times(s["power"], s["base"])).otherwise(s["power"]).alias("power"), times(s["base"], s["base"]).alias("base"), F.floor(s["left"] / 2).cast("long").alias("left"))
+    power = F.aggregate(F.sequence(F.lit(1), F.lit(60)), one, lambda s, _: F.when(s["left"] > 0, step(s)).otherwise(s))["power"]
+    return times(head.cast(kind), power)
 
-def tick_reason(config: CleanConfig, prices: dict[str, Column] | None = None) -> Column:
+
+def _off_grid(price: Column, config: CleanConfig) -> Column:
+    """Whether a scientific() price is off the grid by the tolerance or more.
+
+    In units of 10^-8 the price has a whole part, whose remainder by the tick is exact, and a fraction, of which 24
+    digits and whether others follow decide, as the tolerance has no more.
+    """
+    tick, allowed = int(config.tick.scaleb(8)), config.tick.scaleb(8) * config.tick_tolerance
+    digits, n = price["digits"], price["point"] + 8
+    size, kind = F.length(digits), "decimal(38,24)"
+    whole = F.substring(digits, F.lit(1), F.greatest(F.least(n, size), F.lit(0)).cast("int"))
+    after = F.when(n >= size, "").when(n >= 0, F.substring(digits, F.greatest(n + 1, F.lit(1)).cast("int"), size)).otherwise(F.concat(F.repeat(F.lit("0"), F.least(-n, F.lit(30)).cast("int")), digits))
+    fraction = F.concat(F.lit("0."), F.rpad(F.substring(after, F.lit(1), F.lit(24)), 24, "0")).cast("decimal(25,24)")
+    more = F.length(F.rtrim(F.substring(after, F.lit(25), F.greatest(F.length(after), F.lit(1))), F.lit("0"))) > 0
+    beyond = _remainder(whole, F.greatest(n - size, F.lit(0)).cast("long"), tick).cast("decimal(13,0)") + fraction
+    near, far = F.lit(allowed).cast(kind), F.lit(tick - allowed).cast(kind)
+    return ~((beyond < near) | (beyond > far) | ((beyond == far) & more))
+
+
+def tick_reason(config: CleanConfig, prices: dict[str, Column] | None = None, exact: Column | None = None) -> Column:
     """A price off the grid by the tolerance (in ticks) or more.
 
-    Doubles decide where their error can't matter; the others are decided by exact decimals, which are slow.
+    Doubles decide where their error can't matter; the others are decided by exact decimals, which are slow, and
+    prices that decimals don't hold by their digits.
     """
     tick = F.lit(config.tick).cast("decimal(12,8)")
     allowed = F.lit(config.tick * config.tick_tolerance).cast("decimal(20,16)")
+    exact = long_prices() if exact is None else exact
 
     def off(price: Column) -> Column:
         beyond = F.abs(price) % tick
-        exact = F.coalesce(~(F.least(beyond, tick - beyond) < allowed), F.lit(True))
+        decided = F.coalesce(~(F.least(beyond, tick - beyond) < allowed), F.lit(True))
         ticks = F.abs(price.cast("double")) / float(config.tick)
         away, error = F.abs(ticks - F.rint(ticks)), ticks * 1e-14 + 1e-12
         tolerance = float(config.tick_tolerance)
-        return F.when(away + error < tolerance, False).when(away - error > tolerance, True).otherwise(exact)
+        return F.when(away + error < tolerance, False).when(away - error > tolerance, True).otherwise(decided)
 
-    return F.when(any_of([off(p) for p in (prices or {c: number(F.col(c)) for c in PRICES}).values()]), "INVALID_TICK_SIZE")
+    usual = any_of([off(p) for p in (prices or {c: number(F.col(c)) for c in PRICES}).values()])
+    return F.when(F.when(exact.isNotNull(), F.exists(exact, lambda p: _off_grid(p, config))).otherwise(usual), "INVALID_TICK_SIZE")
 
 
 #: A volume has 18 decimals and 20 digits before them as a decimal; larger ones are known by their text and as a double.

@@ -281,10 +281,10 @@ def _early_reasons(raw: DataFrame, config: CleanConfig) -> DataFrame:
 
 def _late_reasons(rows: DataFrame, config: CleanConfig) -> DataFrame:
     """rows with the reasons r7, r8, r9 and r10 of the steps after rows were compared."""
-    parsed = _apart(rows, _prices=F.struct(*(P.number(F.col(c)).alias(c) for c in PRICES)), _odd=F.struct(*(P.is_not_finite(F.col(c)).alias(c) for c in PRICES)))
-    prices, odd = ({c: F.col(f"{x}.{c}") for c in PRICES} for x in ("_prices", "_odd"))
-    most = _apart(parsed, ("_odd",), r7=P.price_reason(prices, odd), r8=P.envelope_reason(prices))
-    return _apart(_apart(most, ("_prices",), r9=P.tick_reason(config, prices)), r10=P.volume_reason())
+    parsed = _apart(rows, _prices=F.struct(*(P.number(F.col(c)).alias(c) for c in PRICES)), r7=P.price_reason())
+    prices, exact = {c: F.col(f"_prices.{c}") for c in PRICES}, F.col("_exact")
+    most = _apart(_apart(parsed, _exact=P.long_prices()), r8=P.envelope_reason(prices, exact))
+    return _apart(_apart(most, ("_prices", "_exact"), r9=P.tick_reason(config, prices, exact)), r10=P.volume_reason())
 
 
 def tagged_once(raw: DataFrame, config: CleanConfig, last: int = 12) -> DataFrame:

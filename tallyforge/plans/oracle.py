@@ -197,6 +197,16 @@ m AS (SELECT *, (high + low) * 0.5::DOUBLE AS midpoint, (open + high + low + clo
 v AS (SELECT *, midpoint - coalesce(lag(midpoint) OVER o, midpoint) AS v_midpoint, ohlc4 - coalesce(lag(ohlc4) OVER o, ohlc4) AS v_ohlc4, 2.0::DOUBLE * (close - midpoint) AS v_clv FROM m WINDOW o AS (PARTITION BY symbol ORDER BY ts))
 SELECT symbol, ts, round(midpoint, 6) AS midpoint, round(ohlc4, 6) AS ohlc4, round(v_midpoint, 6) AS v_midpoint, round(v_ohlc4, 6) AS v_ohlc4, round(v_clv, 6) AS v_clv, round(0.5::DOUBLE * (v_midpoint + v_clv), 6) AS v_blend,
   round(true_range, 6) AS true_range, round(volume_mean, 6) AS volume_mean, round(greatest(ln(1 + volume / greatest(volume_mean, 1.0::DOUBLE)) / ln(2.0::DOUBLE), 0.1::DOUBLE), 6) AS volume_mass FROM v"""
+    units = lambda c: f"CAST(split_part({c}, '.', 1) || rpad(split_part({c}, '.', 2), 16, '0') AS HUGEINT)"
+    off = " OR ".join(f"least({c} % 2500000000000000, 2500000000000000 - {c} % 2500000000000000) >= 2500000000" for c in "ohlc")
+    around = (("", ""), ("", "0000000000"), ("", "0000001"), ("", "00005"), ("1000000000", ""), ("1000000000", "1"), ("", "000025"), ("", "00002499999999"))
+    text = " ".join(f"WHEN {k} THEN '{before}' || p || '{after}'" for k, (before, after) in enumerate(around))
+    out["clean_long_prices"] = f"""WITH e AS (SELECT event_id, CAST(CAST(100 + round(CAST(value AS DECIMAL(18,2)) * 4) / 4 AS DECIMAL(18,2)) AS VARCHAR) AS p FROM events),
+t AS (SELECT event_id, CASE event_id % 8 {text} END AS x FROM e),
+u AS (SELECT event_id, {units("x")} AS o, {units("x")} AS c, CASE WHEN event_id % 3 = 0 THEN {units("'9' || x")} ELSE {units("x")} END AS h,
+  CASE WHEN event_id % 7 = 0 THEN {units("'9' || x")} WHEN event_id % 11 = 0 THEN 0::HUGEINT ELSE {units("x")} END AS l FROM t)
+SELECT event_id, CASE WHEN l = 0 THEN 'NON_POSITIVE_PRICE' ELSE 'KEPT' END AS price, CASE WHEN l > 0 AND NOT (l <= least(o, c) AND greatest(o, c) <= h) THEN 'INVALID_OHLC' ELSE 'KEPT' END AS envelope,
+  CASE WHEN l > 0 AND ({off}) THEN 'INVALID_TICK_SIZE' ELSE 'KEPT' END AS tick FROM u"""
     out["read_series"] = f"""WITH m AS (
   SELECT event_type AS symbol, date_trunc('minute', ts) AS ts, max(event_id) AS src_row, CAST(arg_max(CAST(value AS DECIMAL(18,2)), event_id) AS DOUBLE) AS close, 1.0::DOUBLE AS volume
   FROM events e WHERE event_type = ({_MINUTE_CONTRACT}) GROUP BY ALL)

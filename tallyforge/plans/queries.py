@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import CleanConfig, PivotConfig
-from ..functions import indicators
+from ..functions import indicators, predicates
 from ..operators import bars, cleaning, compare, kalman, pieces, structure
 from ..sources import fixtures, sinks
 
@@ -67,6 +67,14 @@ def reject_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.groupBy("step", "reject_reason").agg(F.count("*").alias("n_rows"))
 
 
+def clean_long_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three price steps' reasons for prices that have more digits than a decimal column."""
+    found = {"price": predicates.price_reason(), "envelope": predicates.envelope_reason(), "tick": predicates.tick_reason(CleanConfig())}
+    rows = fixtures.long_prices(spark, sf_dir)
+    bad = found["price"].isNotNull()
+    return rows.select("event_id", *(F.coalesce(r if k == "price" else F.when(~bad, r), F.lit("KEPT")).alias(k) for k, r in found.items()))
+
+
 def pipeline_clean_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = cleaning.typed(cleaning.run_steps(fixtures.raw_rows(spark, sf_dir))[-1].kept)
     return _ntz(_doubles(kept, "open", "high", "low", "close"), "ts_utc")
@@ -237,7 +245,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     steps = {1: "required", 2: "timestamps", 3: "symbols", 5: "duplicates", 6: "conflicts", 7: "prices", 8: "envelope", 9: "ticks", 10: "volume"}
     named |= {f"clean{n:02d}_{name}": partial(step, n) for n, name in steps.items()}
     plain = (
-        clean04_group_audit, clean05_symbol_conflicts, clean11_zero_volume, clean12_large_moves, reject_summary, pipeline_clean_all, rollup_clean, latest_contract,
+        clean04_group_audit, clean05_symbol_conflicts, clean11_zero_volume, clean12_large_moves, clean_long_prices, reject_summary, pipeline_clean_all, rollup_clean, latest_contract,
         last_n_bars, dedup_last, range_filter, pivots_strict, pivots_half_strict, zigzag, hhll_flags, hhll_counts, structure_labels, structure_levels, break_events,
         trend_now, pieces_flags, pieces_labels, pieces_levels, pieces_events, pieces_trend_now, multiset_compare, bar_features, pieces_features, ema_200, atr_14, imm_kalman, imm_css_summary, read_series, imm_series,
     )

@@ -64,3 +64,21 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     both = F.when(F.col("rule").isin("r05", "r06"), F.array(made(0), made(1))).otherwise(F.array(made(0)))
     return rows.select(F.explode(both).alias("x")).select("x.*")
+
+
+#: What is put before and after the text of a price on the grid, by the id modulo their number.
+AROUND = (("", ""), ("", "0000000000"), ("", "0000001"), ("", "00005"), ("1000000000", ""), ("1000000000", "1"), ("", "000025"), ("", "00002499999999"))
+
+
+def long_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row an event with prices as texts of up to 16 digits before and after the point; some envelopes and prices are spoilt."""
+    e = read_parquet(spark, sf_dir, "events")
+    price = (100 + F.round(F.col("value").cast("decimal(18,2)") * 4) / 4).cast("decimal(18,2)").cast("string")
+    i, text = F.col("event_id"), F.lit(None).cast("string")
+    for k, (before, after) in enumerate(AROUND):
+        text = F.when(i % len(AROUND) == k, F.concat(F.lit(before), price, F.lit(after))).otherwise(text)
+    rows = e.select(i.alias("event_id"), text.alias("open"))
+    above, zero = F.concat(F.lit("9"), F.col("open")), F.lit("0.000000000000")
+    return rows.select(
+        "event_id", "open", F.when(i % 3 == 0, above).otherwise(F.col("open")).alias("high"), F.when(i % 7 == 0, above).when(i % 11 == 0, zero).otherwise(F.col("open")).alias("low"), F.col("open").alias("close"),
+    )

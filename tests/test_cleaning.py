@@ -1,5 +1,6 @@
 import random
 from datetime import datetime
+from decimal import Decimal, InvalidOperation, localcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,3 +161,42 @@ def test_audits_over_days(spark):
     got = cleaning.large_moves(df, CONFIG).collect()
     assert sorted((r["src_row"], str(r["previous_ts_utc"]), float(r["previous_close"]), r["anomaly_direction"]) for r in got) == sorted(want)
     assert cleaning.group_audit(df.where("false")).collect() == [] and cleaning.large_moves(df.where("false"), CONFIG).collect() == []
+
+
+def usual_reasons(row, tick=Decimal("0.25"), tolerance=Decimal("0.000001")):
+    """Reasons of the three price steps by Python's decimals, with digits enough for every price."""
+    values = []
+    for text in row:
+        try:
+            values.append(Decimal((text or "").strip()))
+        except InvalidOperation:
+            return "INVALID_PRICE", None, None
+    if not all(v.is_finite() for v in values):
+        return "NON_FINITE_PRICE", None, None
+    if any(v <= 0 for v in values):
+        return "NON_POSITIVE_PRICE", None, None
+    o, h, lo, c = values
+    with localcontext(prec=400):
+        off = any(abs(v / tick - (v / tick).to_integral_value()) >= tolerance for v in values)
+    return None, None if lo <= min(o, c) and max(o, c) <= h else "INVALID_OHLC", "INVALID_TICK_SIZE" if off else None
+
+
+def test_prices_of_any_length(spark):
+    """Nine and more decimals, thirteen and more digits, exponents: against Python's decimals."""
+    rng, rows = random.Random(9), []
+    odd = ["1e3", "25E-2", "0.25000000", "0.2500000000000000001", "0.24999999999999999", "1000000000000000000000000000000.25", "1000000000000000000000000000000.26", "123456789012345678901234567890.75",
+           "0.250000249999999999999999999999999999", "0.25000025", "0.250000250000000000000000000000000001", "0.24999975", "0.249999750000000000000000000000000001", "7.5e30", "1e-30", "0000000000000000001.5", "5e100", "1e-400",
+           ".5", "7.", "+1.25", "-1.25", "-0.00000000000001", "0.000000000000", "0e5", "nan", "Infinity", "1e", "", None, "1 2", "12345678901234.5", "250000000000000.0000000000000000"]
+    for text in odd:
+        rows += [(text,) * 4, ("1.25", text, "1", "1.25")]
+    for _ in range(400):
+        base = rng.choice(["1.25", "1.250000000000", "100000000000000.5", "100000000000000.50000000000001", "1.0e14", "99999999999999.75", "1e14", "100000000000000.4999999"])
+        rows.append(tuple(rng.choice([base, base, rng.choice(odd) or "x"]) for _ in range(4)))
+    names = ["open", "high", "low", "close"]
+    got = list(zip(*(reasons(spark, rows, names, r) for r in (P.price_reason(), P.envelope_reason(), P.tick_reason(CONFIG))), strict=True))
+    for row, (seven, eight, nine) in zip(rows, got, strict=True):
+        want = usual_reasons(row)
+        assert seven == want[0], row
+        if seven is None:
+            assert (eight, nine) == want[1:], row
+    assert {g[0] for g in got} == {None, "INVALID_PRICE", "NON_FINITE_PRICE", "NON_POSITIVE_PRICE"}
