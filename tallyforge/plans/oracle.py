@@ -197,6 +197,7 @@ m AS (SELECT *, (high + low) * 0.5::DOUBLE AS midpoint, (open + high + low + clo
 v AS (SELECT *, midpoint - coalesce(lag(midpoint) OVER o, midpoint) AS v_midpoint, ohlc4 - coalesce(lag(ohlc4) OVER o, ohlc4) AS v_ohlc4, 2.0::DOUBLE * (close - midpoint) AS v_clv FROM m WINDOW o AS (PARTITION BY symbol ORDER BY ts))
 SELECT symbol, ts, round(midpoint, 6) AS midpoint, round(ohlc4, 6) AS ohlc4, round(v_midpoint, 6) AS v_midpoint, round(v_ohlc4, 6) AS v_ohlc4, round(v_clv, 6) AS v_clv, round(0.5::DOUBLE * (v_midpoint + v_clv), 6) AS v_blend,
   round(true_range, 6) AS true_range, round(volume_mean, 6) AS volume_mean, round(greatest(ln(1 + volume / greatest(volume_mean, 1.0::DOUBLE)) / ln(2.0::DOUBLE), 0.1::DOUBLE), 6) AS volume_mass FROM v"""
+    out["multiset_digests"] = out["multiset_compare"]
     units = lambda c: f"CAST(split_part({c}, '.', 1) || rpad(split_part({c}, '.', 2), 16, '0') AS HUGEINT)"
     off = " OR ".join(f"least({c} % 2500000000000000, 2500000000000000 - {c} % 2500000000000000) >= 2500000000" for c in "ohlc")
     around = (("", ""), ("", "0000000000"), ("", "0000001"), ("", "00005"), ("1000000000", ""), ("1000000000", "1"), ("", "000025"), ("", "00002499999999"))

@@ -196,6 +196,14 @@ def multiset_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.compare_marked(whole.where(kept | (F.col("failed_step") >= 5)), names, F.lit(True), kept)
 
 
+def multiset_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """multiset_compare by digests: of all rows' texts before the step of exact copies and after that of conflicts."""
+    whole = cleaning.tagged_once(fixtures.raw_rows(spark, sf_dir), CleanConfig(), last=6)
+    names = ("publisher_id", "instrument_id", "symbol", "ts_utc", "open", "high", "low", "close", "volume")
+    kept = F.col("failed_step").isNull()
+    return compare.compare_wide_marked(whole, names, kept | (F.col("failed_step") >= 5), kept)
+
+
 def bar_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("midpoint", "ohlc4", "v_midpoint", "v_ohlc4", "v_clv", "v_blend", "true_range", "volume_mean", "volume_mass")
     rows = indicators.features(hourly(spark, sf_dir))
@@ -247,6 +255,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     plain = (
         clean04_group_audit, clean05_symbol_conflicts, clean11_zero_volume, clean12_large_moves, clean_long_prices, reject_summary, pipeline_clean_all, rollup_clean, latest_contract,
         last_n_bars, dedup_last, range_filter, pivots_strict, pivots_half_strict, zigzag, hhll_flags, hhll_counts, structure_labels, structure_levels, break_events,
-        trend_now, pieces_flags, pieces_labels, pieces_levels, pieces_events, pieces_trend_now, multiset_compare, bar_features, pieces_features, ema_200, atr_14, imm_kalman, imm_css_summary, read_series, imm_series,
+        trend_now, pieces_flags, pieces_labels, pieces_levels, pieces_events, pieces_trend_now, multiset_compare, multiset_digests, bar_features, pieces_features, ema_200, atr_14, imm_kalman, imm_css_summary, read_series, imm_series,
     )
     return named | {f.__name__: f for f in plain}

@@ -113,6 +113,24 @@ def test_multisets(spark):
         compare.multiset_compare(left, right.toDF("w"))
 
 
+@pytest.mark.parametrize("bits", [64, 2, 0])
+def test_multisets_by_digests(spark, monkeypatch, bits):
+    """Exact totals, also where digests collide: all rows under a few digests, or one."""
+    if bits < 64:
+        usual = compare.row_digest
+        monkeypatch.setattr(compare, "row_digest", lambda c, salt: usual(c, salt).bitwiseAND((1 << bits) - 1))
+    rng = random.Random(bits)
+    make = lambda n: spark.createDataFrame([(rng.choice(["a", "b", "", None]), rng.choice([None, "a", "", "long " * 50]), rng.choice([1, 2, None])) for _ in range(n)], "`x.y` string, z string, n int")
+    for left, right in ((make(300), make(260)), (make(50).where("false"), make(40)), (make(50).where("false"), make(1).where("false"))):
+        left, right = (spark.createDataFrame(t.collect(), t.schema) for t in (left, right))
+        assert compare.compare_wide(left, right).collect() == compare.multiset_compare(left.withColumnRenamed("x.y", "x"), right.withColumnRenamed("x.y", "x")).collect()
+    same = make(200)
+    same = spark.createDataFrame(same.collect(), same.schema)
+    assert tuple(compare.compare_wide(same, same.orderBy(F.rand())).first()) == (200, 200, 200, 0, 0)
+    with pytest.raises(ValueError):
+        compare.compare_wide(same, same.drop("n"))
+
+
 def test_config(tmp_path):
     path = tmp_path / "c.json"
     path.write_text('{"tick": "0.5", "last_utc": "2024-01-01 01:00:00+01:00", "root": "ES"}')
