@@ -12,8 +12,8 @@ how far the two suffixes agree, give all runs:
 * The furthest matched extension is kept. Inside it a comparison is a copy of one made earlier, up to its
   end, from which comparing goes on. So a word is matched anew only beyond all that was matched before.
 
-No suffix array or tree, and no hash of a stretch, is built. A document's words are numbered once, so that
-comparing two is comparing two numbers.
+No suffix array or tree and no hash is used. A batch's words are sorted once and ranked, so that comparing two
+is comparing two numbers.
 
 Which stretches can hold a run at all is found first, for all documents of a batch at once: in a run of
 period q all words after the first q have occurred within the last q. So for each power of two, positions
@@ -121,7 +121,7 @@ def runs_of(w: list[int], exponent: int = 4, shortest: int = 6) -> list[tuple[in
 def stretches(ids: np.ndarray, at: np.ndarray, exponent: int = 4, shortest: int = 6) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the stretches of a batch's words that hold all its runs of that exponent, in order and apart.
 
-    ids: numbers of the words; document d has those from at[d] up to at[d + 1].
+    ids: ranks of the words; document d has those from at[d] up to at[d + 1].
     """
     n = len(ids)
     none = np.zeros(0, np.int64)
@@ -169,7 +169,7 @@ def runs_of_texts(texts: pa.Array, exponent: int = 4, shortest: int = 6) -> pa.R
     real = pc.greater(pc.binary_length(flat), 0)
     flat, owner = flat.filter(real), owner.filter(real).to_numpy()
     at = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(texts)))]).astype(np.int64)
-    ids = flat.dictionary_encode().indices.to_numpy(zero_copy_only=False) if len(flat) else np.zeros(0, np.int32)
+    ids = pc.rank(flat, tiebreaker="dense").to_numpy().astype(np.int64) if len(flat) else np.zeros(0, np.int64)
     dropped = np.zeros(len(flat) + 1, np.int64)
     runs, run_doc = [], []
     for x, y in zip(*map(np.ndarray.tolist, stretches(ids, at, exponent, shortest)), strict=True):
