@@ -146,6 +146,7 @@ _MINUTE_CONTRACT = "SELECT event_type FROM events x ORDER BY date_trunc('minute'
 
 def oracle_sql() -> dict[str, str]:
     out = {f"bars_{k}": f"WITH {_bars('b', unit)} SELECT * FROM b" for k, unit in (("1m", "1 minute"), ("5m", "5 minutes"), ("1h", "1 hour"))}
+    out["stream_bars_1h"] = out["bars_1h"]
     names = {1: "required", 2: "timestamps", 3: "symbols", 5: "duplicates", 6: "conflicts", 7: "prices", 8: "envelope", 9: "ticks", 10: "volume"}
     out |= {f"clean{n:02d}_{name}": _tagged(n) for n, name in names.items()}
     out["clean04_group_audit"] = f"""{_steps(4)},

@@ -12,6 +12,8 @@ from ..config import CleanConfig, PivotConfig
 from ..functions import indicators, predicates
 from ..operators import bars, cleaning, compare, kalman, pieces, structure
 from ..sources import fixtures, sinks
+from ..sources.stored import drained
+from ..streaming.rollup import stream_rollup as rollup_stream
 
 STRICT, HALF_STRICT = PivotConfig(5, 5, True), PivotConfig(5, 5, False)
 #: Columns of every step's input that the step queries show.
@@ -34,6 +36,12 @@ def bars_of(length: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 hourly = partial(bars_of, "1 hour")
 
 
+def stream_bars_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly bars by the streaming roll-up, of all that the stream has."""
+    found = drained(rollup_stream(fixtures.tick_stream(spark, sf_dir), "1 hour"), "stream_bars", "complete")
+    return _ntz(_doubles(found, "open", "high", "low", "close"), "ts").select("symbol", "ts", "open", "high", "low", "close", "volume")
+
+
 def step(number: int, spark: SparkSession, sf_dir: str) -> DataFrame:
     """All input rows of a step with the reason it gives, KEPT if none."""
     result = cleaning.run_steps(fixtures.raw_rows(spark, sf_dir), last=number)[-1]
@@ -253,7 +261,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     steps = {1: "required", 2: "timestamps", 3: "symbols", 5: "duplicates", 6: "conflicts", 7: "prices", 8: "envelope", 9: "ticks", 10: "volume"}
     named |= {f"clean{n:02d}_{name}": partial(step, n) for n, name in steps.items()}
     plain = (
-        clean04_group_audit, clean05_symbol_conflicts, clean11_zero_volume, clean12_large_moves, clean_long_prices, reject_summary, pipeline_clean_all, rollup_clean, latest_contract,
+        stream_bars_1h, clean04_group_audit, clean05_symbol_conflicts, clean11_zero_volume, clean12_large_moves, clean_long_prices, reject_summary, pipeline_clean_all, rollup_clean, latest_contract,
         last_n_bars, dedup_last, range_filter, pivots_strict, pivots_half_strict, zigzag, hhll_flags, hhll_counts, structure_labels, structure_levels, break_events,
         trend_now, pieces_flags, pieces_labels, pieces_levels, pieces_events, pieces_trend_now, multiset_compare, multiset_digests, bar_features, pieces_features, ema_200, atr_14, imm_kalman, imm_css_summary, read_series, imm_series,
     )

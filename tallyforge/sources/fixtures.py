@@ -10,7 +10,19 @@ from .tables import read_parquet
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as one-tick bars: symbol, ts, src_row, open = high = low = close, volume 1."""
-    e = read_parquet(spark, sf_dir, "events")
+    return as_ticks(read_parquet(spark, sf_dir, "events"))
+
+
+def tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ticks() as a streaming table."""
+    table = read_parquet(spark, sf_dir, "events")
+    stream = spark.readStream.schema(table.schema)
+    if any(f.endswith("/events.parquet") for f in table.inputFiles()):  # one file: a stream's source is a folder
+        return as_ticks(stream.option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    return as_ticks(stream.parquet(f"{sf_dir}/events.parquet"))
+
+
+def as_ticks(e: DataFrame) -> DataFrame:
     price = F.col("value").cast("decimal(18,2)")
     return e.select(F.col("event_type").alias("symbol"), "ts", F.col("event_id").alias("src_row"), *(price.alias(c) for c in ("open", "high", "low", "close")), F.lit(1).cast("long").alias("volume"))
 

@@ -32,6 +32,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drained(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
+    """All that a streaming table has to give now, as a table in the shared folder; its query ends, with its checkpoint beside it."""
+    spark = stream.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _written.append(path)
+    how = "overwrite" if mode == "complete" else "append"
+    query = (
+        stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True)
+        .foreachBatch(lambda batch, _: batch.write.mode(how).parquet(f"{path}/rows")).start()
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return spark.read.schema(stream.schema).parquet(f"{path}/rows")
+
+
 def release(spark: SparkSession) -> None:
     """Deletes the tables of stored(). Results that are still lazy read them: write those first."""
     while _written:
