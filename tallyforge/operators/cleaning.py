@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..config import GROUP, OHLCV, PRICES, CleanConfig
 from ..functions import predicates as P
+from ..sources.stored import stored
 
 
 @dataclass
@@ -287,43 +288,84 @@ def _late_reasons(rows: DataFrame, config: CleanConfig) -> DataFrame:
     return _apart(_apart(most, ("_prices", "_exact"), r9=P.tick_reason(config, prices, exact)), r10=P.volume_reason())
 
 
-def tagged_once(raw: DataFrame, config: CleanConfig, last: int = 12) -> DataFrame:
-    """raw with ts_utc, and failed_step and reject_reason of the first of the steps 1 to ``last`` that rejects a row.
+def _fails(df: DataFrame, reasons: dict[int, Column]) -> DataFrame:
+    """A row that no step has rejected yet gets the first of these steps' reasons."""
+    step = F.coalesce(*(F.when(r.isNotNull(), i) for i, r in reasons.items()))
+    return df.withColumns({"failed_step": F.coalesce("failed_step", step), "reject_reason": F.coalesce("reject_reason", *reasons.values())})
+
+
+_MINUTE = ("publisher_id", "instrument_id", "ts_utc")
 
-    Rows go to their instrument's minute once, which serves the windows of both steps that compare rows. Those
-    that are rejected already, whose keys may all be alike (no time), are dealt evenly beside them.
+
+def _compared(rows: DataFrame, config: CleanConfig, last: int) -> DataFrame:
+    """rows after steps 5 and 6, by windows over an instrument's minute; a minute's rows are in one task.
+
+    Those that are rejected already, whose keys may all be alike (no time), are dealt evenly beside them.
     """
-    rows = _early_reasons(raw, config)
+    live = F.col("failed_step").isNull()
+    deal = F.when(live, F.lit(0).cast("long")).otherwise(F.xxhash64("src_row"))
+    rows = rows.withColumns({"_live": live, "_deal": deal}).repartition("_deal", *_MINUTE)
+    again = F.row_number().over(W.partitionBy("_deal", "_live", *_MINUTE, *(c for c in config.group if c not in _MINUTE), *OHLCV).orderBy("src_row")) > 1
+    rows = _fails(rows, {5: F.when(again, "EXACT_DUPLICATE")})
+    if last >= 6:
+        own = W.partitionBy("_deal", "_live", *_MINUTE)
+        differ = P.any_of([F.min(c).over(own) != F.max(c).over(own) for c in OHLCV])
+        rows = _fails(rows.withColumn("_live", live), {6: F.when(F.coalesce(differ, F.lit(False)), "CONFLICT_DUPLICATE")})
+    return rows.drop("_live", "_deal")
+
+
+def _compared_by_sums(rows: DataFrame, config: CleanConfig, last: int) -> DataFrame:
+    """_compared() of rows that no step has rejected, by sums that combine before a shuffle; the joins back may split a minute.
 
-    def fails(df: DataFrame, reasons: dict[int, Column]) -> DataFrame:
-        """A row that no step has rejected yet gets the first of these steps' reasons."""
-        step = F.coalesce(*(F.when(r.isNotNull(), i) for i, r in reasons.items()))
-        return df.withColumns({"failed_step": F.coalesce("failed_step", step), "reject_reason": F.coalesce("reject_reason", *reasons.values())})
+    Copies have the texts of the row that stays, so a minute's least and greatest texts are those of all its rows.
+    """
+    copy, minute = F.struct(*config.group, "ts_utc", *OHLCV), F.struct(*_MINUTE)
+    first = rows.groupBy(copy.alias("_copy")).agg(F.min("src_row").alias("_first"))
+    rows = rows.withColumn("_row", copy).join(first, F.col("_row") == F.col("_copy"))
+    rows = _fails(rows, {5: F.when(F.col("src_row") != F.col("_first"), "EXACT_DUPLICATE")}).drop("_row", "_copy", "_first")
+    if last < 6:
+        return rows
+    differ = F.coalesce(P.any_of([F.min(c) != F.max(c) for c in OHLCV]), F.lit(False))
+    minutes = rows.groupBy(minute.alias("_minute")).agg(differ.alias("_differ"))
+    rows = rows.withColumn("_row", minute).join(minutes, F.col("_row") == F.col("_minute"))
+    return _fails(rows, {6: F.when(F.col("_differ"), "CONFLICT_DUPLICATE")}).drop("_row", "_minute", "_differ")
+
+
+def hot_minutes(rows: DataFrame, most: int) -> DataFrame:
+    """(_hot_minute): an instrument's minutes with over ``most`` rows that no step has rejected; written, as it is small."""
+    sizes = rows.where("failed_step is null").groupBy(F.struct(*_MINUTE).alias("_hot_minute")).agg(F.count("*").alias("n"))
+    return stored(sizes.where(F.col("n") > most).select("_hot_minute"), "hot_minutes")
+
+
+def tagged_once(raw: DataFrame, config: CleanConfig, last: int = 12, hot: int | None = None) -> DataFrame:
+    """raw with ts_utc, and failed_step and reject_reason of the first of the steps 1 to ``last`` that rejects a row.
 
+    Rows go to their instrument's minute once, which serves the windows of both steps that compare rows. ``hot``:
+    minutes of over so many rows are found in a pass of its own and compared by sums, so no task has one whole.
+    """
+    rows = _early_reasons(raw, config)
     own_row = lambda first, to: {i: F.col(f"r{i}") for i in range(first, min(last, to) + 1)}
-    rows = fails(rows.withColumns({"failed_step": F.lit(None).cast("int"), "reject_reason": F.lit(None).cast("string")}), own_row(1, 3))
-    live = F.col("failed_step").isNull()
+    rows = _fails(rows.withColumns({"failed_step": F.lit(None).cast("int"), "reject_reason": F.lit(None).cast("string")}), own_row(1, 3))
     if last >= 4:
-        rows = _fail_where(rows, live & (F.col("_no_key") | F.col("ts_utc").isNull()), "a series key or time is blank")
-    minute = ("publisher_id", "instrument_id", "ts_utc")
+        rows = _fail_where(rows, F.col("failed_step").isNull() & (F.col("_no_key") | F.col("ts_utc").isNull()), "a series key or time is blank")
     if last >= 5:
-        deal = F.when(live, F.lit(0).cast("long")).otherwise(F.xxhash64("src_row"))
-        rows = rows.withColumns({"_live": live, "_deal": deal}).repartition("_deal", *minute)
-        again = F.row_number().over(W.partitionBy("_deal", "_live", *minute, *(c for c in config.group if c not in minute), *OHLCV).orderBy("src_row")) > 1
-        rows = fails(rows, {5: F.when(again, "EXACT_DUPLICATE")})
-    if last >= 6:
-        own = W.partitionBy("_deal", "_live", *minute)
-        differ = P.any_of([F.min(c).over(own) != F.max(c).over(own) for c in OHLCV])
-        rows = fails(rows.withColumn("_live", live), {6: F.when(F.coalesce(differ, F.lit(False)), "CONFLICT_DUPLICATE")})
+        busy = None if hot is None else hot_minutes(rows, hot)
+        if busy is None or busy.isEmpty():
+            rows = _compared(rows, config, last)
+        else:
+            rows = rows.join(busy, F.col("failed_step").isNull() & (F.struct(*_MINUTE) == F.col("_hot_minute")), "left")
+            split = F.col("_hot_minute").isNotNull()
+            calm, busy = (rows.where(x).drop("_hot_minute") for x in (~split, split))
+            rows = _compared(calm, config, last).unionByName(_compared_by_sums(busy, config, last))
     if last >= 7:
-        rows = fails(_late_reasons(rows, config), own_row(7, 10))
-    return rows.drop(*_REASONS, "_live", "_deal")
+        rows = _fails(_late_reasons(rows, config), own_row(7, 10))
+    return rows.drop(*_REASONS)
 
 
-def run_steps(raw: DataFrame, config: CleanConfig | None = None, last: int = 12) -> Steps:
-    """Results of the steps 1 to ``last``, each on what the one before kept; nothing runs until an action."""
+def run_steps(raw: DataFrame, config: CleanConfig | None = None, last: int = 12, hot: int | None = None) -> Steps:
+    """Results of the steps 1 to ``last``, each on what the one before kept; nothing runs until an action (but for ``hot``, see tagged_once())."""
     config = config or CleanConfig()
-    return Steps(tagged_once(raw, config, last), raw.columns, config, last)
+    return Steps(tagged_once(raw, config, last, hot), raw.columns, config, last)
 
 
 class _Stamped(StepResult):

@@ -70,6 +70,23 @@ def test_one_plan_and_single_steps_agree(spark):
     assert got == sorted(want) and {s for s, _, _ in got} >= {1, 2, 3, 5, 7, 9, 10}
 
 
+@pytest.mark.parametrize("hot", [1, 3, 1000])
+def test_hot_minutes(spark, hot):
+    """Minutes with many rows, compared by sums: the same as by windows, whichever minutes are hot."""
+    rng, rows = random.Random(hot), []
+    for i in range(500):
+        busy = i % 3 == 0
+        minute = "2024-01-01T00:00:00Z" if busy else f"2024-01-01T{rng.randrange(3):02d}:{rng.randrange(60):02d}:00Z"
+        p = 100.0 if busy and i % 2 else rng.choice([100.0, 100.25])
+        rows.append((i, rng.choice([minute] * 20 + ["x"]), "33", rng.choice("12"), "7" if busy else rng.choice("78"), rng.choice(["NQH6"] * 5 + ["NQM6", " "]), f"{p:.2f}", f"{p + 1:.2f}", f"{p - 1:.2f}", f"{p:.2f}", rng.choice(["1", "1", "2"])))
+    names = "src_row long, ts_event string, rtype string, publisher_id string, instrument_id string, symbol string, open string, high string, low string, close string, volume string"
+    df = spark.createDataFrame(rows, names).repartition(3)
+    for last in (5, 12):
+        usual, split = (sorted(map(tuple, cleaning.tagged_once(df, CONFIG, last, hot=h).collect())) for h in (None, hot))
+        assert split == usual and len(usual) == 500
+    assert {r[-1] for r in usual} >= {"EXACT_DUPLICATE", "CONFLICT_DUPLICATE", "INVALID_TIMESTAMP"}
+
+
 def test_nothing_is_lost(spark, sf):
     from tallyforge.sources.fixtures import raw_rows
 
