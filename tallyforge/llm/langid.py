@@ -27,6 +27,7 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,7 +95,7 @@ def _count_words(batches):
         )
 
 
-def _grams(words: DataFrame, order: int) -> pd.DataFrame:
+def _grams(words: DataFrame, order: int) -> pa.Table:
     """(lang, gram, n): counts of the highest order, counts of distinct characters before below it."""
     padded = F.concat(F.lit(START * (order - 1)), F.col("word"), F.lit(END))
     top = (
@@ -108,62 +109,76 @@ def _grams(words: DataFrame, order: int) -> pd.DataFrame:
     out = levels[0]
     for x in levels[1:]:
         out = out.unionByName(x)
-    return out.toPandas()
+    return out.toArrow()
 
 
-def _smoothed(grams: pd.DataFrame, order: int) -> dict[int, pd.DataFrame]:
-    """Interpolated probabilities p of each n-gram, and the back-off weight of each context, by order."""
-    grams = grams.assign(k=grams["gram"].str.len())
-    alphabet = grams.loc[grams.k == 1, "gram"].nunique() + 1
-    out, lower = {}, None
+def _codes(strings: pa.Array, k: int) -> np.ndarray:
+    """The characters of strings of k characters, a row each."""
+    size = int(np.frombuffer(strings.buffers()[1], np.int32)[strings.offset + len(strings)]) if len(strings) else 0
+    return np.frombuffer(strings.buffers()[2].to_pybytes()[:size].decode().encode("utf-32-le") if size else b"", np.uint32).astype(U).reshape(-1, k)
+
+
+def _chained(codes: np.ndarray) -> np.ndarray:
+    """_gram_hash() of each row as a whole."""
+    h = np.zeros(len(codes), U)
+    for i in range(codes.shape[1]):
+        h = mix(h * U(31) + codes[:, i] + U(1))
+    return h
+
+
+def _of_language(h: np.ndarray, lang: np.ndarray) -> np.ndarray:
+    return mix(h ^ (lang.astype(U) + U(1)) * U(0xD1B54A32D192ED03))
+
+
+def _smoothed(grams: pa.Table, order: int) -> LanguageModel:
+    """The model of interpolated probabilities p of each n-gram and the back-off weight of each context.
+
+    Strings are hashed at once, order by order, so the driver holds numbers only: some 40 bytes an n-gram of an order.
+    """
+    names = grams["lang"].combine_chunks().dictionary_encode()
+    names = names.chunk(0) if isinstance(names, pa.ChunkedArray) else names
+    langs = tuple(sorted(names.dictionary.to_pylist()))
+    lang = np.array([langs.index(x) for x in names.dictionary.to_pylist()])[names.indices.to_numpy()]
+    text, n = grams["gram"].combine_chunks(), grams["n"].to_numpy()
+    text = text.chunk(0) if isinstance(text, pa.ChunkedArray) else text
+    length = pc.utf8_length(text).to_numpy()
+    alphabet = pc.count_distinct(text.filter(pa.array(length == 1))).as_py() + 1
+
+    levels, lower, root = [], None, np.zeros(len(langs))
     for k in range(1, order + 1):
-        g = grams[grams.k == k].drop(columns="k").copy()
-        ones, twos = ((g.n == i).groupby(g.lang).sum() for i in (1, 2))
-        discount = (ones / (ones + 2 * twos)).replace([np.inf, np.nan], 0.5).clip(0.1, 0.9)
-        g["d"] = g.lang.map(discount)
-        g["context"] = g.gram.str[:-1]
-        by = g.groupby(["lang", "context"]).n
-        g["total"], g["back"] = by.transform("sum"), by.transform("size")
-        g["back"] = g.d * g.back / g.total
+        at = np.flatnonzero(length == k)
+        codes, own, count = _codes(text.take(pa.array(at)), k), lang[at], n[at].astype(float)
+        ones, twos = (np.bincount(own[count == i], minlength=len(langs)).astype(float) for i in (1, 2))
+        discount = np.divide(ones, ones + 2 * twos, out=np.full(len(langs), 0.5), where=ones + twos > 0).clip(0.1, 0.9)[own]
+        context = _chained(codes[:, :-1])
+        _, first, group = np.unique(_of_language(context, own), return_index=True, return_inverse=True)
+        total = np.bincount(group, weights=count)[group]
+        back = discount * np.bincount(group)[group] / total
         if k == 1:
             below = 1.0 / alphabet
+            root[own[first]] = np.log(back[first])
         else:
-            tail = pd.MultiIndex.from_arrays([g.lang, g.gram.str[1:]])
-            below = lower.reindex(tail).to_numpy()
-        g["p"] = np.maximum(g.n - g.d, 0) / g.total + g.back * below
-        lower = g.set_index(["lang", "gram"]).p
-        out[k] = g
-    out[0] = alphabet
-    return out
-
-
-def _assemble(levels: dict[int, pd.DataFrame], order: int) -> LanguageModel:
-    langs = tuple(sorted(levels[1].lang.unique()))
-    place = {x: i for i, x in enumerate(langs)}
-    hashes, logp, back, root = [], [], [], np.zeros(len(langs))
-    for k in range(1, order + 1):
-        g = levels[k]
-        rows = [(g.gram, g.lang, np.log(g.p), 0)]
-        if k < order:
-            up = levels[k + 1].drop_duplicates(["lang", "context"])
-            rows.append((up.context, up.lang, np.log(up.back), 1))
-        names = pd.unique(pd.concat([r[0] for r in rows]))
-        codes = np.frombuffer("".join(names).encode("utf-32-le"), np.uint32).astype(U).reshape(-1, k)
-        h = np.zeros(len(names), U)
-        for i in range(k):
-            h = mix(h * U(31) + codes[:, i] + U(1))
-        by = np.argsort(h)
-        spot = pd.Series(np.argsort(by), index=names)
-        tables = [np.full((len(names), len(langs)), np.nan, np.float32), np.zeros((len(names), len(langs)), np.float32)]
-        for gram, lang, value, which in rows:
-            tables[which][spot.loc[gram].to_numpy(), lang.map(place).to_numpy()] = value
-        hashes.append(h[by])
+            below = lower[1][np.searchsorted(lower[0], _of_language(_chained(codes[:, 1:]), own))]
+        p = np.maximum(count - discount, 0) / total + back * below
+        h = _chained(codes)
+        key = _of_language(h, own)
+        by = np.argsort(key)
+        lower = key[by], p[by]
+        levels.append((h, own, np.log(p).astype(np.float32), context[first], own[first], np.log(back[first]).astype(np.float32)))
+
+    hashes, logp, backs = [], [], []
+    for k in range(order):
+        h, own, value, *_ = levels[k]
+        above = levels[k + 1][3:] if k + 1 < order else (h[:0], own[:0], value[:0])
+        known = np.unique(np.concatenate([h, above[0]]))
+        tables = [np.full((len(known), len(langs)), np.nan, np.float32), np.zeros((len(known), len(langs)), np.float32)]
+        tables[0][np.searchsorted(known, h), own] = value
+        tables[1][np.searchsorted(known, above[0]), above[1]] = above[2]
+        hashes.append(known)
         logp.append(tables[0])
-        back.append(tables[1])
-    first = levels[1].drop_duplicates("lang")
-    root[first.lang.map(place).to_numpy()] = np.log(first.back)
+        backs.append(tables[1])
     zeros = np.zeros(len(langs))
-    return LanguageModel(langs, order, -math.log(levels[0]), root, tuple(hashes), tuple(logp), tuple(back), zeros, (1.0, 0.0), zeros + np.inf)
+    return LanguageModel(langs, order, -math.log(alphabet), root, tuple(hashes), tuple(logp), tuple(backs), zeros, (1.0, 0.0), zeros + np.inf)
 
 
 def score_words(model: LanguageModel, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -310,7 +325,9 @@ def fit(docs: DataFrame, per_language: int = 2000, calibrate: int = 1000, order:
     grams = _grams(words, order)
     if not len(grams):
         return None
-    model = _assemble(_smoothed(grams, order), order)
+    model = _smoothed(grams, order)
+    del grams
+    _give_back()
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches):
@@ -321,9 +338,10 @@ def fit(docs: DataFrame, per_language: int = 2000, calibrate: int = 1000, order:
             yield pa.RecordBatch.from_arrays([b["lang"], pa.array(own, pa.float64()), pa.array(found[:, -1])], ["lang", "entropy", "chars"])
 
     held = sample.where(F.col("at") >= part).select("lang", "text").mapInArrow(measure, "lang string, entropy double, chars double").where("chars > 0 and not isnan(entropy)").toPandas()
+    shared.destroy()
     model = _calibrated(model, held, alpha)
-    del grams, held
-    _give_back()  # the tables of the fit are large beside the model
+    del held
+    _give_back()
     return model
 
 
