@@ -72,7 +72,9 @@ def _scanned(keys: tuple[str, ...], a: str, b: str, start: str, out: str):
 
 
 def smoothed(bars: DataFrame, value: str, out: str, weight: float, group: tuple[str, ...] = ("symbol",), order: str = "ts", piece: str = "day") -> DataFrame:
-    """bars with out[i] = out[i-1] + weight * (value[i] - out[i-1]), which starts with the first value; a null value is NaN.
+    """bars with out[i] = out[i-1] + weight * (value[i] - out[i-1]), which starts with the first value.
+
+    A null value is NaN; rows without a time come first.
 
     What a piece of a series (a day, a month) does to the state is a multiplication and a sum, both of which are
     aggregates of its rows. A scan over one row a piece finds the state that each piece starts with; one over
@@ -83,7 +85,7 @@ def smoothed(bars: DataFrame, value: str, out: str, weight: float, group: tuple[
         raise ValueError(f"columns exist already: {sorted(taken)}")
     series = F.struct(*group)
     x = F.coalesce(F.col(value).cast("double"), F.lit(float("nan")))
-    rows = bars.withColumns({"_piece": F.date_trunc(piece, order).cast("timestamp_ntz"), "_x": x})
+    rows = bars.withColumns({"_piece": F.coalesce(F.date_trunc(piece, order).cast("timestamp_ntz"), F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")), "_x": x})
 
     own = W.partitionBy("_piece", *group)
     placed = rows.select(*group, "_piece", "_x", F.row_number().over(own.orderBy(order)).alias("at"), F.count("*").over(own).alias("n"))

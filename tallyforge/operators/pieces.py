@@ -35,7 +35,8 @@ _OWN = ("_series", "_span", "_piece")
 
 
 def spans(order: str, span: str) -> Column:
-    return F.date_trunc(span, order).cast("timestamp_ntz")
+    """The span of time that a row is in; rows without a time are in the first."""
+    return F.coalesce(F.date_trunc(span, order).cast("timestamp_ntz"), F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def span_counts(df: DataFrame, group: tuple[str, ...], order: str, span: str) -> DataFrame:

@@ -227,7 +227,8 @@ def test_recursions_over_several_series(spark, piece):
     try:
         rows = [r for k, n in enumerate((90, 1, 50)) for r in random_bars(k, n, ("A", None, "C")[k])]
         rows = [(*r[:5], None if r[:2] == ("C", 30) else r[5], r[6]) for r in rows]
-        got = indicators.smoothed(frame(spark, rows), "close", "e", 0.2, piece=piece).collect()
+        df = frame(spark, rows).withColumn("ts", F.when(F.col("i") > 0, F.col("ts")))
+        got = indicators.smoothed(df, "close", "e", 0.2, piece=piece).collect()
         for name in ("A", None, "C"):
             own = sorted((r for r in got if r["symbol"] == name), key=lambda r: r["i"])
             want = running(np.array([np.nan if r[5] is None else r[5] for r in rows if r[0] == name], float), 0.2)
