@@ -55,6 +55,10 @@ FACTORS = (3.0, 2.0, 1.5, 1.2)
 LEVELS = (0.0, 0.001, 0.002, 0.003, 0.005, 0.0075, 0.01, 0.015, 0.02)
 
 
+#: Strata, of some 600 bytes, up to which the table of their levels is sent to all executors.
+BROADCAST_STRATA = 10_000
+
+
 def _by_doc(values: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(doc[values], minlength=n)
 
@@ -175,15 +179,24 @@ def cutoffs(labelled: DataFrame, risk: float = 0.02, delta: float = 0.05) -> dic
     shares = [1 - x for x in LEVELS]
     marks = rows.where("quality = 1 and half = 0").groupBy("apart", "stratum").agg(*(F.percentile_approx(F.col(x), shares, 10_000).alias(x) for x in names)).collect()
     levels = {(r["apart"], r["stratum"]): [*({x: r[x][0] * f for x in names} for f in FACTORS), *({x: r[x][i] for x in names} for i in range(len(LEVELS)))] for r in marks}
+    if not levels:
+        return {}
+    # every stratum's counts in one aggregate: its levels' cutoffs stand beside its rows
+    held = [(own, stratum, [[float(v[x]) for x in names] for v in vectors]) for (own, stratum), vectors in levels.items()]
+    table = rows.sparkSession.createDataFrame(held, "own boolean, of string, v array<array<double>>")
+    if len(held) <= BROADCAST_STRATA:
+        table = F.broadcast(table)
+    met = rows.join(table, (F.col("apart") == F.col("own")) & F.col("stratum").eqNullSafe(F.col("of")))
+    tested, poor = (F.col("quality") == 1) & (F.col("half") == 1), F.col("quality") == 0
+    beyond = [reduce(lambda a, b: a | b, (F.col(x) > F.col("v")[i][j] for j, x in enumerate(names))) for i in range(len(FACTORS) + len(LEVELS))]
+    counts = met.groupBy("own", "of").agg(F.count_if(tested).alias("n"), *(F.count_if(side & x).alias(f"{k}{i}") for k, side in (("good", tested), ("poor", poor)) for i, x in enumerate(beyond)))
     out: dict[str | None, dict[str, float]] = {}
-    for (own, stratum), vectors in levels.items():
-        beyond = [reduce(lambda a, b: a | b, (F.col(x) > v[x] for x in names)) for v in vectors]
-        tested, poor = (F.col("quality") == 1) & (F.col("half") == 1), F.col("quality") == 0
-        mine = rows.where((F.col("apart") == own) & F.col("stratum").eqNullSafe(F.lit(stratum)))
-        n, *counts = mine.agg(F.count_if(tested), *(F.count_if(tested & x) for x in beyond), *(F.count_if(poor & x) for x in beyond)).first()
-        at = choose(counts[: len(vectors)], counts[len(vectors) :], n, risk, delta / (len(large) + bool(pooled)))
+    for r in counts.collect():
+        vectors = levels[r["own"], r["of"]]
+        good, bad = ([r[f"{k}{i}"] for i in range(len(vectors))] for k in ("good", "poor"))
+        at = choose(good, bad, r["n"], risk, delta / (len(large) + bool(pooled)))
         if at is not None:
-            for s in ([stratum] if own else pooled):
+            for s in ([r["of"]] if r["own"] else pooled):
                 out[s] = vectors[at]
     return out
 
