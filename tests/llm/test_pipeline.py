@@ -28,7 +28,28 @@ def test_stages(spark, sf):
     before, after = seen["mixing"]
     assert {r["doc_id"]: r["text"] for r in after}.items() <= before.items()
     before, after = seen["byte_bpe"]
-    assert {r["doc_id"] for r in after} == set(before)
+    assert {(r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in after} == {(i, *encoded(t)) for i, t in before.items()}
+    assert len(after) == len(before)
+    # the language of every document that stays is the one predicted for it on the whole input
+    found = {r["doc_id"]: r["lang_pred"] for r in queries.op1_language_id(spark, sf).collect()}
+    assert all(r["lang"] == found[r["doc_id"]] for r in seen["language_id"][1])
+
+
+def encoded(text):
+    """Number of ids, and digests of ids and bytes, by the public library."""
+    import base64
+    import hashlib
+
+    import numpy as np
+    import public_tokenizers
+    import tiktoken
+
+    if not hasattr(encoded, "coder"):
+        with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        encoded.coder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ids = encoded.coder.encode_ordinary(text or "")
+    return len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()
 
 
 def test_repeated_and_null_ids(spark, documents):
@@ -39,4 +60,4 @@ def test_repeated_and_null_ids(spark, documents):
 
 
 def test_names():
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in queries.queries()}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in queries.queries()}
