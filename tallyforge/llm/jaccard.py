@@ -375,19 +375,6 @@ def _by_unit(solve: Callable, columns: list[str]) -> Callable:
     return run
 
 
-def _units(rows: DataFrame, unit: str, name: str, block: int) -> DataFrame:
-    """rows dealt by unit; units of over ``block`` rows go to all pairs of blocks, units of one row go away."""
-    sizes = rows.groupBy(unit).agg(F.count("*").alias("members")).where("members > 1")
-    key = F.col(unit).bitwiseXOR(F.lit(0x5DEECE66D)).alias("unit")  # keyed anew, so that AQE can split a large unit's join
-    rows = rows.withColumn("unit", key).join(sizes.select(key, "members"), "unit")
-    rows = rows.withColumn("blocks", F.ceil(F.col("members") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64(name), F.col("blocks")).cast("int"))
-    return (
-        rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other"), "side": F.when(F.col("own") <= F.col("other"), 0).otherwise(1)})
-        .drop("members", "blocks", "own", "other")
-    )
-
-
 def _dealt(units: DataFrame, parts: int) -> DataFrame:
     return units.repartition(parts, "unit", "i", "j").sortWithinPartitions("unit", "i", "j", "side")
 

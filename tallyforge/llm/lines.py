@@ -10,9 +10,11 @@ of which an edited line keeps one, moved by t places at most; a line sends its s
 length, the segment's number and content) and, for each length up to tau below its own, the substrings that
 can be a segment's copy as probes (the multi-match-aware places). Only keys with an index row and a second
 line go on; a batch deals the rows of a key beyond two to 64 salts, so that a frequent passage spreads.
-In a unit of a key's rows (dealt to pairs of blocks if many), counts of characters in twelve classes,
-which are part of a line's id, bound the distance from below. What is left is verified by a banded
-bit-parallel edit distance, many pairs side by side.
+The lines of a key meet with their texts. Each needs one earlier near line only, so no pairs leave a task:
+counts of characters in twelve classes, which are part of a line's id, bound the distance from below, and
+what is left is verified by a banded bit-parallel edit distance, many pairs side by side, one earlier line
+first, then two, four and so on until one is near. In a key of more lines than a block, one block of them
+(leaders) meets all blocks first; then the lines that are near to no earlier leader meet each other and all others.
 
 Rows: a null text stays null, an empty one empty. Lines without a word stay and are never copies. Rows
 that repeat both doc_id and text lose the same lines. A text whose every worded line goes is ``emptied``.
@@ -25,12 +27,12 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import Tables, bitmap_of, free_name, in_bitmap, lean, partitions
-from .jaccard import _by_unit, _dealt, _units
+from .jaccard import _dealt, _led, _unled
 from .text import U, chunks, flat, mix, prefix_hash, prefix_sums, quick_hash, span_hash
 
 _SALTS = 64
@@ -209,22 +211,6 @@ def sketch_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _candidates(tau: int) -> Callable:
-    def solve(sides: list[list[tuple]]) -> list[tuple[int, int]]:
-        one = np.array([r[0] for r in sides[0]], np.int64).view(U)
-        two = np.array([r[0] for r in sides[1]], np.int64).view(U) if len(sides) > 1 else one
-        out = []
-        for i in range(0, len(one), 256):
-            a = one[i : i + 256, None]
-            near = (sketch_distance(a, two[None]) <= 2 * tau) & ((a & two[None] & U(1)) == 0) & (a >> U(1) != two[None] >> U(1))
-            x, y = np.nonzero(near)
-            pair = np.column_stack([one[i + x] >> U(1), two[y] >> U(1)]) << U(1)
-            out += np.unique(np.sort(pair, axis=1), axis=0).view(np.int64).tolist()
-        return out
-
-    return _by_unit(solve, ["f"])
-
-
 #: Characters from which on what two lines share at both ends is left out before they are compared.
 _TRIM = 512
 
@@ -282,26 +268,117 @@ def edit_within(a: list[str], b: list[str], tau: int) -> np.ndarray:
     return score <= tau
 
 
-def _verified(tau: int, per_edit: int) -> Callable:
-    """Of each pair of near lines the later one's hashes."""
+def _near(a: list[str], b: list[str], tau: int, per_edit: int) -> np.ndarray:
+    """Whether each pair of lines is near."""
+    ok = np.zeros(len(a), bool)
+    allowed = edits(np.array([min(len(x), len(y)) for x, y in zip(a, b, strict=True)], np.int64), tau, per_edit).tolist()
+    order = sorted(range(len(a)), key=lambda i: (allowed[i], len(a[i])))
+    i = 0
+    while i < len(order):
+        j = i + 1
+        while j < len(order) and allowed[order[j]] == allowed[order[i]] and (j - i + 1) * len(a[order[j]]) <= 1 << 20:
+            j += 1
+        part = order[i:j]
+        ok[part] = edit_within([a[k] for k in part], [b[k] for k in part], allowed[part[0]])
+        i = j
+    return ok
+
+
+#: Pairs that a task looks at side by side.
+_PAIRS = 1 << 18
+
+
+def _ranks(rows: pa.Table) -> np.ndarray:
+    """Of each row the rank of its line's first place, equal for rows of the same line."""
+    doc_id = rows["doc_id"]
+    place = [doc_id.is_valid().to_numpy(), doc_id.fill_null(0).to_numpy(), rows["row"].to_numpy(), rows["line"].to_numpy()]
+    order = np.lexsort(place[::-1])
+    new = np.zeros(len(order), bool)
+    for x in place:
+        new[1:] |= x[order][1:] != x[order][:-1]
+    out = np.zeros(len(order), np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
+def _partners(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of whole units the range of rows that it meets: the other side's, or the later ones of the only side."""
+    unit, side = [rows[x].to_numpy() for x in ("unit", "i", "j")], rows["side"].to_numpy()
+    new = np.ones(len(side), bool)
+    new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in unit])
+    begin, run = np.flatnonzero(new), np.cumsum(new) - 1
+    end, right = np.append(begin[1:], len(side)), np.bincount(run, side > side[begin][run], len(begin)).astype(np.int64)
+    here, mid = np.arange(len(side)), (end - right)[run]
+    low = np.where(right[run] > 0, mid, here + 1)
+    return low, np.where((right[run] > 0) & (here >= mid), low, end[run])
+
+
+def _witnessed(tau: int, per_edit: int) -> Callable:
+    """Rows sorted by (unit, i, j, side): (h1, h2) of the open lines to which an earlier line of their unit is near."""
+
+    def solve(rows: pa.Table) -> np.ndarray:
+        f, size, text = rows["f"].to_numpy().view(U), rows["size"].to_numpy(), rows["text"].to_pylist()
+        rank, low_high = _ranks(rows), _partners(rows)
+        wanted = np.zeros(len(f) + 1, bool)
+        wanted[rank[rows["open"].to_numpy()]] = True
+        found = np.zeros(len(f), bool)
+        many = np.cumsum(low_high[1] - low_high[0])
+
+        def resolve(late: np.ndarray, early: np.ndarray) -> None:
+            code = rank[late] * len(f) + rank[early]
+            _, once = np.unique(code, return_index=True)  # by the later line, its earliest partner first
+            late, early = late[once], early[once]
+            tried = 1
+            while True:
+                more = ~found[rank[late]]
+                late, early = late[more], early[more]
+                if not len(late):
+                    return
+                first = np.ones(len(late), bool)
+                first[1:] = rank[late[1:]] != rank[late[:-1]]
+                nth = np.arange(len(late)) - np.flatnonzero(first)[np.cumsum(first) - 1]
+                now = np.flatnonzero(nth < tried)
+                ok = _near([text[i] for i in early[now]], [text[i] for i in late[now]], tau, per_edit)
+                found[rank[late[now[ok]]]] = True
+                late, early = late[nth >= tried], early[nth >= tried]
+                tried *= 2
+
+        waiting, n_waiting, at = [], 0, 0
+        while at < len(f):
+            to = max(at + 1, int(np.searchsorted(many, (many[at - 1] if at else 0) + _PAIRS, "right")))
+            low, n = low_high[0][at:to], (low_high[1] - low_high[0])[at:to]
+            x = np.repeat(np.arange(at, to), n)
+            y = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
+            late, early = np.where(rank[x] > rank[y], x, y), np.where(rank[x] > rank[y], y, x)
+            allowed = edits(np.minimum(size[x], size[y]), tau, per_edit)
+            ok = (rank[x] != rank[y]) & wanted[rank[late]] & ~found[rank[late]] & (f[x] & f[y] & U(1) == 0) & (np.abs(size[x] - size[y]) <= allowed)
+            late, early, allowed = late[ok], early[ok], allowed[ok]
+            ok = sketch_distance(f[late], f[early]) <= 2 * allowed
+            waiting.append((late[ok], early[ok]))
+            n_waiting, at = n_waiting + len(waiting[-1][0]), to
+            if n_waiting >= _PAIRS or at == len(f):
+                resolve(*map(np.concatenate, zip(*waiting, strict=True)))
+                waiting, n_waiting = [], 0
+        _, once = np.unique(rank, return_index=True)
+        return once[found[: len(once)]]
 
     def run(batches):
+        held = None
         for b in batches:
-            a, c = b["a_text"].to_pylist(), b["b_text"].to_pylist()
-            ok = np.zeros(len(a), bool)
-            allowed = edits(np.array([min(len(x), len(y)) for x, y in zip(a, c, strict=True)], np.int64), tau, per_edit).tolist()
-            order = sorted(range(len(a)), key=lambda i: (allowed[i], len(a[i])))
-            i = 0
-            while i < len(order):
-                j = i + 1
-                while j < len(order) and allowed[order[j]] == allowed[order[i]] and (j - i + 1) * len(a[order[j]]) <= 1 << 20:
-                    j += 1
-                part = order[i:j]
-                ok[part] = edit_within([a[k] for k in part], [c[k] for k in part], allowed[part[0]])
-                i = j
-            later = b["b_later"].to_numpy(zero_copy_only=False)
-            cols = [pa.array(np.where(later, b[f"b_{x}"].to_numpy(), b[f"a_{x}"].to_numpy())[ok]) for x in ("h1", "h2")]
-            yield pa.RecordBatch.from_arrays(cols, ["h1", "h2"])
+            rows = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+            if not len(rows):
+                continue
+            last = [rows[x].to_numpy() for x in ("unit", "i", "j")]
+            cut = len(rows) - int(np.argmin(np.append(np.logical_and.reduce([x[::-1] == x[-1] for x in last]), False)))  # the last unit may go on
+            held = rows.slice(cut)
+            if cut:
+                yield from hashes(rows.slice(0, cut))
+        if held is not None:
+            yield from hashes(held)
+
+    def hashes(rows: pa.Table):
+        late = pa.array(solve(rows))
+        yield from rows.select(["h1", "h2"]).take(late).combine_chunks().to_batches()
 
     return run
 
@@ -333,27 +410,50 @@ def _places(bitmap: np.ndarray, per_edit: int) -> Callable:
     return run
 
 
-def near_pairs(tables: Tables, docs: DataFrame, tau: int, per_edit: int, block: int) -> DataFrame:
-    """(a, b): ids of lines that may be within tau edits."""
+def shared_keys(tables: Tables, docs: DataFrame, tau: int, per_edit: int) -> DataFrame:
+    """(k, f): keys that lines within tau edits share, and the ids of their lines; the low bit is 1 for a probe."""
     parts = partitions(docs.sparkSession)
     keys = docs.select("text").mapInArrow(lean(_key_rows(tau, per_edit)), "k long, salt int, f long")
-    shared = tables.put(keys.repartition(parts, "k", "salt").sortWithinPartitions("k", "salt").mapInArrow(_shared_keys, "k long, f long").distinct(), "shared")
-    pairs = tables.put(_dealt(_units(shared, "k", "f", block).drop("k"), parts).mapInArrow(_candidates(tau), "a long, b long").distinct(), "pairs")
-    tables.drop(shared)
-    return pairs
+    return tables.put(keys.repartition(parts, "k", "salt").sortWithinPartitions("k", "salt").mapInArrow(_shared_keys, "k long, f long").distinct(), "shared")
+
 
+#: Characters that count as one more line of a key, where its lines are longer on average.
+_LONG = 4096
 
-def near_dropped(tables: Tables, places: DataFrame, pairs: DataFrame, tau: int, per_edit: int) -> DataFrame:
-    """(h1, h2) of the lines with an earlier line that is near."""
+
+def _weight(some: Column) -> Column:
+    """Lines of a key, or more if they are long, so that a block of them stays small."""
+    return F.greatest(F.count(F.when(some, 1)), F.ceil(F.sum(F.when(some, F.col("size")).otherwise(0)) / _LONG))
+
+
+def near_dropped(tables: Tables, places: DataFrame, shared: DataFrame, tau: int, per_edit: int, block: int) -> DataFrame:
+    """(h1, h2) of the lines with an earlier line that is near.
+
+    A key of M lines of which m are near to no earlier leader takes M + m * (M + m) / block rows.
+    """
     parts = partitions(places.sparkSession)
     held = places.where("id is not null").groupBy("id", "h1", "h2", "text").agg(F.min(F.struct("doc_id", "row", "line")).alias("at"))
-    held = tables.put(held, "lines")
-    a, b = (held.select(*(F.col(c).alias(f"{x}_{c}") for c in held.columns)) for x in "ab")
-    both = pairs.join(a, F.col("a") == F.col("a_id")).join(b, F.col("b") == F.col("b_id")).withColumn("b_later", F.col("a_at") < F.col("b_at"))
-    both = both.select("a_h1", "a_h2", "a_text", "b_h1", "b_h2", "b_text", "b_later").repartition(parts, "a_h1", "b_h1")
-    near = tables.put(both.mapInArrow(lean(_verified(tau, per_edit)), "h1 long, h2 long").distinct(), "near")
-    tables.drop(pairs, held)
-    return near
+    held = held.select("id", "h1", "h2", "at.*", F.length("text").cast("long").alias("size"), "text")
+    members = shared.join(held, F.col("f").bitwiseAND(F.lit(-2)) == F.col("id")).drop("id").withColumn("open", F.lit(True))
+    members = tables.put(members, "members")
+    tables.drop(shared)
+
+    def meet(units: DataFrame) -> DataFrame:
+        return _dealt(units.drop("k"), parts).mapInArrow(lean(_witnessed(tau, per_edit)), "h1 long, h2 long").distinct()
+
+    sizes = members.groupBy("k").agg(F.count("*").alias("n"), _weight(F.lit(True)).alias("members")).where("n > 1").drop("n")
+    first = tables.put(meet(_led(members, sizes, "k", "h1", block)), "near")
+    large = tables.put(sizes.where(F.col("members") > block), "large")
+    if large.isEmpty():
+        tables.drop(members, large)
+        return first
+    known = members.join(large.select(F.col("k").alias("large")), F.col("k") == F.col("large")).join(first.withColumn("component", F.lit(1)), ["h1", "h2"], "left")
+    known = known.drop("large").withColumn("component", F.coalesce("component", F.lit(0))).withColumn("open", F.col("component") == 0)
+    known = tables.put(known, "known")
+    tops = known.groupBy("k").agg(F.lit(1).alias("top"), _weight(F.col("open")).alias("n_rest"), _weight(~F.col("open")).alias("n_top")).where("n_rest > 0")
+    second = tables.put(meet(_unled(known, tops, "k", "h1", block)), "near")
+    tables.drop(members, large, known)
+    return first.union(second).distinct()
 
 
 def _without(columns: list[T.StructField], gone: str, near: str) -> Callable:
@@ -391,10 +491,10 @@ def dedup(docs: DataFrame, tau: int = 2, per_edit: int = 20, block: int = 1024)
     row, gone_row, gone_id, gone, near_count = (free_name(docs, x) for x in ("row_hash", "gone_row", "gone_id", "gone_lines", "gone_near"))
     rows = docs.withColumn(row, F.xxhash64("doc_id", "text"))
     keyed = rows.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col(row).alias("row"), "text")
-    pairs = near_pairs(tables, keyed, tau, per_edit, block)
-    bitmap = bitmap_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).select(F.shiftright("id", 1).bitwiseAND(F.lit((1 << 27) - 1)).alias("id")))
+    shared = shared_keys(tables, keyed, tau, per_edit)
+    bitmap = bitmap_of(shared.select(F.shiftright("f", 1).bitwiseAND(F.lit((1 << 27) - 1)).alias("id")).distinct())
     places = tables.put(keyed.mapInArrow(lean(_places(bitmap, per_edit)), _PLACES), "places")
-    near = near_dropped(tables, places, pairs, tau, per_edit).withColumn("near", F.lit(True))
+    near = near_dropped(tables, places, shared, tau, per_edit, block).withColumn("near", F.lit(True))
     at = F.struct("doc_id", "row", "line")
     first = places.groupBy("h1", "h2").agg(F.min(at).alias("at"), F.count("*").alias("n")).where("n > 1")
     marks = tables.put(first.join(near, ["h1", "h2"], "full").select("h1", "h2", "at", F.coalesce("near", F.lit(False)).alias("near")), "marks")

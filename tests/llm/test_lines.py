@@ -131,3 +131,39 @@ def test_long_texts(spark, documents):
     got = {r["doc_id"]: r for r in lines.dedup(documents([(1, big), (2, big), (3, many), (4, big[:-1] + "!")])).collect()}
     assert got[1]["text"] == big and got[2]["n_exact"] == 1 and got[4]["n_near"] == 1
     assert (got[3]["text"], got[3]["n_lines"]) == (many, 12_000)
+
+
+def numbered(order):
+    """Lines that differ in a number of three digits and a letter only."""
+    return [f"the same words in each of these lines, but {i:03d} {chr(97 + i % 7)} is the number of this one" for i in order]
+
+
+@pytest.mark.parametrize("block", [1024, 16])
+def test_families_of_near_lines(spark, documents, block):
+    """Lines of which some are near to no earlier one, some only to a late one, over one block and over several."""
+    rng = random.Random(4)
+    order = list(range(0, 1000, 11))
+    rng.shuffle(order)
+    base = "".join(rng.choices("abcdef ghijk", k=64))
+    star = [edited(rng, base, rng.randint(1, 2), "xyz") for _ in range(40)]
+    rows = list(enumerate([*numbered(order), *star, base, *(edited(rng, base, 2, "uvw") for _ in range(20))]))
+    rng.shuffle(rows)
+    got = {r["doc_id"]: r["text"] for r in lines.dedup(documents(rows), tau=2, per_edit=20, block=block).collect()}
+    assert got == brute(rows, 2, 20)
+
+
+def test_rows_of_a_family_of_near_lines(spark, documents, monkeypatch):
+    """Intermediate tables grow with the lines, not with the pairs of lines that are near."""
+    made, put = [], lines.Tables.put
+
+    def counted(self, df, name):
+        out = put(self, df, name)
+        made.append((out.count(), name))
+        return out
+
+    monkeypatch.setattr(lines.Tables, "put", counted)
+    order = list(range(500))
+    random.Random(5).shuffle(order)
+    got = lines.dedup(documents(list(enumerate(numbered(order))))).select("n_near").collect()
+    assert sum(r["n_near"] for r in got) > 490
+    assert max(made)[0] < 20 * len(order), made
