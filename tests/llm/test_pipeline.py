@@ -6,6 +6,7 @@ from tallyforge.llm import queries
 from .test_jaccard import brute as classes
 from .test_lines import INK
 from .test_lines import brute as remaining
+from .test_lines import numbered
 
 
 def test_stages(spark, sf):
@@ -61,3 +62,21 @@ def test_repeated_and_null_ids(spark, documents):
 
 def test_names():
     assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in queries.queries()}
+
+
+def test_line_dedup_of_a_family_of_near_lines(spark, documents, monkeypatch):
+    """The stage's tables grow with the lines, not with their near pairs; the first line stays."""
+    from tallyforge.llm import lines
+
+    made, put = [], lines.Tables.put
+
+    def counted(self, df, name):
+        out = put(self, df, name)
+        made.append((out.count(), name))
+        return out
+
+    monkeypatch.setattr(lines.Tables, "put", counted)
+    rows = list(enumerate(numbered(range(300))))
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, documents(rows), "").collect()}
+    assert got[0] == rows[0][1] and got.items() <= dict(rows).items()
+    assert max(made)[0] < 20 * len(rows), made
