@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column
@@ -19,6 +21,20 @@ def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 
 
+#: Functions of a column, each of the one before's value, which it uses more than once.
+Layers = Sequence[Callable[[Column], Column]]
+
+
+def through(value: Column, layers: Layers) -> Column:
+    """The last layer's value, with those before in variables of lambdas: an expression in a lambda is worked out at each place of its use."""
+    return reduce(lambda v, layer: F.transform(F.array(v), layer)[0], layers, value)
+
+
+def inline(value: Column, layers: Layers) -> Column:
+    """The last layer's value without lambdas: compiled code shares expressions that occur twice, but not if a lambda is in them."""
+    return reduce(lambda v, layer: layer(v), layers, value)
+
+
 def is_blank(c: Column) -> Column:
     """Null, empty or only white space, also that beyond ASCII."""
     return F.coalesce(~c.rlike(r"(?U)\S"), F.lit(True))
@@ -88,39 +104,51 @@ def symbol_reason(symbol: Column, fields: list[Column], config: CleanConfig) ->
 _SIMPLE = r"^\s*[+-]?[0-9]{1,12}(\.[0-9]{0,8})?\s*$"
 _ANY_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,18})?\s*$"
 _POSITIVE = r"^\s*\+?[0-9.]*[1-9]"
+_POSITIVE_NUMBER = r"^\s*\+?(?=[0-9.]*[1-9])([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,18})?\s*$"
+
+
+def _all_match(pattern: str) -> Column:
+    return F.forall(F.array(*(F.col(c) for c in PRICES)), lambda t: F.coalesce(t.rlike(pattern), F.lit(False)))
 
 
 def simple() -> Column:
     """Whether decimals hold all four prices as they are; what is decided by them is decided by texts otherwise."""
-    return F.coalesce(reduce(lambda a, b: a & b, [F.col(c).rlike(_SIMPLE) for c in PRICES]), F.lit(False))
+    return _all_match(_SIMPLE)
 
 
-def scientific(text: Column) -> Column:
-    """A positive number as (point, digits): 0.digits times ten to the point, where digits starts and ends with none of 0.
+#: White space of a regular expression, the ends of a line that its $ passes over, and the plus sign.
+_AROUND = " \t\n\v\f\r\u0085\u2028\u2029+"
+
+
+def _parts(text: Column) -> Column:
+    mantissa = F.substring_index(text, "e", 1)
+    exponent = F.when(text.contains("e"), F.substring_index(text, "e", -1).try_cast("long")).otherwise(F.lit(0).cast("long"))
+    return F.struct((F.length(F.substring_index(mantissa, ".", 1)) + exponent).alias("point"), F.replace(mantissa, F.lit("."), F.lit("")).alias("digits"))
 
-    So two numbers compare as their structs do, however long they are.
-    """
-    part = lambda i: F.regexp_extract(text, r"^\s*\+?([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?\s*$", i)
-    whole, exponent = part(1), F.coalesce(part(3).try_cast("long"), F.lit(0))
-    digits = F.concat(whole, part(2))
-    bare = F.ltrim(digits, F.lit("0"))
-    return F.struct((F.length(whole) + exponent - F.length(digits) + F.length(bare)).alias("point"), F.rtrim(bare, F.lit("0")).alias("digits"))
+
+def _bare(number: Column) -> Column:
+    digits = F.ltrim(number["digits"], F.lit("0"))
+    return F.struct((number["point"] - F.length(number["digits"]) + F.length(digits)).alias("point"), F.rtrim(digits, F.lit("0")).alias("digits"))
+
+
+#: Of a positive number's text, (point, digits): 0.digits times ten to the point, where digits starts and ends with none of
+#: 0. So two numbers compare as their structs do, however long they are.
+SCIENTIFIC: Layers = (lambda text: F.replace(F.trim(text, F.lit(_AROUND)), F.lit("E"), F.lit("e")), _parts, _bare)
 
 
 def long_prices() -> Column:
-    """scientific() of the four prices; null where they are simple() or not all positive numbers."""
-    texts = F.array(*(F.col(c) for c in PRICES))
-    return F.when(~simple() & F.forall(texts, lambda t: F.coalesce(t.rlike(_ANY_NUMBER) & t.rlike(_POSITIVE), F.lit(False))), F.transform(texts, scientific))
+    """SCIENTIFIC of the four prices; null where they are simple() or not all positive numbers."""
+    return F.when(~simple() & _all_match(_POSITIVE_NUMBER), F.transform(F.array(*(F.col(c) for c in PRICES)), lambda t: through(t, SCIENTIFIC)))
 
 
 def price_reason(odd: dict[str, Column] | None = None) -> Column:
     """Of the prices' texts, of any length. odd: whether they aren't finite, if that is known."""
     odd = odd or {c: is_not_finite(F.col(c)) for c in PRICES}
     number_text = {c: F.coalesce(F.col(c).rlike(_ANY_NUMBER), F.lit(False)) for c in PRICES}
-    return (
+    return F.when(~_all_match(_POSITIVE_NUMBER), (
         F.when(any_of([~odd[c] & ~number_text[c] for c in PRICES]), "INVALID_PRICE").when(any_of([odd[c] for c in PRICES]), "NON_FINITE_PRICE")
-        .when(any_of([~F.col(c).rlike(_POSITIVE) for c in PRICES]), "NON_POSITIVE_PRICE")
-    )
+        .otherwise("NON_POSITIVE_PRICE")
+    ))
 
 
 def envelope_ok(o: Column, h: Column, l: Column, c: Column) -> Column:  # noqa: E741
@@ -128,53 +156,78 @@ def envelope_ok(o: Column, h: Column, l: Column, c: Column) -> Column:  # noqa:
     return F.coalesce(known & (l <= F.least(o, c)) & (F.greatest(o, c) <= h), F.lit(False))
 
 
-def envelope_reason(prices: dict[str, Column] | None = None, exact: Column | None = None) -> Column:
-    """Of the prices as decimals where they are simple(), of long_prices() where they aren't."""
-    prices, exact = prices or {c: number(F.col(c)) for c in PRICES}, long_prices() if exact is None else exact
-    ok = F.when(exact.isNotNull(), envelope_ok(*(exact[i] for i in range(4)))).otherwise(envelope_ok(*prices.values()))
-    return F.when(~ok, "INVALID_OHLC")
+def envelope_reason(prices: dict[str, Column] | None = None, long_ok: Column | None = None) -> Column:
+    """Of the prices as decimals where they are simple(), of long_prices() where they aren't. long_ok: envelope_ok() of those, else null."""
+    prices = prices or {c: number(F.col(c)) for c in PRICES}
+    if long_ok is None:
+        long_ok = through(long_prices(), [lambda e: F.when(e.isNotNull(), envelope_ok(*(e[i] for i in range(4))))])
+    return F.when(~F.coalesce(long_ok, envelope_ok(*prices.values())), "INVALID_OHLC")
 
 
 def _remainder(digits: Column, zeros: Column, by: int) -> Column:
-    """The whole number of ``digits`` and then that many zeros, modulo ``by`` (under 10^12): six digits at a time, zeros by squares."""
-    kind = "decimal(38,0)"
-    padded = F.lpad(digits, (F.ceil(F.length(digits) / 6) * 6).cast("int"), "0")
-    limbs = F.transform(F.sequence(F.lit(0), F.length(padded), F.lit(6)), lambda i: F.substring(padded, i + 1, F.lit(6)).try_cast("long"))
-    head = F.aggregate(limbs, F.lit(0).cast("long"), lambda r, x: F.when(x.isNull(), r).otherwise((r * 1_000_000 + x) % by))
+    """The whole number of ``digits`` and then that many zeros, modulo ``by`` (under 10^12): some digits at a time, zeros by squares."""
+    kind, some = "long" if by * by < 1 << 63 else "decimal(38,0)", 18 - len(str(by))
+
+    def limbs(padded: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.length(padded) - some, F.lit(some))
+        return F.transform(starts, lambda i: F.substring(padded, i + 1, F.lit(some)).try_cast("long"))
+
+    add = lambda r, x: (r * 10**some + x) % by
+    padded = F.lpad(digits, (F.ceil(F.length(digits) / some) * some).cast("int"), "0")
+    long_head = F.aggregate(through(padded, [limbs]), F.lit(0).cast("long"), add)
+    size, zero, three = F.length(digits), F.lit(0).cast("long"), F.lpad(digits, 3 * some, "0")
+    head = (
+        F.when(size > 3 * some, long_head).when(size > 18, reduce(add, [F.substring(three, i * some + 1, some).try_cast("long") for i in range(3)], zero))
+        .when(size == 0, zero).otherwise(digits.try_cast("long") % by)
+    )
     times = lambda a, b: (a * b % F.lit(by).cast(kind)).cast(kind)
     one = F.struct(F.lit(1).cast(kind).alias("power"), F.lit(10 % by).cast(kind).alias("base"), zeros.alias("left"))
     step = lambda s: F.struct(F.when(s["left"] % 2 == 1, times(s["power"], s["base"])).otherwise(s["power"]).alias("power"), times(s["base"], s["base"]).alias("base"), F.floor(s["left"] / 2).cast("long").alias("left"))
-    power = F.aggregate(F.sequence(F.lit(1), F.lit(60)), one, lambda s, _: F.when(s["left"] > 0, step(s)).otherwise(s))["power"]
-    return times(head.cast(kind), power)
+    power = F.aggregate(F.sequence(F.lit(1), F.length(F.bin(zeros))), one, lambda s, _: step(s))["power"]
+    return F.when(zeros > 0, times(head.cast(kind), power).cast("long")).otherwise(head)
+
 
+def _split(number: Decimal) -> tuple[int, str]:
+    """The whole part, and the digits after the point without zeros at the end: those compare as texts do."""
+    return int(number), format(number, "f").partition(".")[2].rstrip("0")
 
-def _off_grid(price: Column, config: CleanConfig) -> Column:
-    """Whether a scientific() price is off the grid by the tolerance or more.
 
-    In units of 10^-8 the price has a whole part, whose remainder by the tick is exact, and a fraction, of which 24
-    digits and whether others follow decide, as the tolerance has no more.
+def off_grid(config: CleanConfig) -> Layers:
+    """Whether a SCIENTIFIC price is off the grid by the tolerance or more.
+
+    In units of 10^-8 the price has a whole part, whose remainder by the tick is exact, and digits after the point, which
+    are compared as they are. Up to 18 zeros are put behind a whole part, so that few need _remainder()'s squares.
     """
     tick, allowed = int(config.tick.scaleb(8)), config.tick.scaleb(8) * config.tick_tolerance
-    digits, n = price["digits"], price["point"] + 8
-    size, kind = F.length(digits), "decimal(38,24)"
-    whole = F.substring(digits, F.lit(1), F.greatest(F.least(n, size), F.lit(0)).cast("int"))
-    after = F.when(n >= size, "").when(n >= 0, F.substring(digits, F.greatest(n + 1, F.lit(1)).cast("int"), size)).otherwise(F.concat(F.repeat(F.lit("0"), F.least(-n, F.lit(30)).cast("int")), digits))
-    fraction = F.concat(F.lit("0."), F.rpad(F.substring(after, F.lit(1), F.lit(24)), 24, "0")).cast("decimal(25,24)")
-    more = F.length(F.rtrim(F.substring(after, F.lit(25), F.greatest(F.length(after), F.lit(1))), F.lit("0"))) > 0
-    beyond = _remainder(whole, F.greatest(n - size, F.lit(0)).cast("long"), tick).cast("decimal(13,0)") + fraction
-    near, far = F.lit(allowed).cast(kind), F.lit(tick - allowed).cast(kind)
-    return ~((beyond < near) | (beyond > far) | ((beyond == far) & more))
+    (near, near_digits), (far, far_digits) = _split(allowed), _split(tick - allowed)
+    few = max(len(near_digits), len(far_digits)) + 1
+
+    def cut(price: Column) -> Column:
+        digits, n = price["digits"], price["point"] + 8
+        size = F.length(digits)
+        whole = F.rpad(digits, F.greatest(F.least(n, size + 18), F.lit(0)).cast("int"), "0")
+        after = F.when(n >= size, "").when(n >= 0, F.substring(digits, (n + 1).cast("int"), size)).otherwise(F.concat(F.repeat(F.lit("0"), F.least(-n, F.lit(few)).cast("int")), digits))
+        return F.struct(whole.alias("whole"), F.greatest(n - size - 18, F.lit(0)).alias("zeros"), after.alias("after"))
+
+    def beyond(price: Column) -> Column:
+        return F.struct(_remainder(price["whole"], price["zeros"], tick).alias("units"), price["after"].alias("after"))
+
+    def off(b: Column) -> Column:
+        units, after = b["units"], b["after"]
+        return ~((units < near) | ((units == near) & (after < near_digits)) | (units > far) | ((units == far) & (after > far_digits)))
+
+    return cut, beyond, off
 
 
-def tick_reason(config: CleanConfig, prices: dict[str, Column] | None = None, exact: Column | None = None) -> Column:
-    """A price off the grid by the tolerance (in ticks) or more.
+def tick_reason(config: CleanConfig, prices: dict[str, Column] | None = None, long_off: Column | None = None) -> Column:
+    """A price off the grid by the tolerance (in ticks) or more. long_off: whether one of long_prices() is, else null.
 
     Doubles decide where their error can't matter; the others are decided by exact decimals, which are slow, and
     prices that decimals don't hold by their digits.
     """
     tick = F.lit(config.tick).cast("decimal(12,8)")
     allowed = F.lit(config.tick * config.tick_tolerance).cast("decimal(20,16)")
-    exact = long_prices() if exact is None else exact
+    long_off = F.exists(long_prices(), lambda p: through(p, off_grid(config))) if long_off is None else long_off
 
     def off(price: Column) -> Column:
         beyond = F.abs(price) % tick
@@ -185,7 +238,7 @@ def tick_reason(config: CleanConfig, prices: dict[str, Column] | None = None, ex
         return F.when(away + error < tolerance, False).when(away - error > tolerance, True).otherwise(decided)
 
     usual = any_of([off(p) for p in (prices or {c: number(F.col(c)) for c in PRICES}).values()])
-    return F.when(F.when(exact.isNotNull(), F.exists(exact, lambda p: _off_grid(p, config))).otherwise(usual), "INVALID_TICK_SIZE")
+    return F.when(F.coalesce(long_off, usual), "INVALID_TICK_SIZE")
 
 
 #: A volume has 18 decimals and 20 digits before them as a decimal; larger ones are known by their text and as a double.

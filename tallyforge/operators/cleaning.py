@@ -280,12 +280,34 @@ def _early_reasons(raw: DataFrame, config: CleanConfig) -> DataFrame:
     )
 
 
+def price_reasons(rows: DataFrame, config: CleanConfig, keep: Sequence[str] | None = None) -> DataFrame:
+    """rows (all columns, or those to keep) with the reasons r7, r8 and r9 of the price steps, each of all rows.
+
+    In layers, as the JVM runs a generated method of over 8,000 bytes without compiling it: whole-stage code would have
+    all of them in one method, so a lambda, which has no such code, is in each. _apart() keeps filters from repeating
+    the layers; an explode of lambdas would only be interpreted, so it has no work to do.
+    """
+    digits, decimals = {c: f"_{c}_digits" for c in PRICES}, {c: f"_{c}_decimal" for c in PRICES}
+    if clash := {*digits.values(), *decimals.values(), "_long", "_long_ok", "r7", "r8", "r9"} & set(rows.columns):
+        raise ValueError(f"columns {sorted(clash)} exist already")
+    numbers, prices, long = [F.col(v) for v in digits.values()], {c: F.col(v) for c, v in decimals.items()}, F.col("_long")
+    apart = lambda v: P.through(v, [lambda x: x])
+    cut, beyond, off = P.off_grid(config)
+    out = rows.withColumns({"r7": P.price_reason(), "_long": ~P.simple()})
+    is_long = F.col("r7").isNull() & long
+    out = out.withColumns({**{v: P.inline(F.when(is_long, F.col(c)), P.SCIENTIFIC) for c, v in digits.items()}, "_long": apart(is_long)})
+    out = out.withColumns({
+        **{v: P.inline(F.col(v), (cut, beyond)) for v in digits.values()}, **{v: F.when(~long, P.number(F.col(c))) for c, v in decimals.items()},
+        "_long_ok": F.when(long, P.envelope_ok(*numbers)), "_long": apart(long),
+    })
+    off_grid = F.when(apart(long), P.any_of([off(n) for n in numbers]))
+    out = out.withColumns({"r8": P.envelope_reason(prices, F.col("_long_ok")), "r9": P.tick_reason(config, prices, off_grid)})
+    return _apart(out.select(*(F.col(f"`{c}`") for c in keep or rows.columns), "r7", "r8", "r9"))
+
+
 def _late_reasons(rows: DataFrame, config: CleanConfig) -> DataFrame:
     """rows with the reasons r7, r8, r9 and r10 of the steps after rows were compared."""
-    parsed = _apart(rows, _prices=F.struct(*(P.number(F.col(c)).alias(c) for c in PRICES)), r7=P.price_reason())
-    prices, exact = {c: F.col(f"_prices.{c}") for c in PRICES}, F.col("_exact")
-    most = _apart(_apart(parsed, _exact=P.long_prices()), r8=P.envelope_reason(prices, exact))
-    return _apart(_apart(most, ("_prices", "_exact"), r9=P.tick_reason(config, prices, exact)), r10=P.volume_reason())
+    return _apart(price_reasons(rows, config), r10=P.volume_reason())
 
 
 def _fails(df: DataFrame, reasons: dict[int, Column]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import CleanConfig, PivotConfig
-from ..functions import indicators, predicates
+from ..functions import indicators
 from ..operators import bars, cleaning, compare, kalman, pieces, structure
 from ..sources import fixtures, sinks
 from ..sources.stored import drained
@@ -77,10 +77,9 @@ def reject_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_long_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three price steps' reasons for prices that have more digits than a decimal column."""
-    found = {"price": predicates.price_reason(), "envelope": predicates.envelope_reason(), "tick": predicates.tick_reason(CleanConfig())}
-    rows = fixtures.long_prices(spark, sf_dir)
-    bad = found["price"].isNotNull()
-    return rows.select("event_id", *(F.coalesce(r if k == "price" else F.when(~bad, r), F.lit("KEPT")).alias(k) for k, r in found.items()))
+    rows = cleaning.price_reasons(fixtures.long_prices(spark, sf_dir), CleanConfig(), ("event_id",))
+    found = {"price": F.col("r7"), **{k: F.when(F.col("r7").isNull(), F.col(r)) for k, r in (("envelope", "r8"), ("tick", "r9"))}}
+    return rows.select("event_id", *(F.coalesce(r, F.lit("KEPT")).alias(k) for k, r in found.items()))
 
 
 def pipeline_clean_all(spark: SparkSession, sf_dir: str) -> DataFrame:

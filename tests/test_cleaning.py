@@ -235,3 +235,37 @@ def test_prices_of_any_length(spark):
         if seven is None:
             assert (eight, nine) == want[1:], row
     assert {g[0] for g in got} == {None, "INVALID_PRICE", "NON_FINITE_PRICE", "NON_POSITIVE_PRICE"}
+
+
+@pytest.mark.parametrize(("tick", "tolerance"), [("0.25", "0.000001"), ("0.01", "0"), ("9999.99999999", "0.0000000001"), ("7", "0.3")])
+def test_price_steps_in_layers(spark, tick, tolerance):
+    """price_reasons() against Python's decimals: no, one or many digits behind and before, far exponents, white space, other ticks."""
+    config, rng, rows = CleanConfig(tick=Decimal(tick), tick_tolerance=Decimal(tolerance)), random.Random(tick), []
+    odd = ["1e3", "25E-2", "1E+3", " +1.25", "\t7.\r\n", "2.5000000000\u2028", "0.25000025", "0.249999750000000000000000000000000001", "1e-30", "1e-400", "1e300", "123e17", "7e123", "0." + "0" * 40 + "1", "9" * 45, "1" * 31 + ".25",
+           "25" + "0" * 29, "8" * 18 + ".123456789", "-1.25", "0.000000000000", "0e5", "sNaN", "-inf", "1e", "", " ", None, "1 2", "1.2.3", "1+", "12345678901234.5", "9999.99999999", "19999.99999998000", "9999.999999990000000000000000001"]
+    rows += [(text,) * 4 for text in odd] + [(text, "1.25", "1", text) for text in odd]
+    for _ in range(300):
+        whole, base = rng.choice(["1", "100", "1000000000100", "9" * 20, "4" * 33]), rng.choice([".25", ".250000000000", ".25000025", ".2500000000000000000001", "", "e21", "E-9"])
+        rows.append(tuple(rng.choice([whole + base] * 5 + ["9" + whole + base, rng.choice(odd)]) for _ in range(4)))
+    df = spark.createDataFrame(rows, "open string, high string, low string, close string")
+    found = cleaning.price_reasons(df, config)
+    assert found.columns == ["open", "high", "low", "close", "r7", "r8", "r9"]
+    for r in found.collect():
+        want = usual_reasons(r[:4], config.tick, config.tick_tolerance)
+        assert r["r7"] == want[0] and (r["r7"] or tuple(r[5:]) == want[1:]), r
+    assert cleaning.price_reasons(df, config, ("close",)).columns == ["close", "r7", "r8", "r9"] and cleaning.price_reasons(df.where("false"), config).collect() == []
+    assert found.where("r9 is null and r7 is null").count() == sum(not (r["r7"] or r["r9"]) for r in found.collect())
+
+
+def test_long_prices_plan_repeats_nothing(spark, sf):
+    """Each price is matched by few patterns, filtered or not, and no remainder takes a fixed number of rounds."""
+    from tallyforge.plans.queries import clean_long_prices
+
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        found = clean_long_prices(spark, sf)
+        plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (found, found.where("tick = 'KEPT' and envelope = 'KEPT'"))]
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    for plan in plans:
+        assert 0 < plan.count("RLIKE") <= 20 and "regexp_extract" not in plan and "sequence(1, 60" not in plan and len(plan) < 60_000
